@@ -1,0 +1,39 @@
+"""Broadcast only behind a size check.
+
+Every lookup side the operators broadcast is either bounded by construction
+(month keys: at most 12 x 9999 values; one row per input file; the rule
+table) or checked here with a bounded count before the hint is applied.
+Beyond the bound the side is returned unchanged and Catalyst/AQE plan a
+shuffle join (AQE still converts it to a broadcast at run time if the
+measured shuffle output turns out small, and splits skewed partitions).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a few short key columns: 2M rows stays well below the default
+# 8 GB broadcast ceiling and a typical executor's broadcast budget.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+# Upper bound of distinct ``yyyyMM`` keys (years 0001-9999).
+MONTH_KEY_BOUND = 12 * 9999
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; reads at most
+    ``max_rows + 1`` of them."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for ``df`` when it provably holds at most ``max_rows``
+    rows, else ``df`` unchanged (shuffle join, AQE-managed)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def broadcast_bounded_by_construction(df: DataFrame) -> DataFrame:
+    """Broadcast a side whose size is bounded by its key domain (month keys,
+    one row per input file, rule rows); the caller states the bound."""
+    return F.broadcast(df)
