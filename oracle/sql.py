@@ -146,3 +146,53 @@ ORACLES["gate_reject_all"] = (
 ORACLES["gate_whole_batch"] = (
     f"WITH {LEDGER}, {_EVAL_GLOBAL} SELECT reject_reasons, CAST(count(*) AS BIGINT) AS rows "
     "FROM ev GROUP BY reject_reasons")
+
+# ------------------------------------------------------------- versions ---
+T1, T2, T3 = "TIMESTAMP '2024-01-01 09:00:00'", "TIMESTAMP '2024-01-02 09:00:00'", "TIMESTAMP '2024-01-03 09:00:00'"
+NULL_TS = "CAST(NULL AS TIMESTAMP)"
+MONTH_EXPR = "strftime(try_strptime(posting_date, '%Y%m%d'), '%Y%m')"
+HL = f"hl AS (SELECT *, {MONTH_EXPR} AS posting_month FROM ledger)"
+
+ORACLES["month_key"] = f"WITH {LEDGER} SELECT doc_number, posting_date, {MONTH_EXPR} AS posting_month FROM ledger"
+ORACLES["latest_file_per_month"] = (
+    f"WITH {LEDGER}, {HL} SELECT posting_month, max(file_name) AS file_name FROM hl GROUP BY posting_month")
+ORACLES["latest_version"] = (
+    f"WITH {LEDGER}, {HL}, lf AS (SELECT posting_month AS m, max(file_name) AS f FROM hl GROUP BY 1) "
+    "SELECT hl.* FROM hl JOIN lf ON posting_month = m AND file_name = f")
+ORACLES["reprocess_scope"] = (
+    f"WITH {LEDGER_CLEAN}, {HL} SELECT DISTINCT posting_month FROM hl WHERE file_name = '{F2}' "
+    f"AND posting_month IN (SELECT posting_month FROM hl WHERE file_name = '{F1}')")
+
+# -------------------------------------------------------------- history ---
+_M2 = f"m2 AS (SELECT DISTINCT posting_month AS m FROM hl WHERE file_name = '{F2}')"
+_M3 = f"m3 AS (SELECT DISTINCT posting_month AS m FROM hl WHERE file_name = '{F3}')"
+_FROM = f"CASE file_name WHEN '{F1}' THEN {T1} WHEN '{F2}' THEN {T2} ELSE {T3} END"
+_TO3 = (f"CASE WHEN file_name = '{F1}' AND posting_month IN (SELECT m FROM m2) THEN {T2} "
+        f"WHEN file_name IN ('{F1}', '{F2}') AND posting_month IN (SELECT m FROM m3) THEN {T3} "
+        f"ELSE {NULL_TS} END")
+_SILVER = (f"WITH {LEDGER_CLEAN}, {HL}, {_M2}, {_M3}, sh AS (SELECT hl.*, {_FROM} AS valid_from, "
+           f"{_TO3} AS valid_to FROM hl)")
+
+ORACLES["stamp_history"] = (
+    f"WITH {LEDGER_CLEAN}, {HL} SELECT hl.*, {T1} AS valid_from, {NULL_TS} AS valid_to, "
+    f"TRUE AS is_current FROM hl WHERE file_name = '{F1}'")
+ORACLES["scd_expire_all"] = (
+    f"WITH {LEDGER_CLEAN}, {HL} SELECT hl.*, CASE WHEN file_name = '{F1}' THEN {T1} ELSE {T2} END "
+    f"AS valid_from, CASE WHEN file_name = '{F1}' THEN {T2} ELSE {NULL_TS} END AS valid_to, "
+    f"file_name = '{F2}' AS is_current FROM hl WHERE file_name IN ('{F1}', '{F2}')")
+ORACLES["scd_expire_scope"] = (
+    f"WITH {LEDGER_CLEAN}, {HL}, {_M2} SELECT hl.*, {T1} AS valid_from, "
+    f"CASE WHEN posting_month IN (SELECT m FROM m2) THEN {T2} ELSE {NULL_TS} END AS valid_to, "
+    "NOT coalesce(posting_month IN (SELECT m FROM m2), FALSE) AS is_current "
+    f"FROM hl WHERE file_name = '{F1}'")
+ORACLES["scd_expire_append"] = f"{_SILVER} SELECT *, valid_to IS NULL AS is_current FROM sh"
+ORACLES["current_rows"] = f"{_SILVER} SELECT *, TRUE AS is_current FROM sh WHERE valid_to IS NULL"
+ORACLES["scd_derived_validity"] = (
+    f"{_SILVER} SELECT *, CAST(CASE file_name WHEN '{F1}' THEN 1 WHEN '{F2}' THEN 2 ELSE 3 END AS BIGINT) "
+    "AS run_id, valid_to IS NULL AS is_current FROM sh")
+ORACLES["append_merge_schema"] = (
+    f"WITH {LEDGER_CLEAN}, {HL} "
+    f"SELECT source_system, company_code, posting_date, doc_type, doc_number, file_name FROM hl "
+    f"WHERE file_name = '{F1}' UNION ALL BY NAME "
+    "SELECT doc_number, doc_line, amount_lc, vendor_code, file_name, 'note-' || doc_type AS extra_note "
+    f"FROM hl WHERE file_name = '{F2}'")

@@ -151,3 +151,100 @@ def q_gate_reject_all(spark, d):
 def q_gate_whole_batch(spark, d):
     ev = Q.evaluate(TD.ledger(spark, d), _physical_rules())
     return ev.groupBy(Q.REASONS).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+# ------------------------------------------------------------- versions ---
+
+from tollgate.operators import history as H  # noqa: E402
+from tollgate.operators import versions as V  # noqa: E402
+
+# Load stamps of the three fixture runs.
+T1, T2, T3 = "2024-01-01 09:00:00", "2024-01-02 09:00:00", "2024-01-03 09:00:00"
+
+
+def months(spark: SparkSession, d: str, clean: bool = True) -> DataFrame:
+    base = TD.ledger_clean(spark, d) if clean else TD.ledger(spark, d)
+    return V.with_month(base)
+
+
+def file_rows(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return months(spark, d).filter(F.col("file_name") == name)
+
+
+@query("month_key")
+def q_month_key(spark, d):
+    return V.with_month(TD.ledger(spark, d)).select("doc_number", "posting_date", V.MONTH)
+
+
+@query("latest_file_per_month")
+def q_latest_file_per_month(spark, d):
+    return V.latest_file_per_month(months(spark, d, clean=False))
+
+
+@query("latest_version")
+def q_latest_version(spark, d):
+    return V.latest_version(months(spark, d, clean=False))
+
+
+@query("reprocess_scope")
+def q_reprocess_scope(spark, d):
+    h1 = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+    return V.reprocess_scope(H.current_rows(h1), file_rows(spark, d, TD.FILE_2))
+
+
+# -------------------------------------------------------------- history ---
+
+@query("stamp_history")
+def q_stamp_history(spark, d):
+    return H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+
+
+@query("scd_expire_all")
+def q_scd_expire_all(spark, d):
+    h1 = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+    return H.append_merge_schema(H.expire_all(h1, T2),
+                                 H.stamp_history(file_rows(spark, d, TD.FILE_2), T2))
+
+
+@query("scd_expire_scope")
+def q_scd_expire_scope(spark, d):
+    h1 = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+    scope = V.reprocess_scope(h1, file_rows(spark, d, TD.FILE_2))
+    return H.expire_scope(h1, scope, [V.MONTH], T2)
+
+
+def _silver_history(spark, d) -> DataFrame:
+    h = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+    h = H.expire_and_append(h, file_rows(spark, d, TD.FILE_2), [V.MONTH], T2)
+    return H.expire_and_append(h, file_rows(spark, d, TD.FILE_3), [V.MONTH], T3)
+
+
+@query("scd_expire_append")
+def q_scd_expire_append(spark, d):
+    return _silver_history(spark, d)
+
+
+@query("current_rows")
+def q_current_rows(spark, d):
+    return H.current_rows(_silver_history(spark, d))
+
+
+@query("scd_derived_validity")
+def q_scd_derived_validity(spark, d):
+    runs = [(1, TD.FILE_1, T1), (2, TD.FILE_2, T2), (3, TD.FILE_3, T3)]
+    rows = None
+    for run, name, ts in runs:
+        part = file_rows(spark, d, name).select(
+            "*", F.lit(run).cast("bigint").alias(H.RUN), H.as_timestamp(ts).alias(H.VALID_FROM))
+        rows = part if rows is None else rows.unionByName(part)
+    return H.derive_validity(rows, [V.MONTH])
+
+
+@query("append_merge_schema")
+def q_append_merge_schema(spark, d):
+    a = file_rows(spark, d, TD.FILE_1).select(
+        "source_system", "company_code", "posting_date", "doc_type", "doc_number", "file_name")
+    b = file_rows(spark, d, TD.FILE_2).select(
+        "doc_number", "doc_line", "amount_lc", "vendor_code", "file_name",
+        F.concat(F.lit("note-"), F.col("doc_type")).alias("extra_note"))
+    return H.append_merge_schema(a, b)
