@@ -196,3 +196,72 @@ ORACLES["append_merge_schema"] = (
     f"WHERE file_name = '{F1}' UNION ALL BY NAME "
     "SELECT doc_number, doc_line, amount_lc, vendor_code, file_name, 'note-' || doc_type AS extra_note "
     f"FROM hl WHERE file_name = '{F2}'")
+
+# ----------------------------------------------------------- references ---
+VENDOR = ("mv AS (SELECT DISTINCT 'C' || CAST(s_suppkey % 25 AS VARCHAR) AS company_code, "
+          "'V' || CAST(s_suppkey AS VARCHAR) AS vdr_ld_cd FROM supplier WHERE s_suppkey % 7 <> 0)")
+COMPANY = ("mc AS (SELECT 'C' || CAST(n_nationkey AS VARCHAR) AS company_code FROM nation "
+           "WHERE n_nationkey % 11 <> 0)")
+FILLED = "filled AS (SELECT " + ", ".join(f"coalesce({c}, 'UNSP') AS {c}" for c in LEDGER_COLS) + " FROM ledger)"
+MISS9 = ("NOT EXISTS (SELECT 1 FROM mv WHERE mv.company_code = f.company_code "
+         "AND mv.vdr_ld_cd = f.vendor_code)")
+MISS10 = "NOT EXISTS (SELECT 1 FROM mc WHERE mc.company_code = f.company_code)"
+FLAGS = f"flags AS (SELECT f.*, {MISS9} AS miss9, {MISS10} AS miss10 FROM filled f)"
+XREF = f"WITH {LEDGER}, {VENDOR}, {COMPANY}, {FILLED}, {FLAGS}"
+
+
+def marker(c: str) -> str:
+    return f"CASE WHEN {c} = 'UNSP' THEN 'UNSP' ELSE 'TBD' END"
+
+
+def _annot_cols(company_miss: str, vendor_miss: str | None) -> str:
+    out = []
+    for c in LEDGER_COLS:
+        if c == "company_code":
+            out.append(f"CASE WHEN {company_miss} THEN {marker(c)} ELSE {c} END AS {c}")
+        elif c == "vendor_code" and vendor_miss:
+            out.append(f"CASE WHEN {vendor_miss} THEN {marker(c)} ELSE {c} END AS {c}")
+        else:
+            out.append(c)
+    return ", ".join(out)
+
+
+ORACLES["fill_sentinel"] = f"WITH {LEDGER}, {FILLED} SELECT * FROM filled"
+ORACLES["xref_anti"] = f"WITH {LEDGER}, {VENDOR}, {FILLED} SELECT * FROM filled f WHERE {MISS9}"
+ORACLES["xref_annotate"] = f"{XREF} SELECT {_annot_cols('(miss9 OR miss10)', 'miss9')} FROM flags"
+ORACLES["xref_error_log"] = (
+    f"WITH {LEDGER}, {VENDOR}, {COMPANY}, "
+    f"ids AS (SELECT *, '{RUN}_' || CAST(row_number() OVER (ORDER BY {order_all(LEDGER_COLS)}) AS VARCHAR) "
+    "AS row_id FROM ledger), "
+    "filled AS (SELECT " + ", ".join(f"coalesce({c}, 'UNSP') AS {c}" for c in LEDGER_COLS) + ", row_id FROM ids), "
+    f"{FLAGS} "
+    f"SELECT CAST({RUN} AS BIGINT) AS run_id, CAST(9 AS BIGINT) AS rule_id, row_id, "
+    "company_code || '||' || vendor_code AS error_value FROM flags WHERE miss9 UNION ALL "
+    f"SELECT CAST({RUN} AS BIGINT) AS run_id, CAST(10 AS BIGINT) AS rule_id, row_id, "
+    "company_code AS error_value FROM flags WHERE miss10")
+_XEV = (f"{XREF}, xev AS (SELECT {', '.join(LEDGER_COLS)}, "
+        "concat_ws(',', CASE WHEN miss9 THEN '9' END, CASE WHEN miss10 THEN '10' END) AS reject_reasons, "
+        "concat_ws('||', CASE WHEN miss9 THEN "
+        f"{marker('company_code')} || '||' || {marker('vendor_code')} END, "
+        f"CASE WHEN miss10 THEN {marker('company_code')} END) AS error_value FROM flags)")
+ORACLES["xref_reject"] = f"{_XEV} SELECT * FROM xev WHERE reject_reasons <> ''"
+ORACLES["xref_accept"] = f"{_XEV} SELECT {', '.join(LEDGER_COLS)} FROM xev WHERE reject_reasons = ''"
+ORACLES["xref_missing_master"] = f"{XREF} SELECT {_annot_cols('miss10', None)} FROM flags"
+ORACLES["xref_miss_matrix"] = (
+    f"{XREF} SELECT miss9 AS miss_9, miss10 AS miss_10, CAST(count(*) AS BIGINT) AS rows "
+    "FROM flags GROUP BY 1, 2")
+
+# ---------------------------------------------------------- fingerprint ---
+HASH_ALL = "sha256(concat_ws('||', " + ", ".join(LEDGER_COLS) + "))"
+ORACLES["row_fingerprint"] = f"WITH {LEDGER}, {FILLED} SELECT *, {HASH_ALL} AS row_hash FROM filled"
+ORACLES["fingerprint_anti"] = (
+    f"WITH {LEDGER}, {VENDOR}, {FILLED}, miss AS (SELECT {HASH_ALL} AS h FROM filled f WHERE {MISS9}) "
+    f"SELECT * FROM filled WHERE {HASH_ALL} NOT IN (SELECT h FROM miss)")
+ORACLES["overlay_by_fingerprint"] = f"{XREF} SELECT {_annot_cols('miss10', None)} FROM flags"
+
+# --------------------------------------------------------------- row ids ---
+LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+           "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+ORACLES["row_ids"] = (
+    f"SELECT {', '.join(LI_COLS)}, '{RUN}_' || CAST(row_number() OVER (ORDER BY {order_all(LI_COLS)}) "
+    "AS VARCHAR) AS row_id FROM lineitem")

@@ -248,3 +248,97 @@ def q_append_merge_schema(spark, d):
         "doc_number", "doc_line", "amount_lc", "vendor_code", "file_name",
         F.concat(F.lit("note-"), F.col("doc_type")).alias("extra_note"))
     return H.append_merge_schema(a, b)
+
+
+# ----------------------------------------------------------- references ---
+
+from tollgate.functions.columns import fill_sentinel, fingerprint, lookup_marker  # noqa: E402
+from tollgate.operators import fingerprint as FP  # noqa: E402
+from tollgate.operators import references as X  # noqa: E402
+
+
+def _business_rules() -> list[R.Rule]:
+    return R.ledger_rule_list(R.BUSINESS)
+
+
+def _resolver(spark, d) -> X.MasterResolver:
+    return X.mapping_resolver(TD.masters(spark, d))
+
+
+@query("fill_sentinel")
+def q_fill_sentinel(spark, d):
+    return fill_sentinel(TD.ledger(spark, d))
+
+
+@query("xref_anti")
+def q_xref_anti(spark, d):
+    return X.anti(TD.ledger(spark, d), _business_rules()[0], _resolver(spark, d))
+
+
+@query("xref_annotate")
+def q_xref_annotate(spark, d):
+    return X.annotate(TD.ledger(spark, d), _business_rules(), _resolver(spark, d))
+
+
+@query("xref_error_log")
+def q_xref_error_log(spark, d):
+    ids = row_ids(TD.ledger(spark, d), FIXTURE_RUN_ID)
+    return X.error_log(ids, _business_rules(), _resolver(spark, d), FIXTURE_RUN_ID)
+
+
+@query("xref_reject")
+def q_xref_reject(spark, d):
+    return X.reject(TD.ledger(spark, d), _business_rules(), _resolver(spark, d))
+
+
+@query("xref_accept")
+def q_xref_accept(spark, d):
+    return X.accept(TD.ledger(spark, d), _business_rules(), _resolver(spark, d))
+
+
+@query("xref_missing_master")
+def q_xref_missing_master(spark, d):
+    absent = R.Rule(95, "vendor_code", R.CROSS_REFERENCE, None, master_table="master_absent",
+                    keys=(("vendor_code", "vdr_ld_cd"),))
+    return X.annotate(TD.ledger(spark, d), [absent, _business_rules()[1]], _resolver(spark, d))
+
+
+@query("xref_miss_matrix")
+def q_xref_miss_matrix(spark, d):
+    return X.miss_matrix(TD.ledger(spark, d), _business_rules(), _resolver(spark, d))
+
+
+# ---------------------------------------------------------- fingerprint ---
+
+@query("row_fingerprint")
+def q_row_fingerprint(spark, d):
+    return FP.with_fingerprint(fill_sentinel(TD.ledger(spark, d)))
+
+
+@query("fingerprint_anti")
+def q_fingerprint_anti(spark, d):
+    led = fill_sentinel(TD.ledger(spark, d))
+    missed = X.anti(TD.ledger(spark, d), _business_rules()[0], _resolver(spark, d))
+    return FP.fingerprint_anti(led, missed)
+
+
+@query("overlay_by_fingerprint")
+def q_overlay_by_fingerprint(spark, d):
+    led = fill_sentinel(TD.ledger(spark, d))
+    rule = _business_rules()[1]
+    missed = X.anti(TD.ledger(spark, d), rule, _resolver(spark, d))
+    marked = FP.with_fingerprint(missed, led.columns).withColumn(
+        "company_code", lookup_marker("company_code"))
+    return FP.overlay_by_fingerprint(led, marked)
+
+
+# --------------------------------------------------------------- row ids ---
+
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                 "l_shipdate"]
+
+
+@query("row_ids")
+def q_row_ids(spark, d):
+    return row_ids(TD.table(spark, d, "lineitem"), FIXTURE_RUN_ID, order_cols=LINEITEM_COLS)
