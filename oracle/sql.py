@@ -265,3 +265,29 @@ LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
 ORACLES["row_ids"] = (
     f"SELECT {', '.join(LI_COLS)}, '{RUN}_' || CAST(row_number() OVER (ORDER BY {order_all(LI_COLS)}) "
     "AS VARCHAR) AS row_id FROM lineitem")
+
+# ---------------------------------------------------------------- files ---
+EXTRACT_COLS = [c for c in LEDGER_COLS if c != "file_name"]
+ORACLES["scan_delimited"] = (
+    f"WITH {LEDGER_CLEAN} SELECT {', '.join(EXTRACT_COLS)}, 'São Paulo' AS city FROM ledger "
+    f"WHERE file_name = '{F2}'")
+ORACLES["ingest_files"] = (
+    f"WITH {LEDGER_CLEAN} SELECT {', '.join(EXTRACT_COLS)}, 'São Paulo' AS city, file_name FROM ledger")
+ORACLES["scan_by_spec"] = ORACLES["ingest_files"]
+NAMES = ("names AS (SELECT o_orderkey AS file_id, "
+         "(CASE WHEN o_orderkey % 13 = 0 THEN 'other_' ELSE 'ledger_' END) || "
+         "(CASE WHEN o_orderkey % 11 = 0 THEN '20241301' ELSE strftime(o_orderdate, '%Y%m%d') END) || '_' || "
+         "lpad(CAST((o_custkey * 167) % 300000 AS VARCHAR), 6, '0') || "
+         "(CASE WHEN o_orderkey % 17 = 0 THEN '_x' ELSE '' END) || "
+         "(CASE WHEN o_orderkey % 7 = 0 THEN '.csv' ELSE '.txt' END) AS file_name FROM orders)")
+ORACLES["file_select"] = (
+    f"WITH {NAMES} SELECT file_id, file_name FROM names "
+    "WHERE starts_with(lower(file_name), 'ledger') AND ends_with(lower(file_name), '.txt')")
+_STEM = "split_part(lower(file_name), '.', 1)"
+_EXT = "CASE WHEN strpos(file_name, '.') > 0 THEN substr(lower(file_name), strpos(file_name, '.') + 1) ELSE '' END"
+ORACLES["filename_mask"] = (
+    f"WITH {NAMES} SELECT file_id, file_name, coalesce("
+    f"starts_with({_STEM}, 'ledger_') AND regexp_full_match({_STEM}, 'ledger_[^_]{{8}}_[^_]{{6}}(_.*)?') "
+    f"AND try_strptime(regexp_extract({_STEM}, '^ledger_([^_]{{8}})', 1), '%Y%m%d') IS NOT NULL "
+    f"AND try_strptime(regexp_extract({_STEM}, '^ledger_[^_]{{8}}_([^_]{{6}})', 1), '%H%M%S') IS NOT NULL "
+    f"AND {_EXT} = 'txt', FALSE) AS mask_ok FROM names")

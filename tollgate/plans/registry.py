@@ -342,3 +342,68 @@ LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quan
 @query("row_ids")
 def q_row_ids(spark, d):
     return row_ids(TD.table(spark, d, "lineitem"), FIXTURE_RUN_ID, order_cols=LINEITEM_COLS)
+
+
+# ---------------------------------------------------------------- files ---
+
+import uuid  # noqa: E402
+
+from tollgate.functions.filenames import mask_predicate  # noqa: E402
+from tollgate.session import checkpoint_dir  # noqa: E402
+from tollgate.sources import delimited as DL  # noqa: E402
+
+# Accented constant proving Latin-1 decoding; mask of the extracts.
+CITY = "São Paulo"
+EXTRACT_MASK = "{fileName}_{yyyymmdd}_{hhmmss}.{fileExtension}"
+EXTRACT_COLS = [c for c in TD.LEDGER_COLUMNS if c != "file_name"] + ["city"]
+
+
+def write_landing(spark: SparkSession, d: str, spec: DL.ReaderSpec = DL.ReaderSpec()) -> str:
+    """Write the clean ledger as delimited extracts, one entry per file name,
+    plus a decoy extract that selection must skip.  Returns the folder."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    rows = TD.ledger_clean(spark, d).withColumn("city", F.lit(CITY))
+    for name in TD.LEDGER_FILES:
+        DL.write_delimited(rows.filter(F.col("file_name") == name).select(*EXTRACT_COLS),
+                           f"{root}/{name}", spec)
+    DL.write_delimited(rows.filter(F.col("file_name") == TD.FILE_1).select(*EXTRACT_COLS),
+                       f"{root}/other_20240101_120000.csv", spec)
+    return root
+
+
+@query("scan_delimited")
+def q_scan_delimited(spark, d):
+    root = write_landing(spark, d)
+    return DL.scan_delimited(spark, f"{root}/{TD.FILE_2}", EXTRACT_COLS)
+
+
+@query("ingest_files")
+def q_ingest_files(spark, d):
+    root = write_landing(spark, d)
+    return DL.ingest(spark, root, EXTRACT_COLS, DL.ReaderSpec(prefix="ledger", extension="TXT"))
+
+
+# A process-table row carrying the reader settings.
+PROCESS_READER_ROW = {"file_delimiter": "|", "file_encoding": "UTF-8", "file_header": False,
+                      "file_extension": "txt", "file_prefix": "LEDGER", "file_mask": EXTRACT_MASK,
+                      "schema_name": "ledger-raw"}
+
+
+@query("scan_by_spec")
+def q_scan_by_spec(spark, d):
+    row = spark.createDataFrame([PROCESS_READER_ROW]).first()
+    spec = DL.ReaderSpec.from_row(row)
+    root = write_landing(spark, d, spec)
+    return DL.ingest(spark, root, EXTRACT_COLS, spec, apply_mask=True)
+
+
+@query("file_select")
+def q_file_select(spark, d):
+    return DL.select_files(TD.file_names(spark, d), DL.ReaderSpec(prefix="Ledger", extension="txt"))
+
+
+@query("filename_mask")
+def q_filename_mask(spark, d):
+    names = TD.file_names(spark, d)
+    return names.select("file_id", "file_name",
+                        mask_predicate("file_name", EXTRACT_MASK, "ledger", "txt").alias("mask_ok"))
