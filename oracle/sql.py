@@ -291,3 +291,78 @@ ORACLES["filename_mask"] = (
     f"AND try_strptime(regexp_extract({_STEM}, '^ledger_([^_]{{8}})', 1), '%Y%m%d') IS NOT NULL "
     f"AND try_strptime(regexp_extract({_STEM}, '^ledger_[^_]{{8}}_([^_]{{6}})', 1), '%H%M%S') IS NOT NULL "
     f"AND {_EXT} = 'txt', FALSE) AS mask_ok FROM names")
+
+# -------------------------------------------------------------- schemas ---
+_DATE = "CAST(try_strptime({c}, '%Y%m%d') AS DATE)"
+_INT = "CASE WHEN regexp_full_match(trim({c}), '[+-]?[0-9]+') THEN CAST(trim({c}) AS INTEGER) END"
+_DEC = "try_cast({c} AS DECIMAL(25,5))"
+_TYPED = {"posting_date": _DATE, "entry_date": _DATE, "doc_line": _INT, "amount_lc": _DEC}
+_REQUIRED = ["source_system", "company_code", "posting_date"]
+
+
+def _conform() -> str:
+    sel, probs = [], []
+    for c in LEDGER_COLS[:-1]:
+        conv = _TYPED.get(c, "{c}").format(c=c)
+        sel.append(f"{conv} AS {c}")
+        if c in _TYPED:
+            probs.append(f"CASE WHEN {c} IS NOT NULL AND {conv} IS NULL THEN '{c}' END")
+        if c in _REQUIRED:
+            probs.append(f"CASE WHEN {conv} IS NULL AND {c} IS NULL THEN '{c}' END")
+    sel += ["file_name", "CAST(NULL AS VARCHAR) AS row_id"]
+    return (f"WITH {LEDGER} SELECT {', '.join(sel)}, concat_ws(',', {', '.join(probs)}) AS conform_errors "
+            "FROM ledger")
+
+
+ORACLES["conform_typed"] = _conform()
+ORACLES["apply_defaults"] = (
+    f"WITH {LEDGER_CLEAN} SELECT doc_number, company_code, amount_lc, file_name, 'A' AS sys_status_code, "
+    "'MANUAL INSERT' AS sys_created_by_name, CAST(0 AS INTEGER) AS reject_all, "
+    "TIMESTAMP '2024-01-01 00:00:00' AS sys_created_on FROM ledger")
+ORACLES["align_schema"] = (
+    f"WITH {LEDGER_CLEAN} SELECT source_system, company_code, posting_date, doc_type, doc_number, doc_line, "
+    "entry_date, amount_lc, CAST(NULL AS VARCHAR) AS vendor_code, file_name, "
+    "CAST(NULL AS VARCHAR) AS row_id FROM ledger")
+
+# ------------------------------------------------------------ run ledger ---
+PROCS = ("procs AS (SELECT DISTINCT user_id AS process_id, 'Finance ' || CAST(user_id % 5 AS VARCHAR) "
+         "AS process_name, CASE user_id % 3 WHEN 0 THEN 'RAW TO BRONZE' WHEN 1 THEN 'BRONZE TO SILVER' "
+         "ELSE 'SP TO S3' END AS step_name, 'SAP' || CAST(user_id % 2 AS VARCHAR) AS source_system, "
+         "CASE WHEN user_id % 7 = 0 THEN 'I' ELSE 'A' END AS status FROM events)")
+ORACLES["process_lookup"] = (
+    f"WITH {PROCS} SELECT * FROM procs WHERE lower(process_name) = 'finance 1' AND "
+    "lower(step_name) = 'raw to bronze' AND lower(source_system) = 'sap1' AND status = 'A' "
+    "ORDER BY process_id LIMIT 1")
+RULES_PH = ("rules AS (SELECT * FROM (VALUES "
+            "(1, 2, 'posting_date', 'date_format', 'yyyyMMdd', 1, NULL), "
+            "(2, 2, 'posting_date', 'not_null', NULL, 1, NULL), "
+            "(3, 2, 'source_system', 'not_null', NULL, 1, NULL), "
+            "(4, 2, 'amount_lc', 'numeric_format', 'decimal(15,5)', 0, NULL), "
+            "(5, 2, 'doc_line', 'numeric_format', 'integer', 0, NULL), "
+            "(6, 2, 'doc_line', 'not_null', NULL, 0, NULL), "
+            "(8, 2, 'doc_type', 'conditional_fail', 'doc_type == ''NO'' AND posting_date < entry_date', 0, NULL)"
+            ") AS t(rule_id, process_id, column_name, rule_code, rule_detail, reject_all, master_table))")
+ORACLES["active_rules"] = (
+    f"WITH {RULES_PH} SELECT e.event_id AS run_id, CAST(r.rule_id AS BIGINT) AS rule_id, r.column_name, "
+    "r.rule_code, r.rule_detail, CAST(r.reject_all AS INTEGER) AS reject_all, "
+    "CAST(r.master_table AS VARCHAR) AS master_table "
+    "FROM events e JOIN rules r ON e.user_id = r.process_id")
+ORACLES["run_start"] = "SELECT event_id AS run_id, user_id AS process_id, ts AS start_ts FROM events"
+ORACLES["run_last"] = "SELECT user_id AS process_id, max(event_id) AS last_run_id FROM events GROUP BY 1"
+ORACLES["run_last_flag"] = (
+    "SELECT event_id AS run_id, user_id AS process_id, ts AS start_ts, "
+    "CAST(CASE WHEN event_id = max(event_id) OVER (PARTITION BY user_id) THEN 1 ELSE 0 END AS INTEGER) "
+    "AS last_flag FROM events")
+ORACLES["run_state"] = (
+    "SELECT event_id AS run_id, user_id AS process_id, ts AS start_ts, "
+    "CASE WHEN event_type <> 'error' THEN ts + INTERVAL 1 MINUTE END AS end_ts, "
+    "CASE WHEN event_type <> 'error' THEN 'C' ELSE 'E' END AS status, "
+    "CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS source_count FROM events")
+ORACLES["run_metrics"] = (
+    f"WITH {LEDGER_CLEAN}, {_EVAL_FILE}, c AS (SELECT CASE file_name WHEN '{F1}' THEN 1 WHEN '{F2}' THEN 2 "
+    "ELSE 3 END AS run_id, count(*) AS src, count(*) FILTER (WHERE reject_reasons = '') AS tgt "
+    "FROM ev GROUP BY file_name) "
+    "SELECT CAST(run_id AS BIGINT) AS run_id, CAST(2 AS BIGINT) AS process_id, 10 AS seq, 'SET' AS event, "
+    f"'source_record_count' AS attr, CAST(src AS VARCHAR) AS value, {T3} AS event_ts FROM c UNION ALL "
+    "SELECT CAST(run_id AS BIGINT), CAST(2 AS BIGINT), 11, 'SET', 'target_record_count', "
+    f"CAST(tgt AS VARCHAR), {T3} FROM c")

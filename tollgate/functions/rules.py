@@ -169,3 +169,13 @@ def ledger_rule_list(rule_type: str = PHYSICAL, active_only: bool = True) -> lis
     rows = [r for r in rows if r["rule_type"] == rule_type
             and (not active_only or r["status"] == ACTIVE)]
     return rules_from_rows(rows)
+
+
+def active_rules_for_runs(runs: DataFrame, rules: DataFrame, rule_type: str) -> DataFrame:
+    """Active rules of one type for every run, via its process (rule table
+    broadcast: configuration-sized)."""
+    r = rules.filter((F.col("rule_type") == rule_type) & (F.col("status") == ACTIVE))
+    return (runs.select("run_id", "process_id")
+                .join(F.broadcast(r), "process_id", "inner")
+                .select("run_id", "rule_id", "column_name", "rule_code", "rule_detail",
+                        "reject_all", "master_table"))

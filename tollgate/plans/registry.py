@@ -407,3 +407,86 @@ def q_filename_mask(spark, d):
     names = TD.file_names(spark, d)
     return names.select("file_id", "file_name",
                         mask_predicate("file_name", EXTRACT_MASK, "ledger", "txt").alias("mask_ok"))
+
+
+# -------------------------------------------------------------- schemas ---
+
+from pyspark.sql import types as T  # noqa: E402
+
+from tollgate.operators import runs as K  # noqa: E402
+from tollgate.sources import schemas as S  # noqa: E402
+
+
+@query("conform_typed")
+def q_conform_typed(spark, d):
+    return S.conform_typed(TD.ledger(spark, d), S.get_schema("ledger-silver"))
+
+
+# Audit columns with defaults, as a table spec.
+AUDIT_SPEC = T.StructType([
+    S.field("doc_number", T.StringType(), False, "Document number"),
+    S.field("company_code", T.StringType(), True, "Company"),
+    S.field("amount_lc", T.StringType(), True, "Amount in local currency"),
+    S.field("file_name", T.StringType(), False, "Source extract"),
+    S.field("sys_status_code", T.StringType(), False, "Row status", default="'A'"),
+    S.field("sys_created_by_name", T.StringType(), False, "Created by", default="'MANUAL INSERT'"),
+    S.field("reject_all", T.IntegerType(), False, "Batch rule flag", default="0"),
+    S.field("sys_created_on", T.TimestampNTZType(), False, "Created on",
+            default="TIMESTAMP_NTZ '2024-01-01 00:00:00'"),
+])
+
+
+@query("apply_defaults")
+def q_apply_defaults(spark, d):
+    rows = TD.ledger_clean(spark, d).select("file_name", "doc_number", "amount_lc", "company_code")
+    return S.apply_defaults(rows, AUDIT_SPEC)
+
+
+@query("align_schema")
+def q_align_schema(spark, d):
+    rows = TD.ledger_clean(spark, d).withColumn("extra_note", F.lit("dropped")).drop("vendor_code")
+    return S.align_to_schema(rows, S.get_schema("ledger-bronze"))
+
+
+# ------------------------------------------------------------ run ledger ---
+
+@query("process_lookup")
+def q_process_lookup(spark, d):
+    return K.process_lookup(TD.processes(spark, d), "finance 1", "raw to bronze", "sap1")
+
+
+@query("active_rules")
+def q_active_rules(spark, d):
+    runs = K.run_starts(TD.run_events(spark, d))
+    return R.active_rules_for_runs(runs, R.ledger_rules(spark), R.PHYSICAL)
+
+
+@query("run_start")
+def q_run_start(spark, d):
+    return K.run_starts(TD.run_events(spark, d))
+
+
+@query("run_last")
+def q_run_last(spark, d):
+    return K.run_last(TD.run_events(spark, d))
+
+
+@query("run_last_flag")
+def q_run_last_flag(spark, d):
+    return K.run_last_flag(TD.run_events(spark, d))
+
+
+@query("run_state")
+def q_run_state(spark, d):
+    return K.run_state(TD.run_events(spark, d))
+
+
+@query("run_metrics")
+def q_run_metrics(spark, d):
+    ev = Q.evaluate(TD.ledger_clean(spark, d), _physical_rules(), batch_key="file_name")
+    counts = Q.route_counts(ev, ["file_name"]).select(
+        F.when(F.col("file_name") == TD.FILE_1, 1).when(F.col("file_name") == TD.FILE_2, 2)
+         .otherwise(3).alias("run_id"),
+        F.col("source_rows").alias("source_record_count"),
+        F.col("accepted_rows").alias("target_record_count"))
+    return K.metric_events(counts, "run_id", 2, 10, T3)

@@ -132,3 +132,16 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("string").alias("value"),
                     (F.col("ts") + F.expr("INTERVAL 1 MINUTE")).alias("event_ts")))
     return start.unionByName(count).unionByName(end)
+
+
+def processes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Process table derived from the users of ``events``."""
+    u = table(spark, sf_dir, "events").select("user_id").distinct()
+    uid = F.col("user_id")
+    return u.select(
+        uid.alias("process_id"),
+        F.concat(F.lit("Finance "), _s(uid % 5)).alias("process_name"),
+        F.when(uid % 3 == 0, F.lit("RAW TO BRONZE")).when(uid % 3 == 1, F.lit("BRONZE TO SILVER"))
+         .otherwise(F.lit("SP TO S3")).alias("step_name"),
+        F.concat(F.lit("SAP"), _s(uid % 2)).alias("source_system"),
+        F.when(uid % 7 == 0, F.lit("I")).otherwise(F.lit("A")).alias("status"))
