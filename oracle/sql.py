@@ -366,3 +366,34 @@ ORACLES["run_metrics"] = (
     f"'source_record_count' AS attr, CAST(src AS VARCHAR) AS value, {T3} AS event_ts FROM c UNION ALL "
     "SELECT CAST(run_id AS BIGINT), CAST(2 AS BIGINT), 11, 'SET', 'target_record_count', "
     f"CAST(tgt AS VARCHAR), {T3} FROM c")
+
+# ------------------------------------------------------------ pipelines ---
+ORACLES["bronze_load"] = (
+    f"WITH {GATE_FIXTURE}, {_EVAL_FILE} SELECT CASE WHEN reject_reasons = '' THEN 'bronze' "
+    "ELSE 'bronze_rejected' END AS target, file_name, reject_reasons, CAST(count(*) AS BIGINT) AS rows "
+    "FROM ev GROUP BY 1, 2, 3")
+_SILVER_SRC = (
+    f"WITH {LEDGER_CLEAN}, {_EVAL_FILE}, acc AS (SELECT {', '.join(LEDGER_COLS)}, {MONTH_EXPR} AS posting_month "
+    "FROM ev WHERE reject_reasons = ''), "
+    "lf AS (SELECT posting_month AS m, max(file_name) AS f FROM acc GROUP BY 1), "
+    "lat AS (SELECT acc.* FROM acc JOIN lf ON posting_month = m AND file_name = f), "
+    f"{VENDOR}, {COMPANY}, "
+    "filled AS (SELECT " + ", ".join(f"coalesce({c}, 'UNSP') AS {c}" for c in LEDGER_COLS)
+    + ", posting_month FROM lat), "
+    f"{FLAGS}")
+ORACLES["silver_load"] = (
+    f"{_SILVER_SRC} SELECT {_annot_cols('(miss9 OR miss10)', 'miss9')}, posting_month FROM flags")
+ORACLES["silver_load_with_rejects"] = (
+    f"{_SILVER_SRC}, xev AS (SELECT *, "
+    "concat_ws(',', CASE WHEN miss9 THEN '9' END, CASE WHEN miss10 THEN '10' END) AS reject_reasons, "
+    "concat_ws('||', CASE WHEN miss9 THEN "
+    f"{marker('company_code')} || '||' || {marker('vendor_code')} END, "
+    f"CASE WHEN miss10 THEN {marker('company_code')} END) AS error_value FROM flags) "
+    f"SELECT CASE WHEN reject_reasons = '' THEN 'silver' ELSE 'silver_rejected' END AS target, "
+    f"{', '.join(LEDGER_COLS)}, posting_month, reject_reasons, error_value FROM xev")
+ORACLES["rejected_history"] = (
+    f"WITH {LEDGER_CLEAN}, {HL}, ev AS (SELECT hl.*, {reasons(ROW)} AS reject_reasons FROM hl) "
+    f"SELECT ev.*, CASE WHEN file_name = '{F1}' THEN {T1} ELSE {T2} END AS valid_from, "
+    f"CASE WHEN file_name = '{F1}' THEN {T2} ELSE {NULL_TS} END AS valid_to, "
+    f"file_name = '{F2}' AS is_current FROM ev WHERE file_name IN ('{F1}', '{F2}') AND reject_reasons <> ''")
+ORACLES["history_first_load"] = ORACLES["scd_derived_validity"]

@@ -110,7 +110,7 @@ def split(df: DataFrame, rules: list[Rule], batch_key=None) -> tuple[DataFrame,
     return accepted(ev), rejected(ev)
 
 
-def _failure_entries(rules: list[Rule]) -> Column:
+def failure_entries(rules: list[Rule]) -> Column:
     """array<struct<rule_id, error_value>> of this row's failures."""
     if not rules:
         return F.array().cast("array<struct<rule_id:bigint,error_value:string>>")
@@ -129,9 +129,14 @@ def error_log(df: DataFrame, rules: list[Rule], run_id: int, row_id_col: str = "
     batch log their row-rule failures.  Row ids are unique, so no distinct
     (and no shuffle) is needed."""
     check_columns(df, rules)
+    return error_log_gated(with_gate(df, rules, batch_key), rules, run_id, row_id_col)
+
+
+def error_log_gated(gated: DataFrame, rules: list[Rule], run_id: int,
+                    row_id_col: str = "row_id") -> DataFrame:
+    """Error log of a frame that already carries ``gate_failed``."""
     batch, row = _split(rules)
-    gated = with_gate(df, rules, batch_key)
-    entries = F.when(F.col(GATE) != "", _failure_entries(batch)).otherwise(_failure_entries(row))
+    entries = F.when(F.col(GATE) != "", failure_entries(batch)).otherwise(failure_entries(row))
     return (gated.select(F.col(row_id_col).alias("row_id"), F.explode(entries).alias("e"))
                  .select(F.lit(run_id).cast("bigint").alias("run_id"), F.col("e.rule_id"),
                          "row_id", F.col("e.error_value")))

@@ -358,11 +358,19 @@ EXTRACT_MASK = "{fileName}_{yyyymmdd}_{hhmmss}.{fileExtension}"
 EXTRACT_COLS = [c for c in TD.LEDGER_COLUMNS if c != "file_name"] + ["city"]
 
 
-def write_landing(spark: SparkSession, d: str, spec: DL.ReaderSpec = DL.ReaderSpec()) -> str:
-    """Write the clean ledger as delimited extracts, one entry per file name,
-    plus a decoy extract that selection must skip.  Returns the folder."""
-    root = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
-    rows = TD.ledger_clean(spark, d).withColumn("city", F.lit(CITY))
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def write_landing(spark: SparkSession, d: str, spec: DL.ReaderSpec = DL.ReaderSpec(),
+                  source: DataFrame | None = None) -> str:
+    """Write the clean ledger (or ``source``) as delimited extracts, one
+    entry per file name, plus a decoy extract that selection must skip.
+    Returns the folder."""
+    root = scratch(spark, "landing")
+    base = TD.ledger_clean(spark, d) if source is None else source
+    rows = base.withColumn("city", F.lit(CITY))
     for name in TD.LEDGER_FILES:
         DL.write_delimited(rows.filter(F.col("file_name") == name).select(*EXTRACT_COLS),
                            f"{root}/{name}", spec)
@@ -490,3 +498,73 @@ def q_run_metrics(spark, d):
         F.col("source_rows").alias("source_record_count"),
         F.col("accepted_rows").alias("target_record_count"))
     return K.metric_events(counts, "run_id", 2, 10, T3)
+
+
+# ------------------------------------------------------------ pipelines ---
+
+from tollgate.plans import loads as L  # noqa: E402
+from tollgate.sources.history_store import HistoryStore  # noqa: E402
+
+LEDGER_TABLE = "ledger"
+RAW_SPEC = DL.ReaderSpec(prefix="ledger", extension="txt", mask=EXTRACT_MASK)
+
+
+def _bronze(spark, d, source=None) -> L.Warehouse:
+    wh = L.Warehouse(scratch(spark, "warehouse"))
+    landing = write_landing(spark, d, RAW_SPEC, source)
+    L.bronze_load(spark, wh, LEDGER_TABLE, landing, EXTRACT_COLS[:-1] + ["city"], RAW_SPEC,
+                  _physical_rules(), L.RunInfo(1, 2, T1), apply_mask=True)
+    return wh
+
+
+def _layer_counts(df: DataFrame, target: str) -> DataFrame:
+    reasons = F.col(Q.REASONS) if Q.REASONS in df.columns else F.lit("")
+    return df.groupBy(F.lit(target).alias("target"), "file_name", reasons.alias(Q.REASONS)) \
+             .agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+@query("bronze_load")
+def q_bronze_load(spark, d):
+    wh = _bronze(spark, d, gate_fixture(spark, d))
+    return _layer_counts(wh.bronze(spark, LEDGER_TABLE).current(), "bronze").unionByName(
+        _layer_counts(wh.bronze_rejected(spark, LEDGER_TABLE).current(), "bronze_rejected"))
+
+
+SILVER_COLS = [c for c in TD.LEDGER_COLUMNS] + [V.MONTH]
+
+
+@query("silver_load")
+def q_silver_load(spark, d):
+    wh = _bronze(spark, d)
+    L.silver_load(spark, wh, LEDGER_TABLE, _business_rules(), _resolver(spark, d), L.RunInfo(2, 3, T2))
+    return wh.silver(spark, LEDGER_TABLE).current().select(*SILVER_COLS)
+
+
+@query("silver_load_with_rejects")
+def q_silver_load_with_rejects(spark, d):
+    wh = _bronze(spark, d)
+    L.silver_load_with_rejects(spark, wh, LEDGER_TABLE, _business_rules(), _resolver(spark, d),
+                               L.RunInfo(2, 3, T2))
+    ok = wh.silver(spark, LEDGER_TABLE).current().select(
+        F.lit("silver").alias("target"), *SILVER_COLS,
+        F.lit("").alias(X.REASONS), F.lit("").alias(X.ERROR_VALUE))
+    bad = wh.silver_rejected(spark, LEDGER_TABLE).current().select(
+        F.lit("silver_rejected").alias("target"), *SILVER_COLS, X.REASONS, X.ERROR_VALUE)
+    return ok.unionByName(bad)
+
+
+@query("rejected_history")
+def q_rejected_history(spark, d):
+    def rejected_of(name):
+        return Q.rejected(Q.evaluate(file_rows(spark, d, name), _physical_rules()))
+    h = H.stamp_history(rejected_of(TD.FILE_1), T1)
+    return H.append_merge_schema(H.expire_all(h, T2), H.stamp_history(rejected_of(TD.FILE_2), T2))
+
+
+@query("history_first_load")
+def q_history_first_load(spark, d):
+    store = HistoryStore(spark, scratch(spark, "history"), [V.MONTH])
+    assert not store.exists()
+    for run, name, ts in [(1, TD.FILE_1, T1), (2, TD.FILE_2, T2), (3, TD.FILE_3, T3)]:
+        store.append(file_rows(spark, d, name), run, ts)
+    return store.read()

@@ -2,7 +2,7 @@
 
 Parquet has no UPDATE or MERGE, and rewriting a whole history table on every
 load does not scale.  A load therefore only *adds* files: its rows go to
-``<path>/run_id=<n>/...`` (plus scope partitions such as the posting month),
+``<path>/run_id=<n>/...``,
 stamped with ``valid_from``.  ``valid_to``/``is_current`` are derived on read
 from the distinct (scope, run) pairs (see ``history.derive_validity``), so an
 older version expires the moment a newer run writes the same scope — with no
@@ -44,11 +44,12 @@ class HistoryStore:
                   .withColumn(RUN, F.lit(run_id).cast("bigint"))
         (out.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(RUN, *self.scope_cols)
+            .partitionBy(RUN)
             .parquet(self.path))
 
     def raw(self) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        df = self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        return df.withColumn(RUN, F.col(RUN).cast("bigint"))
 
     def read(self) -> DataFrame:
         """All versions with derived valid_to / is_current."""
