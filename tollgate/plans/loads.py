@@ -105,8 +105,15 @@ def bronze_load(spark: SparkSession, wh: Warehouse, table: str, landing: str, na
                 spec: DL.ReaderSpec, rules: list[Rule], run: RunInfo,
                 apply_mask: bool = False) -> dict[str, int]:
     """raw -> bronze for every matching extract of ``landing``."""
-    _start(spark, wh, run)
     raw = DL.ingest(spark, landing, names, spec, apply_mask=apply_mask)
+    return load_bronze_frame(spark, wh, table, raw, names, rules, run)
+
+
+def load_bronze_frame(spark: SparkSession, wh: Warehouse, table: str, raw: DataFrame,
+                      names: list[str], rules: list[Rule], run: RunInfo) -> dict[str, int]:
+    """raw -> bronze for an already scanned frame carrying ``file_name``
+    (a batch scan or a streaming micro-batch)."""
+    _start(spark, wh, run)
     ids = row_ids(raw, run.run_id, order_cols=["file_name"] + names, id_col="row_id")
     evaluated = Q.evaluate(ids, rules, batch_key="file_name", keep_gate=True) \
         .persist(StorageLevel.MEMORY_AND_DISK)
