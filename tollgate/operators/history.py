@@ -25,7 +25,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.operators.sizing import bounded_broadcast, broadcast_bounded_by_construction
+from tollgate.operators.sizing import (bounded_broadcast,
+                                      broadcast_bounded_by_construction)
 from tollgate.operators.versions import MONTH, reprocess_scope
 
 VALID_FROM = "valid_from"
@@ -124,8 +125,7 @@ def derive_validity(rows: DataFrame, scope_cols: list[str] | None, run_col: str
     if scope:
         nulls = reduce_or([F.col(f"_tg_s_{c}").isNull() for c in scope])
         nxt = nxt.withColumn("_tg_next", F.when(nulls, F.lit(None)).otherwise(F.col("_tg_next")))
-    # (scope, run) pairs: months x runs at most; checked before broadcasting.
-    nxt = bounded_broadcast(nxt)
+    nxt = small_side(nxt)
     cond = [F.col(run_col) == F.col("_tg_run")] + [
         F.col(c).eqNullSafe(F.col(f"_tg_s_{c}")) for c in scope]
     j = rows.join(nxt, reduce_and(cond), "left")
@@ -134,6 +134,20 @@ def derive_validity(rows: DataFrame, scope_cols: list[str] | None, run_col: str
                     F.col("_tg_next").isNull().alias(CURRENT))
 
 
+def small_side(pairs: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """The (scope, run) -> next-run table as a broadcast side.
+
+    It has one row per (month, run), not per data row.  It is computed once
+    and brought back as local rows when it provably holds at most
+    ``max_rows`` rows (one job, no second evaluation for a size check);
+    beyond the bound the lazy frame is returned for a shuffle join."""
+    rows = pairs.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return pairs
+    spark = pairs.sparkSession
+    return F.broadcast(spark.createDataFrame(rows, pairs.schema))
+
+
 def reduce_and(cols: list[Column]) -> Column:
     out = cols[0]
     for c in cols[1:]:

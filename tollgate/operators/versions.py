@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.columns import month_key
-from tollgate.operators.sizing import broadcast_bounded_by_construction
+from tollgate.operators.sizing import bounded_broadcast, broadcast_bounded_by_construction
 
 MONTH = "posting_month"
 FILE = "file_name"
@@ -53,4 +53,6 @@ def reprocess_scope(current: DataFrame, incoming: DataFrame, scope_cols: list[st
     cols = scope_cols or [MONTH]
     inc = incoming.select(*cols).distinct()
     cur = current.select(*cols).distinct()
-    return inc.join(broadcast_bounded_by_construction(cur), cols, "left_semi")
+    # Month keys are bounded by their domain; any other scope is checked.
+    cur = broadcast_bounded_by_construction(cur) if cols == [MONTH] else bounded_broadcast(cur)
+    return inc.join(cur, cols, "left_semi")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tollgate.functions import rules as R
 from tollgate.operators import quality as Q
 from tollgate.operators.rowids import row_ids
+from tollgate.session import checkpoint_dir
 from tollgate.sources import testdata as TD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,8 +215,12 @@ def q_scd_expire_scope(spark, d):
 
 
 def _silver_history(spark, d) -> DataFrame:
-    h = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
-    h = H.expire_and_append(h, file_rows(spark, d, TD.FILE_2), [V.MONTH], T2)
+    """Three loads in a row; each load's history is materialised (reliable
+    checkpoint in the shared folder), as a stored table would be between
+    runs, so the next load does not recompute the earlier ones."""
+    checkpoint_dir(spark)
+    h = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1).checkpoint()
+    h = H.expire_and_append(h, file_rows(spark, d, TD.FILE_2), [V.MONTH], T2).checkpoint()
     return H.expire_and_append(h, file_rows(spark, d, TD.FILE_3), [V.MONTH], T3)
 
 
@@ -231,12 +236,13 @@ def q_current_rows(spark, d):
 
 @query("scd_derived_validity")
 def q_scd_derived_validity(spark, d):
-    runs = [(1, TD.FILE_1, T1), (2, TD.FILE_2, T2), (3, TD.FILE_3, T3)]
-    rows = None
-    for run, name, ts in runs:
-        part = file_rows(spark, d, name).select(
-            "*", F.lit(run).cast("bigint").alias(H.RUN), H.as_timestamp(ts).alias(H.VALID_FROM))
-        rows = part if rows is None else rows.unionByName(part)
+    # The three runs' appended rows, read in one scan: run and stamp follow the file.
+    f = F.col("file_name")
+    rows = months(spark, d).select(
+        "*",
+        F.when(f == TD.FILE_1, 1).when(f == TD.FILE_2, 2).otherwise(3).cast("bigint").alias(H.RUN),
+        F.when(f == TD.FILE_1, H.as_timestamp(T1)).when(f == TD.FILE_2, H.as_timestamp(T2))
+         .otherwise(H.as_timestamp(T3)).alias(H.VALID_FROM))
     return H.derive_validity(rows, [V.MONTH])
 
 
