@@ -376,7 +376,10 @@ def write_landing(spark: SparkSession, d: str, spec: DL.ReaderSpec = DL.ReaderSp
     Returns the folder."""
     root = scratch(spark, "landing")
     base = TD.ledger_clean(spark, d) if source is None else source
-    rows = base.withColumn("city", F.lit(CITY))
+    # computed once, then split into the extract folders; each extract is
+    # written as several part files, as a large delivery would be
+    parts = spark.sparkContext.defaultParallelism
+    rows = base.withColumn("city", F.lit(CITY)).repartition(parts).checkpoint()
     for name in TD.LEDGER_FILES:
         DL.write_delimited(rows.filter(F.col("file_name") == name).select(*EXTRACT_COLS),
                            f"{root}/{name}", spec)
