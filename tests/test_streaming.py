@@ -24,3 +24,25 @@ def test_stream_loads_new_extracts_once(spark):
     q2 = start_bronze_stream(spark, wh, "t", landing, ["k", "v"], spec, rules, 2, f"{base}/ckpt")
     q2.awaitTermination(120)
     assert wh.bronze(spark, "t").raw().count() == 1
+
+
+def test_batch_reload_skips_loaded_files_and_reports_null_months(spark):
+    from pyspark.sql import functions as F
+    from tollgate.operators import runs as K
+    base = f"{checkpoint_dir(spark)}/batch-{uuid.uuid4().hex}"
+    landing = f"{base}/landing"
+    df = spark.createDataFrame([("a", "20240105"), ("b", "bad")], "k string, posting_date string")
+    DL.write_delimited(df, f"{landing}/led_20240101_120000.txt")
+    wh = L.Warehouse(f"{base}/wh")
+    spec = DL.ReaderSpec(prefix="led", extension="txt")
+    rules = [Rule(1, "k", NOT_NULL)]
+    names = ["k", "posting_date"]
+    L.bronze_load(spark, wh, "t", landing, names, spec, rules, L.RunInfo(1, 2, "2024-01-01 00:00:00"))
+    again = L.bronze_load(spark, wh, "t", landing, names, spec, rules,
+                          L.RunInfo(2, 2, "2024-01-02 00:00:00"), skip_loaded=True)
+    assert again["source"] == 0
+    assert wh.bronze(spark, "t").current().count() == 2      # the empty re-run superseded nothing
+    L.silver_load(spark, wh, "t", [], lambda name: None, L.RunInfo(3, 3, "2024-01-03 00:00:00"))
+    ev = spark.read.parquet(wh.run_events)
+    state = K.run_state(ev, ["null_month_rows", "source_record_count"]).filter(F.col("run_id") == 3).first()
+    assert (state.status, state.null_month_rows, state.source_record_count) == ("C", "1", "1")

@@ -103,12 +103,24 @@ def _end(spark, wh, run: RunInfo, counts: DataFrame) -> None:
 
 def bronze_load(spark: SparkSession, wh: Warehouse, table: str, landing: str, names: list[str],
                 spec: DL.ReaderSpec, rules: list[Rule], run: RunInfo,
-                apply_mask: bool = False) -> dict[str, int]:
-    """raw -> bronze for every matching extract of ``landing``."""
-    raw = DL.ingest(spark, landing, names, spec, apply_mask=apply_mask)
+                apply_mask: bool = False, skip_loaded: bool = False) -> dict[str, int]:
+    """raw -> bronze for every matching extract of ``landing``.  With
+    ``skip_loaded`` extracts whose name already sits in bronze or
+    bronze-rejected are not read again."""
+    exclude = loaded_files(spark, wh, table) if skip_loaded else None
+    raw = DL.ingest(spark, landing, names, spec, apply_mask=apply_mask, exclude=exclude)
     return load_bronze_frame(spark, wh, table, raw, names, rules, run)
 
 
+def loaded_files(spark: SparkSession, wh: Warehouse, table: str) -> set[str]:
+    """Extract names already loaded (one row per file: bounded by the listing)."""
+    names: set[str] = set()
+    for store in (wh.bronze(spark, table), wh.bronze_rejected(spark, table)):
+        if store.exists():
+            names |= {r[0] for r in store.raw().select("file_name").distinct().collect()}
+    return names
+
+
 def load_bronze_frame(spark: SparkSession, wh: Warehouse, table: str, raw: DataFrame,
                       names: list[str], rules: list[Rule], run: RunInfo) -> dict[str, int]:
     """raw -> bronze for an already scanned frame carrying ``file_name``
@@ -142,12 +154,16 @@ def _error_log_from_evaluated(evaluated: DataFrame, rules: list[Rule], run_id: i
     return Q.error_log_gated(evaluated, rules, run_id, "row_id")
 
 
-def silver_input(spark: SparkSession, wh: Warehouse, table: str, run: RunInfo) -> DataFrame:
-    """Current bronze rows of the newest file per month, with new row ids."""
+def bronze_months(spark: SparkSession, wh: Warehouse, table: str) -> DataFrame:
+    """Current bronze business columns with the month key."""
     bronze = wh.bronze(spark, table).current()
     keep = [c for c in bronze.columns if c not in ("row_id", "valid_from", "valid_to", CURRENT, "run_id")]
-    cur = V.with_month(bronze.select(*keep))
-    latest = V.latest_version(cur)
+    return V.with_month(bronze.select(*keep))
+
+
+def silver_input(spark: SparkSession, wh: Warehouse, table: str, run: RunInfo) -> DataFrame:
+    """Current bronze rows of the newest file per month, with new row ids."""
+    latest = V.latest_version(bronze_months(spark, wh, table))
     return row_ids(latest, run.run_id, order_cols=latest.columns, id_col="row_id")
 
 
@@ -160,8 +176,10 @@ def silver_load(spark: SparkSession, wh: Warehouse, table: str, rules: list[Rule
         annotated = X.annotate(src, rules, resolve)
         _write_error_log(wh, X.error_log(src, rules, resolve, run.run_id))
         wh.silver(spark, table).append(annotated, run.run_id, run.as_of)
+        dropped = V.null_month_rows(bronze_months(spark, wh, table)).count()
         counts = src.agg(F.count(F.lit(1)).alias("source_record_count")) \
-                    .withColumn("target_record_count", F.col("source_record_count"))
+                    .withColumn("target_record_count", F.col("source_record_count")) \
+                    .withColumn("null_month_rows", F.lit(dropped))
         row = counts.first()
         _end(spark, wh, run, counts)
         return {"source": int(row[0]), "accepted": int(row[0])}

@@ -114,10 +114,12 @@ def extract_name(root: str):
 
 def ingest(spark: SparkSession, landing: str, names: list[str], spec: ReaderSpec = ReaderSpec(),
            file_col: str = "file_name", apply_mask: bool = False,
-           flag_malformed: bool = False) -> DataFrame:
+           flag_malformed: bool = False, exclude: set[str] | None = None) -> DataFrame:
     """Select the landing folder's extracts by the spec and read them all in
-    one scan, each row tagged with its extract name."""
-    listing = spark.createDataFrame([(n,) for n in list_entries(spark, landing)], "file_name string")
+    one scan, each row tagged with its extract name.  ``exclude`` skips
+    extracts already loaded (re-runs do not ingest a file twice)."""
+    entries = [n for n in list_entries(spark, landing) if n not in (exclude or set())]
+    listing = spark.createDataFrame([(n,) for n in entries], "file_name string")
     chosen = [r.file_name for r in select_files(listing, spec, apply_mask=apply_mask).collect()]
     if not chosen:
         return spark.createDataFrame([], text_schema(names).add(file_col, T.StringType()))
