@@ -7,8 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tollgate.llm import contamination as op9
 from tollgate.llm import exact_dedup as op1
 from tollgate.llm import license_scan as op8
+from tollgate.llm import near_dedup as op5
+from tollgate.llm import token_output as op7
 from tollgate.llm import url_filter as op10
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +44,18 @@ def q_license_scan(spark, d):
 @query("op10_url_filter", op10.ORACLE_SQL)
 def q_url_filter(spark, d):
     return op10.url_filter(table(spark, d, "pages"), op10.fixed_rules(spark))
+
+
+@query("op5_near_dedup", op5.ORACLE_SQL)
+def q_near_dedup(spark, d):
+    return op5.near_dedup(table(spark, d, "documents"))
+
+
+@query("op7_token_output")
+def q_token_output(spark, d):
+    return op7.token_output(table(spark, d, "documents"))
+
+
+@query("op9_decontamination", op9.ORACLE_SQL)
+def q_decontamination(spark, d):
+    return op9.contamination(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("content")
