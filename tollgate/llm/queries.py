@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tollgate.llm import contamination as op9
 from tollgate.llm import exact_dedup as op1
+from tollgate.llm import language_id as op4
 from tollgate.llm import license_scan as op8
 from tollgate.llm import near_dedup as op5
 from tollgate.llm import token_output as op7
 from tollgate.llm import url_filter as op10
+from tollgate.llm.staging import workers_import_this
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_import_this(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -59,3 +62,8 @@ def q_token_output(spark, d):
 @query("op9_decontamination", op9.ORACLE_SQL)
 def q_decontamination(spark, d):
     return op9.contamination(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("content")
+
+
+@query("op4_language_id")
+def q_language_id(spark, d):
+    return op4.language_id(table(spark, d, "documents"))

@@ -8,7 +8,9 @@ folder is removed when the driver's Python ends, or by ``release``.
 from __future__ import annotations
 
 import atexit
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def workers_import_this(spark: SparkSession) -> None:
+    """Let local Python workers import this package from where the driver has
+    it; a cluster gets it with ``--py-files`` or an installed package."""
+    home = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([home, *paths])
+
+
 def release() -> None:
     """Remove what this driver's runs have staged; results that still read
     it must have been written before."""
