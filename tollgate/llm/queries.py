@@ -12,6 +12,7 @@ from tollgate.llm import exact_dedup as op1
 from tollgate.llm import language_id as op4
 from tollgate.llm import license_scan as op8
 from tollgate.llm import near_dedup as op5
+from tollgate.llm import quality as op3
 from tollgate.llm import token_output as op7
 from tollgate.llm import url_filter as op10
 from tollgate.llm.staging import workers_import_this
@@ -67,3 +68,8 @@ def q_decontamination(spark, d):
 @query("op4_language_id")
 def q_language_id(spark, d):
     return op4.language_id(table(spark, d, "documents"))
+
+
+@query("op3_quality")
+def q_quality(spark, d):
+    return op3.quality(table(spark, d, "documents"), table(spark, d, "labels"))
