@@ -13,6 +13,7 @@ from tollgate.llm import language_id as op4
 from tollgate.llm import license_scan as op8
 from tollgate.llm import near_dedup as op5
 from tollgate.llm import quality as op3
+from tollgate.llm import substring_dedup as op2
 from tollgate.llm import token_output as op7
 from tollgate.llm import url_filter as op10
 from tollgate.llm.staging import workers_import_this
@@ -73,3 +74,8 @@ def q_language_id(spark, d):
 @query("op3_quality")
 def q_quality(spark, d):
     return op3.quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op2_substring_dedup")
+def q_substring_dedup(spark, d):
+    return op2.repeated_passages(table(spark, d, "documents"))
