@@ -11,6 +11,7 @@ from tollgate.llm import contamination as op9
 from tollgate.llm import exact_dedup as op1
 from tollgate.llm import language_id as op4
 from tollgate.llm import license_scan as op8
+from tollgate.llm import mixing as op6
 from tollgate.llm import near_dedup as op5
 from tollgate.llm import quality as op3
 from tollgate.llm import substring_dedup as op2
@@ -79,3 +80,8 @@ def q_quality(spark, d):
 @query("op2_substring_dedup")
 def q_substring_dedup(spark, d):
     return op2.repeated_passages(table(spark, d, "documents"))
+
+
+@query("op6_mixing")
+def q_mixing(spark, d):
+    return op6.document_rates(table(spark, d, "documents"), op6.quality_domains(table(spark, d, "labels")))
