@@ -6,13 +6,16 @@ from __future__ import annotations
 F1 = "ledger_20240101_120000.txt"
 F2 = "ledger_20240102_120000.txt"
 F3 = "ledger_20240103_120000.txt"
+F4 = "ledger_20240104_120000.txt"
+FILES = [F1, F2, F3, F4]
+FIRST, SECOND = f"('{F1}', '{F2}')", f"('{F3}', '{F4}')"
 RUN = 7
 
 LEDGER_COLS = ["source_system", "company_code", "posting_date", "doc_type", "doc_number",
                "doc_line", "entry_date", "amount_lc", "vendor_code", "file_name"]
 
 
-def ledger_select(where: str = "") -> str:
+def ledger_select() -> str:
     return f"""SELECT
       CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE 'SYS' || CAST(l_orderkey % 2 AS VARCHAR) END AS source_system,
       'C' || CAST(l_suppkey % 25 AS VARCHAR) AS company_code,
@@ -26,36 +29,35 @@ def ledger_select(where: str = "") -> str:
       CAST(CAST(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR)
         || (CASE WHEN l_partkey % 41 = 0 THEN '-' ELSE '' END) AS amount_lc,
       CASE WHEN l_partkey % 37 = 0 THEN NULL ELSE 'V' || CAST(l_suppkey AS VARCHAR) END AS vendor_code,
-      CASE WHEN month(l_shipdate) % 3 = 0 AND l_orderkey % 3 = 2 THEN '{F3}'
+      CASE WHEN l_orderkey % 97 = 0 OR l_orderkey % 89 = 0 THEN '{F4}'
+           WHEN month(l_shipdate) % 3 = 0 AND l_orderkey % 3 = 2 THEN '{F3}'
            WHEN month(l_shipdate) % 2 = 0 AND l_orderkey % 3 = 1 THEN '{F2}'
            ELSE '{F1}' END AS file_name
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey {where}"""
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 
 LEDGER = f"ledger AS ({ledger_select()})"
-CLEAN_WHERE = "WHERE l_orderkey % 97 <> 0 AND l_orderkey % 89 <> 0"
-LEDGER_CLEAN = f"ledger AS ({ledger_select(CLEAN_WHERE)})"
-GATE_FIXTURE = (f"ledger AS (SELECT * FROM ({ledger_select()}) WHERE file_name = '{F3}' OR "
-                "(CAST(doc_number AS BIGINT) % 97 <> 0 AND CAST(doc_number AS BIGINT) % 89 <> 0))")
 
-# Pass conditions of the seeded rules (and the extra ones) in DuckDB terms.
+# Pass conditions of the ledger's rules (and the extra ones) in DuckDB terms.
 PASS = {
-    1: "(try_strptime(posting_date, '%Y%m%d') IS NOT NULL OR posting_date IS NULL)",
-    2: "(posting_date IS NOT NULL)",
-    3: "(source_system IS NOT NULL)",
-    4: "(try_cast(amount_lc AS DECIMAL(15,5)) IS NOT NULL OR amount_lc IS NULL)",
-    5: "(regexp_full_match(trim(doc_line), '[+-]?[0-9]+') OR doc_line IS NULL)",
-    6: "(doc_line IS NOT NULL)",
-    7: "(posting_date < entry_date OR posting_date IS NULL)",
-    8: "(NOT (doc_type = 'NO' AND posting_date < entry_date))",
+    11: "(doc_line IS NOT NULL)",
+    12: "(regexp_full_match(trim(doc_line), '[+-]?[0-9]+') OR doc_line IS NULL)",
+    13: "(try_cast(amount_lc AS DECIMAL(15,5)) IS NOT NULL OR amount_lc IS NULL)",
+    14: "(doc_line < '7' OR doc_line IS NULL)",
+    15: "(NOT (doc_type = 'RF' AND vendor_code IS NULL))",
+    16: "(posting_date >= entry_date OR posting_date IS NULL)",
+    21: "(source_system IS NOT NULL)",
+    22: "(try_strptime(posting_date, '%Y%m%d') IS NOT NULL OR posting_date IS NULL)",
+    23: "(doc_number > '0' OR doc_number IS NULL)",
+    24: "(NOT (doc_type = 'XX' OR company_code = 'C99'))",
     91: "(TRUE)",
     92: "(doc_type < vendor_code OR doc_type IS NULL)",
     93: "(NOT (doc_line > '5'))",
 }
-COLUMN = {1: "posting_date", 2: "posting_date", 3: "source_system", 4: "amount_lc",
-          5: "doc_line", 6: "doc_line", 8: "doc_type"}
-BATCH = [1, 2, 3]
-ROW = [4, 5, 6, 8]
+COLUMN = {11: "doc_line", 12: "doc_line", 13: "amount_lc", 14: "doc_line", 15: "vendor_code",
+          21: "source_system", 22: "posting_date", 23: "doc_number", 24: "doc_number"}
+BATCH = [21, 22, 23, 24]
+ROW = [11, 12, 13, 14, 15]
 
 
 def fail(i: int) -> str:
@@ -84,14 +86,16 @@ ORACLES: dict[str, str] = {}
 # ---------------------------------------------------------------- rules ---
 ORACLES["rule_not_null"] = (
     f"WITH {LEDGER} SELECT doc_number, posting_date, source_system, doc_line, "
-    f"{outcome(2)}, {outcome(3)}, {outcome(6)} FROM ledger")
-ORACLES["rule_date_format"] = f"WITH {LEDGER} SELECT doc_number, posting_date, {outcome(1)} FROM ledger"
+    f"{outcome(11)}, {outcome(21)} FROM ledger")
+ORACLES["rule_date_format"] = f"WITH {LEDGER} SELECT doc_number, posting_date, {outcome(22)} FROM ledger"
 ORACLES["rule_numeric_format"] = (
-    f"WITH {LEDGER} SELECT doc_number, amount_lc, doc_line, {outcome(4)}, {outcome(5)} FROM ledger")
+    f"WITH {LEDGER} SELECT doc_number, amount_lc, doc_line, {outcome(12)}, {outcome(13)} FROM ledger")
 ORACLES["rule_out_of_range"] = (
-    f"WITH {LEDGER} SELECT doc_number, posting_date, entry_date, {outcome(7)} FROM ledger")
+    f"WITH {LEDGER} SELECT doc_number, posting_date, entry_date, doc_line, {outcome(14)}, "
+    f"{outcome(16)}, {outcome(23)} FROM ledger")
 ORACLES["rule_conditional_fail"] = (
-    f"WITH {LEDGER} SELECT doc_number, doc_type, posting_date, entry_date, {outcome(8)} FROM ledger")
+    f"WITH {LEDGER} SELECT doc_number, doc_type, vendor_code, company_code, {outcome(15)}, "
+    f"{outcome(24)} FROM ledger")
 ORACLES["rule_unknown_passes"] = f"WITH {LEDGER} SELECT doc_number, vendor_code, {outcome(91)} FROM ledger"
 ORACLES["rule_null_semantics"] = (
     f"WITH {LEDGER} SELECT doc_number, doc_type, vendor_code, doc_line, {outcome(92)}, {outcome(93)} "
@@ -105,50 +109,51 @@ _EVAL_FILE = (f"gate AS (SELECT file_name AS gf, {gate_agg()} AS g FROM ledger G
               f"ev AS (SELECT ledger.*, CASE WHEN g <> '' THEN g ELSE {reasons(ROW)} END AS reject_reasons "
               "FROM ledger JOIN gate ON file_name = gf)")
 
-ORACLES["row_rules"] = f"WITH {LEDGER_CLEAN}, {_EVAL_GLOBAL} SELECT * FROM ev"
-ORACLES["accepted_rows"] = (f"WITH {LEDGER_CLEAN}, {_EVAL_GLOBAL} SELECT "
+ORACLES["row_rules"] = f"WITH {LEDGER}, {_EVAL_FILE} SELECT * FROM ev"
+ORACLES["accepted_rows"] = (f"WITH {LEDGER}, {_EVAL_FILE} SELECT "
                             f"{', '.join(LEDGER_COLS)} FROM ev WHERE reject_reasons = ''")
-ORACLES["rejected_rows"] = f"WITH {LEDGER_CLEAN}, {_EVAL_GLOBAL} SELECT * FROM ev WHERE reject_reasons <> ''"
+ORACLES["rejected_rows"] = f"WITH {LEDGER}, {_EVAL_FILE} SELECT * FROM ev WHERE reject_reasons <> ''"
+
+
+def log_rows(source: str, run: int, gate: str = "g") -> str:
+    """Entries of a frame that has the extract's gate as ``gate``."""
+    return " UNION ALL ".join(
+        f"SELECT CAST({run} AS BIGINT) AS run_id, CAST({i} AS BIGINT) AS rule_id, row_id, "
+        f"coalesce(CAST({COLUMN[i]} AS VARCHAR), 'None') AS error_value FROM {source} "
+        f"WHERE {gate} {'<>' if i in BATCH else '='} '' AND {fail(i)}" for i in BATCH + ROW)
 
 
 def _error_log(ledger_cte: str) -> str:
     ids = (f"ids AS (SELECT *, '{RUN}_' || CAST(row_number() OVER (ORDER BY {order_all(LEDGER_COLS)}) "
            "AS VARCHAR) AS row_id FROM ledger)")
-    gate = f"gate AS (SELECT {gate_agg()} AS g FROM ledger)"
-    parts = []
-    for i in BATCH:
-        parts.append(f"SELECT CAST({RUN} AS BIGINT) AS run_id, CAST({i} AS BIGINT) AS rule_id, row_id, "
-                     f"coalesce(CAST({COLUMN[i]} AS VARCHAR), 'None') AS error_value FROM ids, gate "
-                     f"WHERE g <> '' AND {fail(i)}")
-    for i in ROW:
-        parts.append(f"SELECT CAST({RUN} AS BIGINT) AS run_id, CAST({i} AS BIGINT) AS rule_id, row_id, "
-                     f"coalesce(CAST({COLUMN[i]} AS VARCHAR), 'None') AS error_value FROM ids, gate "
-                     f"WHERE g = '' AND {fail(i)}")
-    return f"WITH {ledger_cte}, {ids}, {gate} SELECT DISTINCT * FROM (" + " UNION ALL ".join(parts) + ")"
-
-
-ORACLES["error_log"] = _error_log(LEDGER_CLEAN)
+    gate = (f"gate AS (SELECT file_name AS gf, {gate_agg()} AS g FROM ledger GROUP BY file_name), "
+            "gated AS (SELECT * FROM ids JOIN gate ON file_name = gf)")
+    return f"WITH {ledger_cte}, {ids}, {gate} SELECT DISTINCT * FROM ({log_rows('gated', RUN)})"
+
+
+ORACLES["error_log"] = _error_log(LEDGER)
 ORACLES["rule_fail_counts"] = (
-    f"WITH {LEDGER_CLEAN} " + " UNION ALL ".join(
+    f"WITH {LEDGER} " + " UNION ALL ".join(
         f"SELECT CAST({i} AS BIGINT) AS rule_id, CAST(count(*) FILTER (WHERE {fail(i)}) AS BIGINT) "
         "AS failed_rows FROM ledger" for i in BATCH + ROW))
 ORACLES["route_counts"] = (
-    f"WITH {LEDGER_CLEAN}, {_EVAL_FILE} SELECT file_name, CAST(count(*) AS BIGINT) AS source_rows, "
+    f"WITH {LEDGER}, {_EVAL_FILE} SELECT file_name, CAST(count(*) AS BIGINT) AS source_rows, "
     "CAST(count(*) FILTER (WHERE reject_reasons = '') AS BIGINT) AS accepted_rows, "
     "CAST(count(*) FILTER (WHERE reject_reasons <> '') AS BIGINT) AS rejected_rows "
     "FROM ev GROUP BY file_name")
 ORACLES["gate_decision"] = (
-    f"WITH {GATE_FIXTURE} SELECT file_name, {gate_agg()} AS failed_rules, "
+    f"WITH {LEDGER} SELECT file_name, {gate_agg()} AS failed_rules, "
     f"{gate_agg()} = '' AS passed FROM ledger GROUP BY file_name")
 ORACLES["gate_reject_all"] = (
-    f"WITH {GATE_FIXTURE}, {_EVAL_FILE} SELECT file_name, reject_reasons, "
+    f"WITH {LEDGER}, {_EVAL_FILE} SELECT file_name, reject_reasons, "
     "CAST(count(*) AS BIGINT) AS rows FROM ev GROUP BY file_name, reject_reasons")
 ORACLES["gate_whole_batch"] = (
     f"WITH {LEDGER}, {_EVAL_GLOBAL} SELECT reject_reasons, CAST(count(*) AS BIGINT) AS rows "
     "FROM ev GROUP BY reject_reasons")
 
 # ------------------------------------------------------------- versions ---
-T1, T2, T3 = "TIMESTAMP '2024-01-01 09:00:00'", "TIMESTAMP '2024-01-02 09:00:00'", "TIMESTAMP '2024-01-03 09:00:00'"
+STAMPS = [f"TIMESTAMP '2024-01-0{i} 09:00:00'" for i in range(1, 5)]
+T1, T2, T3, T4 = STAMPS
 NULL_TS = "CAST(NULL AS TIMESTAMP)"
 MONTH_EXPR = "strftime(try_strptime(posting_date, '%Y%m%d'), '%Y%m')"
 HL = f"hl AS (SELECT *, {MONTH_EXPR} AS posting_month FROM ledger)"
@@ -160,53 +165,58 @@ ORACLES["latest_version"] = (
     f"WITH {LEDGER}, {HL}, lf AS (SELECT posting_month AS m, max(file_name) AS f FROM hl GROUP BY 1) "
     "SELECT hl.* FROM hl JOIN lf ON posting_month = m AND file_name = f")
 ORACLES["reprocess_scope"] = (
-    f"WITH {LEDGER_CLEAN}, {HL} SELECT DISTINCT posting_month FROM hl WHERE file_name = '{F2}' "
-    f"AND posting_month IN (SELECT posting_month FROM hl WHERE file_name = '{F1}')")
+    f"WITH {LEDGER}, {HL} SELECT DISTINCT posting_month FROM hl WHERE file_name IN {SECOND} "
+    f"AND posting_month IN (SELECT posting_month FROM hl WHERE file_name IN {FIRST})")
 
 # -------------------------------------------------------------- history ---
-_M2 = f"m2 AS (SELECT DISTINCT posting_month AS m FROM hl WHERE file_name = '{F2}')"
-_M3 = f"m3 AS (SELECT DISTINCT posting_month AS m FROM hl WHERE file_name = '{F3}')"
-_FROM = f"CASE file_name WHEN '{F1}' THEN {T1} WHEN '{F2}' THEN {T2} ELSE {T3} END"
-_TO3 = (f"CASE WHEN file_name = '{F1}' AND posting_month IN (SELECT m FROM m2) THEN {T2} "
-        f"WHEN file_name IN ('{F1}', '{F2}') AND posting_month IN (SELECT m FROM m3) THEN {T3} "
-        f"ELSE {NULL_TS} END")
-_SILVER = (f"WITH {LEDGER_CLEAN}, {HL}, {_M2}, {_M3}, sh AS (SELECT hl.*, {_FROM} AS valid_from, "
-           f"{_TO3} AS valid_to FROM hl)")
+_RUN = "CASE file_name " + " ".join(f"WHEN '{f}' THEN {i}" for i, f in enumerate(FILES, 1)) + " END"
+
+
+def stamp_of(run: str) -> str:
+    return f"CASE {run} " + " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(STAMPS, 1)) + f" ELSE {NULL_TS} END"
+
+
+_SILVER = (f"WITH {LEDGER}, {HL}, hr AS (SELECT hl.*, {_RUN} AS r FROM hl), "
+           "pm AS (SELECT DISTINCT posting_month AS m, r AS pr FROM hr), "
+           "nx AS (SELECT a.m AS nm, a.pr AS npr, min(b.pr) AS nr FROM pm a JOIN pm b ON a.m = b.m AND b.pr > a.pr "
+           "GROUP BY 1, 2), "
+           f"sh AS (SELECT hr.* EXCLUDE (r), r, {stamp_of('r')} AS valid_from, {stamp_of('nr')} AS valid_to "
+           "FROM hr LEFT JOIN nx ON nm = posting_month AND npr = r)")
 
 ORACLES["stamp_history"] = (
-    f"WITH {LEDGER_CLEAN}, {HL} SELECT hl.*, {T1} AS valid_from, {NULL_TS} AS valid_to, "
-    f"TRUE AS is_current FROM hl WHERE file_name = '{F1}'")
+    f"WITH {LEDGER}, {HL} SELECT hl.*, {T1} AS valid_from, {NULL_TS} AS valid_to, "
+    "TRUE AS is_current FROM hl")
 ORACLES["scd_expire_all"] = (
-    f"WITH {LEDGER_CLEAN}, {HL} SELECT hl.*, CASE WHEN file_name = '{F1}' THEN {T1} ELSE {T2} END "
-    f"AS valid_from, CASE WHEN file_name = '{F1}' THEN {T2} ELSE {NULL_TS} END AS valid_to, "
-    f"file_name = '{F2}' AS is_current FROM hl WHERE file_name IN ('{F1}', '{F2}')")
+    f"WITH {LEDGER}, {HL} SELECT hl.*, CASE WHEN file_name IN {FIRST} THEN {T1} ELSE {T2} END "
+    f"AS valid_from, CASE WHEN file_name IN {FIRST} THEN {T2} ELSE {NULL_TS} END AS valid_to, "
+    f"file_name IN {SECOND} AS is_current FROM hl")
+_SECOND_MONTHS = "coalesce(posting_month IN (SELECT m FROM m2), FALSE)"
 ORACLES["scd_expire_scope"] = (
-    f"WITH {LEDGER_CLEAN}, {HL}, {_M2} SELECT hl.*, {T1} AS valid_from, "
-    f"CASE WHEN posting_month IN (SELECT m FROM m2) THEN {T2} ELSE {NULL_TS} END AS valid_to, "
-    "NOT coalesce(posting_month IN (SELECT m FROM m2), FALSE) AS is_current "
-    f"FROM hl WHERE file_name = '{F1}'")
-ORACLES["scd_expire_append"] = f"{_SILVER} SELECT *, valid_to IS NULL AS is_current FROM sh"
-ORACLES["current_rows"] = f"{_SILVER} SELECT *, TRUE AS is_current FROM sh WHERE valid_to IS NULL"
+    f"WITH {LEDGER}, {HL}, m2 AS (SELECT DISTINCT posting_month AS m FROM hl WHERE file_name IN {SECOND} "
+    f"AND posting_month IS NOT NULL) SELECT hl.*, {T1} AS valid_from, "
+    f"CASE WHEN {_SECOND_MONTHS} THEN {T2} ELSE {NULL_TS} END AS valid_to, "
+    f"NOT {_SECOND_MONTHS} AS is_current FROM hl WHERE file_name IN {FIRST}")
+ORACLES["scd_expire_append"] = f"{_SILVER} SELECT * EXCLUDE (r), valid_to IS NULL AS is_current FROM sh"
+ORACLES["current_rows"] = f"{_SILVER} SELECT * EXCLUDE (r), TRUE AS is_current FROM sh WHERE valid_to IS NULL"
 ORACLES["scd_derived_validity"] = (
-    f"{_SILVER} SELECT *, CAST(CASE file_name WHEN '{F1}' THEN 1 WHEN '{F2}' THEN 2 ELSE 3 END AS BIGINT) "
-    "AS run_id, valid_to IS NULL AS is_current FROM sh")
+    f"{_SILVER} SELECT * EXCLUDE (r), CAST(r AS BIGINT) AS run_id, valid_to IS NULL AS is_current FROM sh")
 ORACLES["append_merge_schema"] = (
-    f"WITH {LEDGER_CLEAN}, {HL} "
+    f"WITH {LEDGER}, {HL} "
     f"SELECT source_system, company_code, posting_date, doc_type, doc_number, file_name FROM hl "
-    f"WHERE file_name = '{F1}' UNION ALL BY NAME "
+    f"WHERE file_name IN {FIRST} UNION ALL BY NAME "
     "SELECT doc_number, doc_line, amount_lc, vendor_code, file_name, 'note-' || doc_type AS extra_note "
-    f"FROM hl WHERE file_name = '{F2}'")
+    f"FROM hl WHERE file_name IN {SECOND}")
 
 # ----------------------------------------------------------- references ---
 VENDOR = ("mv AS (SELECT DISTINCT 'C' || CAST(s_suppkey % 25 AS VARCHAR) AS company_code, "
-          "'V' || CAST(s_suppkey AS VARCHAR) AS vdr_ld_cd FROM supplier WHERE s_suppkey % 7 <> 0)")
+          "'V' || CAST(s_suppkey AS VARCHAR) AS vendor_id FROM supplier WHERE s_suppkey % 7 <> 0)")
 COMPANY = ("mc AS (SELECT 'C' || CAST(n_nationkey AS VARCHAR) AS company_code FROM nation "
            "WHERE n_nationkey % 11 <> 0)")
 FILLED = "filled AS (SELECT " + ", ".join(f"coalesce({c}, 'UNSP') AS {c}" for c in LEDGER_COLS) + " FROM ledger)"
-MISS9 = ("NOT EXISTS (SELECT 1 FROM mv WHERE mv.company_code = f.company_code "
-         "AND mv.vdr_ld_cd = f.vendor_code)")
-MISS10 = "NOT EXISTS (SELECT 1 FROM mc WHERE mc.company_code = f.company_code)"
-FLAGS = f"flags AS (SELECT f.*, {MISS9} AS miss9, {MISS10} AS miss10 FROM filled f)"
+MISS32 = ("NOT EXISTS (SELECT 1 FROM mv WHERE mv.company_code = f.company_code "
+         "AND mv.vendor_id = f.vendor_code)")
+MISS31 = "NOT EXISTS (SELECT 1 FROM mc WHERE mc.company_code = f.company_code)"
+FLAGS = f"flags AS (SELECT f.*, {MISS32} AS miss32, {MISS31} AS miss31 FROM filled f)"
 XREF = f"WITH {LEDGER}, {VENDOR}, {COMPANY}, {FILLED}, {FLAGS}"
 
 
@@ -226,38 +236,45 @@ def _annot_cols(company_miss: str, vendor_miss: str | None) -> str:
     return ", ".join(out)
 
 
+def xref_log(source: str, run: int) -> str:
+    return (f"SELECT CAST({run} AS BIGINT) AS run_id, CAST(32 AS BIGINT) AS rule_id, row_id, "
+            f"vendor_code || '||' || company_code AS error_value FROM {source} WHERE miss32 UNION ALL "
+            f"SELECT CAST({run} AS BIGINT) AS run_id, CAST(31 AS BIGINT) AS rule_id, row_id, "
+            f"company_code AS error_value FROM {source} WHERE miss31")
+
+
+def xref_reasons() -> str:
+    """reject_reasons and error_value of a flagged row."""
+    return ("concat_ws(',', CASE WHEN miss31 THEN '31' END, CASE WHEN miss32 THEN '32' END) AS reject_reasons, "
+            f"concat_ws('||', CASE WHEN miss31 THEN {marker('company_code')} END, "
+            f"CASE WHEN miss32 THEN {marker('vendor_code')} || '||' || {marker('company_code')} END) AS error_value")
+
+
 ORACLES["fill_sentinel"] = f"WITH {LEDGER}, {FILLED} SELECT * FROM filled"
-ORACLES["xref_anti"] = f"WITH {LEDGER}, {VENDOR}, {FILLED} SELECT * FROM filled f WHERE {MISS9}"
-ORACLES["xref_annotate"] = f"{XREF} SELECT {_annot_cols('(miss9 OR miss10)', 'miss9')} FROM flags"
+ORACLES["xref_anti"] = f"WITH {LEDGER}, {VENDOR}, {FILLED} SELECT * FROM filled f WHERE {MISS32}"
+ORACLES["xref_annotate"] = f"{XREF} SELECT {_annot_cols('(miss32 OR miss31)', 'miss32')} FROM flags"
 ORACLES["xref_error_log"] = (
     f"WITH {LEDGER}, {VENDOR}, {COMPANY}, "
     f"ids AS (SELECT *, '{RUN}_' || CAST(row_number() OVER (ORDER BY {order_all(LEDGER_COLS)}) AS VARCHAR) "
     "AS row_id FROM ledger), "
     "filled AS (SELECT " + ", ".join(f"coalesce({c}, 'UNSP') AS {c}" for c in LEDGER_COLS) + ", row_id FROM ids), "
     f"{FLAGS} "
-    f"SELECT CAST({RUN} AS BIGINT) AS run_id, CAST(9 AS BIGINT) AS rule_id, row_id, "
-    "company_code || '||' || vendor_code AS error_value FROM flags WHERE miss9 UNION ALL "
-    f"SELECT CAST({RUN} AS BIGINT) AS run_id, CAST(10 AS BIGINT) AS rule_id, row_id, "
-    "company_code AS error_value FROM flags WHERE miss10")
-_XEV = (f"{XREF}, xev AS (SELECT {', '.join(LEDGER_COLS)}, "
-        "concat_ws(',', CASE WHEN miss9 THEN '9' END, CASE WHEN miss10 THEN '10' END) AS reject_reasons, "
-        "concat_ws('||', CASE WHEN miss9 THEN "
-        f"{marker('company_code')} || '||' || {marker('vendor_code')} END, "
-        f"CASE WHEN miss10 THEN {marker('company_code')} END) AS error_value FROM flags)")
+    + xref_log("flags", RUN))
+_XEV = f"{XREF}, xev AS (SELECT {', '.join(LEDGER_COLS)}, {xref_reasons()} FROM flags)"
 ORACLES["xref_reject"] = f"{_XEV} SELECT * FROM xev WHERE reject_reasons <> ''"
 ORACLES["xref_accept"] = f"{_XEV} SELECT {', '.join(LEDGER_COLS)} FROM xev WHERE reject_reasons = ''"
-ORACLES["xref_missing_master"] = f"{XREF} SELECT {_annot_cols('miss10', None)} FROM flags"
+ORACLES["xref_missing_master"] = f"{XREF} SELECT {_annot_cols('miss31', None)} FROM flags"
 ORACLES["xref_miss_matrix"] = (
-    f"{XREF} SELECT miss9 AS miss_9, miss10 AS miss_10, CAST(count(*) AS BIGINT) AS rows "
+    f"{XREF} SELECT miss32 AS miss_32, miss31 AS miss_31, CAST(count(*) AS BIGINT) AS rows "
     "FROM flags GROUP BY 1, 2")
 
 # ---------------------------------------------------------- fingerprint ---
 HASH_ALL = "sha256(concat_ws('||', " + ", ".join(LEDGER_COLS) + "))"
 ORACLES["row_fingerprint"] = f"WITH {LEDGER}, {FILLED} SELECT *, {HASH_ALL} AS row_hash FROM filled"
 ORACLES["fingerprint_anti"] = (
-    f"WITH {LEDGER}, {VENDOR}, {FILLED}, miss AS (SELECT {HASH_ALL} AS h FROM filled f WHERE {MISS9}) "
+    f"WITH {LEDGER}, {VENDOR}, {FILLED}, miss AS (SELECT {HASH_ALL} AS h FROM filled f WHERE {MISS32}) "
     f"SELECT * FROM filled WHERE {HASH_ALL} NOT IN (SELECT h FROM miss)")
-ORACLES["overlay_by_fingerprint"] = f"{XREF} SELECT {_annot_cols('miss10', None)} FROM flags"
+ORACLES["overlay_by_fingerprint"] = f"{XREF} SELECT {_annot_cols('miss31', None)} FROM flags"
 
 # --------------------------------------------------------------- row ids ---
 LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -269,10 +286,15 @@ ORACLES["row_ids"] = (
 # ---------------------------------------------------------------- files ---
 EXTRACT_COLS = [c for c in LEDGER_COLS if c != "file_name"]
 ORACLES["scan_delimited"] = (
-    f"WITH {LEDGER_CLEAN} SELECT {', '.join(EXTRACT_COLS)}, 'São Paulo' AS city FROM ledger "
-    f"WHERE file_name = '{F2}'")
+    f"WITH {LEDGER} SELECT {', '.join(EXTRACT_COLS)}, 'São Paulo' AS city FROM ledger")
 ORACLES["ingest_files"] = (
-    f"WITH {LEDGER_CLEAN} SELECT {', '.join(EXTRACT_COLS)}, 'São Paulo' AS city, file_name FROM ledger")
+    f"WITH {LEDGER} SELECT {', '.join(EXTRACT_COLS)}, 'São Paulo' AS city, file_name FROM ledger")
+_LINE = "array_to_string([" + ", ".join(f"coalesce({c}, '')" for c in EXTRACT_COLS) + "], chr(9))"
+ORACLES["scan_malformed"] = (
+    f"WITH {LEDGER}, n AS (SELECT *, CAST(doc_number AS BIGINT) AS n FROM ledger) "
+    "SELECT n % 13 = 0 OR n % 17 = 0 AS malformed, "
+    f"CASE WHEN n % 13 = 0 THEN {_LINE} || chr(9) || 'more' WHEN n % 17 = 0 THEN 'less' || chr(9) || doc_number "
+    "ELSE doc_number END AS line FROM n")
 ORACLES["scan_by_spec"] = ORACLES["ingest_files"]
 NAMES = ("names AS (SELECT o_orderkey AS file_id, "
          "(CASE WHEN o_orderkey % 13 = 0 THEN 'other_' ELSE 'ledger_' END) || "
@@ -316,11 +338,11 @@ def _conform() -> str:
 
 ORACLES["conform_typed"] = _conform()
 ORACLES["apply_defaults"] = (
-    f"WITH {LEDGER_CLEAN} SELECT doc_number, company_code, amount_lc, file_name, 'A' AS sys_status_code, "
+    f"WITH {LEDGER} SELECT doc_number, company_code, amount_lc, file_name, 'A' AS sys_status_code, "
     "'MANUAL INSERT' AS sys_created_by_name, CAST(0 AS INTEGER) AS reject_all, "
     "TIMESTAMP '2024-01-01 00:00:00' AS sys_created_on FROM ledger")
 ORACLES["align_schema"] = (
-    f"WITH {LEDGER_CLEAN} SELECT source_system, company_code, posting_date, doc_type, doc_number, doc_line, "
+    f"WITH {LEDGER} SELECT source_system, company_code, posting_date, doc_type, doc_number, doc_line, "
     "entry_date, amount_lc, CAST(NULL AS VARCHAR) AS vendor_code, file_name, "
     "CAST(NULL AS VARCHAR) AS row_id FROM ledger")
 
@@ -334,13 +356,15 @@ ORACLES["process_lookup"] = (
     "lower(step_name) = 'raw to bronze' AND lower(source_system) = 'sap1' AND status = 'A' "
     "ORDER BY process_id LIMIT 1")
 RULES_PH = ("rules AS (SELECT * FROM (VALUES "
-            "(1, 2, 'posting_date', 'date_format', 'yyyyMMdd', 1, NULL), "
-            "(2, 2, 'posting_date', 'not_null', NULL, 1, NULL), "
-            "(3, 2, 'source_system', 'not_null', NULL, 1, NULL), "
-            "(4, 2, 'amount_lc', 'numeric_format', 'decimal(15,5)', 0, NULL), "
-            "(5, 2, 'doc_line', 'numeric_format', 'integer', 0, NULL), "
-            "(6, 2, 'doc_line', 'not_null', NULL, 0, NULL), "
-            "(8, 2, 'doc_type', 'conditional_fail', 'doc_type == ''NO'' AND posting_date < entry_date', 0, NULL)"
+            "(11, 2, 'doc_line', 'not_null', NULL, 0, NULL), "
+            "(12, 2, 'doc_line', 'numeric_format', 'integer', 0, NULL), "
+            "(13, 2, 'amount_lc', 'numeric_format', 'decimal(15,5)', 0, NULL), "
+            "(21, 2, 'source_system', 'not_null', NULL, 1, NULL), "
+            "(22, 2, 'posting_date', 'date_format', 'yyyyMMdd', 1, NULL), "
+            "(23, 2, 'doc_number', 'out_of_range', '> ''0''', 1, NULL), "
+            "(24, 2, 'doc_number', 'conditional_fail', 'doc_type = ''XX'' OR company_code = ''C99''', 1, NULL), "
+            "(14, 2, 'doc_line', 'out_of_range', '< ''7''', 0, NULL), "
+            "(15, 2, 'vendor_code', 'conditional_fail', 'doc_type = ''RF'' AND vendor_code IS NULL', 0, NULL)"
             ") AS t(rule_id, process_id, column_name, rule_code, rule_detail, reject_all, master_table))")
 ORACLES["active_rules"] = (
     f"WITH {RULES_PH} SELECT e.event_id AS run_id, CAST(r.rule_id AS BIGINT) AS rule_id, r.column_name, "
@@ -358,10 +382,14 @@ ORACLES["run_state"] = (
     "CASE WHEN event_type <> 'error' THEN ts + INTERVAL 1 MINUTE END AS end_ts, "
     "CASE WHEN event_type <> 'error' THEN 'C' ELSE 'E' END AS status, "
     "CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS source_count FROM events")
+ORACLES["process_parameters"] = (
+    "SELECT DISTINCT user_id AS process_id, 'Finance ' || CAST(user_id AS VARCHAR) AS process_name, "
+    "'RAW TO BRONZE' AS step_name, 'SAP0' AS source_system, 'A' AS status, 'ledger' AS file_prefix, "
+    "'txt' AS file_extension, '{fileName}_{yyyymmdd}_{hhmmss}.{fileExtension}' AS file_mask, "
+    "chr(9) AS file_delimiter, 'ledger-raw' AS schema_name FROM events WHERE user_id = 2")
 ORACLES["run_metrics"] = (
-    f"WITH {LEDGER_CLEAN}, {_EVAL_FILE}, c AS (SELECT CASE file_name WHEN '{F1}' THEN 1 WHEN '{F2}' THEN 2 "
-    "ELSE 3 END AS run_id, count(*) AS src, count(*) FILTER (WHERE reject_reasons = '') AS tgt "
-    "FROM ev GROUP BY file_name) "
+    f"WITH {LEDGER}, {_EVAL_FILE}, c AS (SELECT {_RUN} AS run_id, count(*) AS src, "
+    "count(*) FILTER (WHERE reject_reasons = '') AS tgt FROM ev GROUP BY file_name) "
     "SELECT CAST(run_id AS BIGINT) AS run_id, CAST(2 AS BIGINT) AS process_id, 10 AS seq, 'SET' AS event, "
     f"'source_record_count' AS attr, CAST(src AS VARCHAR) AS value, {T3} AS event_ts FROM c UNION ALL "
     "SELECT CAST(run_id AS BIGINT), CAST(2 AS BIGINT), 11, 'SET', 'target_record_count', "
@@ -369,31 +397,90 @@ ORACLES["run_metrics"] = (
 
 # ------------------------------------------------------------ pipelines ---
 ORACLES["bronze_load"] = (
-    f"WITH {GATE_FIXTURE}, {_EVAL_FILE} SELECT CASE WHEN reject_reasons = '' THEN 'bronze' "
+    f"WITH {LEDGER}, {_EVAL_FILE} SELECT CASE WHEN reject_reasons = '' THEN 'bronze' "
     "ELSE 'bronze_rejected' END AS target, file_name, reject_reasons, CAST(count(*) AS BIGINT) AS rows "
     "FROM ev GROUP BY 1, 2, 3")
-_SILVER_SRC = (
-    f"WITH {LEDGER_CLEAN}, {_EVAL_FILE}, acc AS (SELECT {', '.join(LEDGER_COLS)}, {MONTH_EXPR} AS posting_month "
-    "FROM ev WHERE reject_reasons = ''), "
-    "lf AS (SELECT posting_month AS m, max(file_name) AS f FROM acc GROUP BY 1), "
-    "lat AS (SELECT acc.* FROM acc JOIN lf ON posting_month = m AND file_name = f), "
-    f"{VENDOR}, {COMPANY}, "
-    "filled AS (SELECT " + ", ".join(f"coalesce({c}, 'UNSP') AS {c}" for c in LEDGER_COLS)
-    + ", posting_month FROM lat), "
-    f"{FLAGS}")
+
+
+def silver_flags(tag: str, where: str = "TRUE", number: int = 0) -> str:
+    """CTEs of one silver load over the accepted rows of some extracts, down to
+    flags<tag>; ``number`` is the run of the row ids."""
+    ids = ", ".join(f"{c} ASC NULLS FIRST" for c in [*EXTRACT_COLS, "file_name", "posting_month"])
+    numbered = f", '{number}_' || CAST(row_number() OVER (ORDER BY {ids}) AS VARCHAR) AS row_id"
+    return (
+        f"acc{tag} AS (SELECT {', '.join(LEDGER_COLS)}, {MONTH_EXPR} AS posting_month "
+        f"FROM ev WHERE reject_reasons = '' AND {where}), "
+        f"lf{tag} AS (SELECT posting_month AS m, max(file_name) AS f FROM acc{tag} GROUP BY 1), "
+        f"lat{tag} AS (SELECT acc{tag}.*{numbered} FROM acc{tag} JOIN lf{tag} ON posting_month = m AND file_name = f), "
+        f"filled{tag} AS (SELECT " + ", ".join(f"coalesce({c}, 'UNSP') AS {c}" for c in LEDGER_COLS)
+        + f", posting_month, row_id FROM lat{tag}), "
+        f"flags{tag} AS (SELECT f.*, {MISS32} AS miss32, {MISS31} AS miss31 FROM filled{tag} f)")
+
+
+_SILVER_SRC = f"WITH {LEDGER}, {_EVAL_FILE}, {VENDOR}, {COMPANY}, {silver_flags('')}"
 ORACLES["silver_load"] = (
-    f"{_SILVER_SRC} SELECT {_annot_cols('(miss9 OR miss10)', 'miss9')}, posting_month FROM flags")
+    f"{_SILVER_SRC} SELECT {_annot_cols('(miss32 OR miss31)', 'miss32')}, posting_month FROM flags")
+ORACLES["load_by_process"] = ORACLES["silver_load"]
 ORACLES["silver_load_with_rejects"] = (
-    f"{_SILVER_SRC}, xev AS (SELECT *, "
-    "concat_ws(',', CASE WHEN miss9 THEN '9' END, CASE WHEN miss10 THEN '10' END) AS reject_reasons, "
-    "concat_ws('||', CASE WHEN miss9 THEN "
-    f"{marker('company_code')} || '||' || {marker('vendor_code')} END, "
-    f"CASE WHEN miss10 THEN {marker('company_code')} END) AS error_value FROM flags) "
+    f"{_SILVER_SRC}, xev AS (SELECT *, {xref_reasons()} FROM flags) "
     f"SELECT CASE WHEN reject_reasons = '' THEN 'silver' ELSE 'silver_rejected' END AS target, "
     f"{', '.join(LEDGER_COLS)}, posting_month, reject_reasons, error_value FROM xev")
 ORACLES["rejected_history"] = (
-    f"WITH {LEDGER_CLEAN}, {HL}, ev AS (SELECT hl.*, {reasons(ROW)} AS reject_reasons FROM hl) "
-    f"SELECT ev.*, CASE WHEN file_name = '{F1}' THEN {T1} ELSE {T2} END AS valid_from, "
-    f"CASE WHEN file_name = '{F1}' THEN {T2} ELSE {NULL_TS} END AS valid_to, "
-    f"file_name = '{F2}' AS is_current FROM ev WHERE file_name IN ('{F1}', '{F2}') AND reject_reasons <> ''")
+    f"WITH {LEDGER}, {_EVAL_FILE} "
+    f"SELECT ev.*, {MONTH_EXPR} AS posting_month, CASE WHEN file_name IN {FIRST} THEN {T1} ELSE {T2} END AS valid_from, "
+    f"CASE WHEN file_name IN {FIRST} THEN {T2} ELSE {NULL_TS} END AS valid_to, "
+    f"file_name IN {SECOND} AS is_current FROM ev WHERE reject_reasons <> ''")
 ORACLES["history_first_load"] = ORACLES["scd_derived_validity"]
+
+# ------------------------------------------------------------ second runs ---
+_BRONZE_RUN = f"CASE WHEN file_name IN {FIRST} THEN 1 ELSE 3 END"
+_BRONZE_IDS = (
+    f"bev AS (SELECT ev.*, {_BRONZE_RUN} AS r, CAST({_BRONZE_RUN} AS VARCHAR) || '_' || CAST(row_number() OVER ("
+    f"PARTITION BY {_BRONZE_RUN} ORDER BY file_name, {order_all(EXTRACT_COLS)}) AS VARCHAR) AS row_id FROM ev)")
+ORACLES["bronze_reload"] = (
+    f"WITH {LEDGER}, {_EVAL_FILE}, {_BRONZE_IDS}, "
+    "t AS (SELECT *, CASE WHEN reject_reasons = '' THEN 'bronze' ELSE 'bronze_rejected' END AS target FROM bev), "
+    # a run supersedes the table where a later run wrote rows to it
+    "later AS (SELECT DISTINCT target AS lt FROM t WHERE r = 3) "
+    f"SELECT target, row_id, {', '.join(LEDGER_COLS)}, reject_reasons, {stamp_of('r')} AS valid_from, "
+    f"CASE WHEN r = 1 AND target IN (SELECT lt FROM later) THEN {T3} ELSE {NULL_TS} END AS valid_to, "
+    "NOT (r = 1 AND target IN (SELECT lt FROM later)) AS is_current, CAST(r AS BIGINT) AS run_id FROM t")
+_TWO = (f"WITH {LEDGER}, {_EVAL_FILE}, {VENDOR}, {COMPANY}, {silver_flags('2', f'file_name IN {FIRST}', 2)}, "
+        f"{silver_flags('4', f'file_name IN {SECOND}', 4)}, "
+        "runs AS (SELECT *, 2 AS r FROM flags2 UNION ALL SELECT *, 4 AS r FROM flags4)")
+
+
+def _until(later: str) -> str:
+    return f"CASE WHEN r = 2 AND posting_month IN (SELECT posting_month FROM {later}) THEN {T4} ELSE {NULL_TS} END"
+
+
+def _history(to: str) -> str:
+    return f"{stamp_of('r')} AS valid_from, {to} AS valid_to, {to} IS NULL AS is_current, CAST(r AS BIGINT) AS run_id"
+
+
+ORACLES["silver_reload"] = (
+    f"{_TWO} SELECT row_id, {_annot_cols('(miss32 OR miss31)', 'miss32')}, posting_month, {_history(_until('flags4'))} "
+    "FROM runs")
+_BAD_TO = f"CASE WHEN r = 2 AND EXISTS (SELECT 1 FROM xev WHERE r = 4 AND reject_reasons <> '') THEN {T4} ELSE {NULL_TS} END"
+ORACLES["silver_rejects_reload"] = (
+    f"{_TWO}, xev AS (SELECT *, {xref_reasons()} FROM runs), "
+    "ok4 AS (SELECT DISTINCT posting_month FROM xev WHERE r = 4 AND reject_reasons = '') "
+    f"SELECT 'silver' AS target, {', '.join(LEDGER_COLS)}, posting_month, {_history(_until('ok4'))}, "
+    "reject_reasons, error_value FROM xev WHERE reject_reasons = '' UNION ALL "
+    f"SELECT 'silver_rejected', {', '.join(LEDGER_COLS)}, posting_month, {_history(_BAD_TO)}, "
+    "reject_reasons, error_value FROM xev WHERE reject_reasons <> ''")
+_BRONZE_GATED = f"{_BRONZE_IDS}, bg AS (SELECT bev.*, gate.g AS g FROM bev JOIN gate ON file_name = gf)"
+ORACLES["load_error_log"] = (
+    f"{_TWO}, {_BRONZE_GATED}, logged AS ({log_rows('(SELECT * FROM bg WHERE r = 1)', 1)} UNION ALL "
+    f"{log_rows('(SELECT * FROM bg WHERE r = 3)', 3)} UNION ALL {xref_log('flags2', 2)} UNION ALL {xref_log('flags4', 4)}) "
+    "SELECT *, 'ledger' AS object_name FROM logged")
+_NULL_MONTHS = "(SELECT count(*) FROM acc{t} WHERE posting_month IS NULL)"
+ORACLES["load_run_state"] = (
+    f"{_TWO}, {_BRONZE_IDS}, "
+    "c AS (SELECT r, count(*) AS src, count(*) FILTER (WHERE reject_reasons = '') AS tgt, NULL AS nm FROM bev GROUP BY r "
+    "UNION ALL " + " UNION ALL ".join(
+        f"SELECT {t}, count(*), count(*) FILTER (WHERE NOT miss31 AND NOT miss32), "
+        f"{_NULL_MONTHS.format(t=t)} FROM flags{t}" for t in (2, 4)) + ") "
+    f"SELECT CAST(r AS BIGINT) AS run_id, CAST(CASE WHEN r % 2 = 1 THEN 2 ELSE 3 END AS BIGINT) AS process_id, "
+    f"{stamp_of('r')} AS start_ts, {stamp_of('r')} AS end_ts, 'C' AS status, CAST(src AS VARCHAR) AS source_record_count, "
+    "CAST(tgt AS VARCHAR) AS target_record_count, CAST(nm AS VARCHAR) AS null_month_rows FROM c")

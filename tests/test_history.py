@@ -1,10 +1,11 @@
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from tollgate.operators import history as H
 from tollgate.session import checkpoint_dir
-from tollgate.sources.history_store import HistoryStore
+from tollgate.sources.history_store import HistoryStore, RunInUse
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 
@@ -62,3 +63,47 @@ def test_append_merge_schema(spark):
     b = spark.createDataFrame([("y", 1)], "p string, q int")
     out = H.append_merge_schema(a, b)
     assert out.columns == ["p", "q"] and out.filter(F.col("q").isNull()).count() == 1
+
+
+def test_retry_replaces_the_whole_run(spark):
+    store = HistoryStore(spark, f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}")
+    store.append(rows(spark, ["m1"], "a"), 1, T1, "x")
+    store.append(rows(spark, ["m1"], "a").limit(0), 1, T1, "x")      # the retry rejects the row
+    assert store.read().count() == 0 and store.current().count() == 0
+
+
+def test_empty_first_load_can_be_read(spark):
+    store = HistoryStore(spark, f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}", ["posting_month"])
+    store.append(rows(spark, ["m1"], "a").limit(0), 1, T1)
+    assert store.exists() and store.current().columns[:2] == ["posting_month", "v"]
+    assert store.current().count() == 0
+
+
+def test_foreign_run_id_is_refused(spark):
+    store = HistoryStore(spark, f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}")
+    store.append(rows(spark, ["m1"], "a"), 1, T1, "delivery 1")
+    with pytest.raises(RunInUse):
+        store.append(rows(spark, ["m1"], "b"), 1, T1, "delivery 2")
+    assert [r.v for r in store.current().collect()] == ["a0"]
+
+
+def test_current_reads_surviving_runs_only(spark):
+    store = HistoryStore(spark, f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}")
+    store.append(rows(spark, ["m1"], "a"), 1, T1)
+    store.append(rows(spark, ["m1"], "b"), 2, T2)
+    plan = store.current()._jdf.queryExecution().executedPlan().toString()
+    assert "run_id" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    scoped = HistoryStore(spark, f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}", ["posting_month"])
+    scoped.append(rows(spark, ["m1", "m2"], "a"), 1, T1)
+    scoped.append(rows(spark, ["m1", "m2"], "b"), 2, T2)
+    scoped.append(rows(spark, ["m2"], "c"), 3, T3)
+    plan = scoped.current()._jdf.queryExecution().executedPlan().toString()
+    assert "(run_id" in plan and ">= 2)" in plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert sorted(r.v for r in scoped.current().collect()) == ["b0", "c0"]
+
+
+def test_new_columns_widen_the_spec(spark):
+    store = HistoryStore(spark, f"{checkpoint_dir(spark)}/t-{uuid.uuid4().hex}", ["posting_month"])
+    store.append(rows(spark, ["m1"], "a"), 1, T1)
+    store.append(rows(spark, ["m2"], "b").withColumn("more", F.lit(7)), 2, T2)
+    assert sorted((r.v, r.more) for r in store.read().collect()) == [("a0", None), ("b0", 7)]

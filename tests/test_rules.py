@@ -50,8 +50,8 @@ def test_key_pairs_parse():
 
 def test_rule_table_roundtrip(spark):
     rules = R.collect_rules(R.ledger_rules(spark).filter(F.col("status") == "A"))
-    assert [r.rule_id for r in rules] == [1, 2, 3, 4, 5, 6, 8, 9, 10]
-    assert rules[-2].keys == (("company_code", "company_code"), ("vendor_code", "vdr_ld_cd"))
+    assert [r.rule_id for r in rules] == [11, 12, 13, 14, 15, 21, 22, 23, 24, 31, 32]
+    assert rules[-1].keys == (("vendor_code", "vendor_id"), ("company_code", "company_code"))
 
 
 def test_check_columns(spark):

@@ -8,14 +8,22 @@ from tollgate.sources import schemas as S
 
 
 def test_registry():
-    assert len(S.get_schema("fin-act-raw").fields) == 26
-    silver = S.get_schema("fin-act-silver")
-    assert isinstance(silver["POSTING_DATE"].dataType, T.DateType)
-    assert silver["EXPENSE_AMOUNT_LC"].dataType == T.DecimalType(25, 5)
+    assert S.get_schema("ledger-silver")["amount_lc"].dataType == T.DecimalType(25, 5)
     with pytest.raises(ValueError):
         S.get_schema("nope")
 
 
+def test_process_parameters_needs_exactly_one_row(spark):
+    table = spark.createDataFrame(
+        [("Fin", "Raw to Bronze", "S1", "A", 1), ("Fin", "Raw to Bronze", "S2", "A", 2), ("Fin", "Raw to Bronze", "S2", "I", 3)],
+        "process_name string, step_name string, source_system string, status string, process_id int")
+    assert K.process_parameters(table, "fin", "RAW TO BRONZE", "s2").first().process_id == 2
+    with pytest.raises(K.ParameterError, match="2 active"):
+        K.process_parameters(table, "fin", "raw to bronze")
+    with pytest.raises(K.ParameterError, match="0 active"):
+        K.process_parameters(table, "fin", "raw to bronze", "s9")
+
+
 def test_conform_reports_failures(spark):
     schema = T.StructType([S.field("d", T.DateType(), False, fmt="yyyyMMdd"),
                            S.field("n", T.DecimalType(15, 5))])

@@ -38,8 +38,7 @@ def mask_predicate(name: Column | str, mask: str, prefix: str, extension: str) -
     prefix, extension = prefix.lower(), extension.lower()
     marks = placeholders(mask)
     stem = F.substring_index(col, ".", 1)
-    dot = F.instr(col, ".")
-    ext = F.when(dot > 0, col.substr(dot + 1, F.lit(1 << 20))).otherwise(F.lit(""))
+    ext = F.regexp_extract(col, r"(?s)^[^.]*[.](.*)$", 1)
     parts, groups, consumed = [], {}, False
     if FILE_NAME in marks or SOURCE_SYSTEM in marks:
         parts.append(re.escape(prefix))

@@ -46,9 +46,6 @@ RULE_SCHEMA = T.StructType([
     T.StructField("status", T.StringType(), False),
 ])
 
-# Rule tables are configuration; this bound keeps the driver-side collect honest.
-MAX_RULES = 10_000
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -87,11 +84,9 @@ def rules_from_rows(rows) -> list[Rule]:
 
 
 def collect_rules(rules_df: DataFrame) -> list[Rule]:
-    """Bring the (small, bounded) rule table to the driver, ordered by id."""
-    rows = rules_df.limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"rule table holds more than {MAX_RULES} rows")
-    return rules_from_rows(rows)
+    """The rules to compile, ordered by id: one row per rule, as written by
+    the people who maintain them."""
+    return rules_from_rows(rules_df.collect())
 
 
 def pass_condition(rule: Rule) -> Column:
@@ -126,10 +121,9 @@ def check_columns(df: DataFrame, rules: list[Rule]) -> None:
 def active_rules(runs: DataFrame, rules: DataFrame, run_id: int, rule_type: str) -> DataFrame:
     """Rules of the run's process, of one type, with active status.
 
-    ``runs`` needs (run_id, process_id); the rule table is tiny, so it is
-    broadcast."""
+    ``runs`` needs (run_id, process_id)."""
     run = runs.filter(F.col("run_id") == F.lit(run_id)).select("run_id", "process_id")
-    return (run.join(F.broadcast(rules), "process_id", "inner")
+    return (run.join(rules, "process_id", "inner")
                .filter((F.col("rule_type") == rule_type) & (F.col("status") == ACTIVE))
                .select("rule_id", "column_name", "rule_code", "rule_detail",
                        "reject_all", "master_table"))
@@ -139,23 +133,26 @@ def rules_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
 
-# The seeded rule set, mapped onto the ledger fixture columns.
-# (rule_id, process_id, rule_type, object_type, description, column_name,
-#  rule_code, rule_detail, master_table, reject_all, status)
+# The rule set of the ledger fixture, by (rule_id, process_id, rule_type,
+# object_type, description, column_name, rule_code, rule_detail, master_table,
+# reject_all, status).  Row rules come before and after the batch rules.
 LEDGER_RULE_ROWS = [
-    (1, 2, "PH", "data", "Invalid DataType", "posting_date", "date_format", "yyyyMMdd", None, 1, "A"),
-    (2, 2, "PH", "data", "Missing Value", "posting_date", "not_null", None, None, 1, "A"),
-    (3, 2, "PH", "data", "Missing Value", "source_system", "not_null", None, None, 1, "A"),
-    (4, 2, "PH", "data", "Invalid DataType", "amount_lc", "numeric_format", "decimal(15,5)", None, 0, "A"),
-    (5, 2, "PH", "data", "Invalid DataType", "doc_line", "numeric_format", "integer", None, 0, "A"),
-    (6, 2, "PH", "data", "Missing Value", "doc_line", "not_null", None, None, 0, "A"),
-    (7, 2, "PH", "data", "Value Out of Range", "posting_date", "out_of_range", "< entry_date", None, 0, "R"),
-    (8, 2, "PH", "data", "Value Out of Range", "doc_type", "conditional_fail",
-     "doc_type == 'NO' AND posting_date < entry_date", None, 0, "A"),
-    (9, 3, "BS", "data", "Missing Cross Reference", "vendor_code", "cross_reference",
-     '[("company_code", "company_code"), ("vendor_code", "vdr_ld_cd")]', "master_vendor", 0, "A"),
-    (10, 3, "BS", "data", "Missing Cross Reference", "company_code", "cross_reference",
-     '[("company_code", "company_code")]', "master_company", 0, "A"),
+    (11, 2, PHYSICAL, "row", "Line number is required", "doc_line", NOT_NULL, None, None, 0, ACTIVE),
+    (12, 2, PHYSICAL, "row", "Line number is whole", "doc_line", NUMERIC_FORMAT, "integer", None, 0, ACTIVE),
+    (13, 2, PHYSICAL, "row", "Amount is a number", "amount_lc", NUMERIC_FORMAT, "decimal(15,5)", None, 0, ACTIVE),
+    (21, 2, PHYSICAL, "file", "Sender is known", "source_system", NOT_NULL, None, None, 1, ACTIVE),
+    (22, 2, PHYSICAL, "file", "Posting day is in the calendar", "posting_date", DATE_FORMAT, "yyyyMMdd", None, 1, ACTIVE),
+    (23, 2, PHYSICAL, "file", "Document has a number", "doc_number", OUT_OF_RANGE, "> '0'", None, 1, ACTIVE),
+    (24, 2, PHYSICAL, "file", "No test documents", "doc_number", CONDITIONAL_FAIL,
+     "doc_type = 'XX' OR company_code = 'C99'", None, 1, ACTIVE),
+    (14, 2, PHYSICAL, "row", "Few lines a document", "doc_line", OUT_OF_RANGE, "< '7'", None, 0, ACTIVE),
+    (15, 2, PHYSICAL, "row", "Open return needs a vendor", "vendor_code", CONDITIONAL_FAIL,
+     "doc_type = 'RF' AND vendor_code IS NULL", None, 0, ACTIVE),
+    (16, 2, PHYSICAL, "row", "Posted after entry", "posting_date", OUT_OF_RANGE, ">= entry_date", None, 0, "R"),
+    (31, 3, BUSINESS, "row", "Company exists", "company_code", CROSS_REFERENCE,
+     '[("company_code", "company_code")]', "master_company", 0, ACTIVE),
+    (32, 3, BUSINESS, "row", "Vendor of the company exists", "vendor_code", CROSS_REFERENCE,
+     '[("vendor_code", "vendor_id"), ("company_code", "company_code")]', "master_vendor", 0, ACTIVE),
 ]
 
 
@@ -172,10 +169,9 @@ def ledger_rule_list(rule_type: str = PHYSICAL, active_only: bool = True) -> lis
 
 
 def active_rules_for_runs(runs: DataFrame, rules: DataFrame, rule_type: str) -> DataFrame:
-    """Active rules of one type for every run, via its process (rule table
-    broadcast: configuration-sized)."""
+    """Active rules of one type for every run, via its process."""
     r = rules.filter((F.col("rule_type") == rule_type) & (F.col("status") == ACTIVE))
     return (runs.select("run_id", "process_id")
-                .join(F.broadcast(r), "process_id", "inner")
+                .join(r, "process_id", "inner")
                 .select("run_id", "rule_id", "column_name", "rule_code", "rule_detail",
                         "reject_all", "master_table"))

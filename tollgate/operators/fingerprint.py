@@ -35,10 +35,11 @@ def overlay_by_fingerprint(source: DataFrame, marked: DataFrame, cols: list[str]
     ``marked`` holds rows *as they were* (for the fingerprint, in
     ``_orig`` form: column ``row_hash`` already computed on the original
     values) plus replacement values; a marked value wins, else the original
-    (``coalesce``).  Duplicates per fingerprint are reduced to one by taking
-    the per-column maximum, so the survivor does not depend on task order.
+    (``coalesce``).  Of several marked rows per fingerprint the greatest as a
+    whole stays, so the survivor is a row that existed and does not depend on
+    task order.
     """
     cols = cols or source.columns
-    rep = marked.groupBy(HASH).agg(*[F.max(c).alias(f"_tg_m_{c}") for c in cols])
+    rep = marked.groupBy(HASH).agg(F.max(F.struct(*cols)).alias("_tg_marked"))
     joined = with_fingerprint(source, cols).join(rep, HASH, "left")
-    return joined.select(*[F.coalesce(F.col(f"_tg_m_{c}"), F.col(c)).alias(c) for c in cols])
+    return joined.select(*[F.coalesce(F.col("_tg_marked")[c], F.col(c)).alias(c) for c in cols])

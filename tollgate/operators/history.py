@@ -6,13 +6,13 @@ Two equivalent formulations are offered:
 * **Stored flags** (``expire_all``, ``expire_scope``, ``expire_and_append``):
   the history frame carries ``valid_to``/``is_current`` and a load rewrites
   the flags of the rows it supersedes.  Expressed as DataFrame transforms
-  over the history; the scope side is one row per month, broadcast.
+  over the history; the scope side is one row per month.
 * **Derived validity** (``derive_validity``): rows are only ever appended,
   each with its run id and ``valid_from``; ``valid_to`` is the ``valid_from``
   of the next run that touched the same scope.  The window runs over the
   distinct (scope, run) pairs only — months x runs, not rows — and is joined
-  back by broadcast.  This is the form the physical store uses: loads never
-  rewrite old files.
+  back without a hint.  This is the form the physical store uses (it keeps
+  the pairs as a table): loads never rewrite old files.
 
 Timestamps are ``TIMESTAMP_NTZ`` wall-clock values of the zone the caller
 chooses (``now_in_zone``), so results do not move with the session zone.
@@ -25,9 +25,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.operators.sizing import (bounded_broadcast,
-                                      broadcast_bounded_by_construction)
-from tollgate.operators.versions import MONTH, reprocess_scope
+from tollgate.operators.versions import reprocess_scope
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -79,11 +77,8 @@ def expire_all(history: DataFrame, as_of) -> DataFrame:
 
 def expire_scope(history: DataFrame, scope: DataFrame, scope_cols: list[str], as_of) -> DataFrame:
     """Current rows whose scope key is listed in ``scope`` expire.  NULL
-    scope keys never match.  ``scope`` is reduced to distinct keys and
-    broadcast when bounded (months by construction, otherwise checked)."""
+    scope keys never match.  ``scope`` is reduced to distinct keys."""
     keys = scope.select(*scope_cols).distinct().withColumn("_tg_hit", F.lit(True))
-    keys = (broadcast_bounded_by_construction(keys) if scope_cols == [MONTH]
-            else bounded_broadcast(keys))
     joined = history.join(keys, scope_cols, "left")
     others = [F.col(c) for c in history.columns if c not in (VALID_TO, CURRENT)]
     hit = F.coalesce(F.col("_tg_hit"), F.lit(False))
@@ -95,11 +90,6 @@ def append_merge_schema(base: DataFrame, new: DataFrame) -> DataFrame:
     return base.unionByName(new, allowMissingColumns=True)
 
 
-def first_load_or_append(history: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """Create when absent, else append with schema merge."""
-    return incoming if history is None else append_merge_schema(history, incoming)
-
-
 def expire_and_append(history: DataFrame, incoming: DataFrame, scope_cols: list[str], as_of,
                       file_name: str | Column | None = None) -> DataFrame:
     """Full reload of a scope: scope = keys present both in the current
@@ -109,6 +99,42 @@ def expire_and_append(history: DataFrame, incoming: DataFrame, scope_cols: list[
     return append_merge_schema(expired, stamp_history(incoming, as_of, file_name))
 
 
+def next_runs(pairs: DataFrame, scope_cols: list[str] | None, run_col: str = RUN,
+              from_col: str = VALID_FROM) -> DataFrame:
+    """(scope, run) pairs with ``_tg_next``: the stamp of the next run that
+    wrote the same scope (NULL = still current; NULL scope keys never expire).
+
+    Without a scope every run supersedes the whole table; the window then
+    runs over one row per run."""
+    scope = list(scope_cols or [])
+    runs = pairs.select(*scope, run_col, from_col).distinct()
+    nxt = F.lead(from_col).over(Window.partitionBy(*scope).orderBy(run_col))
+    if scope:
+        nxt = F.when(reduce_or([F.col(c).isNull() for c in scope]), F.lit(None)).otherwise(nxt)
+    return runs.select(*[F.col(c).alias(f"_tg_s_{c}") for c in scope], F.col(run_col).alias("_tg_run"),
+                       nxt.cast("timestamp_ntz").alias("_tg_next"))
+
+
+def newest_runs(pairs: DataFrame, scope_cols: list[str], run_col: str = RUN) -> DataFrame:
+    """The (scope, run) pairs that no later run supersedes, in the form of
+    ``next_runs``; every pair with a NULL scope key is one."""
+    rank = F.row_number().over(Window.partitionBy(*scope_cols).orderBy(F.col(run_col).desc()))
+    rank = F.when(reduce_or([F.col(c).isNull() for c in scope_cols]), F.lit(1)).otherwise(rank)
+    return pairs.withColumn("_tg_rank", rank).filter(F.col("_tg_rank") == 1).select(
+        *[F.col(c).alias(f"_tg_s_{c}") for c in scope_cols], F.col(run_col).alias("_tg_run"),
+        F.lit(None).cast("timestamp_ntz").alias("_tg_next"))
+
+
+def with_validity(rows: DataFrame, nxt: DataFrame, scope_cols: list[str] | None,
+                  run_col: str = RUN, how: str = "left") -> DataFrame:
+    """Join ``next_runs`` to the rows: valid_to and is_current."""
+    cond = [F.col(run_col) == F.col("_tg_run")] + [
+        F.col(c).eqNullSafe(F.col(f"_tg_s_{c}")) for c in scope_cols or []]
+    base = [F.col(c) for c in rows.columns if c not in (VALID_TO, CURRENT)]
+    return rows.join(nxt, reduce_and(cond), how).select(
+        *base, F.col("_tg_next").alias(VALID_TO), F.col("_tg_next").isNull().alias(CURRENT))
+
+
 def derive_validity(rows: DataFrame, scope_cols: list[str] | None, run_col: str = RUN,
                     from_col: str = VALID_FROM) -> DataFrame:
     """Append-only rows -> valid_to / is_current.
@@ -116,36 +142,7 @@ def derive_validity(rows: DataFrame, scope_cols: list[str] | None, run_col: str
     valid_to = ``from_col`` of the next run (by ``run_col``) that wrote rows
     of the same scope; ``scope_cols`` None = every run supersedes the whole
     table.  Rows with a NULL scope key never expire."""
-    scope = list(scope_cols or [])
-    runs = rows.select(*scope, run_col, from_col).distinct()
-    w = Window.partitionBy(*scope).orderBy(run_col) if scope else Window.orderBy(run_col)
-    nxt = runs.select(*[F.col(c).alias(f"_tg_s_{c}") for c in scope],
-                      F.col(run_col).alias("_tg_run"),
-                      F.lead(from_col).over(w).alias("_tg_next"))
-    if scope:
-        nulls = reduce_or([F.col(f"_tg_s_{c}").isNull() for c in scope])
-        nxt = nxt.withColumn("_tg_next", F.when(nulls, F.lit(None)).otherwise(F.col("_tg_next")))
-    nxt = small_side(nxt)
-    cond = [F.col(run_col) == F.col("_tg_run")] + [
-        F.col(c).eqNullSafe(F.col(f"_tg_s_{c}")) for c in scope]
-    j = rows.join(nxt, reduce_and(cond), "left")
-    base = [F.col(c) for c in rows.columns if c not in (VALID_TO, CURRENT)]
-    return j.select(*base, F.col("_tg_next").cast("timestamp_ntz").alias(VALID_TO),
-                    F.col("_tg_next").isNull().alias(CURRENT))
-
-
-def small_side(pairs: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """The (scope, run) -> next-run table as a broadcast side.
-
-    It has one row per (month, run), not per data row.  It is computed once
-    and brought back as local rows when it provably holds at most
-    ``max_rows`` rows (one job, no second evaluation for a size check);
-    beyond the bound the lazy frame is returned for a shuffle join."""
-    rows = pairs.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return pairs
-    spark = pairs.sparkSession
-    return F.broadcast(spark.createDataFrame(rows, pairs.schema))
+    return with_validity(rows, next_runs(rows, scope_cols, run_col, from_col), scope_cols, run_col)
 
 
 def reduce_and(cols: list[Column]) -> Column:

@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.rules import Rule, check_columns, failure
-from tollgate.operators.sizing import broadcast_bounded_by_construction
 
 REASONS = "reject_reasons"
 GATE = "gate_failed"
+FILE = "file_name"  # lineage column of an ingest: one value per listed extract
 NULL_VALUE_TEXT = "None"
 
 
@@ -71,15 +71,17 @@ def gate_scalar(df: DataFrame, rules: list[Rule]) -> Column:
 def with_gate(df: DataFrame, rules: list[Rule], batch_key: str | list[str] | None = None) -> DataFrame:
     """Attach the gate decision of each row's batch as column ``gate_failed``.
 
-    ``batch_key`` None = the whole frame is one batch.  With a key (e.g. the
-    source file name) the per-batch table has one row per input file, which
-    Spark already holds in the driver's file index, so it is broadcast."""
+    ``batch_key`` None = the whole frame is one batch.  For the extract name
+    (``FILE``) the per-batch table has one row per listed file, which Spark
+    already holds in the driver's file index, so it is broadcast; any other
+    key is joined without a hint."""
     if batch_key is None:
         return df.withColumn(GATE, gate_scalar(df, rules))
     keys = [batch_key] if isinstance(batch_key, str) else list(batch_key)
     g = gate_table(df, rules, keys).select(
         *[F.col(k).alias(f"_tg_gate_{k}") for k in keys], F.col(GATE))
-    g = broadcast_bounded_by_construction(g)
+    if keys == [FILE]:
+        g = F.broadcast(g)
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"_tg_gate_{k}")) for k in keys])
     return df.join(g, cond, "left").select(

@@ -6,9 +6,9 @@ sentinel-filled first (NULL -> ``UNSP``), so NULL keys compare as text.
 
 Evaluation is one left join per rule against the master's *distinct key
 columns* with a hit flag, so every rule's outcome lands on the row in a
-single pass and the row count is preserved.  Master key sets are broadcast
-after a bounded row count; larger masters fall back to a shuffle join (AQE
-splits skewed partitions of the source side).
+single pass and the row count is preserved.  The join carries no hint:
+Catalyst and AQE broadcast the keys when their measured size allows it, and
+split skewed partitions of the source side otherwise.
 
 Outputs:
 * ``annotate``: every row kept; the key columns of each missed rule become
@@ -22,17 +22,19 @@ Outputs:
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.columns import fill_sentinel, lookup_marker
 from tollgate.functions.rules import CROSS_REFERENCE, Rule
-from tollgate.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
 MasterResolver = Callable[[str], DataFrame | None]
 REASONS = "reject_reasons"
 ERROR_VALUE = "error_value"
+ENTRIES = "_tg_entries"
 
 SKIP, FAIL, REJECT_ALL = "skip", "fail", "reject_all"
 
@@ -51,15 +53,16 @@ def miss_col(rule: Rule) -> str:
     return f"_tg_miss_{rule.rule_id}"
 
 
-def _master_keys(master: DataFrame, rule: Rule, max_rows: int) -> DataFrame:
-    cols = [F.col(m).alias(f"_tg_k{rule.rule_id}_{i}") for i, (_, m) in enumerate(rule.keys)]
-    keys = master.select(*cols).distinct().withColumn(f"_tg_hit{rule.rule_id}", F.lit(True))
-    return bounded_broadcast(keys, max_rows)
+def _master_keys(master: DataFrame, rule: Rule) -> tuple[DataFrame, Column]:
+    """The master's distinct keys with a hit flag, and how a row meets them."""
+    names = {s: f"_tg_k{rule.rule_id}_{m}" for s, m in rule.keys}
+    keys = master.select(*[F.col(m).alias(names[s]) for s, m in rule.keys]).distinct()
+    meets = reduce(and_, [F.col(s) == F.col(k) for s, k in names.items()])
+    return keys.withColumn(f"_tg_hit{rule.rule_id}", F.lit(True)), meets
 
 
 def flag_misses(filled: DataFrame, rules: list[Rule], resolve: MasterResolver,
-                missing_master: str = SKIP,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> tuple[DataFrame, list[Rule]]:
+                missing_master: str = SKIP) -> tuple[DataFrame, list[Rule]]:
     """Add one boolean miss column per applied rule.  Returns the frame and
     the rules that were applied (rules with an absent master are skipped,
     raise, or miss on every row, by ``missing_master``)."""
@@ -73,25 +76,22 @@ def flag_misses(filled: DataFrame, rules: list[Rule], resolve: MasterResolver,
                 out = out.withColumn(miss_col(rule), F.lit(True))
                 applied.append(rule)
             continue
-        keys = _master_keys(master, rule, max_broadcast_rows)
-        cond = None
-        for i, (s, _) in enumerate(rule.keys):
-            c = F.col(s) == F.col(f"_tg_k{rule.rule_id}_{i}")
-            cond = c if cond is None else cond & c
+        keys, meets = _master_keys(master, rule)
         hit = f"_tg_hit{rule.rule_id}"
-        out = (out.join(keys, cond, "left")
+        out = (out.join(keys, meets, "left")
                   .select(*[F.col(c) for c in out.columns], F.col(hit).isNull().alias(miss_col(rule))))
         applied.append(rule)
     return out, applied
 
 
-def _key_columns(rules: list[Rule]) -> list[str]:
-    seen: list[str] = []
-    for r in rules:
-        for s, _ in r.keys:
-            if s not in seen:
-                seen.append(s)
-    return seen
+def _annotated(columns: list[str], applied: list[Rule]) -> list[Column]:
+    """The columns with the keys of every missed rule marked."""
+    out = []
+    for c in columns:
+        misses = [F.col(miss_col(r)) for r in applied if c in [s for s, _ in r.keys]]
+        out.append(F.when(reduce(or_, misses), lookup_marker(c)).otherwise(F.col(c)).alias(c)
+                   if misses else F.col(c))
+    return out
 
 
 def annotate(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
@@ -99,21 +99,7 @@ def annotate(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
     """Sentinel-fill, then mark the key columns of every missed rule."""
     filled = fill_sentinel(df)
     flagged, applied = flag_misses(filled, rules, resolve, missing_master)
-    if not applied:
-        return filled
-    marked = set(_key_columns(applied))
-    cols = []
-    for c in filled.columns:
-        if c in marked:
-            any_miss = None
-            for r in applied:
-                if c in [s for s, _ in r.keys]:
-                    m = F.col(miss_col(r))
-                    any_miss = m if any_miss is None else any_miss | m
-            cols.append(F.when(any_miss, lookup_marker(c)).otherwise(F.col(c)).alias(c))
-        else:
-            cols.append(F.col(c))
-    return flagged.select(*cols)
+    return flagged.select(*_annotated(filled.columns, applied))
 
 
 def _missed_ids(applied: list[Rule]) -> Column:
@@ -128,16 +114,42 @@ def _markers(applied: list[Rule]) -> Column:
 
 
 def evaluate(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
-             missing_master: str = SKIP) -> DataFrame:
+             missing_master: str = SKIP, keep_entries: bool = False) -> DataFrame:
     """Sentinel-filled rows + ``reject_reasons`` ('' = all lookups hit) +
-    ``error_value`` (UNSP/TBD markers of the missed rules)."""
+    ``error_value`` (UNSP/TBD markers of the missed rules); with
+    ``keep_entries`` also the error-log entries of the row."""
+    filled = fill_sentinel(df)
+    flagged, applied = flag_misses(filled, rules, resolve, missing_master)
+    reasons = F.array_join(_missed_ids(applied), ",") if applied else F.lit("")
+    markers = _markers(applied) if applied else F.lit("")
+    out = [*[F.col(c) for c in filled.columns], reasons.alias(REASONS), markers.alias(ERROR_VALUE)]
+    return flagged.select(*out, *([_entries(applied).alias(ENTRIES)] if keep_entries else []))
+
+
+def annotate_evaluated(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
+                       missing_master: str = SKIP) -> DataFrame:
+    """``annotate`` plus the error-log entries of each row, from one set of joins."""
     filled = fill_sentinel(df)
     flagged, applied = flag_misses(filled, rules, resolve, missing_master)
+    return flagged.select(*_annotated(filled.columns, applied), _entries(applied).alias(ENTRIES))
+
+
+def _entries(applied: list[Rule]) -> Column:
+    """array<struct<rule_id, error_value>> of the rules a row misses."""
     if not applied:
-        return filled.withColumn(REASONS, F.lit("")).withColumn(ERROR_VALUE, F.lit(""))
-    return flagged.select(*[F.col(c) for c in filled.columns],
-                          F.array_join(_missed_ids(applied), ",").alias(REASONS),
-                          _markers(applied).alias(ERROR_VALUE))
+        return F.array().cast(f"array<struct<rule_id:bigint,{ERROR_VALUE}:string>>")
+    return F.array_compact(F.array(*[
+        F.when(F.col(miss_col(r)), F.struct(
+            F.lit(r.rule_id).cast("bigint").alias("rule_id"),
+            F.concat_ws("||", *[F.col(s) for s, _ in r.keys]).alias(ERROR_VALUE)))
+        for r in applied]))
+
+
+def log_entries(evaluated: DataFrame, run_id: int, row_id_col: str = "row_id") -> DataFrame:
+    """Error log of a frame that carries its entries."""
+    return (evaluated.select(F.col(row_id_col).alias("row_id"), F.explode(ENTRIES).alias("e"))
+                     .select(F.lit(run_id).cast("bigint").alias("run_id"), "e.rule_id", "row_id",
+                             F.col(f"e.{ERROR_VALUE}").alias(ERROR_VALUE)))
 
 
 def reject(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
@@ -154,32 +166,15 @@ def accept(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
 def anti(df: DataFrame, rule: Rule, resolve: MasterResolver) -> DataFrame:
     """Sentinel-filled rows with no master match for one rule."""
     filled = fill_sentinel(df)
-    keys = _master_keys(resolve(rule.master_table), rule, DEFAULT_MAX_BROADCAST_ROWS)
-    cond = None
-    for i, (s, _) in enumerate(rule.keys):
-        c = F.col(s) == F.col(f"_tg_k{rule.rule_id}_{i}")
-        cond = c if cond is None else cond & c
-    return filled.join(keys, cond, "left_anti")
+    keys, meets = _master_keys(resolve(rule.master_table), rule)
+    return filled.join(keys, meets, "left_anti")
 
 
 def error_log(df: DataFrame, rules: list[Rule], resolve: MasterResolver, run_id: int,
               row_id_col: str = "row_id", missing_master: str = SKIP) -> DataFrame:
-    """run_id, rule_id, row_id, error_value (key values joined by ``||``)."""
-    filled = fill_sentinel(df)
-    flagged, applied = flag_misses(filled, rules, resolve, missing_master)
-    if not applied:
-        return filled.select(F.lit(run_id).cast("bigint").alias("run_id"),
-                             F.lit(None).cast("bigint").alias("rule_id"),
-                             F.col(row_id_col).alias("row_id"),
-                             F.lit(None).cast("string").alias(ERROR_VALUE)).limit(0)
-    entries = F.array_compact(F.array(*[
-        F.when(F.col(miss_col(r)), F.struct(
-            F.lit(r.rule_id).cast("bigint").alias("rule_id"),
-            F.concat_ws("||", *[F.col(s) for s, _ in r.keys]).alias(ERROR_VALUE)))
-        for r in applied]))
-    return (flagged.select(F.col(row_id_col).alias("row_id"), F.explode(entries).alias("e"))
-                   .select(F.lit(run_id).cast("bigint").alias("run_id"), "e.rule_id", "row_id",
-                           F.col(f"e.{ERROR_VALUE}").alias(ERROR_VALUE)))
+    """run_id, rule_id, row_id, error_value (key values joined by ``||``);
+    empty when no rule applies."""
+    return log_entries(evaluate(df, rules, resolve, missing_master, keep_entries=True), run_id, row_id_col)
 
 
 def miss_matrix(df: DataFrame, rules: list[Rule], resolve: MasterResolver) -> DataFrame:

@@ -62,6 +62,11 @@ def dense_row_numbers(df: DataFrame, order_cols: list[str] | None = None,
                           (F.col(_OFF) + within + F.lit(1)).alias(id_col)))
 
 
+def partitions_for(n_bytes: int, least: int = 1, target: int = 128 << 20) -> int:
+    """Partitions that hold about ``target`` bytes of input each."""
+    return max(least, -(-n_bytes // target))
+
+
 def row_ids(df: DataFrame, prefix: str | int, order_cols: list[str] | None = None,
             id_col: str = "row_id", num_partitions: int | None = None) -> DataFrame:
     """Row identity ``"<prefix>_<n>"`` with n dense from 1 in key order."""

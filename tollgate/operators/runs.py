@@ -15,8 +15,8 @@ and the run table is *derived*:
 * last-run flag: the run with the greatest id of its process.
 
 All derivations are grouped aggregates (partial aggregation before the
-shuffle); per-process maxima are joined back by broadcast only after a
-bounded count, else by a shuffle join that AQE keeps skew-safe.
+shuffle); per-process maxima are joined back without a hint, so Catalyst
+and AQE choose the join from measured sizes.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tollgate.operators.sizing import bounded_broadcast
 
 START, SET, END = "START", "SET", "END"
 COMPLETED, FAILED = "C", "E"
@@ -65,11 +64,23 @@ def process_lookup(processes: DataFrame, name: str, step: str, system: str,
 
 
 def process_parameters(params: DataFrame, name: str, step: str, system: str | None = None) -> DataFrame:
-    """Parameter row(s) of a process by name and step (and system)."""
+    """The active parameter row of a process by name and step (and system).
+
+    Exactly one row must match: none or several raise ``ParameterError`` with
+    what was looked up."""
     cond = (F.lower(F.col("process_name")) == name.lower()) & (F.lower(F.col("step_name")) == step.lower())
     if system is not None:
         cond = cond & (F.lower(F.col("source_system")) == system.lower())
-    return params.filter(cond & (F.col("status") == ACTIVE))
+    found = params.filter(cond & (F.col("status") == ACTIVE))
+    matches = found.count()
+    if matches != 1:
+        what = f"process {name!r}, step {step!r}" + (f", system {system!r}" if system is not None else "")
+        raise ParameterError(f"{matches} active parameter rows for {what}; one is needed")
+    return found
+
+
+class ParameterError(LookupError):
+    """A process does not have exactly one active parameter row."""
 
 
 def run_starts(events: DataFrame) -> DataFrame:
@@ -88,7 +99,7 @@ def run_last_flag(events: DataFrame) -> DataFrame:
     """Every run with ``last_flag`` 1 for its process's newest run, else 0."""
     last = run_last(events).withColumnRenamed("process_id", "_tg_p")
     runs = run_starts(events)
-    j = runs.join(bounded_broadcast(last), runs.process_id == F.col("_tg_p"), "inner")
+    j = runs.join(last, runs.process_id == F.col("_tg_p"), "inner")
     return j.select("run_id", "process_id", "start_ts",
                     F.when(F.col("run_id") == F.col("last_run_id"), 1).otherwise(0).alias("last_flag"))
 

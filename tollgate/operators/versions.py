@@ -4,11 +4,13 @@ Extract file names embed ``yyyymmdd_hhmmss``, so the lexicographically
 greatest name of a month is its newest delivery.  The newest file wins per
 *whole month*; an older file still supplies months the newer one lacks.
 
-The per-month table is an aggregate with one row per month (at most
-12 x 9999 keys), so joining it back is a broadcast hash join: the fact side
-is never shuffled, and a month holding a third of all rows costs nothing
-extra.  The alternative ``max(file) OVER (PARTITION BY month)`` would sort
-every row of a hot month inside one task.
+The per-month table is an aggregate with one row per month.  Where the
+caller derived the month with ``with_month`` it has at most 12 x 9999 keys
+(``month_domain=True``) and is joined back by broadcast: the fact side is
+never shuffled, and a month holding a third of all rows costs nothing extra.
+For any other month column the join carries no hint.  The alternative
+``max(file) OVER (PARTITION BY month)`` would sort every row of a hot month
+inside one task.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.columns import month_key
-from tollgate.operators.sizing import bounded_broadcast, broadcast_bounded_by_construction
 
 MONTH = "posting_month"
 FILE = "file_name"
@@ -33,11 +34,14 @@ def latest_file_per_month(df: DataFrame, month_col: str = MONTH, file_col: str =
     return df.groupBy(month_col).agg(F.max(file_col).alias(file_col))
 
 
-def latest_version(df: DataFrame, month_col: str = MONTH, file_col: str = FILE) -> DataFrame:
+def latest_version(df: DataFrame, month_col: str = MONTH, file_col: str = FILE,
+                   month_domain: bool = False) -> DataFrame:
     """Rows of the newest file of their month.  Rows whose month is NULL
-    drop out (NULL never equals NULL in the join)."""
-    latest = broadcast_bounded_by_construction(
-        latest_file_per_month(df, month_col, file_col).filter(F.col(month_col).isNotNull()))
+    drop out (NULL never equals NULL in the join).  ``month_domain`` states
+    that ``month_col`` comes from ``with_month``."""
+    latest = latest_file_per_month(df, month_col, file_col).filter(F.col(month_col).isNotNull())
+    if month_domain:
+        latest = F.broadcast(latest)
     return df.join(latest, [file_col, month_col], "inner").select(*df.columns)
 
 
@@ -53,6 +57,4 @@ def reprocess_scope(current: DataFrame, incoming: DataFrame, scope_cols: list[st
     cols = scope_cols or [MONTH]
     inc = incoming.select(*cols).distinct()
     cur = current.select(*cols).distinct()
-    # Month keys are bounded by their domain; any other scope is checked.
-    cur = broadcast_bounded_by_construction(cur) if cols == [MONTH] else bounded_broadcast(cur)
     return inc.join(cur, cols, "left_semi")

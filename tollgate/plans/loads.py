@@ -1,61 +1,79 @@
 """End-to-end loads: raw -> bronze, bronze -> silver (annotate or reject).
 
-Each load is one Spark plan per output, built from the operators:
-
 raw -> bronze
     one scan of all selected extracts (file name as batch key)
     -> dense row ids (range-partitioned sort, checkpointed: the single
        materialisation, which also cuts the lineage)
-    -> one evaluation of every physical rule (per-file gate + row rules)
-    -> accepted rows to bronze, rejected rows (with reasons) to
-       bronze-rejected, per-value error log, run metrics and END event.
+    -> one evaluation of every physical rule (per-file gate + row rules);
+       lines with the wrong number of fields are set apart as ``malformed``
+    -> accepted rows to bronze (with the table's audit defaults), rejected
+       rows (with reasons) to bronze-rejected, per-value error log, run
+       metrics and END event.
 
 bronze -> silver
     current bronze rows -> month key -> newest file per month (broadcast
-    join of a per-month aggregate) -> new row ids -> referential checks
-    (broadcast master keys) -> silver history (scope: month) [+ rejected
-    history].
-
-History tables are append-only ``HistoryStore`` folders: a load adds its
-run's partition and validity is derived on read, so no load rewrites older
-files, and a re-run of a failed load overwrites only its own partition.
-Nothing row-level passes through the driver: the driver sees rule rows,
-the extract listing and one row of counts.
+    join of a per-month aggregate) -> new row ids -> referential checks, once
+    -> silver history (scope: month) [+ rejected history], error log, metrics.
+
+Every output belongs to its run and replaces that run's earlier output as a
+whole, so a retry leaves nothing stale.  The evaluated rows of a load are one
+table in the shared folder, written once and read by each output; its folder
+and the row-id checkpoint are removed when the load ends.  Nothing row-level
+passes through the driver: it sees rule rows, the extract listing and one row
+of counts.
+
+``load_by_process`` starts from names only: the control tables give the
+process, its parameters, its active rules and its masters.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tollgate.functions import rules as R
 from tollgate.functions.rules import Rule
 from tollgate.operators import quality as Q
 from tollgate.operators import references as X
 from tollgate.operators import runs as K
 from tollgate.operators import versions as V
-from tollgate.operators.history import CURRENT, HISTORY_ZONE
-from tollgate.operators.rowids import row_ids
+from tollgate.operators.history import CURRENT, HISTORY_ZONE, RUN
+from tollgate.operators.rowids import partitions_for, row_ids
+from tollgate.session import checkpoint_dir
 from tollgate.sources import delimited as DL
+from tollgate.sources import schemas as S
 from tollgate.sources.history_store import HistoryStore
 
+MALFORMED = "malformed"
+
+# Audit columns of a bronze table and their defaults.
+AUDIT_DEFAULTS = T.StructType([
+    S.field("sys_status_code", T.StringType(), False, "Row status", default="'A'"),
+    S.field("sys_created_by_name", T.StringType(), False, "Created by", default="'MANUAL INSERT'"),
+])
+
 
 @dataclass
 class Warehouse:
-    """Folder layout of one installation (shared storage)."""
+    """Folder layout of one installation (shared storage).  ``bronze_scope``
+    are the columns by which a bronze run supersedes earlier ones (none: the
+    whole table)."""
     root: str
+    bronze_scope: list[str] = field(default_factory=list)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def bronze(self, spark, table) -> HistoryStore:
-        return HistoryStore(spark, self.path("bronze", table))
+        return HistoryStore(spark, self.path("bronze", table), self.bronze_scope)
 
     def bronze_rejected(self, spark, table) -> HistoryStore:
-        return HistoryStore(spark, self.path("bronze_rejected", table))
+        return HistoryStore(spark, self.path("bronze_rejected", table), self.bronze_scope)
 
     def silver(self, spark, table) -> HistoryStore:
         return HistoryStore(spark, self.path("silver", table), [V.MONTH])
@@ -71,6 +89,10 @@ class Warehouse:
     def run_events(self) -> str:
         return self.path("control", "run_events")
 
+    @property
+    def loaded_files(self) -> str:
+        return self.path("control", "loaded_files")
+
 
 @dataclass
 class RunInfo:
@@ -84,124 +106,233 @@ def _now_text(zone: str = HISTORY_ZONE) -> str:
     return dt.datetime.now(ZoneInfo(zone)).replace(tzinfo=None).isoformat(sep=" ")
 
 
-def _append_events(spark: SparkSession, wh: Warehouse, events: DataFrame) -> None:
-    events.write.mode("append").parquet(wh.run_events)
+# -------------------------------------------------------------- control ---
 
+ERROR_LOG_SCHEMA = ("rule_id bigint, row_id string, error_value string, run_id bigint, object_name string")
 
-def _start(spark, wh, run: RunInfo) -> None:
-    _append_events(spark, wh, K.event(spark, run.run_id, run.process_id, 1, K.START,
-                                      ts=dt.datetime.fromisoformat(str(run.as_of))))
 
+def read_error_log(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    return spark.read.schema(ERROR_LOG_SCHEMA).parquet(wh.error_log)
 
-def _end(spark, wh, run: RunInfo, counts: DataFrame) -> None:
-    ts = str(run.as_of)
-    _append_events(spark, wh, K.metric_events(counts.withColumn("run_id", F.lit(run.run_id)),
-                                              "run_id", run.process_id, 10, ts))
-    _append_events(spark, wh, K.event(spark, run.run_id, run.process_id, 99, K.END,
-                                      ts=dt.datetime.fromisoformat(ts)))
 
+def read_run_events(spark: SparkSession, wh: Warehouse) -> DataFrame:
+    return spark.read.schema(K.EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(wh.run_events)
+
+
+def loaded_files(spark: SparkSession, wh: Warehouse, table: str) -> DataFrame:
+    """file_name of every extract that a run has loaded into ``table``."""
+    schema = T.StructType([T.StructField("file_name", T.StringType()), T.StructField("object_name", T.StringType()),
+                           T.StructField(RUN, T.LongType())])
+    store = HistoryStore(spark, wh.loaded_files)
+    if not store._entries(wh.loaded_files):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(wh.loaded_files).filter(F.col("object_name") == table)
+
+
+def _replace(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def _write_error_log(wh: Warehouse, table: str, run: RunInfo, log: DataFrame) -> None:
+    """The log of one table's load in one run, replaced as a whole."""
+    _replace(log.drop("run_id"), f"{wh.error_log}/run_id={run.run_id}/object_name={table}")
+
+
+def _events_path(wh: Warehouse, run: RunInfo) -> str:
+    # run_id is a column of the events: the folder's name carries no partition
+    return f"{wh.run_events}/{run.run_id}"
+
+
+def _start(spark: SparkSession, wh: Warehouse, run: RunInfo) -> DataFrame:
+    """The run's only event until it ends: a run that breaks off shows as failed."""
+    start = K.event(spark, run.run_id, run.process_id, 1, K.START, ts=dt.datetime.fromisoformat(str(run.as_of)))
+    _replace(start.coalesce(1), _events_path(wh, run))
+    return start
+
+
+def _end(spark: SparkSession, wh: Warehouse, run: RunInfo, start: DataFrame, counts: dict[str, int]) -> None:
+    """All events of the run, written at once: a retried run has them once."""
+    ts = dt.datetime.fromisoformat(str(run.as_of))
+    events = start
+    for seq, (name, value) in enumerate(counts.items(), 10):
+        events = events.unionByName(K.event(spark, run.run_id, run.process_id, seq, K.SET, name, value, ts))
+    events = events.unionByName(K.event(spark, run.run_id, run.process_id, 99, K.END, ts=ts))
+    _replace(events.coalesce(1), _events_path(wh, run))
+
+
+def _staged(df: DataFrame, aggs: dict) -> tuple[DataFrame, dict, str]:
+    """``df`` as a table of the shared folder, and aggregates of its rows from
+    the same job."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex}"
+    seen = Observation()
+    df.observe(seen, *[c.alias(n) for n, c in aggs.items()]).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), {n: int(seen.get[n] or 0) for n in aggs}, path
+
+
+def _remove(spark: SparkSession, *paths: str) -> None:
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-def bronze_load(spark: SparkSession, wh: Warehouse, table: str, landing: str, names: list[str],
-                spec: DL.ReaderSpec, rules: list[Rule], run: RunInfo,
-                apply_mask: bool = False, skip_loaded: bool = False) -> dict[str, int]:
-    """raw -> bronze for every matching extract of ``landing``.  With
-    ``skip_loaded`` extracts whose name already sits in bronze or
-    bronze-rejected are not read again."""
-    exclude = loaded_files(spark, wh, table) if skip_loaded else None
-    raw = DL.ingest(spark, landing, names, spec, apply_mask=apply_mask, exclude=exclude)
-    return load_bronze_frame(spark, wh, table, raw, names, rules, run)
 
+def _numbered(df: DataFrame, run: RunInfo, order_cols: list[str], n_bytes: int) -> DataFrame:
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return row_ids(df, run.run_id, order_cols=order_cols, id_col="row_id",
+                   num_partitions=partitions_for(n_bytes, least))
 
-def loaded_files(spark: SparkSession, wh: Warehouse, table: str) -> set[str]:
-    """Extract names already loaded (one row per file: bounded by the listing)."""
-    names: set[str] = set()
-    for store in (wh.bronze(spark, table), wh.bronze_rejected(spark, table)):
-        if store.exists():
-            names |= {r[0] for r in store.raw().select("file_name").distinct().collect()}
-    return names
+
+# --------------------------------------------------------------- bronze ---
+
+def bronze_load(spark: SparkSession, wh: Warehouse, table: str, landing: str, names: list[str],
+                spec: DL.ReaderSpec, rules: list[Rule], run: RunInfo,
+                apply_mask: bool = False, skip_loaded: bool = False,
+                only: DataFrame | None = None) -> dict[str, int]:
+    """raw -> bronze for every matching extract of ``landing`` (of those that
+    ``only`` names, if given).  With ``skip_loaded`` extracts that an earlier
+    run has loaded are not read again."""
+    loaded = loaded_files(spark, wh, table).filter(F.col(RUN) != run.run_id) if skip_loaded else None
+    raw = DL.ingest(spark, landing, names, spec, apply_mask=apply_mask, flag_malformed=True, loaded=loaded,
+                    only=only)
+    return load_bronze_frame(spark, wh, table, raw, names, rules, run, delivery=landing,
+                             n_bytes=DL.folder_bytes(spark, landing))
 
 
 def load_bronze_frame(spark: SparkSession, wh: Warehouse, table: str, raw: DataFrame,
-                      names: list[str], rules: list[Rule], run: RunInfo) -> dict[str, int]:
-    """raw -> bronze for an already scanned frame carrying ``file_name``
-    (a batch scan or a streaming micro-batch)."""
-    _start(spark, wh, run)
-    ids = row_ids(raw, run.run_id, order_cols=["file_name"] + names, id_col="row_id")
-    evaluated = Q.evaluate(ids, rules, batch_key="file_name", keep_gate=True) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+                      names: list[str], rules: list[Rule], run: RunInfo, delivery: str = "",
+                      n_bytes: int = 0) -> dict[str, int]:
+    """raw -> bronze for an already scanned frame carrying ``file_name``."""
+    wh.bronze(spark, table).claim(run.run_id, f"{run.as_of}|{delivery}")
+    start = _start(spark, wh, run)
+    if DL.CORRUPT not in raw.columns:
+        raw = raw.withColumn(DL.CORRUPT, F.lit(None).cast("string"))
+    ids = _numbered(raw, run, ["file_name", *names, DL.CORRUPT], n_bytes)
+    evaluated = evaluate_extracts(ids, rules)
+    is_ok = F.col(Q.REASONS) == ""
+    staged, counts, path = _staged(evaluated, {
+        "source_record_count": F.count(F.lit(1)), "target_record_count": F.count_if(is_ok)})
     try:
-        wh.bronze(spark, table).append(Q.accepted(evaluated).drop(Q.GATE), run.run_id, run.as_of)
-        wh.bronze_rejected(spark, table).append(Q.rejected(evaluated).drop(Q.GATE), run.run_id, run.as_of)
-        _write_error_log(wh, _error_log_from_evaluated(evaluated, rules, run.run_id))
-        counts = Q.route_counts(evaluated).select(
-            F.col("source_rows").alias("source_record_count"),
-            F.col("accepted_rows").alias("target_record_count"))
-        row = counts.first()
-        _end(spark, wh, run, counts)
-        return {"source": int(row["source_record_count"]), "accepted": int(row["target_record_count"])}
+        accepted = staged.filter(is_ok).drop(Q.REASONS, Q.GATE, DL.CORRUPT)
+        audited = T.StructType([*accepted.schema.fields, *AUDIT_DEFAULTS.fields])
+        wh.bronze(spark, table).append(S.apply_defaults(accepted, audited), run.run_id, run.as_of, delivery)
+        wh.bronze_rejected(spark, table).append(staged.filter(~is_ok).drop(Q.GATE), run.run_id, run.as_of, delivery)
+        well_formed = staged.filter(F.col(DL.CORRUPT).isNull())
+        _write_error_log(wh, table, run, Q.error_log_gated(well_formed, rules, run.run_id, "row_id"))
+        files = staged.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows")).select("file_name")
+        _replace(files, f"{wh.loaded_files}/object_name={table}/{RUN}={run.run_id}")
+        _end(spark, wh, run, start, counts)
     finally:
-        evaluated.unpersist()
+        _remove(spark, path)
+    return {"source": counts["source_record_count"], "accepted": counts["target_record_count"]}
+
 
+def evaluate_extracts(ids: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Gate per extract and row rules; malformed lines have that one reason
+    and take no part in the gate."""
+    bad = F.col(DL.CORRUPT).isNotNull()
+    # A malformed line's values stand for nothing: no rule sees them.
+    table = Q.gate_table(ids.filter(~bad), rules, Q.FILE).select(F.col(Q.FILE).alias("_tg_f"), F.col(Q.GATE))
+    gated = ids.join(F.broadcast(table), F.col(Q.FILE) == F.col("_tg_f"), "left").select(
+        *[F.col(c) for c in ids.columns], F.coalesce(F.col(Q.GATE), F.lit("")).alias(Q.GATE))
+    reason = F.when(bad, F.lit(MALFORMED)).when(F.col(Q.GATE) != "", F.col(Q.GATE)).otherwise(
+        Q.reason_text([r for r in rules if not r.reject_all]))
+    R.check_columns(ids, rules)
+    return gated.withColumn(Q.REASONS, reason)
 
-def _write_error_log(wh: Warehouse, log: DataFrame) -> None:
-    """Error log partitioned by run: a retried run replaces its own rows."""
-    (log.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id").parquet(wh.error_log))
 
+# --------------------------------------------------------------- silver ---
 
-def _error_log_from_evaluated(evaluated: DataFrame, rules: list[Rule], run_id: int) -> DataFrame:
-    """Error log from a frame that already carries the per-file gate."""
-    return Q.error_log_gated(evaluated, rules, run_id, "row_id")
+_NOT_BUSINESS = {"row_id", "valid_from", "valid_to", CURRENT, RUN, *AUDIT_DEFAULTS.fieldNames()}
 
 
 def bronze_months(spark: SparkSession, wh: Warehouse, table: str) -> DataFrame:
     """Current bronze business columns with the month key."""
     bronze = wh.bronze(spark, table).current()
-    keep = [c for c in bronze.columns if c not in ("row_id", "valid_from", "valid_to", CURRENT, "run_id")]
-    return V.with_month(bronze.select(*keep))
-
-
-def silver_input(spark: SparkSession, wh: Warehouse, table: str, run: RunInfo) -> DataFrame:
-    """Current bronze rows of the newest file per month, with new row ids."""
-    latest = V.latest_version(bronze_months(spark, wh, table))
-    return row_ids(latest, run.run_id, order_cols=latest.columns, id_col="row_id")
+    return V.with_month(bronze.select(*[c for c in bronze.columns if c not in _NOT_BUSINESS]))
+
+
+def silver_input(spark: SparkSession, wh: Warehouse, table: str, run: RunInfo) -> tuple[DataFrame, int]:
+    """Current bronze rows of the newest file per month, with new row ids, and
+    the number of rows left out for want of a month."""
+    months = bronze_months(spark, wh, table)
+    n_bytes = DL.folder_bytes(spark, wh.bronze(spark, table)._part("data"))
+    latest = V.latest_version(months, month_domain=True)
+    dropped = V.null_month_rows(months).count()
+    return _numbered(latest, run, latest.columns, n_bytes), dropped
+
+
+def _silver(spark: SparkSession, wh: Warehouse, table: str, run: RunInfo, checked, write) -> dict[str, int]:
+    """Claim, read, check once, write the outputs, the error log and the run's end."""
+    wh.silver(spark, table).claim(run.run_id, f"{run.as_of}|")
+    start = _start(spark, wh, run)
+    source, dropped = silver_input(spark, wh, table, run)
+    rows, aggs = checked(source)
+    staged, counts, path = _staged(rows, {"source_record_count": F.count(F.lit(1)), **aggs})
+    try:
+        write(staged)
+        _write_error_log(wh, table, run, X.log_entries(staged, run.run_id))
+        counts["null_month_rows"] = dropped
+        _end(spark, wh, run, start, counts)
+    finally:
+        _remove(spark, path)
+    return {"source": counts["source_record_count"], "accepted": counts["target_record_count"]}
 
 
 def silver_load(spark: SparkSession, wh: Warehouse, table: str, rules: list[Rule],
                 resolve: X.MasterResolver, run: RunInfo) -> dict[str, int]:
     """bronze -> silver: every row kept, failed lookups marked TBD."""
-    _start(spark, wh, run)
-    src = silver_input(spark, wh, table, run).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        annotated = X.annotate(src, rules, resolve)
-        _write_error_log(wh, X.error_log(src, rules, resolve, run.run_id))
-        wh.silver(spark, table).append(annotated, run.run_id, run.as_of)
-        dropped = V.null_month_rows(bronze_months(spark, wh, table)).count()
-        counts = src.agg(F.count(F.lit(1)).alias("source_record_count")) \
-                    .withColumn("target_record_count", F.col("source_record_count")) \
-                    .withColumn("null_month_rows", F.lit(dropped))
-        row = counts.first()
-        _end(spark, wh, run, counts)
-        return {"source": int(row[0]), "accepted": int(row[0])}
-    finally:
-        src.unpersist()
+    def checked(source: DataFrame):
+        return X.annotate_evaluated(source, rules, resolve), {"target_record_count": F.count(F.lit(1))}
+
+    def write(staged: DataFrame) -> None:
+        wh.silver(spark, table).append(staged.drop(X.ENTRIES), run.run_id, run.as_of)
+
+    return _silver(spark, wh, table, run, checked, write)
 
 
 def silver_load_with_rejects(spark: SparkSession, wh: Warehouse, table: str, rules: list[Rule],
                              resolve: X.MasterResolver, run: RunInfo) -> dict[str, int]:
     """bronze -> silver where rows missing a lookup go to silver-rejected."""
-    _start(spark, wh, run)
-    src = silver_input(spark, wh, table, run)
-    evaluated = X.evaluate(src, rules, resolve).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ok = evaluated.filter(F.col(X.REASONS) == "").drop(X.REASONS, X.ERROR_VALUE)
-        bad = evaluated.filter(F.col(X.REASONS) != "")
-        wh.silver(spark, table).append(ok, run.run_id, run.as_of)
-        wh.silver_rejected(spark, table).append(bad, run.run_id, run.as_of)
-        counts = evaluated.agg(F.count(F.lit(1)).alias("source_record_count"),
-                               F.count_if(F.col(X.REASONS) == "").alias("target_record_count"))
-        row = counts.first()
-        _end(spark, wh, run, counts)
-        return {"source": int(row[0]), "accepted": int(row[1])}
-    finally:
-        evaluated.unpersist()
+    is_ok = F.col(X.REASONS) == ""
+
+    def checked(source: DataFrame):
+        return (X.evaluate(source, rules, resolve, keep_entries=True), {"target_record_count": F.count_if(is_ok)})
+
+    def write(staged: DataFrame) -> None:
+        rows = staged.drop(X.ENTRIES)
+        wh.silver(spark, table).append(rows.filter(is_ok).drop(X.REASONS, X.ERROR_VALUE), run.run_id, run.as_of)
+        wh.silver_rejected(spark, table).append(rows.filter(~is_ok), run.run_id, run.as_of)
+
+    return _silver(spark, wh, table, run, checked, write)
+
+
+# ------------------------------------------------------------ by process ---
+
+@dataclass
+class ControlTables:
+    """What the loads of an installation are configured by."""
+    parameters: DataFrame
+    rules: DataFrame
+    masters: X.MasterResolver
+
+
+def load_by_process(spark: SparkSession, wh: Warehouse, control: ControlTables, name: str, step: str, system: str,
+                    run_id: int, as_of, table: str, landing: str | None = None,
+                    columns: list[str] | None = None) -> dict[str, int]:
+    """Run the load that a process names: its one active parameter row gives
+    the reader and the schema, its active rules the checks.  The step decides
+    the layer: ``raw to bronze`` reads ``landing``, ``bronze to silver`` the
+    bronze table."""
+    row = K.process_parameters(control.parameters, name, step, system).first()
+    run = RunInfo(run_id, row["process_id"], as_of)
+    runs = spark.createDataFrame([(run_id, row["process_id"])], "run_id bigint, process_id bigint")
+    kind = R.PHYSICAL if step.lower() == "raw to bronze" else R.BUSINESS
+    rules = R.collect_rules(R.active_rules(runs, control.rules, run_id, kind))
+    if kind == R.PHYSICAL:
+        if landing is None:
+            raise ValueError("a raw to bronze load needs a landing folder")
+        spec = DL.ReaderSpec.from_row(row)
+        names = columns or S.get_schema(row["schema_name"]).fieldNames()
+        return bronze_load(spark, wh, table, landing, names, spec, rules, run, apply_mask=True, skip_loaded=True)
+    return silver_load(spark, wh, table, rules, control.masters, run)

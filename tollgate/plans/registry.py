@@ -1,7 +1,7 @@
 """Registered queries: one per operator of the inventory, each a DataFrame
 built from the test tables under ``sf_dir``.
 
-Every query reads whole tables; nothing is sampled or capped.  Rule tables,
+Every query reads whole tables; nothing is sampled, filtered or capped.  Rule tables,
 masters and fixed ``as_of`` stamps are passed explicitly so results are
 reproducible.
 """
@@ -46,29 +46,30 @@ def _pick(ids: list[int], rules: list[R.Rule] | None = None) -> list[R.Rule]:
 
 @query("rule_not_null")
 def q_rule_not_null(spark, d):
-    return _outcomes(TD.ledger(spark, d), _pick([2, 3, 6]),
+    return _outcomes(TD.ledger(spark, d), _pick([11, 21]),
                      ["doc_number", "posting_date", "source_system", "doc_line"])
 
 
 @query("rule_date_format")
 def q_rule_date_format(spark, d):
-    return _outcomes(TD.ledger(spark, d), _pick([1]), ["doc_number", "posting_date"])
+    return _outcomes(TD.ledger(spark, d), _pick([22]), ["doc_number", "posting_date"])
 
 
 @query("rule_numeric_format")
 def q_rule_numeric_format(spark, d):
-    return _outcomes(TD.ledger(spark, d), _pick([4, 5]), ["doc_number", "amount_lc", "doc_line"])
+    return _outcomes(TD.ledger(spark, d), _pick([12, 13]), ["doc_number", "amount_lc", "doc_line"])
 
 
 @query("rule_out_of_range")
 def q_rule_out_of_range(spark, d):
-    return _outcomes(TD.ledger(spark, d), _pick([7]), ["doc_number", "posting_date", "entry_date"])
+    return _outcomes(TD.ledger(spark, d), _pick([14, 16, 23]),
+                     ["doc_number", "posting_date", "entry_date", "doc_line"])
 
 
 @query("rule_conditional_fail")
 def q_rule_conditional_fail(spark, d):
-    return _outcomes(TD.ledger(spark, d), _pick([8]),
-                     ["doc_number", "doc_type", "posting_date", "entry_date"])
+    return _outcomes(TD.ledger(spark, d), _pick([15, 24]),
+                     ["doc_number", "doc_type", "vendor_code", "company_code"])
 
 
 # Extra rules that exercise unknown codes and NULL outcomes.
@@ -96,56 +97,52 @@ def _physical_rules() -> list[R.Rule]:
     return R.ledger_rule_list(R.PHYSICAL)
 
 
+def _evaluated(spark, d) -> DataFrame:
+    """The whole ledger, every extract a batch of its own."""
+    return Q.evaluate(TD.ledger(spark, d), _physical_rules(), batch_key="file_name")
+
+
 @query("row_rules")
 def q_row_rules(spark, d):
-    return Q.evaluate(TD.ledger_clean(spark, d), _physical_rules())
+    return _evaluated(spark, d)
 
 
 @query("accepted_rows")
 def q_accepted_rows(spark, d):
-    return Q.accepted(Q.evaluate(TD.ledger_clean(spark, d), _physical_rules()))
+    return Q.accepted(_evaluated(spark, d))
 
 
 @query("rejected_rows")
 def q_rejected_rows(spark, d):
-    return Q.rejected(Q.evaluate(TD.ledger_clean(spark, d), _physical_rules()))
+    return Q.rejected(_evaluated(spark, d))
 
 
 @query("error_log")
 def q_error_log(spark, d):
-    ids = row_ids(TD.ledger_clean(spark, d), FIXTURE_RUN_ID)
-    return Q.error_log(ids, _physical_rules(), FIXTURE_RUN_ID)
+    ids = row_ids(TD.ledger(spark, d), FIXTURE_RUN_ID)
+    return Q.error_log(ids, _physical_rules(), FIXTURE_RUN_ID, batch_key="file_name")
 
 
 @query("rule_fail_counts")
 def q_rule_fail_counts(spark, d):
-    return Q.rule_fail_counts(TD.ledger_clean(spark, d), _physical_rules())
+    return Q.rule_fail_counts(TD.ledger(spark, d), _physical_rules())
 
 
 @query("route_counts")
 def q_route_counts(spark, d):
-    ev = Q.evaluate(TD.ledger_clean(spark, d), _physical_rules(), batch_key="file_name")
-    return Q.route_counts(ev, ["file_name"])
-
-
-def gate_fixture(spark: SparkSession, d: str) -> DataFrame:
-    """Files 1 and 2 clean, file 3 with the batch faults left in."""
-    led = TD.ledger(spark, d)
-    ok = F.col("doc_number").cast("bigint")
-    return led.filter((F.col("file_name") == TD.FILE_3) | ((ok % 97 != 0) & (ok % 89 != 0)))
+    return Q.route_counts(_evaluated(spark, d), ["file_name"])
 
 
 @query("gate_decision")
 def q_gate_decision(spark, d):
-    g = Q.gate_table(gate_fixture(spark, d), _physical_rules(), "file_name")
+    g = Q.gate_table(TD.ledger(spark, d), _physical_rules(), "file_name")
     return g.select("file_name", F.col(Q.GATE).alias("failed_rules"),
                     (F.col(Q.GATE) == "").alias("passed"))
 
 
 @query("gate_reject_all")
 def q_gate_reject_all(spark, d):
-    ev = Q.evaluate(gate_fixture(spark, d), _physical_rules(), batch_key="file_name")
-    return ev.groupBy("file_name", Q.REASONS).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
+    return _evaluated(spark, d).groupBy("file_name", Q.REASONS).agg(F.count(F.lit(1)).cast("bigint").alias("rows"))
 
 
 @query("gate_whole_batch")
@@ -159,17 +156,19 @@ def q_gate_whole_batch(spark, d):
 from tollgate.operators import history as H  # noqa: E402
 from tollgate.operators import versions as V  # noqa: E402
 
-# Load stamps of the three fixture runs.
-T1, T2, T3 = "2024-01-01 09:00:00", "2024-01-02 09:00:00", "2024-01-03 09:00:00"
+# Load stamps of the four fixture runs.
+STAMPS = ["2024-01-01 09:00:00", "2024-01-02 09:00:00", "2024-01-03 09:00:00", "2024-01-04 09:00:00"]
+T1, T2, T3, T4 = STAMPS
+# Two deliveries of two extracts each.
+FIRST, SECOND = TD.LEDGER_FILES[:2], TD.LEDGER_FILES[2:]
 
 
-def months(spark: SparkSession, d: str, clean: bool = True) -> DataFrame:
-    base = TD.ledger_clean(spark, d) if clean else TD.ledger(spark, d)
-    return V.with_month(base)
+def months(spark: SparkSession, d: str) -> DataFrame:
+    return V.with_month(TD.ledger(spark, d))
 
 
-def file_rows(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return months(spark, d).filter(F.col("file_name") == name)
+def file_rows(spark: SparkSession, d: str, *names: str) -> DataFrame:
+    return months(spark, d).filter(F.col("file_name").isin(*names))
 
 
 @query("month_key")
@@ -179,49 +178,50 @@ def q_month_key(spark, d):
 
 @query("latest_file_per_month")
 def q_latest_file_per_month(spark, d):
-    return V.latest_file_per_month(months(spark, d, clean=False))
+    return V.latest_file_per_month(months(spark, d))
 
 
 @query("latest_version")
 def q_latest_version(spark, d):
-    return V.latest_version(months(spark, d, clean=False))
+    return V.latest_version(months(spark, d), month_domain=True)
 
 
 @query("reprocess_scope")
 def q_reprocess_scope(spark, d):
-    h1 = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
-    return V.reprocess_scope(H.current_rows(h1), file_rows(spark, d, TD.FILE_2))
+    h1 = H.stamp_history(file_rows(spark, d, *FIRST), T1)
+    return V.reprocess_scope(H.current_rows(h1), file_rows(spark, d, *SECOND))
 
 
 # -------------------------------------------------------------- history ---
 
 @query("stamp_history")
 def q_stamp_history(spark, d):
-    return H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+    return H.stamp_history(months(spark, d), T1)
 
 
 @query("scd_expire_all")
 def q_scd_expire_all(spark, d):
-    h1 = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+    h1 = H.stamp_history(file_rows(spark, d, *FIRST), T1)
     return H.append_merge_schema(H.expire_all(h1, T2),
-                                 H.stamp_history(file_rows(spark, d, TD.FILE_2), T2))
+                                 H.stamp_history(file_rows(spark, d, *SECOND), T2))
 
 
 @query("scd_expire_scope")
 def q_scd_expire_scope(spark, d):
-    h1 = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
-    scope = V.reprocess_scope(h1, file_rows(spark, d, TD.FILE_2))
+    h1 = H.stamp_history(file_rows(spark, d, *FIRST), T1)
+    scope = V.reprocess_scope(h1, file_rows(spark, d, *SECOND))
     return H.expire_scope(h1, scope, [V.MONTH], T2)
 
 
 def _silver_history(spark, d) -> DataFrame:
-    """Three loads in a row; each load's history is materialised (reliable
+    """Four loads in a row; each load's history is materialised (reliable
     checkpoint in the shared folder), as a stored table would be between
     runs, so the next load does not recompute the earlier ones."""
     checkpoint_dir(spark)
-    h = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1).checkpoint()
-    h = H.expire_and_append(h, file_rows(spark, d, TD.FILE_2), [V.MONTH], T2).checkpoint()
-    return H.expire_and_append(h, file_rows(spark, d, TD.FILE_3), [V.MONTH], T3)
+    h = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+    for name, stamp in zip(TD.LEDGER_FILES[1:], STAMPS[1:]):
+        h = H.expire_and_append(h.checkpoint(), file_rows(spark, d, name), [V.MONTH], stamp)
+    return h
 
 
 @query("scd_expire_append")
@@ -236,21 +236,18 @@ def q_current_rows(spark, d):
 
 @query("scd_derived_validity")
 def q_scd_derived_validity(spark, d):
-    # The three runs' appended rows, read in one scan: run and stamp follow the file.
-    f = F.col("file_name")
-    rows = months(spark, d).select(
-        "*",
-        F.when(f == TD.FILE_1, 1).when(f == TD.FILE_2, 2).otherwise(3).cast("bigint").alias(H.RUN),
-        F.when(f == TD.FILE_1, H.as_timestamp(T1)).when(f == TD.FILE_2, H.as_timestamp(T2))
-         .otherwise(H.as_timestamp(T3)).alias(H.VALID_FROM))
+    # The runs' appended rows, read in one scan: run and stamp follow the file.
+    number = F.array_position(F.array(*[F.lit(n) for n in TD.LEDGER_FILES]), F.col("file_name"))
+    stamp = F.element_at(F.array(*[F.lit(t) for t in STAMPS]), number.cast("int"))
+    rows = months(spark, d).select("*", number.cast("bigint").alias(H.RUN), H.as_timestamp(stamp).alias(H.VALID_FROM))
     return H.derive_validity(rows, [V.MONTH])
 
 
 @query("append_merge_schema")
 def q_append_merge_schema(spark, d):
-    a = file_rows(spark, d, TD.FILE_1).select(
+    a = file_rows(spark, d, *FIRST).select(
         "source_system", "company_code", "posting_date", "doc_type", "doc_number", "file_name")
-    b = file_rows(spark, d, TD.FILE_2).select(
+    b = file_rows(spark, d, *SECOND).select(
         "doc_number", "doc_line", "amount_lc", "vendor_code", "file_name",
         F.concat(F.lit("note-"), F.col("doc_type")).alias("extra_note"))
     return H.append_merge_schema(a, b)
@@ -278,7 +275,7 @@ def q_fill_sentinel(spark, d):
 
 @query("xref_anti")
 def q_xref_anti(spark, d):
-    return X.anti(TD.ledger(spark, d), _business_rules()[0], _resolver(spark, d))
+    return X.anti(TD.ledger(spark, d), _business_rules()[1], _resolver(spark, d))
 
 
 @query("xref_annotate")
@@ -305,8 +302,8 @@ def q_xref_accept(spark, d):
 @query("xref_missing_master")
 def q_xref_missing_master(spark, d):
     absent = R.Rule(95, "vendor_code", R.CROSS_REFERENCE, None, master_table="master_absent",
-                    keys=(("vendor_code", "vdr_ld_cd"),))
-    return X.annotate(TD.ledger(spark, d), [absent, _business_rules()[1]], _resolver(spark, d))
+                    keys=(("vendor_code", "vendor_id"),))
+    return X.annotate(TD.ledger(spark, d), [absent, _business_rules()[0]], _resolver(spark, d))
 
 
 @query("xref_miss_matrix")
@@ -324,14 +321,14 @@ def q_row_fingerprint(spark, d):
 @query("fingerprint_anti")
 def q_fingerprint_anti(spark, d):
     led = fill_sentinel(TD.ledger(spark, d))
-    missed = X.anti(TD.ledger(spark, d), _business_rules()[0], _resolver(spark, d))
+    missed = X.anti(TD.ledger(spark, d), _business_rules()[1], _resolver(spark, d))
     return FP.fingerprint_anti(led, missed)
 
 
 @query("overlay_by_fingerprint")
 def q_overlay_by_fingerprint(spark, d):
     led = fill_sentinel(TD.ledger(spark, d))
-    rule = _business_rules()[1]
+    rule = _business_rules()[0]
     missed = X.anti(TD.ledger(spark, d), rule, _resolver(spark, d))
     marked = FP.with_fingerprint(missed, led.columns).withColumn(
         "company_code", lookup_marker("company_code"))
@@ -369,29 +366,51 @@ def scratch(spark: SparkSession, kind: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
 
 
+_LANDINGS: dict[tuple, str] = {}
+
+
 def write_landing(spark: SparkSession, d: str, spec: DL.ReaderSpec = DL.ReaderSpec(),
                   source: DataFrame | None = None) -> str:
-    """Write the clean ledger (or ``source``) as delimited extracts, one
-    entry per file name, plus a decoy extract that selection must skip.
-    Returns the folder."""
+    """The folder of the ledger (or ``source``) as delimited extracts, one
+    entry per file name, plus a decoy extract that selection must skip.  The
+    whole ledger's folder is written once per session, tables and format."""
+    key = (spark.sparkContext.applicationId, d, spec)
+    if source is None and key in _LANDINGS:
+        return _LANDINGS[key]
     root = scratch(spark, "landing")
-    base = TD.ledger_clean(spark, d) if source is None else source
+    base = TD.ledger(spark, d) if source is None else source
     # computed once, then split into the extract folders; each extract is
     # written as several part files, as a large delivery would be
     parts = spark.sparkContext.defaultParallelism
     rows = base.withColumn("city", F.lit(CITY)).repartition(parts).checkpoint()
-    for name in TD.LEDGER_FILES:
+    for name in sorted(r[0] for r in rows.select("file_name").distinct().collect()):  # the fixture's files
         DL.write_delimited(rows.filter(F.col("file_name") == name).select(*EXTRACT_COLS),
                            f"{root}/{name}", spec)
-    DL.write_delimited(rows.filter(F.col("file_name") == TD.FILE_1).select(*EXTRACT_COLS),
-                       f"{root}/other_20240101_120000.csv", spec)
+    DL.write_delimited(rows.select(*EXTRACT_COLS), f"{root}/other_20240101_120000.csv", spec)
+    if source is None:
+        _LANDINGS[key] = root
     return root
 
 
 @query("scan_delimited")
 def q_scan_delimited(spark, d):
     root = write_landing(spark, d)
-    return DL.scan_delimited(spark, f"{root}/{TD.FILE_2}", EXTRACT_COLS)
+    return DL.scan_delimited(spark, [f"{root}/{n}" for n in TD.LEDGER_FILES], EXTRACT_COLS)
+
+
+@query("scan_malformed")
+def q_scan_malformed(spark, d):
+    """Lines with a field too many or too few keep their text."""
+    led = TD.ledger(spark, d)
+    number = F.col("doc_number").cast("bigint")
+    whole = F.array_join(F.array(*[F.coalesce(c, F.lit("")) for c in EXTRACT_COLS[:-1]]), "\t")
+    line = F.when(number % 13 == 0, F.concat(whole, F.lit("\tmore"))).when(
+        number % 17 == 0, F.concat(F.lit("less\t"), F.col("doc_number"))).otherwise(whole)
+    path = f"{scratch(spark, 'lines')}/ledger.txt"
+    led.select(line.alias("value")).write.text(path)
+    found = DL.scan_delimited(spark, path, EXTRACT_COLS[:-1], flag_malformed=True)
+    return found.select(F.col(DL.CORRUPT).isNotNull().alias("malformed"),
+                        F.coalesce(DL.CORRUPT, "doc_number").alias("line"))
 
 
 @query("ingest_files")
@@ -455,13 +474,13 @@ AUDIT_SPEC = T.StructType([
 
 @query("apply_defaults")
 def q_apply_defaults(spark, d):
-    rows = TD.ledger_clean(spark, d).select("file_name", "doc_number", "amount_lc", "company_code")
+    rows = TD.ledger(spark, d).select("file_name", "doc_number", "amount_lc", "company_code")
     return S.apply_defaults(rows, AUDIT_SPEC)
 
 
 @query("align_schema")
 def q_align_schema(spark, d):
-    rows = TD.ledger_clean(spark, d).withColumn("extra_note", F.lit("dropped")).drop("vendor_code")
+    rows = TD.ledger(spark, d).withColumn("extra_note", F.lit("dropped")).drop("vendor_code")
     return S.align_to_schema(rows, S.get_schema("ledger-bronze"))
 
 
@@ -500,15 +519,18 @@ def q_run_state(spark, d):
 
 @query("run_metrics")
 def q_run_metrics(spark, d):
-    ev = Q.evaluate(TD.ledger_clean(spark, d), _physical_rules(), batch_key="file_name")
-    counts = Q.route_counts(ev, ["file_name"]).select(
-        F.when(F.col("file_name") == TD.FILE_1, 1).when(F.col("file_name") == TD.FILE_2, 2)
-         .otherwise(3).alias("run_id"),
+    counts = Q.route_counts(_evaluated(spark, d), ["file_name"]).select(
+        F.array_position(F.array(*[F.lit(n) for n in TD.LEDGER_FILES]), F.col("file_name")).alias("run_id"),
         F.col("source_rows").alias("source_record_count"),
         F.col("accepted_rows").alias("target_record_count"))
     return K.metric_events(counts, "run_id", 2, 10, T3)
 
 
+@query("process_parameters")
+def q_process_parameters(spark, d):
+    return K.process_parameters(TD.parameters(spark, d), "finance 2", "raw to bronze", "sap0")
+
+
 # ------------------------------------------------------------ pipelines ---
 
 from tollgate.plans import loads as L  # noqa: E402
@@ -518,11 +540,11 @@ LEDGER_TABLE = "ledger"
 RAW_SPEC = DL.ReaderSpec(prefix="ledger", extension="txt", mask=EXTRACT_MASK)
 
 
-def _bronze(spark, d, source=None) -> L.Warehouse:
-    wh = L.Warehouse(scratch(spark, "warehouse"))
+def _bronze(spark, d, wh=None, source=None, run=None) -> L.Warehouse:
+    wh = wh or L.Warehouse(scratch(spark, "warehouse"))
     landing = write_landing(spark, d, RAW_SPEC, source)
-    L.bronze_load(spark, wh, LEDGER_TABLE, landing, EXTRACT_COLS[:-1] + ["city"], RAW_SPEC,
-                  _physical_rules(), L.RunInfo(1, 2, T1), apply_mask=True)
+    L.bronze_load(spark, wh, LEDGER_TABLE, landing, EXTRACT_COLS, RAW_SPEC,
+                  _physical_rules(), run or L.RunInfo(1, 2, T1), apply_mask=True)
     return wh
 
 
@@ -534,7 +556,7 @@ def _layer_counts(df: DataFrame, target: str) -> DataFrame:
 
 @query("bronze_load")
 def q_bronze_load(spark, d):
-    wh = _bronze(spark, d, gate_fixture(spark, d))
+    wh = _bronze(spark, d)
     return _layer_counts(wh.bronze(spark, LEDGER_TABLE).current(), "bronze").unionByName(
         _layer_counts(wh.bronze_rejected(spark, LEDGER_TABLE).current(), "bronze_rejected"))
 
@@ -549,31 +571,98 @@ def q_silver_load(spark, d):
     return wh.silver(spark, LEDGER_TABLE).current().select(*SILVER_COLS)
 
 
+def _silver_and_rejected(silver: DataFrame, rejected: DataFrame, more: list[str]) -> DataFrame:
+    ok = silver.select(F.lit("silver").alias("target"), *SILVER_COLS, *more,
+                       F.lit("").alias(X.REASONS), F.lit("").alias(X.ERROR_VALUE))
+    return ok.unionByName(rejected.select(F.lit("silver_rejected").alias("target"), *SILVER_COLS, *more,
+                                          X.REASONS, X.ERROR_VALUE))
+
+
 @query("silver_load_with_rejects")
 def q_silver_load_with_rejects(spark, d):
     wh = _bronze(spark, d)
     L.silver_load_with_rejects(spark, wh, LEDGER_TABLE, _business_rules(), _resolver(spark, d),
                                L.RunInfo(2, 3, T2))
-    ok = wh.silver(spark, LEDGER_TABLE).current().select(
-        F.lit("silver").alias("target"), *SILVER_COLS,
-        F.lit("").alias(X.REASONS), F.lit("").alias(X.ERROR_VALUE))
-    bad = wh.silver_rejected(spark, LEDGER_TABLE).current().select(
-        F.lit("silver_rejected").alias("target"), *SILVER_COLS, X.REASONS, X.ERROR_VALUE)
-    return ok.unionByName(bad)
+    return _silver_and_rejected(wh.silver(spark, LEDGER_TABLE).current(),
+                                wh.silver_rejected(spark, LEDGER_TABLE).current(), [])
 
 
 @query("rejected_history")
 def q_rejected_history(spark, d):
-    def rejected_of(name):
-        return Q.rejected(Q.evaluate(file_rows(spark, d, name), _physical_rules()))
-    h = H.stamp_history(rejected_of(TD.FILE_1), T1)
-    return H.append_merge_schema(H.expire_all(h, T2), H.stamp_history(rejected_of(TD.FILE_2), T2))
+    def rejected_of(names):
+        return Q.rejected(Q.evaluate(file_rows(spark, d, *names), _physical_rules(), batch_key="file_name"))
+    h = H.stamp_history(rejected_of(FIRST), T1)
+    return H.append_merge_schema(H.expire_all(h, T2), H.stamp_history(rejected_of(SECOND), T2))
 
 
 @query("history_first_load")
 def q_history_first_load(spark, d):
     store = HistoryStore(spark, scratch(spark, "history"), [V.MONTH])
-    assert not store.exists()
-    for run, name, ts in [(1, TD.FILE_1, T1), (2, TD.FILE_2, T2), (3, TD.FILE_3, T3)]:
-        store.append(file_rows(spark, d, name), run, ts)
+    for run, (name, stamp) in enumerate(zip(TD.LEDGER_FILES, STAMPS), 1):
+        store.append(file_rows(spark, d, name), run, stamp)
     return store.read()
+
+
+# ------------------------------------------------------------ second runs ---
+
+HISTORY_COLS = [H.VALID_FROM, H.VALID_TO, H.CURRENT, H.RUN]
+
+
+def _two_deliveries(spark, d, silver=None) -> L.Warehouse:
+    """The first two extracts, then the other two: bronze runs 1 and 3, each
+    followed by a silver run (2 and 4) where ``silver`` is given."""
+    wh = L.Warehouse(scratch(spark, "warehouse"))
+    for first, names in ((1, FIRST), (3, SECOND)):
+        source = TD.ledger(spark, d).filter(F.col("file_name").isin(*names))
+        _bronze(spark, d, wh, source, L.RunInfo(first, 2, STAMPS[first - 1]))
+        if silver is not None:
+            silver(spark, wh, LEDGER_TABLE, _business_rules(), _resolver(spark, d),
+                   L.RunInfo(first + 1, 3, STAMPS[first]))
+    return wh
+
+
+@query("bronze_reload")
+def q_bronze_reload(spark, d):
+    wh = _two_deliveries(spark, d)
+    kept = ["row_id", *TD.LEDGER_COLUMNS, *HISTORY_COLS]
+    ok = wh.bronze(spark, LEDGER_TABLE).read().select(F.lit("bronze").alias("target"), *kept, F.lit("").alias(Q.REASONS))
+    return ok.unionByName(wh.bronze_rejected(spark, LEDGER_TABLE).read().select(
+        F.lit("bronze_rejected").alias("target"), *kept, Q.REASONS))
+
+
+@query("silver_reload")
+def q_silver_reload(spark, d):
+    wh = _two_deliveries(spark, d, L.silver_load)
+    return wh.silver(spark, LEDGER_TABLE).read().select("row_id", *SILVER_COLS, *HISTORY_COLS)
+
+
+@query("silver_rejects_reload")
+def q_silver_rejects_reload(spark, d):
+    wh = _two_deliveries(spark, d, L.silver_load_with_rejects)
+    return _silver_and_rejected(wh.silver(spark, LEDGER_TABLE).read(),
+                                wh.silver_rejected(spark, LEDGER_TABLE).read(), HISTORY_COLS)
+
+
+@query("load_error_log")
+def q_load_error_log(spark, d):
+    wh = _two_deliveries(spark, d, L.silver_load_with_rejects)
+    return L.read_error_log(spark, wh)
+
+
+@query("load_run_state")
+def q_load_run_state(spark, d):
+    wh = _two_deliveries(spark, d, L.silver_load_with_rejects)
+    return K.run_state(L.read_run_events(spark, wh), ["source_record_count", "target_record_count", "null_month_rows"])
+
+
+@query("load_by_process")
+def q_load_by_process(spark, d):
+    """Both loads from names: process, parameters, rules and masters by table."""
+    for name, frame in TD.masters(spark, d).items():
+        frame.createOrReplaceTempView(name)
+    control = L.ControlTables(TD.parameters(spark, d), R.ledger_rules(spark), X.catalog_resolver(spark))
+    wh = L.Warehouse(scratch(spark, "warehouse"))
+    landing = write_landing(spark, d, DL.ReaderSpec(delimiter="\t"))
+    L.load_by_process(spark, wh, control, "Finance 2", "raw to bronze", "SAP0", 1, T1, LEDGER_TABLE, landing, EXTRACT_COLS)
+    L.load_by_process(spark, wh, control, "Finance 3", "bronze to silver", "SAP1", 2, T2, LEDGER_TABLE)
+    return wh.silver(spark, LEDGER_TABLE).current().select(*SILVER_COLS)

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tollgate.functions.filenames import mask_predicate, prefix_suffix_predicate
 
 CORRUPT = "_corrupt_record"
+FILE = "file_name"
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,8 @@ def scan_delimited(spark: SparkSession, paths: str | list[str], names: list[str]
     schema = text_schema(names, flag_malformed)
     reader = spark.read.schema(schema).options(**spec.options())
     if flag_malformed:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        # a pruned read would not see that a line has more fields
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", "false")
     return reader.csv(paths if isinstance(paths, list) else [paths])
 
 
@@ -95,6 +97,14 @@ def list_entries(spark: SparkSession, folder: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p))
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files below ``folder`` (from the file system's metadata)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def select_files(names: DataFrame, spec: ReaderSpec, name_col: str = "file_name",
                  apply_mask: bool = False) -> DataFrame:
     """Extract names matching prefix and extension case-insensitively (and
@@ -106,23 +116,42 @@ def select_files(names: DataFrame, spec: ReaderSpec, name_col: str = "file_name"
 
 
 def extract_name(root: str):
-    """Column: the landing-folder entry a row was read from."""
-    root_path = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//)?", "", root.rstrip("/"))
-    pattern = re.escape(root_path).replace("\\/", "/") + "/([^/]+)"
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    """Column: the landing-folder entry a row was read from.
+
+    The path that Spark reports is URI-encoded (a blank is ``%20``, a per cent
+    sign ``%25``), with ``+`` standing for itself."""
+    folder = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//)?", "", root.rstrip("/"))
+    return F.regexp_extract(decoded_path(), re.escape(folder) + "/([^/]+)", 1)
+
+
+def decoded_path():
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def ingest(spark: SparkSession, landing: str, names: list[str], spec: ReaderSpec = ReaderSpec(),
            file_col: str = "file_name", apply_mask: bool = False,
-           flag_malformed: bool = False, exclude: set[str] | None = None) -> DataFrame:
+           flag_malformed: bool = False, loaded: DataFrame | None = None,
+           only: DataFrame | None = None) -> DataFrame:
     """Select the landing folder's extracts by the spec and read them all in
-    one scan, each row tagged with its extract name.  ``exclude`` skips
-    extracts already loaded (re-runs do not ingest a file twice)."""
-    entries = [n for n in list_entries(spark, landing) if n not in (exclude or set())]
-    listing = spark.createDataFrame([(n,) for n in entries], "file_name string")
+    one scan, each row tagged with its extract name.  ``loaded`` (file_name)
+    names extracts that are not read again, ``only`` (file_name) those that are
+    read at all.
+
+    The listing is the driver's, as for any scan of named files; which of its
+    entries are new is an anti join against ``loaded``."""
+    listing = spark.createDataFrame([(n,) for n in list_entries(spark, landing)], "file_name string")
+    if loaded is not None:
+        listing = listing.join(loaded.select("file_name"), "file_name", "left_anti")
+    if only is not None:
+        listing = listing.join(only.select("file_name").distinct(), "file_name", "left_semi")
     chosen = [r.file_name for r in select_files(listing, spec, apply_mask=apply_mask).collect()]
     if not chosen:
-        return spark.createDataFrame([], text_schema(names).add(file_col, T.StringType()))
-    paths = [f"{landing.rstrip('/')}/{n}" for n in chosen]
+        return spark.createDataFrame([], text_schema(names, flag_malformed).add(file_col, T.StringType()))
+    paths = [f"{landing.rstrip('/')}/{_escaped(n)}" for n in chosen]
     df = scan_delimited(spark, paths, names, spec, flag_malformed)
     return df.select("*", extract_name(landing).alias(file_col))
+
+
+def _escaped(name: str) -> str:
+    """A listed name as a literal in a path that Spark reads as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", name)

@@ -1,59 +1,148 @@
 """Path-backed, append-only history tables.
 
 Parquet has no UPDATE or MERGE, and rewriting a whole history table on every
-load does not scale.  A load therefore only *adds* files: its rows go to
-``<path>/run_id=<n>/...``,
-stamped with ``valid_from``.  ``valid_to``/``is_current`` are derived on read
-from the distinct (scope, run) pairs (see ``history.derive_validity``), so an
-older version expires the moment a newer run writes the same scope — with no
-file of the older run touched.
-
-Writes use dynamic partition overwrite of the run's own partitions, so a
-retried load (after an executor or driver loss) replaces its partial output
-instead of duplicating it.  A load that writes no rows creates no partition
-and therefore supersedes nothing.
+load does not scale.  A load only adds files, and replaces nothing but its own
+run::
+
+    <path>/data/run_id=<n>/[<scope>=<value>/]  the run's rows, with valid_from
+    <path>/scopes/run_id=<n>/                  the scope keys the run wrote
+    <path>/runs/run_id=<n>/                    whose run it is
+    <path>/spec/columns=<n>/                   the table's columns, by their number
+
+``valid_to``/``is_current`` follow from the scopes table (scopes x runs rows,
+never a scan of the data): a version expires when a newer run has written the
+same scope, with no file of the older run touched.  ``current()`` reads no
+partition of a run before the oldest that still has a current scope.
+
+Writes replace the run's folders as a whole, empty results included, so a
+retried load leaves nothing of its first attempt, whatever the new verdicts.
+A run id that another delivery has used is refused.  The columns come from
+the stored spec: a read never merges footers, and a table that has not
+received any row can be read.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
 
 from tollgate.operators.history import (CURRENT, RUN, VALID_FROM, VALID_TO, as_timestamp,
-                                        derive_validity)
+                                        newest_runs, next_runs, with_validity)
+
+
+class RunInUse(ValueError):
+    """The run id belongs to another delivery."""
 
 
 class HistoryStore:
     def __init__(self, spark: SparkSession, path: str, scope_cols: list[str] | None = None):
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
         self.scope_cols = list(scope_cols or [])
 
+    # ------------------------------------------------------------- paths ---
+
+    def _part(self, kind: str) -> str:
+        return f"{self.path}/{kind}"
+
+    def _run_part(self, kind: str, run_id: int) -> str:
+        return f"{self._part(kind)}/{RUN}={run_id}"
+
+    def _entries(self, folder: str) -> list[str]:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    # ------------------------------------------------------------ schema ---
+
+    def schema(self) -> T.StructType | None:
+        """Business columns of the table, from the newest spec; None before
+        the first load."""
+        specs = [int(n.split("=")[1]) for n in self._entries(self._part("spec")) if n.startswith("columns=")]
+        if not specs:
+            return None
+        row = self.spark.read.schema("spec string").parquet(f"{self._part('spec')}/columns={max(specs)}").first()
+        return T.StructType.fromJson(json.loads(row["spec"]))
+
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path).schema
-            return True
-        except AnalysisException:
-            return False
-
-    def append(self, rows: DataFrame, run_id: int, as_of) -> None:
-        """Write one run's rows (schema may add columns: read merges)."""
+        return self.schema() is not None
+
+    def _widen(self, incoming: T.StructType) -> T.StructType:
+        """The spec with the incoming columns it lacks, nullable, at its end."""
+        known = self.schema()
+        have = known.fields if known else []
+        names = {f.name for f in have}
+        fields = have + [T.StructField(f.name, f.dataType, True) for f in incoming if f.name not in names]
+        wide = T.StructType(fields)
+        if known is None or len(fields) > len(have):
+            self.spark.createDataFrame([(wide.json(),)], "spec string").coalesce(1).write.mode("overwrite").parquet(
+                f"{self._part('spec')}/columns={len(fields)}")
+        return wide
+
+    # ------------------------------------------------------------- write ---
+
+    def append(self, rows: DataFrame, run_id: int, as_of, delivery: str = "") -> None:
+        """Write one run's rows; ``delivery`` names what the run loads, so that
+        a retry can be told from another load with the same run id."""
+        self.claim(run_id, f"{as_of}|{delivery}")
         drop = [c for c in (VALID_TO, CURRENT, RUN, VALID_FROM) if c in rows.columns]
-        out = rows.drop(*drop).withColumn(VALID_FROM, as_timestamp(as_of)) \
-                  .withColumn(RUN, F.lit(run_id).cast("bigint"))
-        (out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(RUN)
-            .parquet(self.path))
+        business = rows.drop(*drop)
+        self._widen(business.schema)
+        out = business.withColumn(VALID_FROM, as_timestamp(as_of))
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if self.scope_cols:
+            writer = writer.partitionBy(*self.scope_cols)
+        writer.parquet(self._run_part("data", run_id))
+        written = self.raw().filter(F.col(RUN) == run_id).select(*self.scope_cols, VALID_FROM)
+        scopes = written.distinct() if self.scope_cols else written.limit(1)
+        scopes.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._run_part("scopes", run_id))
+
+    def claim(self, run_id: int, owner: str) -> None:
+        folder = self._run_part("runs", run_id)
+        if self._entries(folder):
+            holder = self.spark.read.schema("owner string").parquet(folder).first()["owner"]
+            if holder != owner:
+                raise RunInUse(f"run {run_id} of {self.path} belongs to {holder!r}, not to {owner!r}")
+            return
+        self.spark.createDataFrame([(owner,)], "owner string").coalesce(1).write.parquet(folder)
+
+    # -------------------------------------------------------------- read ---
+
+    def _read(self, kind: str, schema: T.StructType) -> DataFrame:
+        whole = T.StructType([*schema.fields, T.StructField(RUN, T.LongType())])
+        if not self._entries(self._part(kind)):
+            return self.spark.createDataFrame([], whole)
+        return self.spark.read.schema(whole).parquet(self._part(kind))
 
     def raw(self) -> DataFrame:
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.path)
-        return df.withColumn(RUN, F.col(RUN).cast("bigint"))
+        """All versions as written: business columns, valid_from, run_id."""
+        known = self.schema()
+        if known is None:
+            raise LookupError(f"no load has written {self.path}")
+        return self._read("data", T.StructType([*known.fields, T.StructField(VALID_FROM, T.TimestampNTZType())]))
+
+    def scopes(self) -> DataFrame:
+        """(scope columns, valid_from, run_id) of every run that wrote rows."""
+        known = self.schema() or T.StructType()
+        return self._read("scopes", T.StructType([
+            *[known[c] for c in self.scope_cols if c in known.fieldNames()],
+            T.StructField(VALID_FROM, T.TimestampNTZType())]))
 
     def read(self) -> DataFrame:
         """All versions with derived valid_to / is_current."""
-        return derive_validity(self.raw(), self.scope_cols or None, RUN, VALID_FROM)
+        return with_validity(self.raw(), next_runs(self.scopes(), self.scope_cols), self.scope_cols)
 
     def current(self) -> DataFrame:
-        return self.read().filter(F.col(CURRENT))
+        """The current versions only: partitions of expired runs are not read."""
+        if not self.scope_cols:
+            newest = self.scopes().agg(F.max(RUN)).first()[0]
+            kept = self.raw().filter(F.col(RUN) == (-1 if newest is None else newest))
+            return kept.withColumn(VALID_TO, F.lit(None).cast("timestamp_ntz")).withColumn(CURRENT, F.lit(True))
+        alive = newest_runs(self.scopes(), self.scope_cols)
+        oldest = alive.agg(F.min("_tg_run")).first()[0]  # from the scopes table alone
+        kept = self.raw().filter(F.col(RUN) >= (0 if oldest is None else oldest))
+        return with_validity(kept, alive, self.scope_cols, how="inner")

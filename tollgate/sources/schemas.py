@@ -35,23 +35,6 @@ def field(name: str, dtype: T.DataType, nullable: bool = True, comment: str | No
     return T.StructField(name, dtype, nullable, meta)
 
 
-# Column order of the finance extract (26 text columns).
-EXTRACT_COLUMNS = [
-    "SOURCE_SYSTEM_CODE", "COMPANY_CODE", "POSTING_DATE", "POSTING_DOC_TYPE", "POSTING_DOC_NUMBER",
-    "POSTING_DOC_LINE_NUMBER", "POSTING_TEXT", "POSTING_TEXT_ADDITIONAL", "ORIG_DOC_ENTRY_DATE",
-    "ORIG_DOC_ISSUE_DATE", "REVERSE_POSTING_DOC_NUMBER", "COST_CENTER_CODE", "SAP_ACCOUNT_CODE",
-    "SAP_ACCOUNT_NAME", "OFF_SAP_ACCOUNT_CODE", "OFF_SAP_ACCOUNT_NAME", "TRANS_CURRENCY_CODE",
-    "LOCAL_CURRENCY_CODE", "USER_NAME", "EXPENSE_AMOUNT_LC", "EXPENSE_AMOUNT_TC", "TRANS_UM_CODE",
-    "EXPENSE_QTY_TRANS_UM", "VENDOR_CODE", "VENDOR_NAME", "COST_CENTER_NAME",
-]
-# Typed columns and NOT NULL columns of the finance silver layout.
-EXTRACT_DATES = ["POSTING_DATE", "ORIG_DOC_ENTRY_DATE", "ORIG_DOC_ISSUE_DATE"]
-EXTRACT_DECIMALS = {"EXPENSE_AMOUNT_LC": T.DecimalType(25, 5), "EXPENSE_AMOUNT_TC": T.DecimalType(25, 5),
-                    "EXPENSE_QTY_TRANS_UM": T.DecimalType(15, 5)}
-EXTRACT_REQUIRED = ["SOURCE_SYSTEM_CODE", "COMPANY_CODE", "POSTING_DATE", "TRANS_CURRENCY_CODE",
-                    "LOCAL_CURRENCY_CODE"]
-
-
 def _raw(names: list[str]) -> T.StructType:
     return T.StructType([field(n, T.StringType()) for n in names])
 
@@ -73,14 +56,10 @@ def _typed(names, dates, decimals, required, file_col, row_col, date_fmt="yyyyMM
     return _with_lineage(T.StructType(out), file_col, row_col)
 
 
-LEDGER_TEXT = [c for c in ["source_system", "company_code", "posting_date", "doc_type", "doc_number",
-                           "doc_line", "entry_date", "amount_lc", "vendor_code"]]
+LEDGER_TEXT = ["source_system", "company_code", "posting_date", "doc_type", "doc_number",
+               "doc_line", "entry_date", "amount_lc", "vendor_code"]
 
 SCHEMAS: dict[str, T.StructType] = {
-    "fin-act-raw": _raw(EXTRACT_COLUMNS),
-    "fin-act-bronze": _with_lineage(_raw(EXTRACT_COLUMNS), "DW_FILE_NAME", "DW_ROW_ID"),
-    "fin-act-silver": _typed(EXTRACT_COLUMNS, EXTRACT_DATES, EXTRACT_DECIMALS, EXTRACT_REQUIRED,
-                             "DW_FILE_NAME", "DW_ROW_ID"),
     "ledger-raw": _raw(LEDGER_TEXT),
     "ledger-bronze": _with_lineage(_raw(LEDGER_TEXT), "file_name", "row_id"),
     "ledger-silver": _typed(LEDGER_TEXT, ["posting_date", "entry_date"],
@@ -154,8 +133,3 @@ def align_to_schema(df: DataFrame, schema: T.StructType, keep_extra: bool = Fals
         names = set(schema.fieldNames())
         cols += [F.col(c) for c in df.columns if c not in names]
     return df.select(*cols)
-
-
-def shared_columns(a: DataFrame, b: DataFrame) -> list[str]:
-    """Columns of ``a`` that ``b`` also has, in ``a``'s order."""
-    return [c for c in a.columns if c in set(b.columns)]

@@ -17,11 +17,13 @@ LEDGER_COLUMNS = [
     "doc_line", "entry_date", "amount_lc", "vendor_code", "file_name",
 ]
 
-# The three extract file names of the ledger fixture, oldest first.
+# The extract file names of the ledger fixture, oldest first.
+# The last one holds every order with a fault that rejects its whole extract.
 FILE_1 = "ledger_20240101_120000.txt"
 FILE_2 = "ledger_20240102_120000.txt"
 FILE_3 = "ledger_20240103_120000.txt"
-LEDGER_FILES = [FILE_1, FILE_2, FILE_3]
+FILE_4 = "ledger_20240104_120000.txt"
+LEDGER_FILES = [FILE_1, FILE_2, FILE_3, FILE_4]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,15 +38,11 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def ledger(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
-    """The ledger fixture.  The full ledger fails the batch gate on purpose;
-    ``clean=True`` keeps only orders whose rows pass the batch rules (the
-    filter runs on the lineitem side before the join)."""
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger fixture: every line of every order, in four extracts."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
-    if clean:
-        li = li.filter((F.col("l_orderkey") % 97 != 0) & (F.col("l_orderkey") % 89 != 0))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
     ok, pk = F.col("l_orderkey"), F.col("l_partkey")
@@ -65,22 +63,18 @@ def ledger(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
                  F.when(pk % 41 == 0, F.lit("-")).otherwise(F.lit(""))).alias("amount_lc"),
         F.when(pk % 37 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("V"), _s(F.col("l_suppkey")))).alias("vendor_code"),
-        F.when((month % 3 == 0) & (ok % 3 == 2), F.lit(FILE_3))
+        F.when((ok % 97 == 0) | (ok % 89 == 0), F.lit(FILE_4))
+         .when((month % 3 == 0) & (ok % 3 == 2), F.lit(FILE_3))
          .when((month % 2 == 0) & (ok % 3 == 1), F.lit(FILE_2))
          .otherwise(F.lit(FILE_1)).alias("file_name"),
     )
 
 
-def ledger_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger rows that pass the batch rules (the gate lets row rules run)."""
-    return ledger(spark, sf_dir, clean=True)
-
-
 def vendor_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return (s.filter(F.col("s_suppkey") % 7 != 0)
              .select(F.concat(F.lit("C"), _s(F.col("s_suppkey") % 25)).alias("company_code"),
-                     F.concat(F.lit("V"), _s(F.col("s_suppkey"))).alias("vdr_ld_cd"))
+                     F.concat(F.lit("V"), _s(F.col("s_suppkey"))).alias("vendor_id"))
              .distinct())
 
 
@@ -145,3 +139,17 @@ def processes(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit("SP TO S3")).alias("step_name"),
         F.concat(F.lit("SAP"), _s(uid % 2)).alias("source_system"),
         F.when(uid % 7 == 0, F.lit("I")).otherwise(F.lit("A")).alias("status"))
+
+
+def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameter table: one active row per process of ``processes``, with the
+    reader settings of its extracts; inactive processes keep an old row."""
+    p = processes(spark, sf_dir)
+    step = F.col("process_id") % 3
+    return p.withColumn("process_name", F.concat(F.lit("Finance "), _s(F.col("process_id")))).withColumn(
+        "step_name", F.when(step == 2, F.lit("RAW TO BRONZE")).when(step == 0, F.lit("BRONZE TO SILVER"))
+        .otherwise(F.lit("SP TO S3"))).select(
+        "*", F.lit("ledger").alias("file_prefix"), F.lit("txt").alias("file_extension"),
+        F.lit("{fileName}_{yyyymmdd}_{hhmmss}.{fileExtension}").alias("file_mask"),
+        F.when(F.col("process_id") % 2 == 0, F.lit("\t")).otherwise(F.lit("|")).alias("file_delimiter"),
+        F.lit("ledger-raw").alias("schema_name"))
