@@ -61,7 +61,9 @@ def _fit(labelled: DataFrame, tokens: int) -> tuple[list[str], list[float], dict
     if len(domains) < 2:
         return domains or [NO_LABELS], [0.0], {}
     total = sum(sizes.values())
-    counted = labelled.select("domain", F.explode("_seen").alias("token")).groupBy("token").agg(
+    # The outer form, since for the plain one the optimizer would tokenize every
+    # document below the join as well, to filter out empty arrays.
+    counted = labelled.select("domain", F.explode_outer("_seen").alias("token")).groupBy("token").agg(
         *[F.count(F.when(F.col("domain") == d, 1)).alias(f"c{i}") for i, d in enumerate(domains)])
     # Mutual information of the token's presence with the domain.
     held = reduce(Column.__add__, [F.col(f"c{i}") for i in range(len(domains))])
@@ -75,7 +77,7 @@ def _fit(labelled: DataFrame, tokens: int) -> tuple[list[str], list[float], dict
     # A token must be typical of some domain: common words that merely go with a
     # language or a length would count many times over.
     lift = F.greatest(*[F.col(f"c{i}") / sizes[d] for i, d in enumerate(domains)]) / (held / total)
-    best = counted.filter((F.col("token") != "") & (lift >= LIFT)).orderBy(gain.desc(), "token").limit(tokens).collect()  # the model: TOKENS rows
+    best = counted.filter(F.col("token").isNotNull() & (F.col("token") != "") & (lift >= LIFT)).orderBy(gain.desc(), "token").limit(tokens).collect()  # the model: TOKENS rows
     base = [log(sizes[d] / total) for d in domains]
     weights = {}
     for r in best:
@@ -93,7 +95,8 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     known = labels.select(F.col(id_col).alias("_label_id"), F.col("domain").cast("string").alias("domain")).filter(
         "_label_id is not null and domain is not null").groupBy("_label_id").agg(F.min("domain").alias("domain"))
     texts = docs.select(F.col(id_col).alias("_label_id"), F.col(text_col).alias("_text"))
-    labelled = _described(texts.join(known, "_label_id"), F.col("_text")).select("domain", "_seen")
+    # Labels grow with the documents: the same kind of join at every size.
+    labelled = _described(texts.join(known.hint("merge"), "_label_id"), F.col("_text")).select("domain", "_seen")
     domains, base, weights = _fit(labelled, tokens)
     described = _described(docs, F.col(text_col))
     if not weights:
