@@ -7,7 +7,7 @@ cuts the lineage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tollgate.llm.staging import materialise
@@ -27,8 +27,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and a digest of them from the same job."""
+    seen = Observation()
+    digest = (F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"))
+    table = materialise(edges.observe(seen, *digest), "edges")
+    return table, (seen.get["n"], seen.get["x"])
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -37,13 +41,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Only nodes with a link to another node are returned; loops, repeated and
     reversed links do not matter, and no links give an empty result.
     """
-    now = materialise(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                      .distinct(), "edges")
-    state = _state(now)
+    now, state = _written(edges.filter("u <> v").select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while state[0]:
-        # large star keeps u > v by construction, which small star expects
-        now = materialise(_small_star(materialise(_large_star(now), "large")), "small")
-        before, state = state, _state(now)
+        # large star keeps u > v, which small star expects
+        before = state
+        now, state = _written(_small_star(_large_star(now)))
         if state == before:
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

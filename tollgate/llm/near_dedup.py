@@ -8,11 +8,20 @@ most 2 T rounds, and the share of equal coordinates of two sketches
 concentrates around the similarity as for T independent hash functions.
 
 BANDS bands of T / BANDS coordinates make the bucket keys.  Within a bucket
-every set is compared to the bucket's first set only; links are confirmed on
-the full sets.  Buckets whose sets do not end in one component are taken up
-again with other pivots, and what is then still apart is compared across
-components.  So a group of thousands of copies costs about one comparison for
-each member and bucket, and no candidate is left out.
+every set is compared to one pivot only, the set that meets most others in all
+its buckets: of edited copies that is the original, or the least edited one.
+Links are confirmed on the full sets.  Buckets whose sets do not end in one
+component are taken up once more with a random pivot.  So a group of thousands
+of copies costs about one comparison for each member and bucket.
+
+What a bucket then still has in different components may be linked by pairs
+without a pivot, or may be alike but not enough, like copies with many edits
+each, of which there are as many pairs as the square of the group.  Those sets
+are joined on the rare ends of their sorted sets: for two sets of sizes a and b
+to have the similarity, ``o = ceil(t (a + b) / (1 + t))`` shingles must be
+common, so the first ``a - o + 1`` and ``b - o + 1`` shingles, sorted by
+frequency, must meet.  Copies with many edits begin with their own shingles and
+do not meet.  No candidate is left out.
 
 Documents with equal sets are one node of the graph; within an input task
 they are grouped first, so a hot set sends one row per task.
@@ -25,7 +34,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm.graph import connected_components
@@ -35,7 +44,8 @@ from tollgate.llm.textarrays import blocks, distinct_by_text, mix, shingles, wor
 SHINGLE = 5
 THRESHOLD = 75  # per cent
 T, BANDS = 128, 32
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1  # with random pivots
+SIZE_STEP = 0.02  # of the size classes in which rare ends are joined
 LOCAL_SETS = 500_000  # sets that a task remembers to group its own copies
 
 _ROUND = mix(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -166,12 +176,74 @@ def _confirm(k: int, threshold: int):
 
 def links(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The (u, v) pairs of rows whose sets are similar; ``texts`` has row, body."""
-    u = texts.select(F.col("row").alias("u"), F.col("body").alias("u_body"))
-    v = texts.select(F.col("row").alias("v"), F.col("body").alias("v_body"))
+    wanted = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row"))).distinct()
+    needed = texts.join(wanted, "row", "left_semi")
+    u = needed.select(F.col("row").alias("u"), F.col("body").alias("u_body"))
+    v = needed.select(F.col("row").alias("v"), F.col("body").alias("v_body"))
     both = pairs.select("u", "v").join(v, "v").join(u, "u").select("u", "v", "u_body", "v_body")
     return both.mapInArrow(_confirm(k, threshold), "u long, v long")
 
 
+def _shingle_lists(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column("body")):
+                values, offsets = distinct_by_text(*shingles(words(block), k))
+                to = slice(block.first, block.first + block.n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node")[to], batch.column("component")[to], pa.array(np.diff(offsets).astype(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))],
+                    names=["node", "component", "n", "grams"])
+
+    return run
+
+
+def _size_class(n) -> F.Column:
+    """Classes of set sizes: single sizes first, then steps of SIZE_STEP."""
+    start = int(1 / SIZE_STEP)
+    return F.when(n <= start, n).otherwise(start + F.floor(F.log(n / start) / np.log1p(SIZE_STEP))).cast("long")
+
+
+def _least_of_class(c) -> F.Column:
+    start = int(1 / SIZE_STEP)
+    return F.when(c <= start, c.cast("double")).otherwise(start * F.pow(F.lit(1 + SIZE_STEP), c - start) - 1e-6)
+
+
+def rare_end_pairs(nodes: DataFrame, texts: DataFrame, k: int, threshold: int) -> DataFrame:
+    """(node, other) in different components that may be similar: those whose
+    rare ends meet.  ``nodes`` has node, component."""
+    sets = nodes.join(texts.withColumnRenamed("row", "node"), "node").select("node", "component", "body").mapInArrow(
+        _shingle_lists(k), "node long, component long, n long, grams array<long>")
+    grams = materialise(sets, "sets").select("node", "component", "n", F.explode("grams").alias("gram"))
+    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    ranked = grams.join(often, "gram").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("node").orderBy("df", "gram")))
+    t = threshold / 100
+    n = F.col("n")
+    # Of a partner in the size class ``other`` at least ``least`` shingles, so at least ``o`` in common.
+    o = F.ceil(t / (1 + t) * (n + _least_of_class(F.col("other"))) - 1e-6)
+    ends = (ranked.filter((F.col("df") > 1) & (F.col("rank") <= n - F.ceil(t * n - 1e-6) + 1))
+            .withColumn("own", _size_class(n))
+            .withColumn("other", F.explode(F.sequence(_size_class(F.ceil(t * n - 1e-6)), _size_class(F.floor(n / t + 1e-6)))))
+            .filter(F.col("rank") <= n - o + 1)
+            .select("node", "component", "gram", "own", "other"))
+    ends = materialise(ends, "rare_ends")
+    key = ["gram", "own", "other"]  # met by the same shingle's rows with own and other exchanged
+    sides = ends.groupBy(*key, "component").agg(F.count(F.lit(1)).alias("size"))
+    both = sides.unionByName(sides.select("gram", F.col("own").alias("other"), F.col("other").alias("own"), "component", "size"))
+    # Compared are the sets outside the key's largest component with all others.
+    main = (both.groupBy(*key, "component").agg(F.sum("size").alias("size"))
+            .groupBy(*key).agg(F.max_by("component", "size").alias("main"), F.count(F.lit(1)).alias("components"))
+            .filter("components > 1").drop("components"))
+    mixed = ends.join(main, key)
+    outside = mixed.filter("component <> main").select(
+        "gram", F.col("own").alias("other"), F.col("other").alias("own"), F.col("node").alias("met"),
+        F.col("component").alias("theirs"))
+    return mixed.join(outside, key).filter(
+        (F.col("component") != F.col("theirs")) & ((F.col("component") == F.col("main")) | (F.col("node") < F.col("met")))
+    ).select("node", F.col("met").alias("other"))
+
+
 def _pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
     """Distinct pairs with the smaller row first."""
     return frame.filter(F.col(a) != F.col(b)).select(
@@ -205,11 +277,21 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     buckets = materialise(banded.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("size > 1"), "buckets")
-    large = materialise(banded.join(buckets.filter("size > 2").select("key", "lo"), "key"), "large_buckets")
-    first = _pairs(buckets, "lo", "hi").unionByName(_pairs(large, "lo", "node")).distinct()
-    tried = [materialise(first, "pairs")]
-    linked = [materialise(links(tried[0], texts, k, threshold), "links")]
-    component = connected_components(linked[0])
+    large = materialise(banded.join(buckets.filter("size > 2").select("key", "size"), "key"), "large_buckets")
+    meets = large.groupBy("node").agg(F.sum("size").alias("meets"))
+    pivots = large.select("key", "node").join(meets, "node").groupBy("key").agg(
+        F.max_by("node", F.struct("meets", "node")).alias("pivot"))
+    first = materialise(_pairs(buckets.filter("size = 2"), "lo", "hi").unionByName(
+        _pairs(large.join(pivots, "key"), "pivot", "node")).distinct(), "pairs")
+    tried = [first]
+    component = connected_components(materialise(links(first, texts, k, threshold), "links"))
+
+    def joined(new: DataFrame, before: DataFrame) -> DataFrame:
+        """Components with the confirmed ones of the new pairs."""
+        found = materialise(links(new, texts, k, threshold), "links")
+        if found.isEmpty():
+            return before
+        return connected_components(found.unionByName(before.select(F.col("node").alias("u"), F.col("component").alias("v"))))
 
     for turn in range(PIVOT_ROUNDS + 1):
         # Buckets whose sets are still in more than one component.
@@ -218,23 +300,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         apart = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter(
             "lo < hi").select("key")
         rest = materialise(labelled.join(apart, "key"), "apart")
+        if rest.isEmpty():
+            break
         if turn < PIVOT_ROUNDS:
             salt = F.xxhash64(F.col("node"), F.lit(turn))
             pivot = rest.groupBy("key").agg(F.max_by(F.struct("node", "component"), salt).alias("p"))
             found = _pairs(rest.join(pivot, "key").filter("component <> p.component").select(
                 "node", F.col("p.node").alias("pivot")), "node", "pivot")
         else:
-            other = rest.select("key", F.col("node").alias("other"), F.col("component").alias("theirs"))
-            found = _pairs(rest.join(other, "key").filter("component < theirs"), "node", "other")
+            found = _pairs(rare_end_pairs(rest.select("node", "component").distinct(), texts, k, threshold), "node", "other")
         new = materialise(found.join(reduce(DataFrame.unionByName, tried), ["u", "v"], "left_anti"), "pairs")
-        if new.isEmpty():
-            if rest.isEmpty():
-                break
-            continue
-        tried.append(new)
-        linked.append(materialise(links(new, texts, k, threshold), "links"))
-        if not linked[-1].isEmpty():
-            component = connected_components(reduce(DataFrame.unionByName, linked))
+        if not new.isEmpty():
+            tried.append(new)
+            component = joined(new, component)
 
     of_node = node.select("node", "best").join(component, "node", "left").select(
         "node", "best", F.coalesce("component", "node").alias("component"))
