@@ -23,10 +23,15 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id (of
-    repeated rows, one)."""
+    several rows with that id, one).  A null id stays where no row of its group
+    has an id."""
     workers_import_this(spark)
-    kept = near_dedup.near_dedup(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    stays = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = near_dedup.near_dedup(docs).filter("kept")
+    without_id = F.when(F.col("doc_id").isNull(), F.col("content"))
+    chosen = kept.groupBy(F.col("doc_id").alias("_id"), without_id.alias("_apart")).agg(
+        F.min("content").alias("_content")).drop("_apart")
+    stays = docs.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (
+        F.xxhash64("text") == F.col("_content")), "left_semi")
     return stays.dropDuplicates(["doc_id", "text"])
 
 

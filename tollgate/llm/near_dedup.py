@@ -124,16 +124,17 @@ def _describe(k: int, t: int, bands: int):
                 # a null index takes a null
                 text_of = pa.array(block.first + np.arange(block.n), mask=~is_new)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(own), batch.column("id").slice(block.first, block.n), pa.array(size.astype(np.int64)),
+                    pa.array(own), batch.column("id").slice(block.first, block.n),
+                    batch.column("content").slice(block.first, block.n), pa.array(size.astype(np.int64)),
                     pa.array(key[0].view(np.int64)), pa.array(key[1].view(np.int64)), pa.array(first),
                     pa.array(lists, pa.list_(pa.int64())),
                     batch.column("body").take(text_of)],
-                    names=["row", "id", "n", "ka", "kb", "first", "bands", "body"])
+                    names=["row", "id", "content", "n", "ka", "kb", "first", "bands", "body"])
 
     return run
 
 
-_DESCRIBED = "row long, id long, n long, ka long, kb long, first long, bands array<long>, body string"
+_DESCRIBED = "row long, id long, content long, n long, ka long, kb long, first long, bands array<long>, body string"
 
 
 def _runs(batch: pa.RecordBatch, column: str) -> np.ndarray:
@@ -252,7 +253,8 @@ def _pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                threshold: int = THRESHOLD, t: int = T, bands: int = BANDS) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+    """One row per input row: doc_id, n_shingles, component_id, kept, content
+    (``xxhash64(text)``, which finds the row again where ids repeat).
 
     - Words are runs of non-white-space (ASCII), A-Z lower-cased; a text with
       fewer than k words is one shingle; null, empty and word-less texts have
@@ -264,7 +266,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     - An empty table gives an empty result; other columns are not read.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+                       F.coalesce(F.col(text_col), F.lit("")).alias("body"),
+                       F.xxhash64(F.col(text_col)).alias("content"))
     described = materialise(rows.mapInArrow(_describe(k, t, bands), _DESCRIBED), "described")
 
     # Nodes: distinct sets, named by their smallest row that has the text.
@@ -318,12 +321,12 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "node", "best", F.coalesce("component", "node").alias("component"))
     least = of_node.groupBy("component").agg(F.min("best").alias("component_id"))
     resolved = member.join(of_node.join(least, "component").select("node", "component_id"), "node")
-    joined = described.select("id", "n", "first").join(
+    joined = described.select("id", "content", "n", "first").join(
         resolved.select("first", "component_id"), "first", "left")
     component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                         component_id.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+                         component_id.alias("component_id"), "content").select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "content")
 
 
 ORACLE_SQL = r"""

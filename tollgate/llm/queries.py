@@ -54,7 +54,7 @@ def q_url_filter(spark, d):
 
 @query("op5_near_dedup", op5.ORACLE_SQL)
 def q_near_dedup(spark, d):
-    return op5.near_dedup(table(spark, d, "documents"))
+    return op5.near_dedup(table(spark, d, "documents")).drop("content")
 
 
 @query("op7_token_output")
