@@ -178,10 +178,11 @@ def _confirm(k: int, threshold: int):
 def links(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
     """The (u, v) pairs of rows whose sets are similar; ``texts`` has row, body."""
     wanted = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row"))).distinct()
-    needed = texts.join(wanted, "row", "left_semi")
+    # Pairs grow with the documents: the same kind of join at every size.
+    needed = texts.join(wanted.hint("merge"), "row", "left_semi")
     u = needed.select(F.col("row").alias("u"), F.col("body").alias("u_body"))
     v = needed.select(F.col("row").alias("v"), F.col("body").alias("v_body"))
-    both = pairs.select("u", "v").join(v, "v").join(u, "u").select("u", "v", "u_body", "v_body")
+    both = pairs.select("u", "v").hint("merge").join(v, "v").join(u.hint("merge"), "u").select("u", "v", "u_body", "v_body")
     return both.mapInArrow(_confirm(k, threshold), "u long, v long")
 
 
