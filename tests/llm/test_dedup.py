@@ -212,3 +212,37 @@ def test_align_extends_and_bridges():
     b = np.concatenate([np.arange(500, 505), a[3:40], [7777, 7778], a[42:50], a[53:90]])
     x0, x1, y0, y1, equal = op2.align(a, b, [10, 44, 60], [12, 46, 59], [20, 5, 20])
     assert (x0, x1, y0, y1) == (3, 90, 5, 89) and equal == 82
+
+
+def filled_in(common, seed):
+    """A template: 55 equal words, then three times 16 of one's own and 20 equal ones."""
+    own = iter([f"f{seed}n{i}" for i in range(48)])
+    out, at = list(common[:55]), 55
+    for _ in range(3):
+        out += [next(own) for _ in range(16)] + common[at:at + 20]
+        at += 20
+    return out
+
+
+def test_passages_of_a_template_with_fill_ins(spark):
+    common = prose(60, 115, 4000)
+    rows = [(i, " ".join([*prose(6000 + i, 30, 4000), *filled_in(common, i), *prose(6100 + i, 30, 4000)])) for i in range(4)]
+    got = op2.repeated_passages(frame(spark, rows)).collect()
+    for i in (1, 2, 3):  # of the first one the others are copies
+        assert any(x.doc_id == i and x.start_word <= 30 and x.end_word >= 85 and x.identity >= 0.8 for x in got)
+    assert {x.doc_id for x in got} | {x.ref_doc_id for x in got} == {0, 1, 2, 3}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_good_spans_equal_brute_force(seed):
+    r = random.Random(seed)
+    a = np.arange(300)
+    equal = np.array([r.random() < p for p in [0.98] * 70 + [0.3] * 60 + [0.85] * 60 + [0.2] * 50 + [1.0] * 60])
+    equal[0] = equal[-1] = True
+    b = np.where(equal, a, a + 1000)
+    got = op2.good_spans(a, b, [0], [0], [300], 0.8, 12)
+    assert all(equal[x0:x1].mean() == share >= 0.8 and (x0, x1) == (y0, y1) for x0, x1, y0, y1, share in got)
+    longest = max((j - i for i in range(300) for j in range(i + 12, 301)
+                   if equal[i] and equal[j - 1] and equal[i:j].mean() >= 0.8 - 1e-12), default=0)
+    assert max(x[1] - x[0] for x in got) == longest
+    assert all(p[1] <= q[0] for p, q in zip(got, got[1:]))

@@ -12,7 +12,8 @@ The matches of a document with one anchor document are merged to diagonal
 segments and chained: the best chain of segments that increase in both texts,
 less a cost for the words left out between them, comes from a Fenwick tree of
 prefix maxima over the positions in the anchor.  Chains are extended and
-aligned on the words of both texts; what aligns well is a fuzzy passage.
+aligned on the words of both texts; what aligns well is a fuzzy passage.  Of a
+chain that does not align well as a whole, the longest spans that do are kept.
 
 A passage may be put together from several anchors.  Spans of a document that
 touch are one passage, and it counts from MIN_WORDS words on.
@@ -318,33 +319,95 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int], lengths: list[int]) -> tuple[int, int, int, int, int]:
-    """Aligned span of a chain: start and end in a, in b, and its equal words.
+def columns(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int], lengths: list[int]) -> tuple[int, int, np.ndarray]:
+    """A chain's alignment: its start in a and in b, and rows (words of a, words
+    of b, equal words).
 
-    Segments are compared word by word, gaps by their longest common
-    subsequence, and both ends are extended over equal words.
+    Segments are compared word by word; gaps are equal words at both ends and
+    the longest common subsequence of the rest, which is one row; both ends of
+    the chain are extended over equal words.
     """
     x, y = xs[0], ys[0]
     room = min(x, y)
     differ = np.flatnonzero(a[x - room:x] != b[y - room:y])
     left = room - (int(differ[-1]) + 1 if len(differ) else 0)
-    x, y, equal = x - left, y - left, left
-    start_x, start_y = x, y
-    x, y = xs[0], ys[0]
+    start_x, start_y = x - left, y - left
+
+    def by_word(equal: np.ndarray) -> np.ndarray:
+        return np.stack([np.ones(len(equal), np.int64), np.ones(len(equal), np.int64), equal.astype(np.int64)], axis=1)
+
+    out = [by_word(np.ones(left, bool))]
     for sx, sy, n in zip(xs, ys, lengths, strict=True):
         over = max(x - sx, y - sy, 0)  # segments may overlap by up to a seed
         sx, sy, n = sx + over, sy + over, n - over
         if n <= 0:
             continue
-        equal += _common(a[x:sx], b[y:sy]) + int((a[sx:sx + n] == b[sy:sy + n]).sum())
+        if sx > x or sy > y:
+            gap = min(sx - x, sy - y)
+            differ = np.flatnonzero(a[x:x + gap] != b[y:y + gap])
+            head = int(differ[0]) if len(differ) else gap
+            differ = np.flatnonzero(a[sx - gap + head:sx] != b[sy - gap + head:sy])
+            tail = gap - head - (int(differ[-1]) + 1 if len(differ) else 0)
+            inner = (a[x + head:sx - tail], b[y + head:sy - tail])
+            out += [by_word(np.ones(head, bool)), np.array([[len(inner[0]), len(inner[1]), _common(*inner)]], np.int64),
+                    by_word(np.ones(tail, bool))]
+        out.append(by_word(a[sx:sx + n] == b[sy:sy + n]))
         x, y = sx + n, sy + n
     room = min(len(a) - x, len(b) - y)
     differ = np.flatnonzero(a[x:x + room] != b[y:y + room])
-    right = int(differ[0]) if len(differ) else room
-    return start_x, x + right, start_y, y + right, equal + right
+    out.append(by_word(np.ones(int(differ[0]) if len(differ) else room, bool)))
+    return start_x, start_y, np.concatenate(out)
+
+
+def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int], lengths: list[int]) -> tuple[int, int, int, int, int]:
+    """Aligned span of a chain: start and end in a, in b, and its equal words."""
+    x, y, steps = columns(a, b, xs, ys, lengths)
+    dx, dy, equal = steps.sum(axis=0).tolist()
+    return x, x + dx, y, y + dy, equal
+
+
+def good_spans(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int], lengths: list[int], identity: float,
+               least: int) -> list[tuple[int, int, int, int, float]]:
+    """Spans of a chain (start and end in a, in b, identity) with at least
+    ``identity``: the whole chain, or else its longest such span, and the same
+    again left and right of it, from ``least`` words on."""
+    x, y, steps = columns(a, b, xs, ys, lengths)
+    ends = np.concatenate([[[x, y, 0]], np.array([[x, y, 0]]) + np.cumsum(steps, axis=0)])
+
+    def span(i: int, j: int) -> tuple[int, int, int, int, float]:
+        (x0, y0, e0), (x1, y1, e1) = ends[i].tolist(), ends[j].tolist()
+        return x0, x1, y0, y1, (e1 - e0) / max(x1 - x0, y1 - y0, 1)
+
+    whole = span(0, len(steps))
+    if whole[-1] >= identity:
+        return [whole]
+    # A span whose score is not negative has the identity.
+    score = np.concatenate([[0.0], np.cumsum(steps[:, 2] - identity * steps[:, :2].max(axis=1))])
+    out, left = [], [(0, len(steps))]
+    while left:
+        lo, hi = left.pop()
+        if max(ends[hi, 0] - ends[lo, 0], ends[hi, 1] - ends[lo, 1]) < least:
+            continue
+        part = score[lo:hi + 1]
+        # From each start the furthest end that is not lower: behind it all is.
+        highest = np.maximum.accumulate(part[::-1])[::-1]
+        furthest = np.searchsorted(-highest, -(part - 1e-9), side="right") - 1
+        size = ends[lo + furthest, 0] - ends[lo:hi + 1, 0]
+        i = int(size.argmax())
+        j = int(furthest[i])
+        if size[i] < least:
+            continue
+        i, j = lo + i, lo + j
+        left += [(lo, i), (j, hi)]
+        # Both ends are equal words.
+        equal = np.flatnonzero(steps[i:j, 2])
+        found = span(i + int(equal[0]), i + int(equal[-1]) + 1)
+        if found[1] - found[0] >= least:
+            out.append(found)
+    return sorted(out)
 
 
-def _aligned(identity: float):
+def _aligned(identity: float, least: int):
     """Pairs up the two sides of each chain, which come sorted together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,10 +421,9 @@ def _aligned(identity: float):
                 if left is None or left["chain"] != r["chain"]:
                     continue
                 a, b = np.array(left["words"], np.int32), np.array(r["words"], np.int32)
-                x0, x1, y0, y1, equal = align(a, b, [x - left["lo"] for x in left["xs"]], [y - r["lo"] for y in left["ys"]],
-                                              left["lengths"])
-                share = equal / max(x1 - x0, y1 - y0, 1)
-                if share >= identity:
+                for x0, x1, y0, y1, share in good_spans(
+                        a, b, [x - left["lo"] for x in left["xs"]], [y - r["lo"] for y in left["ys"]], left["lengths"],
+                        identity, least):
                     out.append((left["row"], left["ref"], x0 + left["lo"], x1 + left["lo"], y0 + r["lo"], y1 + r["lo"], share))
             if out:
                 c = list(zip(*out, strict=True))
@@ -416,7 +478,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     sided = cut.join(own, ["chain", "side"], "left").select(
         "chain", "side", "lo", "words", "row", "ref", "xs", "ys", "lengths")
     spans = materialise(sided.repartition(n, "chain").sortWithinPartitions("chain", "side").mapInArrow(
-        _aligned(identity), "row long, ref long, start_word long, end_word long, ref_start long, ref_end long, "
+        _aligned(identity, min(MIN_CHAIN, min_words)), "row long, ref long, start_word long, end_word long, ref_start long, ref_end long, "
         "identity double"), "spans")
     copies = described.filter((F.col("first") != F.col("row")) & (F.col("n_words") > 0)).select(
         "row", F.col("first").alias("ref"), F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"),
