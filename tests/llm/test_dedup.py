@@ -120,6 +120,32 @@ def test_rare_ends_hold_every_similar_pair(spark):
     assert len(found) < 0.7 * sum(1 for a in sets for b in sets if a < b and len(sets[a] & sets[b]))
 
 
+def test_rare_ends_of_singletons_in_different_size_classes(spark):
+    """Pairs near the threshold, each sharing few rare shingles: components of equal size at both keys."""
+    rows = []
+    for i in range(60):
+        words = [f"p{i}w{j}" for j in range(104)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:79 + i % 4]))]
+    sets = {i: shingle_set(t) for i, t in rows}
+    similar = {frozenset((2 * i, 2 * i + 1)) for i in range(60)
+               if 100 * len(sets[2 * i] & sets[2 * i + 1]) >= 75 * len(sets[2 * i] | sets[2 * i + 1])}
+    texts = materialise(spark.createDataFrame(rows, "row long, body string"), "t")
+    r = random.Random(4)
+    name = {i: r.randrange(10 ** 9) for i, _ in rows}  # arrival and order of the components are unrelated
+    nodes = spark.createDataFrame([(i, name[i]) for i, _ in rows], "node long, component long")
+    # Every shuffle really deals the rows, so ties arrive in any order.
+    conf = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        found = {frozenset(p) for p in op5.rare_end_pairs(nodes, texts, 5, 75).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(similar) > 20 and similar <= found
+
+
 def test_sketch_fills_and_estimates():
     r = np.random.default_rng(0)
     a = np.sort(r.integers(0, 2 ** 63, 300, dtype=np.uint64))

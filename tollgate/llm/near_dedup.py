@@ -233,9 +233,10 @@ def rare_end_pairs(nodes: DataFrame, texts: DataFrame, k: int, threshold: int) -
     key = ["gram", "own", "other"]  # met by the same shingle's rows with own and other exchanged
     sides = ends.groupBy(*key, "component").agg(F.count(F.lit(1)).alias("size"))
     both = sides.unionByName(sides.select("gram", F.col("own").alias("other"), F.col("other").alias("own"), "component", "size"))
-    # Compared are the sets outside the key's largest component with all others.
+    # Compared are the sets outside the key's largest component with all others.  Of equal
+    # sizes the larger number counts, so both keys of a pair have the same main component.
     main = (both.groupBy(*key, "component").agg(F.sum("size").alias("size"))
-            .groupBy(*key).agg(F.max_by("component", "size").alias("main"), F.count(F.lit(1)).alias("components"))
+            .groupBy(*key).agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("components"))
             .filter("components > 1").drop("components"))
     mixed = ends.join(main, key)
     outside = mixed.filter("component <> main").select(
