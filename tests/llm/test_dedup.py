@@ -233,6 +233,32 @@ def test_chains_equal_quadratic_dynamic_programme(seed):
     assert sorted(i for c in chains for i in c) == order
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_chains_within_the_gap_equal_quadratic_dynamic_programme(seed):
+    r = random.Random(seed)
+    # A long block outweighs all, and is too far away for most.
+    s = [(0, 0, 60, 400)] + [(r.randrange(60, 260), r.randrange(60, 260), r.randrange(1, 15), r.randrange(1, 30)) for _ in range(40)]
+    best = {}
+
+    def score(i):
+        if i not in best:
+            x, y, _, w = s[i]
+            gaps = [(j, x - a - n, y - b - n) for j, (a, b, n, _) in enumerate(s)]
+            best[i] = w + max([0] + [score(j) - 0.25 * (g + h) for j, g, h in gaps if 0 <= g <= 32 and 0 <= h <= 32])
+        return best[i]
+    chains = op2.chain(s, 0.25, 32)
+    assert chain_score(s, chains[0], 0.25) == pytest.approx(max(map(score, range(len(s)))))
+    assert sorted(i for c in chains for i in c) == list(range(len(s)))
+    for c in chains:
+        for i, j in zip(c, c[1:]):
+            assert all(0 <= s[j][d] - s[i][d] - s[i][2] <= 32 for d in (0, 1))
+
+
+def test_pieces_after_a_long_block_are_chained():
+    s = [(0, 0, 400, 400)] + [(460 + 16 * i, 460 + 15 * i, 8, 8) for i in range(6)]
+    assert sorted(op2.chain(s), key=len) == [[0], [1, 2, 3, 4, 5, 6]]
+
+
 def test_align_extends_and_bridges():
     a = np.arange(100)
     b = np.concatenate([np.arange(500, 505), a[3:40], [7777, 7778], a[42:50], a[53:90]])

@@ -10,8 +10,9 @@ third of all documents share sends one row per seed and task.
 
 The matches of a document with one anchor document are merged to diagonal
 segments and chained: the best chain of segments that increase in both texts,
-less a cost for the words left out between them, comes from a Fenwick tree of
-prefix maxima over the positions in the anchor.  Chains are extended and
+less a cost for the words left out between them, comes from a tree of range
+maxima over the positions in the anchor, which holds the segments that ended at
+most MAX_GAP words ago.  Chains are extended and
 aligned on the words of both texts; what aligns well is a fuzzy passage.  Of a
 chain that does not align well as a whole, the longest spans that do are kept.
 
@@ -21,7 +22,9 @@ touch are one passage, and it counts from MIN_WORDS words on.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -179,53 +182,79 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (row, ref, pos, rpos)], names=_MATCH)
 
 
-class PrefixMax:
-    """Fenwick tree of prefix maxima with the index that holds each."""
+class RangeMax:
+    """Segment tree of maxima over ranges of slots; a slot may hold several
+    values, and each can be taken out again."""
 
     def __init__(self, n: int):
-        self.best: list[tuple[float, int]] = [(-np.inf, -1)] * (n + 1)
-
-    def put(self, i: int, value: float, holder: int) -> None:
-        while i < len(self.best):
-            if value > self.best[i][0]:
-                self.best[i] = (value, holder)
-            i += i & -i
-
-    def get(self, i: int) -> tuple[float, int]:
+        self.n = n
+        self.best: list[tuple[float, int]] = [(-np.inf, -1)] * (2 * n)
+        self.held: list[list[tuple[float, int]]] = [[] for _ in range(n)]  # heaps
+        self.gone: set[int] = set()
+
+    def _raise(self, slot: int) -> None:
+        heap = self.held[slot]
+        i = slot + self.n
+        self.best[i] = (-heap[0][0], heap[0][1]) if heap else (-np.inf, -1)
+        while i > 1:
+            i //= 2
+            self.best[i] = max(self.best[2 * i], self.best[2 * i + 1])
+
+    def put(self, slot: int, value: float, holder: int) -> None:
+        heappush(self.held[slot], (-value, holder))
+        if self.held[slot][0][1] == holder:
+            self._raise(slot)
+
+    def take(self, slot: int, holder: int) -> None:
+        heap = self.held[slot]
+        self.gone.add(holder)
+        if heap[0][1] == holder:
+            while heap and heap[0][1] in self.gone:
+                heappop(heap)
+            self._raise(slot)
+
+    def get(self, lo: int, hi: int) -> tuple[float, int]:
+        """The largest value in slots lo .. hi - 1 and its holder."""
         out = (-np.inf, -1)
-        while i > 0:
-            out = max(out, self.best[i])
-            i -= i & -i
+        lo, hi = lo + self.n, hi + self.n
+        while lo < hi:
+            if lo & 1:
+                out = max(out, self.best[lo])
+                lo += 1
+            if hi & 1:
+                hi -= 1
+                out = max(out, self.best[hi])
+            lo, hi = lo // 2, hi // 2
         return out
 
 
 def chain(segments: list[tuple[int, int, int, int]], gap_cost: float = GAP_COST, max_gap: int = MAX_GAP) -> list[list[int]]:
     """Chains of segments (x, y, length, weight), best first; every segment is
-    in one chain at most, and consecutive ones increase in x and y."""
+    in one chain at most, and consecutive ones increase in x and y, with at
+    most ``max_gap`` between them in either."""
     n = len(segments)
     if n == 1:
         return [[0]]
     ends = sorted({y + length for _, y, length, _ in segments})
-    rank = {y: i + 1 for i, y in enumerate(ends)}
-    tree = PrefixMax(len(ends))
+    rank = {y: i for i, y in enumerate(ends)}
+    tree = RangeMax(len(ends))
     score, before = [0.0] * n, [-1] * n
-    # At equal x a segment's end comes before another's start.
+    # At equal x a segment's end comes before another's start, and it expires after that.
     events = sorted([(x, 1, i) for i, (x, _, _, _) in enumerate(segments)]
-                    + [(x + length, 0, i) for i, (x, _, length, _) in enumerate(segments)])
-    for _, opens, i in events:
+                    + [(x + length, 0, i) for i, (x, _, length, _) in enumerate(segments)]
+                    + [(x + length + max_gap, 2, i) for i, (x, _, length, _) in enumerate(segments)])
+    for _, kind, i in events:
         x, y, length, weight = segments[i]
-        if opens:
-            value, j = tree.get(int(np.searchsorted(ends, y, side="right")))
+        if kind == 1:
+            value, j = tree.get(bisect_left(ends, y - max_gap), bisect_right(ends, y))
             gain = value - gap_cost * (x + y)
             score[i] = weight + max(gain, 0.0)
             if gain > 0:
-                ax, ay, alength, _ = segments[j]
-                if x - ax - alength <= max_gap and y - ay - alength <= max_gap:
-                    before[i] = j
-                else:
-                    score[i] = weight
-        else:
+                before[i] = j
+        elif kind == 0:
             tree.put(rank[y + length], score[i] + gap_cost * (x + y + 2 * length), i)
+        else:
+            tree.take(rank[y + length], i)
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda i: -score[i]):
         path = []
