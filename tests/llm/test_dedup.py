@@ -202,6 +202,27 @@ def test_passages_empty(empty):
     assert op2.repeated_passages(empty).count() == 0
 
 
+def test_passage_whose_seeds_are_split_over_earlier_documents(spark):
+    stock = [prose(7000 + i, 10, 4000) for i in range(6)]
+    joints = [a + b for a, b in zip(stock, stock[1:])]
+    rows = [(i, " ".join([*prose(7100 + i, 40, 4000), *part, *prose(7200 + i, 40, 4000)])) for i, part in enumerate(stock + joints)]
+    passage = [w for part in stock for w in part]
+    rows += [(i, " ".join([*prose(7300 + i, 33, 4000), *passage, *prose(7400 + i, 40, 4000)])) for i in (50, 51)]
+    got = op2.repeated_passages(frame(spark, rows).coalesce(1)).collect()
+    assert {50, 51} == {x.doc_id for x in got if x.end_word - x.start_word >= 60} | {
+        x.ref_doc_id for x in got if x.end_word - x.start_word >= 60}
+    assert any((x.doc_id, x.ref_doc_id, x.passage_start, x.passage_end) == (51, 50, 33, 93) for x in got)
+
+
+@pytest.mark.parametrize("size", [1, 5, 50, 64])
+def test_window_hashes_tell_runs_apart(size):
+    r = np.random.default_rng(size)
+    h = r.integers(0, 3, 400).astype(np.uint64)
+    got = op2.window_hashes(h, size)
+    runs = [tuple(h[i:i + size].tolist()) for i in range(401 - size)]
+    assert len(got) == len(runs) and len(set(got.tolist())) == len(set(runs)) == len(set(zip(runs, got.tolist())))
+
+
 def chain_score(segments, path, cost):
     total = 0
     for n, i in enumerate(path):

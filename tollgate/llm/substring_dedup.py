@@ -16,6 +16,11 @@ most MAX_GAP words ago.  Chains are extended and
 aligned on the words of both texts; what aligns well is a fuzzy passage.  Of a
 chain that does not align well as a whole, the longest spans that do are kept.
 
+Seeds of one passage may have their first occurrences in many other texts.  So
+all runs of MIN_WORDS words whose seeds all repeat are seeds as well, joined to
+their own first occurrence: an exact passage is found whatever the anchors of
+its short seeds are.
+
 A passage may be put together from several anchors.  Spans of a document that
 touch are one passage, and it counts from MIN_WORDS words on.
 """
@@ -118,26 +123,28 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _MATCH = ["row", "ref", "pos", "rpos"]
 
 
+def _joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """Matches of a task's own keys (with a ref), and one occurrence of each key
+    (without) to be joined to those of the other tasks."""
+    gram, row, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(gram, kind="stable")
+    gram, row, pos = gram[order], row[order], pos[order]
+    first = np.concatenate([[True], gram[1:] != gram[:-1]])
+    anchor = np.flatnonzero(first)[np.cumsum(first) - 1]
+    keep = first | (row != row[anchor])
+    first, anchor = first[keep], anchor[keep]
+    ref, rpos = row[anchor], pos[anchor]
+    gram, row, pos = gram[keep].view(np.int64), row[keep], pos[keep]
+    # Matches spread by row: a common seed would bring them together.
+    deal = np.where(first, gram, mix(row.astype(np.uint64)).view(np.int64))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(deal), pa.array(gram), pa.array(row), pa.array(pos.astype(np.int32)),
+         pa.array(ref, mask=first), pa.array(rpos.astype(np.int32), mask=first)],
+        names=["deal", "gram", "row", "pos", "ref", "rpos"])
+
+
 def _local_seeds(k: int, window: int):
-    """Matches of the task's own seeds (with a ref), and one occurrence of each
-    seed (without) to be joined to those of the other tasks."""
-
-    def joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        gram, row, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.argsort(gram, kind="stable")  # rows ascend already
-        gram, row, pos = gram[order], row[order], pos[order]
-        first = np.concatenate([[True], gram[1:] != gram[:-1]])
-        anchor = np.flatnonzero(first)[np.cumsum(first) - 1]
-        keep = first | (row != row[anchor])
-        first, anchor = first[keep], anchor[keep]
-        ref, rpos = row[anchor], pos[anchor]
-        gram, row, pos = gram[keep].view(np.int64), row[keep], pos[keep]
-        # Matches spread by row: a common seed would bring them together.
-        deal = np.where(first, gram, mix(row.astype(np.uint64)).view(np.int64))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(deal), pa.array(gram), pa.array(row), pa.array(pos.astype(np.int32)),
-             pa.array(ref, mask=first), pa.array(rpos.astype(np.int32), mask=first)],
-            names=["deal", "gram", "row", "pos", "ref", "rpos"])
+    """Seeds of the texts, joined within the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, waiting = [], 0
@@ -148,10 +155,66 @@ def _local_seeds(k: int, window: int):
                 parts.append((gram, rows[block.first + text], pos))
                 waiting += len(gram)
                 if waiting > _SEEDS:
-                    yield joined(parts)
+                    yield _joined(parts)
+                    parts, waiting = [], 0
+        if waiting:
+            yield _joined(parts)
+
+    return run
+
+
+def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words, put together from powers of two."""
+    n = max(len(h) - size + 1, 0)
+    out, part, done, m = np.zeros(n, np.uint64), h, 0, 1
+    while m <= size:
+        if size & m:
+            out = mix(out * _FOLD + part[done:done + n])
+            done += m
+        part = mix(part[:-m] * _FOLD + part[m:])
+        m *= 2
+    return out
+
+
+def _whole_windows(k: int, window: int, size: int):
+    """Runs of ``size`` words that may repeat, as seeds that long, joined within
+    the task.  ``at`` has the positions of a text's seeds that repeat.
+
+    A seed is surely one in every text that has the run, if the run holds all
+    the k-mers it was chosen from.  Runs with such a seed that does not repeat
+    do not repeat.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, waiting = [], 0
+        for batch in batches:
+            rows, places = batch.column("row").to_numpy(), batch.column("at")
+            for block in blocks(batch.column("body")):
+                w = words(block)
+                if len(w.hash) < size:
+                    continue
+                h = window_hashes(w.hash, size)
+                of, pos, gram = seeds(w, k, window)
+                bounds = np.searchsorted(of, np.arange(block.n + 1))
+                for i in np.flatnonzero(w.counts >= size).tolist():
+                    own, p = gram[bounds[i]:bounds[i + 1]], pos[bounds[i]:bounds[i + 1]]
+                    repeats = np.isin(own, own[np.isin(p, places[block.first + i].values.to_numpy())])
+                    once = p[~repeats]
+                    n = int(w.counts[i]) - size + 1
+                    lo, hi = once - (size - k - window + 1), once - window + 2
+                    there = lo < hi
+                    change = np.zeros(n + 1, np.int64)
+                    np.add.at(change, np.clip(lo[there], 0, n), 1)
+                    np.add.at(change, np.clip(hi[there], 0, n), -1)
+                    start = np.flatnonzero(np.cumsum(change[:-1]) == 0)
+                    if len(start):
+                        parts.append((h[w.offsets[i] + start], np.full(len(start), rows[block.first + i]), start))
+                        waiting += len(start)
+                if waiting > _SEEDS:
+                    yield _joined(parts)
                     parts, waiting = [], 0
         if waiting:
-            yield joined(parts)
+            yield _joined(parts)
 
     return run
 
@@ -267,8 +330,9 @@ def chain(segments: list[tuple[int, int, int, int]], gap_cost: float = GAP_COST,
     return out
 
 
-def _chains(k: int, min_chain: int):
-    """Chains of each (row, ref) from its matches, which come sorted together."""
+def _chains(k: int, min_chain: int, linked: bool = True):
+    """Chains of each (row, ref) from its matches, which come sorted together;
+    not ``linked``, every diagonal segment is one."""
 
     def of(row: np.ndarray, ref: np.ndarray, pos: np.ndarray, rpos: np.ndarray) -> pa.RecordBatch | None:
         diagonal = pos.astype(np.int64) - rpos
@@ -287,7 +351,7 @@ def _chains(k: int, min_chain: int):
         out = []
         for a, b in zip(groups[:-1].tolist(), groups[1:].tolist(), strict=True):
             found = list(zip(x[a:b].tolist(), y[a:b].tolist(), length[a:b].tolist(), weight[a:b].tolist(), strict=True))
-            for path in chain(found):
+            for path in chain(found) if linked else [[i] for i in range(len(found))]:
                 s = [found[i] for i in path]
                 if s[-1][0] + s[-1][2] - s[0][0] >= min_chain - k + 1:
                     out.append((int(row[at[a]]), int(ref[at[a]]), [q[0] for q in s], [q[1] for q in s],
@@ -453,12 +517,13 @@ def _aligned(identity: float, least: int):
                 for x0, x1, y0, y1, share in good_spans(
                         a, b, [x - left["lo"] for x in left["xs"]], [y - r["lo"] for y in left["ys"]], left["lengths"],
                         identity, least):
-                    out.append((left["row"], left["ref"], x0 + left["lo"], x1 + left["lo"], y0 + r["lo"], y1 + r["lo"], share))
+                    out.append((left["row"], left["ref"], left["run"], x0 + left["lo"], x1 + left["lo"], y0 + r["lo"], y1 + r["lo"], share))
             if out:
                 c = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(v, pa.int64()) for v in c[:6]), pa.array(c[6], pa.float64())],
-                    names=["row", "ref", "start_word", "end_word", "ref_start", "ref_end", "identity"])
+                    [*(pa.array(v, pa.int64()) for v in c[:2]), pa.array(c[2], pa.bool_()),
+                     *(pa.array(v, pa.int64()) for v in c[3:7]), pa.array(c[7], pa.float64())],
+                    names=["row", "ref", "run", "start_word", "end_word", "ref_start", "ref_end", "identity"])
 
     return run
 
@@ -486,14 +551,28 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     local = texts.filter(F.length("body") > 0).mapInArrow(
         _local_seeds(k, window), "deal long, gram long, row long, pos int, ref long, rpos int")
-    matches = local.repartition(n, "deal").sortWithinPartitions("gram", "row", "pos").mapInArrow(
-        _anchored, "row long, ref long, pos int, rpos int")
-    chains = materialise(matches.repartition(n, "row").sortWithinPartitions("row", "ref", "pos").mapInArrow(
-        _chains(k, min(MIN_CHAIN, min_words)), "row long, ref long, xs array<int>, ys array<int>, lengths array<int>")
+    def anchored(local: DataFrame) -> DataFrame:
+        return local.repartition(n, "deal").sortWithinPartitions("gram", "row", "pos").mapInArrow(
+            _anchored, "row long, ref long, pos int, rpos int")
+
+    def chained(matches: DataFrame, *options) -> DataFrame:
+        return matches.repartition(n, "row").sortWithinPartitions("row", "ref", "pos").mapInArrow(
+            _chains(*options), "row long, ref long, xs array<int>, ys array<int>, lengths array<int>")
+
+    matches = materialise(anchored(local), "matches")
+    # Runs of min_words words have anchors of their own, whatever those of their seeds are.
+    places = matches.select("row", "pos").unionByName(matches.select(F.col("ref").alias("row"), F.col("rpos").alias("pos")))
+    repeat = places.distinct().groupBy("row").agg(F.collect_list("pos").alias("at"))
+    runs = described.filter(F.col("body").isNotNull() & (F.col("n_words") >= min_words)).select("row", "body").join(
+        repeat.hint("merge"), "row").select("row", "at", "body").mapInArrow(
+        _whole_windows(k, window, min_words), "deal long, gram long, row long, pos int, ref long, rpos int")
+    chains = materialise(chained(matches, k, min(MIN_CHAIN, min_words)).withColumn("run", F.lit(False)).unionByName(
+        chained(anchored(runs), min_words, min_words, False).withColumn("run", F.lit(True)))
         .withColumn("chain", F.monotonically_increasing_id()), "chains")
 
-    # The words of both sides of each chain, with room to extend its ends.
-    room = k + window
+    # The words of both sides of each chain, with room to extend its ends.  What goes
+    # on beyond min_words equal words is a run with a chain of its own.
+    room = max(k + window, min_words)
 
     def side(number: int, row: str, starts: str) -> DataFrame:
         end = F.element_at(starts, -1) + F.element_at("lengths", -1)
@@ -503,12 +582,33 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     wanted = side(0, "row", "xs").unionByName(side(1, "ref", "ys"))
     cut = wanted.join(texts, "row").select("row", "chain", "side", "lo", "hi", "body").mapInArrow(
         _slices, "chain long, side int, lo int, words array<int>")
-    own = chains.select("chain", F.lit(0).alias("side"), "row", "ref", "xs", "ys", "lengths")
+    own = chains.select("chain", F.lit(0).alias("side"), "row", "ref", "run", "xs", "ys", "lengths")
     sided = cut.join(own, ["chain", "side"], "left").select(
-        "chain", "side", "lo", "words", "row", "ref", "xs", "ys", "lengths")
+        "chain", "side", "lo", "words", "row", "ref", "run", "xs", "ys", "lengths")
     spans = materialise(sided.repartition(n, "chain").sortWithinPartitions("chain", "side").mapInArrow(
-        _aligned(identity, min(MIN_CHAIN, min_words)), "row long, ref long, start_word long, end_word long, ref_start long, ref_end long, "
+        _aligned(identity, min(MIN_CHAIN, min_words)), "row long, ref long, run boolean, start_word long, end_word long, ref_start long, ref_end long, "
         "identity double"), "spans")
+    # A run that lies on both sides inside spans of that length, but for JOIN_GAP words at
+    # its ends, adds no passage.
+    first = spans.filter("not run")
+    long = first.select(F.col("row").alias("text"), F.col("start_word").alias("lo"), F.col("end_word").alias("hi")).unionByName(
+        first.select(F.col("ref").alias("text"), F.col("ref_start").alias("lo"), F.col("ref_end").alias("hi"))).filter(
+        F.col("hi") - F.col("lo") >= min_words).groupBy("text", "lo").agg(F.max("hi").alias("reach"))
+
+    def inner(text: str, start: str, end: str) -> list:
+        return [F.col(text).alias("text"), (F.col(start) + JOIN_GAP).alias("lo"), (F.col(end) - JOIN_GAP).alias("hi")]
+
+    own_side, ref_side = inner("row", "start_word", "end_word"), inner("ref", "ref_start", "ref_end")
+    asked = spans.filter("run").select(*own_side).unionByName(spans.filter("run").select(*ref_side)).distinct()
+    before = Window.partitionBy("text").orderBy("lo", F.col("hi").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = materialise(asked.unionByName(long, allowMissingColumns=True).withColumn("reach", F.max("reach").over(before)).filter(
+        "reach >= hi").select("text", "lo", "hi"), "inside")
+    runs_apart = spans.filter("run").withColumn("apart", F.lit(False))
+    for of in (own_side, ref_side):
+        runs_apart = runs_apart.withColumn("at", F.struct(*of)).join(
+            inside.select(F.struct("text", "lo", "hi").alias("at"), F.lit(True).alias("known")), "at", "left").withColumn(
+            "apart", F.col("apart") | F.col("known").isNull()).drop("at", "known")
+    spans = first.unionByName(runs_apart.filter("apart").drop("apart")).drop("run")
     copies = described.filter((F.col("first") != F.col("row")) & (F.col("n_words") > 0)).select(
         "row", F.col("first").alias("ref"), F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"),
         F.lit(0).cast("long").alias("ref_start"), F.col("n_words").alias("ref_end"), F.lit(1.0).alias("identity"))
