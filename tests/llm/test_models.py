@@ -32,6 +32,20 @@ def test_language_id_learns_and_rejects(spark):
     assert any(r.held_out for r in got.values())
 
 
+def test_a_small_language_beside_millions_of_4_grams(spark):
+    r = np.random.default_rng(5)
+    points = r.integers(0x4E00, 0x9FA0, (560_000, 7)).astype(np.uint32)
+    points[:, 6] = 0x20
+    many = [points[i:i + 5000].astype("<u4").tobytes().decode("utf-32-le") for i in range(0, len(points), 5000)]
+    few = ["".join(map(chr, r.integers(0x61, 0x7B, 7))) for _ in range(40)]  # every word once
+    rows = [(i, t, "many") for i, t in enumerate(many)] + [(1000, " ".join(few), "few")]
+    model = op4.fit_language_models(frame(spark, rows))
+    assert model.languages == ["few", "many"]
+    assert len(model.models[1].grams[3]) > 3_000_000
+    assert len(model.models[0].grams[3]) == len({("\0\0\0" + w + " ")[i:i + 4] for w in few for i in range(8)})
+    assert op4.predict_language(frame(spark, [(1, few[3])]), model).first().lang_pred == "few"
+
+
 def test_kneser_ney_is_a_distribution():
     text = "abacabadabacabaeabacab"
     key = {}

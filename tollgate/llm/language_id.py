@@ -12,9 +12,8 @@ A text's language is that of the lowest cross-entropy per character.  A text
 is rejected when its cross-entropy lies beyond what any training row of that
 language shows, short ones included; the bound is calibrated on all of them.
 
-The models are sent to every task.  Their size is bounded by MAX_NGRAMS: when
-a corpus has more 4-grams, the rarest are left out by the smallest count that
-meets the bound.
+The models are sent to every task, with all 4-grams that were counted: a cut
+would take small languages first and change the counts of counts.
 """
 
 from __future__ import annotations
@@ -31,7 +30,6 @@ from tollgate.llm.staging import materialise
 from tollgate.llm.textarrays import Block, Words, blocks, words
 
 ORDER = 4
-MAX_NGRAMS = 3_000_000
 UNKNOWN = "und"
 REJECT_SIGMA, REJECT_MARGIN = 6.0, 0.25  # standard deviations, and nats beyond the largest seen
 _EVIDENCE = 60.0  # characters after which the score's confidence no longer grows
@@ -266,23 +264,13 @@ def _predict(model):
 _PREDICTED = "lang_pred string, score double, cross_entropy double, n_events long, rejected boolean"
 
 
-def fit_language_models(training: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                        max_ngrams: int = MAX_NGRAMS) -> LanguageModel:
+def fit_language_models(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Models of every non-null value of ``lang_col``; no row gives no model."""
-    spark = training.sparkSession
     rows = training.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("body")).filter(
         "lang is not null and body is not null")
     counts = materialise(rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")), "ngrams")
-    # Types by power of two of their count give the smallest cut that meets the bound.
-    level = F.floor(F.log2("n")).cast("int")
-    ladder = {r["level"]: r["types"] for r in counts.groupBy(level.alias("level")).agg(
-        F.count(F.lit(1)).alias("types")).collect()}
-    cut, left = 0, sum(ladder.values())
-    while left > max_ngrams:
-        left -= ladder.get(cut, 0)
-        cut += 1
-    table = counts.filter(F.col("n") >= 2 ** cut).toArrow()
+    table = counts.toArrow()
     lang = table.column("lang").to_numpy()
     gram = table.column("gram").to_numpy().view(np.uint64)
     n = table.column("n").to_numpy()
