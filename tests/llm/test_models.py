@@ -74,6 +74,16 @@ def test_keep_identified_keeps_columns_and_clean_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in language_rows()}
 
 
+def test_long_gibberish_is_rejected_beside_one_letter_rows(spark):
+    r = random.Random(9)
+    odd = [(2000 + i, c, "aa") for i, c in enumerate("ωжقहㄱ")]        # training rows of one rare letter
+    gibberish = ["".join(r.choice("bcfhjklmpqrstvwyzüøß") for _ in range(6)) for _ in range(60)]
+    rows = language_rows(300) + odd + [(1, " ".join(gibberish), None), (2, "жωжωжω " * 30, None)]
+    got = {x.doc_id: x for x in op4.language_id(frame(spark, rows)).collect()}
+    assert got[1].rejected and got[2].rejected
+    assert not any(got[i].rejected for i, _, _ in language_rows(300))
+
+
 def test_language_models_empty_and_without_labels(spark, empty):
     assert op4.language_id(empty).count() == 0
     got = op4.language_id(frame(spark, [(1, "abc", None)])).first()

@@ -9,8 +9,9 @@ by n-gram and back-off weight by context, for the orders 4 to 1.  Lower orders
 use continuation counts, and each order has its own absolute discount.
 
 A text's language is that of the lowest cross-entropy per character.  A text
-is rejected when its cross-entropy lies beyond what any training row of that
-language shows, short ones included; the bound is calibrated on all of them.
+is rejected when its cross-entropy lies far beyond what training rows of that
+language and of like length show: a high quantile and a multiple of the middle
+half's width, calibrated on all of them, so single odd rows do not set it.
 
 The models are sent to every task, with all 4-grams that were counted: a cut
 would take small languages first and change the counts of counts.
@@ -31,7 +32,9 @@ from tollgate.llm.textarrays import Block, Words, blocks, words
 
 ORDER = 4
 UNKNOWN = "und"
-REJECT_SIGMA, REJECT_MARGIN = 6.0, 0.25  # standard deviations, and nats beyond the largest seen
+#: Accepted is up to this quantile, plus so many widths of the middle half, plus nats.
+REJECT_QUANTILE, REJECT_WIDTHS, REJECT_MARGIN = 0.99, 3.0, 0.25
+_BIN_ROWS = 30  # of a length (power of two of events) that has bounds of its own
 _EVIDENCE = 60.0  # characters after which the score's confidence no longer grows
 _FLUSH = 1 << 21  # distinct n-grams that a counting task holds
 
@@ -191,12 +194,29 @@ def _find(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == x
 
 
+@dataclass
+class Accepted:
+    """Largest accepted cross-entropy of a language by the number of events n:
+    mean + excess / sqrt(n) + margin, with an excess for each power of two."""
+
+    mean: float
+    excess: float  # of lengths with few rows
+    by_length: dict[int, float]
+    margin: float
+
+    def limit(self, n: np.ndarray) -> np.ndarray:
+        length = np.floor(np.log2(np.maximum(n, 1))).astype(int)
+        kinds, of = np.unique(length, return_inverse=True)
+        excess = np.array([self.by_length.get(k, self.excess) for k in kinds.tolist()])
+        return self.mean + excess[of] / np.sqrt(np.maximum(n, 1)) + self.margin
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
     models: list[KneserNey]
-    #: language -> largest accepted cross-entropy
-    accepted: dict[str, float] | None = None
+    #: without a language here, all its texts are accepted
+    accepted: dict[str, Accepted] | None = None
 
 
 class Scorer:
@@ -250,7 +270,10 @@ def _predict(model):
                 best, score = np.where(none, len(m.languages), best), np.where(none, 0.0, score)
                 rejected = none.copy()
                 if m.accepted is not None:
-                    rejected |= least > np.array([m.accepted.get(x, np.inf) for x in names.tolist()])[best]
+                    for i, lang in enumerate(m.languages):
+                        if lang in m.accepted:
+                            mine = np.flatnonzero(best == i)
+                            rejected[mine] |= least[mine] > m.accepted[lang].limit(n[mine])
                 to = slice(block.first, block.first + block.n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c)[to] for c in others] + [
@@ -284,16 +307,34 @@ def fit_language_models(training: DataFrame, text_col: str = "text", lang_col: s
 
 
 def calibrate(training: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang",
-              sigma: float = REJECT_SIGMA, margin: float = REJECT_MARGIN) -> LanguageModel:
-    """Adds each language's largest accepted cross-entropy, from all training
-    rows that are predicted right."""
+              quantile: float = REJECT_QUANTILE, widths: float = REJECT_WIDTHS, margin: float = REJECT_MARGIN) -> LanguageModel:
+    """Adds each language's accepted cross-entropies, from all training rows
+    that are predicted right.
+
+    The excess of a row is its cross-entropy over the language's mean per event,
+    times the root of its events: lengths have about the same spread of it.
+    """
     shared = training.sparkSession.sparkContext.broadcast(LanguageModel(model.languages, model.models))
     rows = training.select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    seen = rows.mapInArrow(_predict(shared), "lang string, " + _PREDICTED).filter("lang = lang_pred and n_events > 0")
-    stats = seen.groupBy("lang").agg(
-        F.avg("cross_entropy").alias("mean"), F.coalesce(F.stddev_pop("cross_entropy"), F.lit(0.0)).alias("sd"),
-        F.max("cross_entropy").alias("most")).collect()  # one row per language
-    accepted = {r["lang"]: max(r["most"] + margin, r["mean"] + sigma * r["sd"]) for r in stats}
+    seen = materialise(rows.mapInArrow(_predict(shared), "lang string, " + _PREDICTED).filter(
+        "lang = lang_pred and n_events > 0").select("lang", "cross_entropy", "n_events"), "calibration")
+    mean = {r["lang"]: r["mean"] for r in seen.groupBy("lang").agg(
+        (F.sum(F.col("cross_entropy") * F.col("n_events")) / F.sum("n_events")).alias("mean")).collect()}  # one row per language
+    if not mean:
+        return LanguageModel(model.languages, model.models, {})
+    means = F.create_map(*[F.lit(x) for pair in sorted(mean.items()) for x in pair])
+    excess = (F.col("cross_entropy") - F.element_at(means, F.col("lang"))) * F.sqrt("n_events")
+    stats = seen.select("lang", F.floor(F.log2("n_events")).cast("int").alias("length"), excess.alias("excess")).rollup(
+        "lang", "length").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("excess", [0.25, 0.75, quantile], 10_000).alias("q")
+                              ).filter("lang is not null").collect()  # languages x powers of two
+    accepted = {lang: Accepted(x, 0.0, {}, margin) for lang, x in mean.items()}
+    for r in stats:
+        low, high, top = r["q"]
+        bound = top + widths * (high - low)
+        if r["length"] is None:
+            accepted[r["lang"]].excess = bound
+        elif r["n"] >= _BIN_ROWS:
+            accepted[r["lang"]].by_length[r["length"]] = bound
     return LanguageModel(model.languages, model.models, accepted)
 
 
