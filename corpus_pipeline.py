@@ -23,13 +23,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id (of
-    several rows with that id, one).  A null id stays where no row of its group
-    has an id."""
+    several rows with that id, one; without any id in the group, one row)."""
     workers_import_this(spark)
-    kept = near_dedup.near_dedup(docs).filter("kept")
-    without_id = F.when(F.col("doc_id").isNull(), F.col("content"))
-    chosen = kept.groupBy(F.col("doc_id").alias("_id"), without_id.alias("_apart")).agg(
-        F.min("content").alias("_content")).drop("_apart")
+    rows = near_dedup.near_groups(docs).select("doc_id", "content", "component")
+    # Equal ids and texts are one group; an empty set is in none and stays.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "content"))
+    grouped = rows.filter("component is not null").groupBy("component").agg(first.alias("_first")).select("_first.doc_id", "_first.content")
+    chosen = grouped.unionByName(rows.filter("component is null").select("doc_id", "content")).distinct().select(
+        F.col("doc_id").alias("_id"), F.col("content").alias("_content"))
     stays = docs.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (
         F.xxhash64("text") == F.col("_content")), "left_semi")
     return stays.dropDuplicates(["doc_id", "text"])

@@ -46,3 +46,14 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
 def test_run_on_an_empty_table(spark, tmp_path):
     assert P.run(spark, tables(spark, tmp_path, [])).count() == 0
     assert P.ORACLE_SQL is None
+
+
+def test_one_row_of_each_group_where_ids_repeat_or_lack(spark, tmp_path):
+    a, b, c = (prose(90 + i, 60) for i in range(3))
+    near = [" ".join([*w[:-1], "other"]) for w in (a, b, c)]
+    a, b, c = (" ".join(w) for w in (a, b, c))
+    rows = [(5, a), (6, near[0]), (5, b), (7, near[1]), (None, c), (None, near[2]), (8, ""), (8, "")]
+    got = P.drop_near_duplicates(spark, frame(spark, rows), str(tmp_path)).select("doc_id", "text").collect()
+    kept = {(r.doc_id, r.text) for r in got}
+    assert len(got) == len(kept) == 4 and {(5, a), (5, b), (8, "")} <= kept
+    assert kept & {(None, c), (None, near[2])}

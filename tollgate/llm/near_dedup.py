@@ -253,9 +253,9 @@ def _pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
         F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct()
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
-               threshold: int = THRESHOLD, t: int = T, bands: int = BANDS) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept, content
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
+                threshold: int = THRESHOLD, t: int = T, bands: int = BANDS) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept, content, component
     (``xxhash64(text)``, which finds the row again where ids repeat).
 
     - Words are runs of non-white-space (ASCII), A-Z lower-cased; a text with
@@ -265,6 +265,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
       (null if there is none); kept is doc_id = component_id, nulls equal, so
       a null id is kept only where its whole component has no id.  Repeated
       rows have the same result and are all kept or all dropped.
+    - component is the group itself, whatever its ids are; null for an empty set.
     - An empty table gives an empty result; other columns are not read.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"),
@@ -322,13 +323,19 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of_node = node.select("node", "best").join(component, "node", "left").select(
         "node", "best", F.coalesce("component", "node").alias("component"))
     least = of_node.groupBy("component").agg(F.min("best").alias("component_id"))
-    resolved = member.join(of_node.join(least, "component").select("node", "component_id"), "node")
+    resolved = member.join(of_node.join(least, "component").select("node", "component", "component_id"), "node")
     joined = described.select("id", "content", "n", "first").join(
-        resolved.select("first", "component_id"), "first", "left")
+        resolved.select("first", "component", "component_id"), "first", "left")
     component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
     return joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                         component_id.alias("component_id"), "content").select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "content")
+                         component_id.alias("component_id"), "content", F.when(F.col("n") > 0, F.col("component")).alias("component")).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "content",
+        "component")
+
+
+def near_dedup(docs: DataFrame, *args, **options) -> DataFrame:
+    """``near_groups`` without component."""
+    return near_groups(docs, *args, **options).drop("component")
 
 
 ORACLE_SQL = r"""
