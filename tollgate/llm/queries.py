@@ -13,9 +13,12 @@ from tollgate.llm import language_id as op4
 from tollgate.llm import license_scan as op8
 from tollgate.llm import mixing as op6
 from tollgate.llm import near_dedup as op5
+from tollgate.llm import periodic_runs as op13
 from tollgate.llm import quality as op3
+from tollgate.llm import ranked_search as op12
 from tollgate.llm import substring_dedup as op2
 from tollgate.llm import token_output as op7
+from tollgate.llm import toxicity as op11
 from tollgate.llm import url_filter as op10
 from tollgate.llm.staging import workers_import_this
 
@@ -85,3 +88,18 @@ def q_substring_dedup(spark, d):
 @query("op6_mixing")
 def q_mixing(spark, d):
     return op6.document_rates(table(spark, d, "documents"), op6.quality_domains(table(spark, d, "labels")))
+
+
+@query("op11_toxicity")
+def q_toxicity(spark, d):
+    return op11.toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+@query("op12_ranked_search", op12.ORACLE_SQL)
+def q_ranked_search(spark, d):
+    return op12.ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op13_periodic_runs")
+def q_periodic_runs(spark, d):
+    return op13.run_digests(op13.periodic_runs(table(spark, d, "documents"), rewrite=op13.planted_repeats))

@@ -1,10 +1,11 @@
 """Words and shingles of whole Arrow text columns as numpy arrays.
 
 Texts are handled in blocks of about a megabyte of UTF-8, so memory does not
-grow with the batch.  A word's 64-bit hash comes from one prefix sum of
-``table[byte] * base**position`` over the block: the difference of two prefix
-sums, scaled back by ``base**-start``, depends on the word's bytes only.  All
-arithmetic is modulo 2**64.
+grow with the batch.  A word's 64-bit hash is the sum of one pseudo-random
+value for each (byte, place in the word), finalised with the length.  The
+values have no algebraic structure, so regular words do not collide more often
+than others: sets of hashes equal sets of words up to random collisions (for n
+distinct words, n * n / 2**65).  All arithmetic is modulo 2**64.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 5  # odd, so it has an inverse modulo 2**64
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 WHITESPACE = bytes([0x20, *range(0x09, 0x0E)])
@@ -25,7 +25,6 @@ NON_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 
 _ASCII_LOWER = np.arange(256, dtype=np.uint8)
 _ASCII_LOWER[0x41:0x5B] += 0x20
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,24 +34,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-_TABLE_LOWER = _TABLE[_ASCII_LOWER]
+def _values(key: np.ndarray) -> np.ndarray:
+    """Values of keys place * 256 + byte."""
+    return mix((key.astype(np.uint64) + np.uint64(1)) * np.uint64(0xA0761D6478BD642F))
 
 
-def _power_arrays(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i for i < n; long documents get arrays of their own."""
-    if len(_powers[0]) < n:
-        inverse = pow(_BASE, -1, 1 << 64)
-        size = max(n, BLOCK + 1)
-        made = []
-        for b in (_BASE, inverse):
-            p = np.full(size, b & ((1 << 64) - 1), np.uint64)
-            p[0] = 1
-            made.append(np.multiply.accumulate(p))
-        if size > 4 * BLOCK:
-            return made[0], made[1]
-        _powers[:] = made
-    return _powers[0], _powers[1]
+_PLACES = 64  # values of the first places of a word are looked up
+_TABLE = _values(np.arange(_PLACES << 8))
 
 
 @dataclass
@@ -106,13 +94,31 @@ def blocks(column: pa.Array | pa.ChunkedArray, size: int = BLOCK) -> Iterator[Bl
         i = j
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of the byte spans ``data[start:end]``."""
-    power, inverse = _power_arrays(len(data) + 1)
-    sums = np.empty(len(data) + 1, np.uint64)
+def span_sums(data: np.ndarray, start: np.ndarray, lower: bool = False) -> np.ndarray:
+    """Running sums of the values of (byte, place since the latest ``start``);
+    ``start`` ascends."""
+    n = len(data)
+    place = np.zeros(n, np.int64)
+    place[start] = start
+    np.maximum.accumulate(place, out=place)
+    np.subtract(np.arange(n), place, out=place)
+    far = np.flatnonzero(place >= _PLACES)
+    key = (place << 8) + (_ASCII_LOWER[data] if lower else data)
+    late = _values(key[far])
+    key[far] = 0
+    values = _TABLE[key]
+    values[far] = late
+    sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
-    np.cumsum((_TABLE_LOWER if lower else _TABLE)[data] * power[:len(data)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * _STEP)
+    np.cumsum(values, out=sums[1:])
+    return sums
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the disjoint, ascending byte spans ``data[start:end]``."""
+    own = start < end  # an empty span at the end of the data starts nowhere
+    sums = span_sums(data, start[own], lower)
+    return mix(sums[end] - sums[start] + (end - start).astype(np.uint64) * _STEP)
 
 
 def words(block: Block, separators: bytes = WHITESPACE) -> Words:
