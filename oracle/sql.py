@@ -200,6 +200,14 @@ ORACLES["scd_expire_append"] = f"{_SILVER} SELECT * EXCLUDE (r), valid_to IS NUL
 ORACLES["current_rows"] = f"{_SILVER} SELECT * EXCLUDE (r), TRUE AS is_current FROM sh WHERE valid_to IS NULL"
 ORACLES["scd_derived_validity"] = (
     f"{_SILVER} SELECT * EXCLUDE (r), CAST(r AS BIGINT) AS run_id, valid_to IS NULL AS is_current FROM sh")
+ORACLES["scd_expire_rewrite"] = ORACLES["scd_expire_scope"]
+ORACLES["scd_reload_rewrite"] = ORACLES["scd_expire_append"]
+ORACLES["history_type_change"] = (
+    f"{_SILVER} SELECT file_name, posting_month, CAST(doc_number AS BIGINT) AS doc_number, "
+    "CASE WHEN r <> 3 AND regexp_full_match(doc_line, '[0-9]+') THEN CAST(doc_line AS INTEGER) END AS doc_line, "
+    "CAST(try_cast(amount_lc AS DECIMAL(15,2)) AS DECIMAL(20,4)) AS amount_lc, "
+    "CASE WHEN r >= 3 THEN strptime(entry_date, '%Y%m%d') END AS entry_date, valid_from, valid_to, "
+    "CAST(r AS BIGINT) AS run_id, valid_to IS NULL AS is_current FROM sh")
 ORACLES["append_merge_schema"] = (
     f"WITH {LEDGER}, {HL} "
     f"SELECT source_system, company_code, posting_date, doc_type, doc_number, file_name FROM hl "
@@ -302,6 +310,14 @@ NAMES = ("names AS (SELECT o_orderkey AS file_id, "
          "lpad(CAST((o_custkey * 167) % 300000 AS VARCHAR), 6, '0') || "
          "(CASE WHEN o_orderkey % 17 = 0 THEN '_x' ELSE '' END) || "
          "(CASE WHEN o_orderkey % 7 = 0 THEN '.csv' ELSE '.txt' END) AS file_name FROM orders)")
+ORACLES["ingest_mixed"] = (
+    f"WITH {LEDGER} SELECT {', '.join(EXTRACT_COLS)}, 'São Paulo' AS city, "
+    f"CASE WHEN file_name IN {SECOND} THEN replace(file_name, '.txt', '.psv') ELSE file_name END AS file_name, "
+    f"CASE WHEN file_name IN {SECOND} THEN 'pipe' ELSE 'tab' END AS source FROM ledger")
+# a line of one-byte characters, its city and two more bytes: a tab and the line end
+ORACLES["file_listing"] = (
+    f"WITH {LEDGER} SELECT file_name, CAST(sum(length({_LINE}) + length('São Paulo') + 2) AS BIGINT) AS bytes "
+    "FROM ledger GROUP BY file_name")
 ORACLES["file_select"] = (
     f"WITH {NAMES} SELECT file_id, file_name FROM names "
     "WHERE starts_with(lower(file_name), 'ledger') AND ends_with(lower(file_name), '.txt')")
@@ -341,6 +357,24 @@ ORACLES["apply_defaults"] = (
     f"WITH {LEDGER} SELECT doc_number, company_code, amount_lc, file_name, 'A' AS sys_status_code, "
     "'MANUAL INSERT' AS sys_created_by_name, CAST(0 AS INTEGER) AS reject_all, "
     "TIMESTAMP '2024-01-01 00:00:00' AS sys_created_on FROM ledger")
+ORACLES["insert_defaults"] = ORACLES["apply_defaults"]
+ORACLES["register_location"] = (
+    f"WITH {LEDGER}, {HL} SELECT doc_number, vendor_code, posting_month FROM hl WHERE posting_month >= '199501'")
+ORACLES["reload_table"] = (
+    f"WITH {VENDOR} SELECT lower(a.vendor_id) AS vendor_id, a.company_code, b.vendor_id AS was "
+    "FROM mv a JOIN mv b ON lower(a.vendor_id) = lower(b.vendor_id)")
+
+
+def _wall(instant: str, zone: str) -> str:
+    return f"(({instant}) AT TIME ZONE 'UTC' AT TIME ZONE '{zone}')"
+
+
+_NY = [_wall(f"ts + INTERVAL ({h}) HOUR", "America/New_York") for h in (-1, 0, 1)]
+ORACLES["stamp_zone"] = (
+    f"SELECT event_id, {_wall('ts', 'America/Sao_Paulo')} AS sao_paulo, {_NY[1]} AS new_york, "
+    f"{_wall('ts', 'Asia/Kolkata')} AS kolkata, {_NY[0]} = {_NY[1]} OR {_NY[2]} = {_NY[1]} AS twice, "
+    f"CASE WHEN {_NY[0]} = {_NY[1]} THEN ts - INTERVAL 1 HOUR ELSE ts END AS earlier, "
+    f"CASE WHEN {_NY[2]} = {_NY[1]} THEN ts + INTERVAL 1 HOUR ELSE ts END AS later FROM events")
 ORACLES["align_schema"] = (
     f"WITH {LEDGER} SELECT source_system, company_code, posting_date, doc_type, doc_number, doc_line, "
     "entry_date, amount_lc, CAST(NULL AS VARCHAR) AS vendor_code, file_name, "
@@ -355,6 +389,12 @@ ORACLES["process_lookup"] = (
     f"WITH {PROCS} SELECT * FROM procs WHERE lower(process_name) = 'finance 1' AND "
     "lower(step_name) = 'raw to bronze' AND lower(source_system) = 'sap1' AND status = 'A' "
     "ORDER BY process_id LIMIT 1")
+ORACLES["process_lookup_ilike"] = (
+    f"WITH {PROCS} SELECT * FROM procs WHERE process_name ILIKE 'FINANCE _' AND step_name ILIKE 'raw%BRONZE' "
+    "AND source_system ILIKE 'sap1' AND status = 'A' ORDER BY process_id LIMIT 1")
+ORACLES["run_start_ids"] = (
+    f"WITH {PROCS} SELECT process_id, process_name, step_name, CAST((SELECT max(event_id) FROM events) + "
+    "row_number() OVER (ORDER BY process_id) AS BIGINT) AS run_id FROM procs WHERE status = 'A'")
 RULES_PH = ("rules AS (SELECT * FROM (VALUES "
             "(11, 2, 'doc_line', 'not_null', NULL, 0, NULL), "
             "(12, 2, 'doc_line', 'numeric_format', 'integer', 0, NULL), "

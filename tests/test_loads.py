@@ -97,8 +97,46 @@ def test_reject_mode_writes_the_log_of_the_same_misses(spark, base):
     assert row.null_month_rows == "1"
 
 
-def test_load_leaves_no_staged_rows(spark, base):
+def test_load_leaves_nothing_in_the_shared_folder(spark, base):
     land(spark, f"{base}/landing", [("a", "20240101")])
     before = set(DL.list_entries(spark, checkpoint_dir(spark)))
-    bronze(spark, L.Warehouse(f"{base}/wh"), f"{base}/landing", 1, [])
-    assert not [n for n in set(DL.list_entries(spark, checkpoint_dir(spark))) - before if n.startswith("load-")]
+    wh = L.Warehouse(f"{base}-wh")
+    bronze(spark, wh, f"{base}/landing", 1, [])
+    L.silver_load(spark, wh, "t", [], lambda name: None, L.RunInfo(2, 3, "2024-01-02 00:00:00"))
+    left = set(DL.list_entries(spark, checkpoint_dir(spark))) - before
+    assert {n for n in left if not n.startswith("batch-")} == set()
+    assert not DL.list_entries(spark, checkpoint_dir(spark).rstrip("/") + "/rdd-0")
+
+
+def test_a_load_that_breaks_off_is_not_seen(spark, base, monkeypatch):
+    """Bronze, rejected rows and the loaded files of a run are seen together, when it has ended."""
+    land(spark, f"{base}/landing", [("a", "20240101"), (None, "20240101")])
+    wh, rules = L.Warehouse(f"{base}/wh"), [Rule(1, "k", NOT_NULL)]
+    bronze(spark, wh, f"{base}/landing", 1, rules)
+    land(spark, f"{base}/landing", [("b", "20240102"), ("c", "20240102"), (None, "20240102"), (None, "bad")], "led_20240102_120000.txt")
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(L, "_write_error_log", lost)
+    with pytest.raises(RuntimeError):
+        bronze(spark, wh, f"{base}/landing", 2, rules, skip_loaded=True)
+    monkeypatch.undo()
+    assert [r.k for r in wh.bronze(spark, "t").current().collect()] == ["a"]
+    assert wh.bronze_rejected(spark, "t").current().count() == 1
+    state = K.run_state(L.read_run_events(spark, wh)).filter("run_id = 2").first()
+    assert state.status == "E"
+    got = bronze(spark, wh, f"{base}/landing", 3, rules, skip_loaded=True)      # under a new id, as nothing was loaded
+    assert got == {"source": 4, "accepted": 2}
+    assert sorted(r.k for r in wh.bronze(spark, "t").current().collect()) == ["b", "c"]
+
+
+def test_gate_of_one_extract_does_not_reach_the_others(spark, base):
+    land(spark, f"{base}/landing", [("a", "20240101"), ("b", None)])
+    land(spark, f"{base}/landing", [("c", "20240102"), (None, "20240102")], "led_20240102_120000.txt")
+    wh = L.Warehouse(f"{base}/wh")
+    rules = [Rule(7, "posting_date", NOT_NULL, reject_all=True), Rule(1, "k", NOT_NULL)]
+    assert bronze(spark, wh, f"{base}/landing", 1, rules) == {"source": 4, "accepted": 1}
+    assert sorted((r.k or "", r.reject_reasons) for r in wh.bronze_rejected(spark, "t").current().collect()) == [
+        ("", "1"), ("a", "7"), ("b", "7")]
+    assert sorted((r.rule_id, r.error_value) for r in L.read_error_log(spark, wh).collect()) == [(1, "None"), (7, "None")]

@@ -144,6 +144,51 @@ def error_log_gated(gated: DataFrame, rules: list[Rule], run_id: int,
                          "row_id", F.col("e.error_value")))
 
 
+ROW_FAILS, BATCH_FAILS = "_tg_row_fails", "_tg_batch_fails"
+
+
+def failure_columns(df: DataFrame, rules: list[Rule], skip: Column | None = None) -> list[Column]:
+    """A row's failures of the row rules and of the batch rules, as arrays of
+    (rule_id, error_value) in rule order.  Rows where ``skip`` holds have none.
+    Reasons, gate, log and counts follow from them without evaluating a rule
+    again."""
+    check_columns(df, rules)
+    batch, row = _split(rules)
+    out = []
+    for own, name in ((row, ROW_FAILS), (batch, BATCH_FAILS)):
+        entries = failure_entries(own)
+        out.append((entries if skip is None else F.when(~skip, entries).otherwise(failure_entries([]))).alias(name))
+    return out
+
+
+def batch_summary(failed: DataFrame, rules: list[Rule], batch_key: str, ok: Column) -> DataFrame:
+    """Per batch, from a frame with ``failure_columns``: source rows, rows that
+    pass every row rule (of those that are ``ok``), and the gate decision.  One
+    partial aggregate over the failure columns alone."""
+    batch, _ = _split(rules)
+
+    def fails(rule: Rule) -> Column:
+        return F.exists(BATCH_FAILS, lambda e: e["rule_id"] == rule.rule_id)
+
+    flags = [F.when(F.bool_or(fails(r)), F.lit(r.id_text)) for r in batch]
+    gate = F.array_join(F.array_compact(F.array(*flags)), ",") if flags else F.lit("")
+    return failed.groupBy(batch_key).agg(
+        F.count(F.lit(1)).alias("source_rows"), F.count_if((F.size(ROW_FAILS) == 0) & ok).alias("passing_rows"), gate.alias(GATE))
+
+
+def fail_reasons(entries: str) -> Column:
+    """Comma list of the rule ids of a failure column."""
+    return F.array_join(F.transform(entries, lambda e: e["rule_id"].cast("string")), ",")
+
+
+def log_failures(gated: DataFrame, run_id: int, row_id_col: str = "row_id") -> DataFrame:
+    """Error log of a frame that carries failures and ``gate_failed``."""
+    some = gated.filter((F.size(ROW_FAILS) > 0) | (F.size(BATCH_FAILS) > 0))
+    entries = F.when(F.col(GATE) != "", F.col(BATCH_FAILS)).otherwise(F.col(ROW_FAILS))
+    return (some.select(F.col(row_id_col).alias("row_id"), F.explode(entries).alias("e"))
+                .select(F.lit(run_id).cast("bigint").alias("run_id"), F.col("e.rule_id"), "row_id", F.col("e.error_value")))
+
+
 def rule_fail_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Failing rows per rule (every rule evaluated), one aggregate pass; long
     form (rule_id, failed_rows)."""

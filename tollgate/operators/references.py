@@ -134,6 +134,35 @@ def annotate_evaluated(df: DataFrame, rules: list[Rule], resolve: MasterResolver
     return flagged.select(*_annotated(filled.columns, applied), _entries(applied).alias(ENTRIES))
 
 
+def flagged_rows(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
+                 missing_master: str = SKIP) -> tuple[DataFrame, list[Rule]]:
+    """Sentinel-filled rows with one miss flag per applied rule, and those
+    rules: what annotating, rejecting and logging need, without a join."""
+    return flag_misses(fill_sentinel(df), rules, resolve, missing_master)
+
+
+def annotated_from(flagged: DataFrame, columns: list[str], applied: list[Rule]) -> DataFrame:
+    """``annotate`` of rows that carry their flags; ``columns`` are kept."""
+    return flagged.select(*_annotated(columns, applied))
+
+
+def judged_from(flagged: DataFrame, columns: list[str], applied: list[Rule]) -> DataFrame:
+    """``evaluate`` of rows that carry their flags; ``columns`` are kept."""
+    reasons = F.array_join(_missed_ids(applied), ",") if applied else F.lit("")
+    markers = _markers(applied) if applied else F.lit("")
+    return flagged.select(*[F.col(c) for c in columns], reasons.alias(REASONS), markers.alias(ERROR_VALUE))
+
+
+def missed_any(applied: list[Rule]) -> Column:
+    """TRUE where a row misses a rule's lookup."""
+    return reduce(or_, [F.col(miss_col(r)) for r in applied]) if applied else F.lit(False)
+
+
+def log_misses(flagged: DataFrame, applied: list[Rule], run_id: int, row_id_col: str = "row_id") -> DataFrame:
+    """Error log of rows that carry their flags; hits are not looked at."""
+    return log_entries(flagged.filter(missed_any(applied)).withColumn(ENTRIES, _entries(applied)), run_id, row_id_col)
+
+
 def _entries(applied: list[Rule]) -> Column:
     """array<struct<rule_id, error_value>> of the rules a row misses."""
     if not applied:

@@ -6,13 +6,13 @@ table through one task.  Instead:
 1. range-partition and sort by the ordering key (a position tie-breaker lets
    the range partitioner split runs of identical rows, so one hot value
    cannot land in a single task);
-2. checkpoint that ordered frame to the shared checkpoint folder, which fixes
-   partition boundaries and in-partition order for every later read and cuts
-   the lineage (executor loss afterwards re-reads the checkpoint);
-3. count rows per partition (one row per partition), turn the counts into
-   start offsets (a window over at most ``num_partitions`` rows) and
-   broadcast them;
-4. id = offset of the partition + position inside the partition + 1.
+2. write the ordered rows once as Parquet to the shared folder, each with the
+   number of its partition and its position in it.  That fixes both for every
+   later read and cuts the lineage (executor loss afterwards re-reads the
+   files);
+3. count the rows per partition from these two columns alone, and turn the
+   counts into start offsets (one row per partition);
+4. id = offset of the partition + position + 1, by a broadcast of the offsets.
 
 Identical rows are indistinguishable, so which of them receives which id
 does not change any result built on the ids.
@@ -20,46 +20,60 @@ does not change any result built on the ids.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tollgate.session import checkpoint_dir
+from tollgate.staging import staged_path
 
-_POS, _PID, _MID, _OFF, _N = "_tg_pos", "_tg_pid", "_tg_mid", "_tg_off", "_tg_n"
+_TIE, _PID, _POS, _OFF = "_tg_tie", "_tg_pid", "_tg_pos", "_tg_off"
 
 
-def _order_exprs(cols: list[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in cols]
+def _order_exprs(cols: list[str | Column]) -> list[Column]:
+    return [(F.col(f"`{c}`") if isinstance(c, str) else c).asc_nulls_first() for c in cols]
+
+
+def stage_ordered(df: DataFrame, order: list[str | Column], path: str, num_partitions: int | None = None,
+                  more: list[Column] | None = None) -> T.StructType:
+    """Write ``df`` to ``path`` in ``order`` (NULLs first), with the partition
+    and the position of each row; returns the schema without these two.
+
+    ``more`` are columns computed row by row after the sort: range partitioning
+    samples its input, so whatever comes before it runs twice."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    exprs = [*_order_exprs(order), F.col(_TIE).asc()]
+    ordered = df.withColumn(_TIE, F.monotonically_increasing_id()).repartitionByRange(n, *exprs).sortWithinPartitions(*exprs)
+    rows = ordered.select(
+        *[F.col(f"`{c}`") for c in df.columns], *(more or []), F.spark_partition_id().alias(_PID),
+        (F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias(_POS))
+    rows.write.parquet(path)
+    return T.StructType(rows.schema.fields[:-2])
+
+
+def read_numbered(spark: SparkSession, path: str, schema: T.StructType, id_col: str) -> DataFrame:
+    """The staged rows with ``id_col`` = 1..n in their order."""
+    whole = T.StructType([*schema.fields, T.StructField(_PID, T.IntegerType()), T.StructField(_POS, T.LongType())])
+    rows = spark.read.schema(whole).parquet(path)
+    # One row per partition of the sort, which its caller has set.
+    counts = rows.groupBy(_PID).agg((F.max(_POS) + 1).alias("n")).orderBy(_PID).collect()
+    offsets, start = [], 0
+    for r in counts:
+        offsets.append((r[_PID], start))
+        start += r["n"]
+    starts = spark.createDataFrame(offsets, f"{_PID} int, {_OFF} long")
+    return rows.join(F.broadcast(starts), _PID).select(
+        *[F.col(f"`{f.name}`") for f in schema], (F.col(_OFF) + F.col(_POS) + 1).alias(id_col))
 
 
 def dense_row_numbers(df: DataFrame, order_cols: list[str] | None = None,
                       id_col: str = "row_num", num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = 1..n in ``order_cols`` order (all columns by default,
-    NULLs first).  Returns a frame backed by a checkpoint."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    cols = list(order_cols or df.columns)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = df.withColumn(_POS, F.monotonically_increasing_id())
-    order = _order_exprs(cols) + [F.col(_POS).asc()]
-    ordered = (keyed.repartitionByRange(n, *order)
-                    .sortWithinPartitions(*order)
-                    .checkpoint(eager=True))
-    tagged = ordered.select(
-        *[F.col(c) for c in df.columns],
-        F.spark_partition_id().alias(_PID),
-        F.monotonically_increasing_id().alias(_MID))
-    # One row per partition: bounded by num_partitions, so the global window
-    # and the broadcast below are small by construction.
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    offsets = counts.select(
-        _PID,
-        F.coalesce(F.sum(_N).over(Window.orderBy(_PID).rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias(_OFF))
-    within = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    return (tagged.join(F.broadcast(offsets), _PID, "inner")
-                  .select(*[F.col(c) for c in df.columns],
-                          (F.col(_OFF) + within + F.lit(1)).alias(id_col)))
+    NULLs first).  Returns a frame over a staged table, which is removed when
+    the driver ends."""
+    path = staged_path(df.sparkSession, "rowids")
+    schema = stage_ordered(df, list(order_cols or df.columns), path, num_partitions)
+    return read_numbered(df.sparkSession, path, schema, id_col)
 
 
 def partitions_for(n_bytes: int, least: int = 1, target: int = 128 << 20) -> int:
@@ -67,10 +81,13 @@ def partitions_for(n_bytes: int, least: int = 1, target: int = 128 << 20) -> int
     return max(least, -(-n_bytes // target))
 
 
+def prefixed(prefix: str | int, number: Column) -> Column:
+    """Row identity ``"<prefix>_<n>"``."""
+    return F.concat(F.lit(f"{prefix}_"), number.cast("string"))
+
+
 def row_ids(df: DataFrame, prefix: str | int, order_cols: list[str] | None = None,
             id_col: str = "row_id", num_partitions: int | None = None) -> DataFrame:
     """Row identity ``"<prefix>_<n>"`` with n dense from 1 in key order."""
     numbered = dense_row_numbers(df, order_cols, "_tg_rownum", num_partitions)
-    return (numbered.withColumn(id_col, F.concat(F.lit(f"{prefix}_"),
-                                                 F.col("_tg_rownum").cast("string")))
-                    .drop("_tg_rownum"))
+    return numbered.withColumn(id_col, prefixed(prefix, F.col("_tg_rownum"))).drop("_tg_rownum")

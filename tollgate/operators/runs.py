@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tollgate.operators.rowids import dense_row_numbers
 
 START, SET, END = "START", "SET", "END"
 COMPLETED, FAILED = "C", "E"
@@ -57,7 +58,7 @@ def process_lookup(processes: DataFrame, name: str, step: str, system: str,
     lowest id wins (0 or 1 row).  ``use_ilike`` treats ``_``/``%`` in the
     arguments as wildcards."""
     def match(c, v):
-        return F.col(c).ilike(F.lit(v)) if use_ilike else F.lower(F.col(c)) == F.lit(v.lower())
+        return F.col(c).ilike(v) if use_ilike else F.lower(F.col(c)) == F.lit(v.lower())
     return (processes.filter(match("process_name", name) & match("step_name", step)
                              & match("source_system", system) & (F.col("status") == ACTIVE))
                      .orderBy("process_id").limit(1))
@@ -89,6 +90,14 @@ def run_starts(events: DataFrame) -> DataFrame:
                   .groupBy("run_id", "process_id").agg(F.min("event_ts").alias("start_ts")))
 
 
+def run_start_ids(events: DataFrame, starts: DataFrame, order_cols: list[str], id_col: str = "run_id") -> DataFrame:
+    """The starts of a batch with new run ids: the largest id of the ledger (0
+    for an empty one) plus a dense number in ``order_cols`` order."""
+    numbered = dense_row_numbers(starts, order_cols, id_col)
+    last = events.agg(F.coalesce(F.max("run_id"), F.lit(0))).scalar()
+    return numbered.select(*[F.col(c) for c in starts.columns], (last + F.col(id_col)).alias(id_col))
+
+
 def run_last(events: DataFrame) -> DataFrame:
     """Last run id per process."""
     return (events.filter(F.col("event") == START)

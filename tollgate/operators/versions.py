@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tollgate.functions.columns import month_key
 
@@ -45,6 +46,16 @@ def latest_version(df: DataFrame, month_col: str = MONTH, file_col: str = FILE,
     return df.join(latest, [file_col, month_col], "inner").select(*df.columns)
 
 
+def newest_files(df: DataFrame, month_col: str = MONTH, file_col: str = FILE) -> tuple[DataFrame, int]:
+    """(month, newest file) as a small table and the number of rows without a
+    month, from one aggregate.  For a ``month_col`` of ``with_month``: at most
+    12 x 9999 months and the NULL one reach the driver."""
+    found = df.groupBy(month_col).agg(F.max(file_col).alias(file_col), F.count(F.lit(1)).alias("n")).collect()
+    schema = T.StructType([df.schema[month_col], df.schema[file_col]])
+    known = [(r[month_col], r[file_col]) for r in found if r[month_col] is not None]
+    return df.sparkSession.createDataFrame(known, schema), sum(r["n"] for r in found if r[month_col] is None)
+
+
 def null_month_rows(df: DataFrame, month_col: str = MONTH) -> DataFrame:
     """Rows ``latest_version`` drops for lack of a month (for run metrics)."""
     return df.filter(F.col(month_col).isNull())

@@ -2,37 +2,41 @@
 
 raw -> bronze
     one scan of all selected extracts (file name as batch key)
-    -> dense row ids (range-partitioned sort, checkpointed: the single
-       materialisation, which also cuts the lineage)
-    -> one evaluation of every physical rule (per-file gate + row rules);
-       lines with the wrong number of fields are set apart as ``malformed``
+    -> one range sort for dense row ids, staged once in the shared folder
+       with one evaluation of every physical rule: each row's failures; lines
+       with the wrong number of fields have none and are set apart as
+       ``malformed``
+    -> one summary per extract from the failure columns: gate, counts
     -> accepted rows to bronze (with the table's audit defaults), rejected
        rows (with reasons) to bronze-rejected, per-value error log, run
        metrics and END event.
 
 bronze -> silver
-    current bronze rows -> month key -> newest file per month (broadcast
-    join of a per-month aggregate) -> new row ids -> referential checks, once
-    -> silver history (scope: month) [+ rejected history], error log, metrics.
-
-Every output belongs to its run and replaces that run's earlier output as a
-whole, so a retry leaves nothing stale.  The evaluated rows of a load are one
-table in the shared folder, written once and read by each output; its folder
-and the row-id checkpoint are removed when the load ends.  Nothing row-level
-passes through the driver: it sees rule rows, the extract listing and one row
-of counts.
+    current bronze rows -> month key -> newest file per month and the rows
+    without a month (one aggregate; broadcast join of at most one row per
+    month) -> referential checks, once, as miss flags -> the range sort for new
+    row ids, staged once -> silver history (scope: month) [+ rejected
+    history], error log, metrics.
+
+The staged rows are the only copy besides the outputs; each output is a
+projection of them, and they are removed when the load ends.  Every output
+belongs to its run and replaces that run's earlier output as a whole, so a
+retry leaves nothing stale.  Readers see a run when it has ended, all of its
+tables at once: a load that breaks off leaves the tables as they were.  Nothing
+row-level passes through the driver: it sees rule rows, the extract listing,
+one row per extract or month, and one per sorted partition.
 
 ``load_by_process`` starts from names only: the control tables give the
-process, its parameters, its active rules and its masters.
+process, its parameters, its active rules and its masters; ``start_runs`` gives
+runs their ids.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,11 +47,12 @@ from tollgate.operators import references as X
 from tollgate.operators import runs as K
 from tollgate.operators import versions as V
 from tollgate.operators.history import CURRENT, HISTORY_ZONE, RUN
-from tollgate.operators.rowids import partitions_for, row_ids
-from tollgate.session import checkpoint_dir
+from tollgate.operators.rowids import partitions_for, prefixed, read_numbered, stage_ordered
 from tollgate.sources import delimited as DL
+from tollgate.sources import files
 from tollgate.sources import schemas as S
 from tollgate.sources.history_store import HistoryStore
+from tollgate.staging import staged_path, unstage
 
 MALFORMED = "malformed"
 
@@ -69,17 +74,20 @@ class Warehouse:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def _store(self, spark, layer: str, table: str, scope: list[str] | None = None) -> HistoryStore:
+        return HistoryStore(spark, self.path(layer, table), scope, lambda: ended_runs(spark, self))
+
     def bronze(self, spark, table) -> HistoryStore:
-        return HistoryStore(spark, self.path("bronze", table), self.bronze_scope)
+        return self._store(spark, "bronze", table, self.bronze_scope)
 
     def bronze_rejected(self, spark, table) -> HistoryStore:
-        return HistoryStore(spark, self.path("bronze_rejected", table), self.bronze_scope)
+        return self._store(spark, "bronze_rejected", table, self.bronze_scope)
 
     def silver(self, spark, table) -> HistoryStore:
-        return HistoryStore(spark, self.path("silver", table), [V.MONTH])
+        return self._store(spark, "silver", table, [V.MONTH])
 
     def silver_rejected(self, spark, table) -> HistoryStore:
-        return HistoryStore(spark, self.path("silver_rejected", table))
+        return self._store(spark, "silver_rejected", table)
 
     @property
     def error_log(self) -> str:
@@ -93,6 +101,10 @@ class Warehouse:
     def loaded_files(self) -> str:
         return self.path("control", "loaded_files")
 
+    @property
+    def run_ids(self) -> str:
+        return self.path("control", "run_ids")
+
 
 @dataclass
 class RunInfo:
@@ -119,14 +131,38 @@ def read_run_events(spark: SparkSession, wh: Warehouse) -> DataFrame:
     return spark.read.schema(K.EVENT_SCHEMA).option("recursiveFileLookup", "true").parquet(wh.run_events)
 
 
+def ended_runs(spark: SparkSession, wh: Warehouse) -> set[int]:
+    """Ids of the runs with an END event (one each, like the run folders that
+    the driver lists)."""
+    if not files.entries(spark, wh.run_events):
+        return set()
+    return {r["run_id"] for r in read_run_events(spark, wh).filter(F.col("event") == K.END).select("run_id").distinct().collect()}
+
+
+def start_runs(spark: SparkSession, wh: Warehouse, process_ids: list[int], as_of=None) -> list[RunInfo]:
+    """Runs with ids of their own, in the order of ``process_ids``.
+
+    Ids go on from the largest that the ledger or a claim knows.  Each is
+    claimed by creating its file exclusively, so two drivers that start runs at
+    once never share one; the one that comes second takes the next."""
+    known = [int(n) for n in (*files.entries(spark, wh.run_ids), *files.entries(spark, wh.run_events)) if n.isdigit()]
+    stamp, runs, number = as_of or _now_text(), [], max(known, default=0)
+    for process_id in process_ids:
+        number += 1
+        while not files.create_exclusive(spark, f"{wh.run_ids}/{number}"):
+            number += 1
+        runs.append(RunInfo(number, process_id, stamp))
+    return runs
+
+
 def loaded_files(spark: SparkSession, wh: Warehouse, table: str) -> DataFrame:
-    """file_name of every extract that a run has loaded into ``table``."""
+    """file_name of every extract that an ended run has loaded into ``table``."""
     schema = T.StructType([T.StructField("file_name", T.StringType()), T.StructField("object_name", T.StringType()),
                            T.StructField(RUN, T.LongType())])
-    store = HistoryStore(spark, wh.loaded_files)
-    if not store._entries(wh.loaded_files):
+    if not files.entries(spark, wh.loaded_files):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(wh.loaded_files).filter(F.col("object_name") == table)
+    return spark.read.schema(schema).parquet(wh.loaded_files).filter(
+        (F.col("object_name") == table) & F.col(RUN).isin(sorted(ended_runs(spark, wh))))
 
 
 def _replace(df: DataFrame, path: str) -> None:
@@ -160,27 +196,8 @@ def _end(spark: SparkSession, wh: Warehouse, run: RunInfo, start: DataFrame, cou
     _replace(events.coalesce(1), _events_path(wh, run))
 
 
-def _staged(df: DataFrame, aggs: dict) -> tuple[DataFrame, dict, str]:
-    """``df`` as a table of the shared folder, and aggregates of its rows from
-    the same job."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/load-{uuid.uuid4().hex}"
-    seen = Observation()
-    df.observe(seen, *[c.alias(n) for n, c in aggs.items()]).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), {n: int(seen.get[n] or 0) for n in aggs}, path
-
-
-def _remove(spark: SparkSession, *paths: str) -> None:
-    jvm = spark.sparkContext._jvm
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _numbered(df: DataFrame, run: RunInfo, order_cols: list[str], n_bytes: int) -> DataFrame:
-    least = df.sparkSession.sparkContext.defaultParallelism
-    return row_ids(df, run.run_id, order_cols=order_cols, id_col="row_id",
-                   num_partitions=partitions_for(n_bytes, least))
+def _parts(spark: SparkSession, n_bytes: int) -> int:
+    return partitions_for(n_bytes, spark.sparkContext.defaultParallelism)
 
 
 # --------------------------------------------------------------- bronze ---
@@ -207,38 +224,42 @@ def load_bronze_frame(spark: SparkSession, wh: Warehouse, table: str, raw: DataF
     start = _start(spark, wh, run)
     if DL.CORRUPT not in raw.columns:
         raw = raw.withColumn(DL.CORRUPT, F.lit(None).cast("string"))
-    ids = _numbered(raw, run, ["file_name", *names, DL.CORRUPT], n_bytes)
-    evaluated = evaluate_extracts(ids, rules)
-    is_ok = F.col(Q.REASONS) == ""
-    staged, counts, path = _staged(evaluated, {
-        "source_record_count": F.count(F.lit(1)), "target_record_count": F.count_if(is_ok)})
+    bad = F.col(DL.CORRUPT).isNotNull()
+    # A malformed line's values stand for nothing: no rule sees them.
+    failures = Q.failure_columns(raw, rules, skip=bad)
+    path = staged_path(spark, "load")
     try:
-        accepted = staged.filter(is_ok).drop(Q.REASONS, Q.GATE, DL.CORRUPT)
+        schema = stage_ordered(raw, ["file_name", *names, DL.CORRUPT], path, _parts(spark, n_bytes), failures)
+        numbered = read_numbered(spark, path, schema, "row_id").withColumn("row_id", prefixed(run.run_id, F.col("row_id")))
+        staged, summary = _gated(numbered, rules, bad)
+        is_ok = F.col(Q.REASONS) == ""
+        columns = [*raw.columns, "row_id"]
+        accepted = staged.filter(is_ok).select(*[c for c in columns if c != DL.CORRUPT])
         audited = T.StructType([*accepted.schema.fields, *AUDIT_DEFAULTS.fields])
         wh.bronze(spark, table).append(S.apply_defaults(accepted, audited), run.run_id, run.as_of, delivery)
-        wh.bronze_rejected(spark, table).append(staged.filter(~is_ok).drop(Q.GATE), run.run_id, run.as_of, delivery)
-        well_formed = staged.filter(F.col(DL.CORRUPT).isNull())
-        _write_error_log(wh, table, run, Q.error_log_gated(well_formed, rules, run.run_id, "row_id"))
-        files = staged.groupBy("file_name").agg(F.count(F.lit(1)).alias("rows")).select("file_name")
-        _replace(files, f"{wh.loaded_files}/object_name={table}/{RUN}={run.run_id}")
+        wh.bronze_rejected(spark, table).append(
+            staged.filter(~is_ok).select(*columns, Q.REASONS), run.run_id, run.as_of, delivery)
+        _write_error_log(wh, table, run, Q.log_failures(staged, run.run_id, "row_id"))
+        loaded = spark.createDataFrame([(r["file_name"],) for r in summary], "file_name string")
+        _replace(loaded.coalesce(1), f"{wh.loaded_files}/object_name={table}/{RUN}={run.run_id}")
+        counts = {"source_record_count": sum(r["source_rows"] for r in summary),
+                  "target_record_count": sum(r["passing_rows"] for r in summary if r[Q.GATE] == "")}
         _end(spark, wh, run, start, counts)
     finally:
-        _remove(spark, path)
+        unstage(spark, path)
     return {"source": counts["source_record_count"], "accepted": counts["target_record_count"]}
 
 
-def evaluate_extracts(ids: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Gate per extract and row rules; malformed lines have that one reason
-    and take no part in the gate."""
-    bad = F.col(DL.CORRUPT).isNotNull()
-    # A malformed line's values stand for nothing: no rule sees them.
-    table = Q.gate_table(ids.filter(~bad), rules, Q.FILE).select(F.col(Q.FILE).alias("_tg_f"), F.col(Q.GATE))
-    gated = ids.join(F.broadcast(table), F.col(Q.FILE) == F.col("_tg_f"), "left").select(
-        *[F.col(c) for c in ids.columns], F.coalesce(F.col(Q.GATE), F.lit("")).alias(Q.GATE))
-    reason = F.when(bad, F.lit(MALFORMED)).when(F.col(Q.GATE) != "", F.col(Q.GATE)).otherwise(
-        Q.reason_text([r for r in rules if not r.reject_all]))
-    R.check_columns(ids, rules)
-    return gated.withColumn(Q.REASONS, reason)
+def _gated(numbered: DataFrame, rules: list[Rule], bad: Column) -> tuple[DataFrame, list[Row]]:
+    """The staged rows with gate decision and reasons, and the summary of each
+    extract: the driver has the extract listing, so it can have these."""
+    spark = numbered.sparkSession
+    summary = Q.batch_summary(numbered, rules, Q.FILE, ~bad).collect()
+    gates = spark.createDataFrame([(r[Q.FILE], r[Q.GATE]) for r in summary], f"_tg_f string, {Q.GATE} string")
+    gated = numbered.join(F.broadcast(gates), F.col(Q.FILE) == F.col("_tg_f"), "left").drop("_tg_f")
+    gated = gated.withColumn(Q.GATE, F.when(bad, F.lit("")).otherwise(F.coalesce(F.col(Q.GATE), F.lit(""))))
+    reason = F.when(bad, F.lit(MALFORMED)).when(F.col(Q.GATE) != "", F.col(Q.GATE)).otherwise(Q.fail_reasons(Q.ROW_FAILS))
+    return gated.withColumn(Q.REASONS, reason), summary
 
 
 # --------------------------------------------------------------- silver ---
@@ -252,59 +273,68 @@ def bronze_months(spark: SparkSession, wh: Warehouse, table: str) -> DataFrame:
     return V.with_month(bronze.select(*[c for c in bronze.columns if c not in _NOT_BUSINESS]))
 
 
-def silver_input(spark: SparkSession, wh: Warehouse, table: str, run: RunInfo) -> tuple[DataFrame, int]:
-    """Current bronze rows of the newest file per month, with new row ids, and
-    the number of rows left out for want of a month."""
+def silver_input(spark: SparkSession, wh: Warehouse, table: str) -> tuple[DataFrame, int]:
+    """Current bronze rows of the newest file per month, and the number of
+    rows left out for want of a month."""
     months = bronze_months(spark, wh, table)
-    n_bytes = DL.folder_bytes(spark, wh.bronze(spark, table)._part("data"))
-    latest = V.latest_version(months, month_domain=True)
-    dropped = V.null_month_rows(months).count()
-    return _numbered(latest, run, latest.columns, n_bytes), dropped
+    newest, dropped = V.newest_files(months)
+    return months.join(F.broadcast(newest), [V.FILE, V.MONTH]).select(*months.columns), dropped
+
 
+_NULLS = "_tg_nulls"
 
-def _silver(spark: SparkSession, wh: Warehouse, table: str, run: RunInfo, checked, write) -> dict[str, int]:
-    """Claim, read, check once, write the outputs, the error log and the run's end."""
+
+def _silver(spark: SparkSession, wh: Warehouse, table: str, rules: list[Rule], resolve: X.MasterResolver, run: RunInfo,
+            write) -> dict[str, int]:
+    """Claim, read, check once, stage once in row-id order, write the outputs,
+    the error log and the run's end.  ``write`` gets the staged rows with their
+    miss flags, the columns and the applied rules, and returns the number of
+    rows that silver has got."""
     wh.silver(spark, table).claim(run.run_id, f"{run.as_of}|")
     start = _start(spark, wh, run)
-    source, dropped = silver_input(spark, wh, table, run)
-    rows, aggs = checked(source)
-    staged, counts, path = _staged(rows, {"source_record_count": F.count(F.lit(1)), **aggs})
+    source, dropped = silver_input(spark, wh, table)
+    columns = source.columns
+    # The checks fill NULLs, ids are ordered by the values as they came.
+    text = [f.name for f in source.schema if isinstance(f.dataType, T.StringType)]
+    marked = source.withColumn(_NULLS, F.array(*[F.col(c).isNull() for c in text]))
+    flagged, applied = X.flagged_rows(marked, rules, resolve)
+    order = [F.when(~F.col(_NULLS)[text.index(c)], F.col(c)) if c in text else F.col(c) for c in columns]
+    path = staged_path(spark, "load")
     try:
-        write(staged)
-        _write_error_log(wh, table, run, X.log_entries(staged, run.run_id))
-        counts["null_month_rows"] = dropped
+        n_bytes = DL.folder_bytes(spark, wh.bronze(spark, table)._part("data"))
+        schema = stage_ordered(flagged, order, path, _parts(spark, n_bytes))
+        staged = read_numbered(spark, path, schema, "row_id").withColumn("row_id", prefixed(run.run_id, F.col("row_id")))
+        size = staged.agg(F.count(F.lit(1)).alias("n"), F.count_if(~X.missed_any(applied)).alias("hits")).first()
+        accepted = write(staged, [*columns, "row_id"], applied, size)
+        _write_error_log(wh, table, run, X.log_misses(staged, applied, run.run_id))
+        counts = {"source_record_count": size["n"], "target_record_count": accepted, "null_month_rows": dropped}
         _end(spark, wh, run, start, counts)
     finally:
-        _remove(spark, path)
+        unstage(spark, path)
     return {"source": counts["source_record_count"], "accepted": counts["target_record_count"]}
 
 
 def silver_load(spark: SparkSession, wh: Warehouse, table: str, rules: list[Rule],
                 resolve: X.MasterResolver, run: RunInfo) -> dict[str, int]:
     """bronze -> silver: every row kept, failed lookups marked TBD."""
-    def checked(source: DataFrame):
-        return X.annotate_evaluated(source, rules, resolve), {"target_record_count": F.count(F.lit(1))}
-
-    def write(staged: DataFrame) -> None:
-        wh.silver(spark, table).append(staged.drop(X.ENTRIES), run.run_id, run.as_of)
+    def write(staged: DataFrame, columns: list[str], applied: list[Rule], size: Row) -> int:
+        wh.silver(spark, table).append(X.annotated_from(staged, columns, applied), run.run_id, run.as_of)
+        return size["n"]
 
-    return _silver(spark, wh, table, run, checked, write)
+    return _silver(spark, wh, table, rules, resolve, run, write)
 
 
 def silver_load_with_rejects(spark: SparkSession, wh: Warehouse, table: str, rules: list[Rule],
                              resolve: X.MasterResolver, run: RunInfo) -> dict[str, int]:
     """bronze -> silver where rows missing a lookup go to silver-rejected."""
-    is_ok = F.col(X.REASONS) == ""
-
-    def checked(source: DataFrame):
-        return (X.evaluate(source, rules, resolve, keep_entries=True), {"target_record_count": F.count_if(is_ok)})
-
-    def write(staged: DataFrame) -> None:
-        rows = staged.drop(X.ENTRIES)
-        wh.silver(spark, table).append(rows.filter(is_ok).drop(X.REASONS, X.ERROR_VALUE), run.run_id, run.as_of)
-        wh.silver_rejected(spark, table).append(rows.filter(~is_ok), run.run_id, run.as_of)
-
-    return _silver(spark, wh, table, run, checked, write)
+    def write(staged: DataFrame, columns: list[str], applied: list[Rule], size: Row) -> int:
+        missed = X.missed_any(applied)
+        wh.silver(spark, table).append(staged.filter(~missed).select(*columns), run.run_id, run.as_of)
+        wh.silver_rejected(spark, table).append(
+            X.judged_from(staged.filter(missed), columns, applied), run.run_id, run.as_of)
+        return size["hits"]
+
+    return _silver(spark, wh, table, rules, resolve, run, write)
 
 
 # ------------------------------------------------------------ by process ---

@@ -8,19 +8,28 @@ reproducible.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tollgate.functions import rules as R
 from tollgate.operators import quality as Q
 from tollgate.operators.rowids import row_ids
 from tollgate.session import checkpoint_dir
 from tollgate.sources import testdata as TD
+from tollgate.sources.history_store import HistoryStore, TypeChange
+from tollgate.sources.scoped_table import ScopedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+def scratch(spark: SparkSession, kind: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
 # Run id used for row ids and error logs of the fixture loads.
 FIXTURE_RUN_ID = 7
 
@@ -234,6 +243,33 @@ def q_current_rows(spark, d):
     return H.current_rows(_silver_history(spark, d))
 
 
+HISTORY_FIELDS = [T.StructField(H.VALID_FROM, T.TimestampNTZType()), T.StructField(H.VALID_TO, T.TimestampNTZType()),
+                  T.StructField(H.CURRENT, T.BooleanType())]
+
+
+def _month_table(spark, rows: DataFrame) -> ScopedTable:
+    return ScopedTable(spark, scratch(spark, "months"), [V.MONTH], T.StructType([*rows.schema.fields, *HISTORY_FIELDS]))
+
+
+@query("scd_expire_rewrite")
+def q_scd_expire_rewrite(spark, d):
+    """The stored table: only the folders of the expired months are rewritten."""
+    h1 = file_rows(spark, d, *FIRST)
+    table = _month_table(spark, h1)
+    table.reload(h1, T1)
+    table.expire(file_rows(spark, d, *SECOND), T2)
+    return table.read()
+
+
+@query("scd_reload_rewrite")
+def q_scd_reload_rewrite(spark, d):
+    """Four loads into the stored table, each one rewrite of its months."""
+    table = _month_table(spark, months(spark, d))
+    for name, stamp in zip(TD.LEDGER_FILES, STAMPS):
+        table.reload(file_rows(spark, d, name), stamp)
+    return table.read()
+
+
 @query("scd_derived_validity")
 def q_scd_derived_validity(spark, d):
     # The runs' appended rows, read in one scan: run and stamp follow the file.
@@ -243,6 +279,27 @@ def q_scd_derived_validity(spark, d):
     return H.derive_validity(rows, [V.MONTH])
 
 
+@query("history_type_change")
+def q_history_type_change(spark, d):
+    """Four runs whose columns widen, narrow and appear; one run is refused."""
+    store = HistoryStore(spark, scratch(spark, "history"), [V.MONTH])
+    layouts = [
+        {"doc_number": "int", "doc_line": "int", "amount_lc": "decimal(15,2)"},
+        {"doc_number": "bigint", "doc_line": "smallint", "amount_lc": "decimal(20,4)"},
+        {"doc_number": "int", "amount_lc": "decimal(12,2)", "entry_date": "date"},
+        {"doc_number": "bigint", "doc_line": "int", "amount_lc": "decimal(12,2)", "entry_date": "timestamp_ntz"}]
+    for run, (name, stamp, types) in enumerate(zip(TD.LEDGER_FILES, STAMPS, layouts), 1):
+        rows = file_rows(spark, d, name)
+        day = F.to_date("entry_date", "yyyyMMdd")
+        store.append(rows.select("file_name", V.MONTH, *[
+            (day if c == "entry_date" else F.col(c)).try_cast(t).alias(c) for c, t in types.items()]), run, stamp)
+    try:
+        store.append(file_rows(spark, d, TD.FILE_1).select("file_name", V.MONTH, "doc_line"), 9, T4)
+    except TypeChange:
+        return store.read()
+    raise AssertionError("text went into a number column")
+
+
 @query("append_merge_schema")
 def q_append_merge_schema(spark, d):
     a = file_rows(spark, d, *FIRST).select(
@@ -349,11 +406,10 @@ def q_row_ids(spark, d):
 
 # ---------------------------------------------------------------- files ---
 
-import uuid  # noqa: E402
-
 from tollgate.functions.filenames import mask_predicate  # noqa: E402
-from tollgate.session import checkpoint_dir  # noqa: E402
 from tollgate.sources import delimited as DL  # noqa: E402
+from tollgate.sources import listing as LS  # noqa: E402
+from tollgate.sources import mixed as MX  # noqa: E402
 
 # Accented constant proving Latin-1 decoding; mask of the extracts.
 CITY = "São Paulo"
@@ -361,11 +417,6 @@ EXTRACT_MASK = "{fileName}_{yyyymmdd}_{hhmmss}.{fileExtension}"
 EXTRACT_COLS = [c for c in TD.LEDGER_COLUMNS if c != "file_name"] + ["city"]
 
 
-def scratch(spark: SparkSession, kind: str) -> str:
-    """A new folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
-
-
 _LANDINGS: dict[tuple, str] = {}
 
 
@@ -427,12 +478,39 @@ PROCESS_READER_ROW = {"file_delimiter": "|", "file_encoding": "UTF-8", "file_hea
 
 @query("scan_by_spec")
 def q_scan_by_spec(spark, d):
-    row = spark.createDataFrame([PROCESS_READER_ROW]).first()
-    spec = DL.ReaderSpec.from_row(row)
+    spec = DL.ReaderSpec.from_row(PROCESS_READER_ROW)
     root = write_landing(spark, d, spec)
     return DL.ingest(spark, root, EXTRACT_COLS, spec, apply_mask=True)
 
 
+# Control rows of two sources in one landing folder.
+MIXED_ROWS = [
+    {"process_name": "tab", "file_delimiter": "\t", "file_encoding": "ISO-8859-1", "file_header": False,
+     "file_extension": "txt", "file_prefix": "ledger", "file_mask": EXTRACT_MASK, "schema_name": "ledger"},
+    {"process_name": "pipe", "file_delimiter": "|", "file_encoding": "UTF-8", "file_header": True,
+     "file_extension": "psv", "file_prefix": "ledger", "file_mask": EXTRACT_MASK, "schema_name": "ledger"}]
+
+
+@query("ingest_mixed")
+def q_ingest_mixed(spark, d):
+    """A tab and a pipe delivery with headers, each by its control row."""
+    sources = MX.sources_from_control(MIXED_ROWS, lambda name: EXTRACT_COLS)
+    root = scratch(spark, "landing")
+    led = TD.ledger(spark, d).withColumn("city", F.lit(CITY)).repartition(spark.sparkContext.defaultParallelism).checkpoint()
+    for name in TD.LEDGER_FILES:
+        source = sources[int(name in SECOND)]
+        DL.write_delimited(led.filter(F.col("file_name") == name).select(*EXTRACT_COLS),
+                           f"{root}/{name.replace('.txt', '.' + source.spec.extension)}", source.spec)
+    return MX.scan_mixed(spark, root, sources)
+
+
+@query("file_listing")
+def q_file_listing(spark, d):
+    """The extracts of a landing folder and their bytes, part files included."""
+    spec = DL.ReaderSpec(prefix="Ledger", extension="TXT", mask=EXTRACT_MASK)
+    return LS.list_extracts(spark, write_landing(spark, d), spec).select("file_name", "bytes")
+
+
 @query("file_select")
 def q_file_select(spark, d):
     return DL.select_files(TD.file_names(spark, d), DL.ReaderSpec(prefix="Ledger", extension="txt"))
@@ -447,10 +525,11 @@ def q_filename_mask(spark, d):
 
 # -------------------------------------------------------------- schemas ---
 
-from pyspark.sql import types as T  # noqa: E402
-
+from tollgate.functions import zones as Z  # noqa: E402
 from tollgate.operators import runs as K  # noqa: E402
+from tollgate.sources import catalog as C  # noqa: E402
 from tollgate.sources import schemas as S  # noqa: E402
+from tollgate.sources import tables as TB  # noqa: E402
 
 
 @query("conform_typed")
@@ -478,6 +557,60 @@ def q_apply_defaults(spark, d):
     return S.apply_defaults(rows, AUDIT_SPEC)
 
 
+def _table_name(kind: str) -> str:
+    return f"tg_{kind}_{uuid.uuid4().hex}"
+
+
+@query("insert_defaults")
+def q_insert_defaults(spark, d):
+    """Rows that name four columns, into a catalog table; the table gets its
+    last two columns between two inserts."""
+    name = _table_name("audit")
+    narrow = T.StructType(AUDIT_SPEC.fields[:-2])
+    C.create_table(spark, name, narrow, scratch(spark, "table"))
+    for spec, files in ((narrow, FIRST), (AUDIT_SPEC, SECOND)):
+        C.evolve_table(spark, name, spec)
+        rows = TD.ledger(spark, d).filter(F.col("file_name").isin(*files))
+        C.insert_rows(rows.select("file_name", "doc_number", "amount_lc", "company_code"), name, spec)
+    return spark.table(name)
+
+
+@query("register_location")
+def q_register_location(spark, d):
+    """A partitioned folder as a catalog table; new folders are taken up."""
+    path, name = scratch(spark, "located"), _table_name("located")
+    for names in (FIRST, SECOND):
+        rows = file_rows(spark, d, *names).filter(F.col(V.MONTH).isNotNull()).select("doc_number", "vendor_code", V.MONTH)
+        rows.hint("rebalance", V.MONTH).write.mode("append").partitionBy(V.MONTH).parquet(path)
+        table = C.register_location(spark, name, path, [V.MONTH], rows.schema)
+    return table.filter(F.col(V.MONTH) >= "199501")
+
+
+@query("reload_table")
+def q_reload_table(spark, d):
+    """A master table reloaded from itself."""
+    path = scratch(spark, "master")
+    TB.reload_table(TD.vendor_master(spark, d), path)
+    old = TB.read_table(spark, path)
+    TB.reload_table(old.select(F.lower("vendor_id").alias("vendor_id"), "company_code"), path)
+    return TB.read_table(spark, path).join(old.select(F.lower("vendor_id").alias("vendor_id"), F.col("vendor_id").alias("was")),
+                                           "vendor_id")
+
+
+# Zones with and without clock changes.
+ZONES = {"sao_paulo": H.HISTORY_ZONE, "new_york": "America/New_York", "kolkata": "Asia/Kolkata"}
+
+
+@query("stamp_zone")
+def q_stamp_zone(spark, d):
+    """Instants as wall clocks, and back."""
+    e = TD.table(spark, d, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    walls = e.select("event_id", *[Z.wall_clock("ts", z).alias(n) for n, z in ZONES.items()])
+    return walls.select("*", Z.is_repeated("new_york", ZONES["new_york"]).alias("twice"),
+                        Z.instant_of("new_york", ZONES["new_york"], Z.EARLIER).alias("earlier"),
+                        Z.instant_of("new_york", ZONES["new_york"], Z.LATER).alias("later"))
+
+
 @query("align_schema")
 def q_align_schema(spark, d):
     rows = TD.ledger(spark, d).withColumn("extra_note", F.lit("dropped")).drop("vendor_code")
@@ -491,6 +624,18 @@ def q_process_lookup(spark, d):
     return K.process_lookup(TD.processes(spark, d), "finance 1", "raw to bronze", "sap1")
 
 
+@query("process_lookup_ilike")
+def q_process_lookup_ilike(spark, d):
+    return K.process_lookup(TD.processes(spark, d), "FINANCE _", "raw%BRONZE", "sap1", use_ilike=True)
+
+
+@query("run_start_ids")
+def q_run_start_ids(spark, d):
+    """A batch of starts, one of every active process."""
+    starts = TD.processes(spark, d).filter("status = 'A'").select("process_id", "process_name", "step_name")
+    return K.run_start_ids(TD.run_events(spark, d), starts, ["process_id"])
+
+
 @query("active_rules")
 def q_active_rules(spark, d):
     runs = K.run_starts(TD.run_events(spark, d))
@@ -534,7 +679,6 @@ def q_process_parameters(spark, d):
 # ------------------------------------------------------------ pipelines ---
 
 from tollgate.plans import loads as L  # noqa: E402
-from tollgate.sources.history_store import HistoryStore  # noqa: E402
 
 LEDGER_TABLE = "ledger"
 RAW_SPEC = DL.ReaderSpec(prefix="ledger", extension="txt", mask=EXTRACT_MASK)

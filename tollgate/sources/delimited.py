@@ -15,11 +15,12 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tollgate.functions.filenames import mask_predicate, prefix_suffix_predicate
+from tollgate.sources import files
 
 CORRUPT = "_corrupt_record"
 FILE = "file_name"
@@ -89,19 +90,12 @@ def write_delimited(df: DataFrame, path: str, spec: ReaderSpec = ReaderSpec()) -
 def list_entries(spark: SparkSession, folder: str) -> list[str]:
     """Names of the entries directly inside ``folder`` (a bounded listing on
     the driver, like any file-system listing)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+    return files.entries(spark, folder)
 
 
 def folder_bytes(spark: SparkSession, folder: str) -> int:
     """Bytes of all files below ``folder`` (from the file system's metadata)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = files.hadoop_path(spark, folder)
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
 
 
@@ -120,8 +114,13 @@ def extract_name(root: str):
 
     The path that Spark reports is URI-encoded (a blank is ``%20``, a per cent
     sign ``%25``), with ``+`` standing for itself."""
+    return entry_of(decoded_path(), root)
+
+
+def entry_of(path: Column, root: str) -> Column:
+    """The entry directly below ``root`` that a path leads through."""
     folder = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//)?", "", root.rstrip("/"))
-    return F.regexp_extract(decoded_path(), re.escape(folder) + "/([^/]+)", 1)
+    return F.regexp_extract(path, re.escape(folder) + "/([^/]+)", 1)
 
 
 def decoded_path():
