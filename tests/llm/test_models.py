@@ -32,6 +32,23 @@ def test_language_id_learns_and_rejects(spark):
     assert any(r.held_out for r in got.values())
 
 
+def test_texts_without_a_letter_are_undetermined(spark):
+    none = ["😀🎉 😀", "𝟏𝟐𝟑 𝟜", "🙂", "12 - 34 €", "— … «»", "\u20e3 \U0001F1E9\U0001F1EA"]
+    docs = frame(spark, language_rows() + [(i, t, None) for i, t in enumerate(none)])
+    got = {r.doc_id: r for r in op4.language_id(docs).collect()}
+    assert [(got[i].lang_pred, got[i].score, got[i].rejected) for i in range(len(none))] == [("und", 0.0, True)] * len(none)
+
+
+def test_letters_beyond_the_first_plane_are_told_apart(spark):
+    r = random.Random(3)
+    words = {"got": "𐌰𐌱𐌲𐌳𐌴𐌵𐌶𐌷", "osa": "𐓀𐓁𐓂𐓃𐓄𐓅𐓆𐓇", "mix": "a𐌰b𐓀c𐌲d"}
+    rows = [(100 + i, " ".join("".join(r.choice(words[lang]) for _ in range(r.randrange(2, 8))) for _ in range(20)), lang)
+            for i in range(90) for lang in [sorted(words)[i % 3]]]
+    got = {r.doc_id: r for r in op4.language_id(frame(spark, rows + [(1, "𐌰𐌱𐌲", None), (2, "𐓀𐓁", None)])).collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang in rows)
+    assert got[1].lang_pred == "got" and got[2].lang_pred == "osa" and got[1].n_events == 7
+
+
 def test_a_small_language_beside_millions_of_4_grams(spark):
     r = np.random.default_rng(5)
     points = r.integers(0x4E00, 0x9FA0, (560_000, 7)).astype(np.uint32)

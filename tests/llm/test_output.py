@@ -12,10 +12,21 @@ from tests.llm.conftest import ODD, frame, prose
 from tollgate.llm import token_output as op7
 from tollgate.llm.textarrays import blocks
 
+
+
+def thue_morse(n):
+    """Two different words of 2**n letters that polynomial hashes modulo 2**64 cannot tell apart."""
+    x, y = "a", "b"
+    for _ in range(n):
+        x, y = x + y, y + x
+    return [x, y]
+
+
 PATH = public_tokenizers.path(op7.TOKENIZER)
 TEXTS = [None, "", " ", "  two  spaces\n\n\tmixed \r\n ends ", "don't we'll it's 'tis O'Neil's", "a1b2 c3,d4 e;f (g) [h]!?", "x\u00a0y\u3000z \u2003 w",
          "<|endoftext|> in the middle <|endoftext|>", "é ü ß — “q” …", "漢字 かな 漢字", "\x00\x1f\x7f ctl \x1cx", "🙂 🙂🙂 e\u0301", "A" * 3000,
-         " ".join(prose(3, 5000)), "tail space ", "***&&& %%% re*** THE!! x|y", "''''s 'll '' 're", "1'2'3 a'b'c"]
+         " ".join(prose(3, 5000)), "tail space ", "***&&& %%% re*** THE!! x|y", "''''s 'll '' 're", "1'2'3 a'b'c",
+         *(w for n in range(2, 13) for w in thue_morse(n)), "abcdefgh abcdefghi abcdefghabcdefgh abcdefghabcdefghi", "abcdefg\x00 abcdefg"]
 
 
 @pytest.mark.parametrize("size", [1 << 20, 40])

@@ -1,7 +1,8 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 Every language has a character 4-gram model over words padded with word
-boundaries.  Counts come from all training rows: each task counts its distinct
+boundaries.  A letter beyond U+FFFF is two characters, its surrogates.  Counts
+come from all training rows: each task counts its distinct
 words once, turns them into weighted 4-grams and sends one row per (language,
 4-gram); Spark sums them.  A 4-gram of 16-bit characters is exactly one 64-bit
 key, so a model is a set of sorted key arrays with binary search: probability
@@ -40,12 +41,12 @@ _FLUSH = 1 << 21  # distinct n-grams that a counting task holds
 
 #: ASCII bytes that are no letters separate words.
 _NO_LETTER = bytes(b for b in range(128) if not chr(b).isalpha())
-_letter = np.zeros(1 << 16, np.int8)  # 0 not looked at yet, 1 letter, 2 other
+_letter = np.zeros(0x110000, np.int8)  # 0 not looked at yet, 1 letter, 2 other
 
 
 def _is_letter(points: np.ndarray) -> np.ndarray:
     for c in np.unique(points[_letter[points] == 0]).tolist():
-        _letter[c] = 1 if c == 0xFFFF or chr(c).isalpha() else 2
+        _letter[c] = 1 if chr(c).isalpha() else 2
     return _letter[points] == 1
 
 
@@ -63,11 +64,17 @@ def word_grams(block: Block, w: Words, which: np.ndarray) -> tuple[np.ndarray, n
     joined[begin + size - 1] = 0x20
     text = joined.tobytes().decode("utf-8", "replace").lower()
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    points = np.where(points > 0xFFFF, np.uint32(0xFFFF), points).astype(np.int64)
     breaks = points == 0x20
     word = np.cumsum(breaks) - breaks
     letter = _is_letter(points)
     points = np.where(letter, points, 0).astype(np.uint64)  # 0 is the boundary
+    wide = points > 0xFFFF
+    if wide.any():  # such a letter is two symbols, its surrogates
+        units = 1 + wide
+        second = np.cumsum(units)[wide] - 1
+        word, letter, points = (np.repeat(x, units) for x in (word, letter, points))
+        rest = points[second] - np.uint64(0x10000)
+        points[second - 1], points[second] = np.uint64(0xD800) + (rest >> np.uint64(10)), np.uint64(0xDC00) + (rest & np.uint64(0x3FF))
     before = np.concatenate([[False], letter[:-1]])
     event = letter | before  # a boundary counts only right after a letter
     key = points.copy()

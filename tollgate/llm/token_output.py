@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm.staging import materialise, shared_path
-from tollgate.llm.textarrays import Block, blocks, span_hashes
+from tollgate.llm.textarrays import Block, blocks, mix
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
@@ -78,9 +78,14 @@ class PieceEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys = np.zeros(self.SLOTS, np.uint64)
+        # A slot's piece: its bytes as two numbers, and its length.
+        self.low = np.zeros(self.SLOTS, np.uint64)
+        self.high = np.zeros(self.SLOTS, np.uint64)
+        self.length = np.zeros(self.SLOTS, np.int64)
         self.at = np.zeros(self.SLOTS, np.int64)
         self.size = np.zeros(self.SLOTS, np.int64)
+        self.long: dict[bytes, tuple[int, int]] = {}
+        self.long_bytes = 0
         self.arena = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
@@ -99,7 +104,7 @@ class PieceEncoder:
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the block's texts, each with its end id, and the lengths."""
-        if self.used > self.ARENA:
+        if self.used > self.ARENA or self.long_bytes > self.ARENA:
             self._reset()
         data, bounds, n = block.data, block.bounds, block.n
         cut = np.zeros(len(data) + 1, bool)
@@ -114,18 +119,7 @@ class PieceEncoder:
         cut[bounds] = True
         start = np.flatnonzero(cut[:-1])
         end = np.append(start[1:], len(data))[:len(start)]
-        key = span_hashes(data, start, end)
-        slot = (key >> np.uint64(44)).astype(np.int64) & (self.SLOTS - 1)
-        at, size = self.at[slot], self.size[slot]
-        missing = np.flatnonzero((self.keys[slot] != key) | (size == 0))
-        if len(missing):
-            _, first, back = np.unique(key[missing], return_index=True, return_inverse=True)
-            new = missing[first]
-            raw = data.tobytes()
-            new_at, new_size = self._remember(self._ids(
-                [raw[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]))
-            at[missing], size[missing] = new_at[back], new_size[back]
-            self.keys[slot[new]], self.at[slot[new]], self.size[slot[new]] = key[new], new_at, new_size
+        at, size = self._places(data, start, end)
         text = np.searchsorted(bounds, start, side="right") - 1
         total = int(size.sum())
         begin = np.cumsum(size) - size
@@ -134,6 +128,54 @@ class PieceEncoder:
         out[position + np.repeat(text, size)] = self.arena[np.repeat(at - begin, size) + position]
         return out, np.bincount(text, weights=size, minlength=n).astype(np.int64) + 1
 
+    def _places(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of each piece's ids in the arena.  Pieces are told
+        apart by all of their bytes."""
+        length = end - start
+        low, high = _sixteen(data, start, length)
+        slot = (mix(low ^ mix(high + length.astype(np.uint64))) >> np.uint64(44)).astype(np.int64)
+        at, size = self.at[slot], self.size[slot]
+        short = length <= 16
+        missing = np.flatnonzero(short & ((size == 0) | (self.low[slot] != low) | (self.high[slot] != high)
+                                          | (self.length[slot] != length)))
+        raw = data.tobytes()
+
+        def text(i: int) -> str:
+            return raw[start[i]:end[i]].decode()
+
+        if len(missing):
+            order = missing[np.lexsort((length[missing], high[missing], low[missing]))]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]]) | (
+                length[order[1:]] != length[order[:-1]])
+            new, back = order[fresh], np.cumsum(fresh) - 1
+            new_at, new_size = self._remember(self._ids([text(i) for i in new.tolist()]))
+            at[order], size[order] = new_at[back], new_size[back]
+            to = slot[new]
+            self.low[to], self.high[to], self.length[to] = low[new], high[new], length[new]
+            self.at[to], self.size[to] = new_at, new_size
+        longer = np.flatnonzero(~short).tolist()
+        if longer:
+            pieces = [raw[start[i]:end[i]] for i in longer]
+            unknown = [x for x in dict.fromkeys(pieces) if x not in self.long]
+            if unknown:
+                new_at, new_size = self._remember(self._ids([x.decode() for x in unknown]))
+                self.long.update(zip(unknown, zip(new_at.tolist(), new_size.tolist(), strict=True), strict=True))
+                self.long_bytes += sum(map(len, unknown))
+            at[longer], size[longer] = (list(x) for x in zip(*(self.long[x] for x in pieces), strict=True))
+        return at, size
+
+
+def _sixteen(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first 16 bytes of each span as two numbers, zero beyond its end."""
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded.data, strides=(1,))
+    low = eight[start] & _MASKS[np.minimum(length, 8)]
+    return low, eight[start + np.minimum(length, 8)] & _MASKS[np.clip(length - 8, 0, 8)]
+
+
+_MASKS = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
+
 
 def _wide_spaces() -> list[str]:
     """White space that the cuts do not know."""
