@@ -44,6 +44,46 @@ def test_license_templates_are_verified(spark):
     assert got[1].score == 1.0 and 0.75 <= got[2].score < 1 and got[3].score == 0
 
 
+def template_brute(text):
+    """Labels and best share: of all stretches of diagonals, by distinct template positions."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    labels, best = set(), 0.0
+    for phrase, label in op8.TEMPLATES:
+        p = phrase.split()
+        for d in range(-len(p), len(words)):
+            held = {t for t in range(len(p) - 1) for e in range(op8.MERGE_WITHIN + 1)
+                    if 0 <= d + e + t < len(words) - 1 and words[d + e + t:d + e + t + 2] == p[t:t + 2]}
+            if len(held) / (len(p) - 1) >= op8.VERIFY_SHARE:
+                labels.add(label)
+                best = max(best, len(held) / (len(p) - 1))
+    return labels, best
+
+
+def test_license_templates_equal_brute_force(spark):
+    r, rows = random.Random(8), []
+    for i in range(120):
+        words = r.choice(op8.TEMPLATES)[0].split() * r.choice([1, 1, 2])
+        for _ in range(r.randrange(0, 5)):
+            at = r.randrange(len(words))
+            words[at:at + r.randrange(0, 3)] = [r.choice(["x", "the", "license", "public license"])] * r.randrange(0, 3)
+        rows.append((i, " ".join(prose(i, r.randrange(0, 9)) + words)))
+    rows += [(200, "mit license mit license mit license"), (201, "general public license " + "public license " * 4),
+             (202, "released under the mit license " * 30), (203, "released under the the mit mit license license")]
+    got = {r.doc_id: r for r in op8.license_scan(frame(spark, rows)).collect()}
+    for i, text in rows:
+        labels, best = template_brute(text)
+        base = set(filter(None, got[i].base_labels.split(",")))
+        assert set(filter(None, got[i].labels.split(","))) == labels | base, text
+        assert got[i].score == pytest.approx(1.0 if base else best)
+    assert got[200].labels == "" and got[201].labels == "gpl" and got[202].labels == "mit"
+
+
+def test_license_spans_are_bounded_and_apart(spark):
+    spans = op8.license_spans(frame(spark, [(1, "released under the mit license " * 3 + "x " * 9 + "all rights reserved")])).collect()
+    assert sorted((s.label, s.first_word, s.end_word) for s in spans) == [
+        ("mit", 0, 5), ("mit", 5, 10), ("mit", 10, 15), ("reserved", 24, 27)]
+
+
 def test_license_scan_empty(empty):
     assert op8.license_scan(empty).count() == 0
 

@@ -3,15 +3,19 @@
 Every rolling word k-gram of every document is joined to the positions at
 which a template has the same k-gram.  A hit votes for its diagonal: position
 in the document minus position in the template.  A diagonal that holds all of
-a phrase's k-grams is an exact place of the phrase.  For templates,
-neighbouring diagonals are merged, which bridges a few inserted or missing
-words, and a merged span is verified by the share of the template's k-grams it
-holds and by its length.
+a phrase's k-grams is an exact place of the phrase.  For templates, the
+diagonals from one on to MERGE_WITHIN further are one span, which bridges a few
+inserted or missing words and bounds the span's length.  A span is verified by
+the share of the template's k-grams it holds: distinct positions in the
+template, so a k-gram that the text repeats counts once.  Of verified spans that
+overlap by their diagonals the best one counts (ties: the first).
 
 The join compares the k-gram's hash and then its words, so a hash collision
 cannot add a vote.  Templates are a parameter of a few hundred words; their
 positions are broadcast only within ``BROADCAST_POSITIONS``, beyond it the
-join shuffles.
+join shuffles.  Documents are read and split into words once: k-grams without a
+vote collapse to one row per document before the shuffle, and it carries the
+number of words.
 """
 
 from __future__ import annotations
@@ -69,44 +73,61 @@ def template_positions(spark: SparkSession, base=BASE, templates=TEMPLATES, k: i
     return F.broadcast(found) if len(rows) <= BROADCAST_POSITIONS else found
 
 
-def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, templates=TEMPLATES,
-                  k: int = K, merge_within: int = MERGE_WITHIN, verify_share: float = VERIFY_SHARE) -> DataFrame:
-    """One row per verified span: row, doc_id, content, label, is_base,
-    first_word, end_word, share.  ``content`` is a hash of the text."""
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
-        F.xxhash64(F.col(text_col)).alias("content"), scan_words(F.col(text_col)).alias("words"))
+_ROW = ["row", "doc_id", "n_words"]
+_TEMPLATE = ["template", "label", "is_base", "n_template", "n_grams"]
+
+
+def _votes(docs: DataFrame, id_col: str, text_col: str, base, templates, k: int) -> DataFrame:
+    """Distinct (row, template, diagonal, tpos), and for every row one or more
+    without a template."""
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                           scan_words(F.col(text_col)).alias("words"))
     rolled = F.arrays_zip(*[(F.slice("words", i + 1, F.greatest(F.size("words") - i, F.lit(0))) if i
                              else F.col("words")).alias(f"w{i}") for i in range(k)])
-    grams = (numbered.filter(F.size("words") >= k).select("row", "doc_id", "content", F.posexplode(rolled).alias("pos", "g"))
-             .select("row", "doc_id", "content", "pos", *[F.col(f"g.w{i}").alias(f"v{i}") for i in range(k)]))
+    grams = numbered.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), F.posexplode_outer(rolled).alias("pos", "g"))
+    grams = grams.select(*_ROW, "pos", *[F.col(f"g.w{i}").alias(f"v{i}") for i in range(k)])
     grams = grams.withColumn("doc_gram", F.xxhash64(*[F.col(f"v{i}") for i in range(k)]))
     positions = template_positions(docs.sparkSession, base, templates, k)
     equal = F.col("doc_gram") == F.col("gram")
     for i in range(k):
         equal &= F.col(f"v{i}") == F.col(f"w{i}")
-    votes = grams.join(positions, equal)
-    of_template = ["row", "doc_id", "content", "template", "label", "is_base", "n_template", "n_grams"]
-    diagonals = votes.groupBy(*of_template, (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
-        F.count(F.lit(1)).alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-
-    exact = diagonals.filter("is_base and votes = n_grams").select(
-        *of_template, F.col("diagonal").alias("first_word"), (F.col("diagonal") + F.col("n_template")).alias("end_word"),
-        F.lit(1.0).alias("share"))
-    w = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(w) > merge_within, F.lit(True))
-    merged = (diagonals.filter("not is_base").withColumn("apart", apart.cast("int"))
-              .withColumn("span", F.sum("apart").over(w)).groupBy(*of_template, "span")
-              .agg(F.sum("votes").alias("votes"), F.min("lo").alias("first_word"),
-                   (F.max("hi") + k).alias("end_word")))
-    verified = (merged.withColumn("share", F.least(F.lit(1.0), F.col("votes") / F.col("n_grams")))
-                .filter((F.col("share") >= verify_share)
-                        & (F.col("end_word") - F.col("first_word") <= F.col("n_template") + 2 * merge_within))
-                .select(*of_template, "first_word", "end_word", "share"))
-    return exact.unionByName(verified).drop("n_template", "n_grams")
-
-
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    hits = grams.join(positions, equal, "left").select(*_ROW, *_TEMPLATE, (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos")
+    return hits.distinct()
+
+
+def _spans(votes: DataFrame, k: int, merge_within: int, verify_share: float) -> DataFrame:
+    """The votes, with one of them marked (``is_span``) for each verified span:
+    first_word, end_word, share."""
+    place = Window.partitionBy("row", "template")
+    ahead = place.orderBy("diagonal").rangeBetween(0, merge_within)
+    around = place.orderBy("diagonal").rangeBetween(-merge_within, merge_within)
+    same = Window.partitionBy("row", "template", "diagonal")
+    at = F.col("diagonal") + F.col("tpos")
+    voted = votes.withColumn("held", F.size(F.collect_set("tpos").over(ahead))).withColumn("lo", F.min(at).over(ahead)).withColumn(
+        "hi", F.max(at).over(ahead) + k).withColumn("votes", F.count("tpos").over(same)).withColumn("head", F.min("tpos").over(same))
+    # A span begins with its own diagonal's votes; of those around it the best counts.
+    rank = F.struct(F.col("held").alias("held"), (-F.col("diagonal")).alias("first"))
+    voted = voted.withColumn("best", F.max(rank).over(around) == rank)
+    exact = F.col("is_base") & (F.col("votes") == F.col("n_grams"))
+    verified = ~F.col("is_base") & (F.col("held") >= verify_share * F.col("n_grams")) & F.col("best")
+    is_span = F.coalesce((F.col("tpos") == F.col("head")) & (exact | verified), F.lit(False))
+    return voted.select(
+        *_ROW, *_TEMPLATE, is_span.alias("is_span"),
+        F.when(F.col("is_base"), F.col("diagonal")).otherwise(F.col("lo")).alias("first_word"),
+        F.when(F.col("is_base"), F.col("diagonal") + F.col("n_template")).otherwise(F.col("hi")).alias("end_word"),
+        F.when(F.col("is_base"), F.lit(1.0)).otherwise(F.col("held") / F.col("n_grams")).alias("share"))
+
+
+def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, templates=TEMPLATES,
+                  k: int = K, merge_within: int = MERGE_WITHIN, verify_share: float = VERIFY_SHARE) -> DataFrame:
+    """One row per verified span: row, doc_id, label, is_base, first_word,
+    end_word, share; ``row`` numbers the input rows."""
+    found = _spans(_votes(docs, id_col, text_col, base, templates, k), k, merge_within, verify_share)
+    return found.filter("is_span").select("row", "doc_id", "label", "is_base", "first_word", "end_word", "share")
+
+
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE, templates=TEMPLATES,
+                 k: int = K, merge_within: int = MERGE_WITHIN, verify_share: float = VERIFY_SHARE) -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score.
 
@@ -117,24 +138,18 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows each get their row; null ids stay null; an empty table gives an empty
     result; other columns are not read.
     """
-    spans = license_spans(docs, id_col, text_col, **options)
-    place = F.when(F.col("is_base"), F.col("first_word"))
-
-    def joined(label: F.Column) -> F.Column:
-        return F.array_join(F.array_sort(F.collect_set(label)), ",")
-
-    by_row = spans.groupBy("row", "doc_id", "content").agg(
-        F.count(place).alias("n_base"), F.min(place).cast("long").alias("first_word"),
-        F.max(place).cast("long").alias("last_word"), joined(F.when(F.col("is_base"), F.col("label"))).alias("base_labels"),
-        joined(F.col("label")).alias("labels"), F.max("share").alias("score"))
-    # Rows with the same id and text have the same result: one of them stands for all.
-    found = by_row.drop("row").dropDuplicates(["doc_id", "content"]).withColumnRenamed("doc_id", "id")
-    every = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("hashed"),
-                        F.size(scan_words(F.col(text_col))).cast("long").alias("n_words"))
-    return every.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hashed") == F.col("content")), "left").select(
-        "doc_id", "n_words", F.coalesce("n_base", F.lit(0).cast("long")).alias("n_base"), "first_word", "last_word",
-        F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
-        F.coalesce("score", F.lit(0.0)).alias("score"))
+    spans = _spans(_votes(docs, id_col, text_col, base, templates, k), k, merge_within, verify_share)
+    span = F.col("is_span")
+    place = F.when(span & F.col("is_base"), F.col("first_word"))
+
+    def joined(which: F.Column) -> F.Column:
+        return F.array_join(F.array_sort(F.collect_set(F.when(which, F.col("label")))), ",")
+
+    return spans.groupBy(*_ROW).agg(
+        F.count(place).alias("n_base"), F.min(place).cast("long").alias("first_word"), F.max(place).cast("long").alias("last_word"),
+        joined(span & F.col("is_base")).alias("base_labels"), joined(span).alias("labels"),
+        F.coalesce(F.max(F.when(span, F.col("share"))), F.lit(0.0)).alias("score")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 def _oracle() -> str:
@@ -151,17 +166,15 @@ d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}'
                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
 p AS (SELECT doc_id, words, unnest(range(len(words) - 1)) AS pos FROM d),
 v AS (SELECT doc_id, pos, t.* FROM p JOIN t ON words[pos + 1] = w0 AND words[pos + 2] = w1),
-g AS (SELECT doc_id, template, label, is_base, n_template, n_grams, pos - tpos AS diagonal, count(*) AS votes,
-             min(pos) AS lo, max(pos) AS hi FROM v GROUP BY ALL),
-b AS (SELECT doc_id, label, true AS is_base, diagonal AS first_word, 1.0 AS share FROM g WHERE is_base AND votes = n_grams),
-m1 AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w <= {MERGE_WITHIN} THEN 0 ELSE 1 END AS apart
-       FROM g WHERE NOT is_base WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal)),
-m2 AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM m1),
-m3 AS (SELECT doc_id, label, n_template, least(1.0, sum(votes) / any_value(n_grams)) AS share, min(lo) AS first_word,
-              max(hi) + {K} AS end_word FROM m2 GROUP BY doc_id, template, label, n_template, span),
+g AS (SELECT DISTINCT doc_id, template, label, is_base, n_grams, pos - tpos AS diagonal, tpos FROM v),
+b AS (SELECT doc_id, label, true AS is_base, diagonal AS first_word, 1.0 AS share FROM g WHERE is_base
+      GROUP BY doc_id, template, label, n_grams, diagonal HAVING count(*) = n_grams),
+h AS (SELECT a.doc_id, a.template, a.label, a.diagonal, count(DISTINCT z.tpos) / a.n_grams AS share
+      FROM (SELECT DISTINCT doc_id, template, label, n_grams, diagonal FROM g WHERE NOT is_base) a
+      JOIN g z ON z.doc_id = a.doc_id AND z.template = a.template AND z.diagonal BETWEEN a.diagonal AND a.diagonal + {MERGE_WITHIN}
+      GROUP BY a.doc_id, a.template, a.label, a.n_grams, a.diagonal),
 s AS (SELECT doc_id, label, is_base, first_word, share FROM b UNION ALL
-      SELECT doc_id, label, false, first_word, share FROM m3
-      WHERE share >= {VERIFY_SHARE} AND end_word - first_word <= n_template + {2 * MERGE_WITHIN}),
+      SELECT doc_id, label, false, diagonal, share FROM h WHERE share >= {VERIFY_SHARE}),
 a AS (SELECT doc_id, count(*) FILTER (WHERE is_base) AS n_base, min(first_word) FILTER (WHERE is_base) AS first_word,
              max(first_word) FILTER (WHERE is_base) AS last_word,
              string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE is_base) AS base_labels,
