@@ -66,7 +66,7 @@ _CONTROL[[*range(0x20), 0x7F]] = True
 class PieceEncoder:
     """Ids of texts by distinct pieces; remembers pieces up to a bound."""
 
-    SLOTS, ARENA = 1 << 20, 1 << 23
+    SLOTS, ARENA = 1 << 21, 1 << 23
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -81,9 +81,9 @@ class PieceEncoder:
         # A slot's piece: its bytes as two numbers, and its length.
         self.low = np.zeros(self.SLOTS, np.uint64)
         self.high = np.zeros(self.SLOTS, np.uint64)
-        self.length = np.zeros(self.SLOTS, np.int64)
-        self.at = np.zeros(self.SLOTS, np.int64)
-        self.size = np.zeros(self.SLOTS, np.int64)
+        self.length = np.zeros(self.SLOTS, np.int8)
+        self.at = np.zeros(self.SLOTS, np.int32)
+        self.size = np.zeros(self.SLOTS, np.int32)
         self.long: dict[bytes, tuple[int, int]] = {}
         self.long_bytes = 0
         self.arena = np.zeros(1 << 16, np.uint32)
@@ -133,8 +133,8 @@ class PieceEncoder:
         apart by all of their bytes."""
         length = end - start
         low, high = _sixteen(data, start, length)
-        slot = (mix(low ^ mix(high + length.astype(np.uint64))) >> np.uint64(44)).astype(np.int64)
-        at, size = self.at[slot], self.size[slot]
+        slot = (mix(low ^ mix(high + length.astype(np.uint64))) >> np.uint64(43)).astype(np.int64)
+        at, size = self.at[slot].astype(np.int64), self.size[slot].astype(np.int64)
         short = length <= 16
         missing = np.flatnonzero(short & ((size == 0) | (self.low[slot] != low) | (self.high[slot] != high)
                                           | (self.length[slot] != length)))
@@ -166,6 +166,18 @@ class PieceEncoder:
         return at, size
 
 
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def encoder_of(path: str) -> PieceEncoder:
+    """The worker's encoder: the pieces it knows serve all tasks that the
+    worker gets, within the encoder's own bounds."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = PieceEncoder(path)
+    return _ENCODERS[path]
+
+
 def _sixteen(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The first 16 bytes of each span as two numbers, zero beyond its end."""
     padded = np.concatenate([data, np.zeros(16, np.uint8)])
@@ -314,7 +326,7 @@ def _write_shards(out_uri: str, tokenizer: str, bits: bool):
             for batch in batches:
                 if writer is None and batch.num_rows:
                     fs.create_dir(folder, recursive=True)
-                    encoder = PieceEncoder(tokenizer)
+                    encoder = encoder_of(tokenizer)
                     stream = fs.open_output_stream(attempt)
                     writer = ShardWriter(stream, bits)
                 doc = batch.column("doc_id")
