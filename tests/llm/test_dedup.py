@@ -187,7 +187,7 @@ def test_passages_exact_fuzzy_and_clean(spark):
     rows += [(40, around(fuzzy, 3000)), (41, around(less, 3010)), (42, around(edited(fuzzy, r, 0.03), 3020))]
     rows += [(50 + i, " ".join(prose(5000 + i, 200, 4000))) for i in range(10)]
     rows += [(70, rows[-1][1]), (71, "too short to repeat"), (72, "too short to repeat")]
-    got = op2.repeated_passages(frame(spark, rows + [(-i if i and i < 12 else i, t) for i, t in ODD if i != 16])).collect()
+    got = op2.repeated_passages(frame(spark, rows + [(-i if i and i < 12 else i, t) for i, t in ODD])).collect()
     pairs = {(x.doc_id, x.ref_doc_id) for x in got}
     flagged = {i for p in pairs for i in p}
     assert set(range(30)) <= flagged and {40, 41, 42} <= flagged and {59, 70} <= flagged
@@ -214,6 +214,35 @@ def test_passage_whose_seeds_are_split_over_earlier_documents(spark):
     assert any((x.doc_id, x.ref_doc_id, x.passage_start, x.passage_end) == (51, 50, 33, 93) for x in got)
 
 
+def fuzzy_mix(pairs, held, seed):
+    """Pairs of documents that share 200 words with every 20th word changed; other documents hold ``held`` pieces of 20
+    words of a passage each, in any order among them."""
+    r, rows = random.Random(seed), []
+    for p in range(pairs):
+        passage = prose(9000 + p, 200, 3000)
+        changed = [f"new{p}x{i}" if i % 20 == 19 else w for i, w in enumerate(passage)]
+        for kind, words in (("b", passage), ("c", changed)):
+            rows.append((p, kind, [*prose(10_000 + 2 * p, 60, 3000), *words, *prose(10_001 + 2 * p, 60, 3000)]
+                         if kind == "b" else [*prose(20_000 + p, 50, 3000), *words, *prose(30_000 + p, 70, 3000)]))
+        for i in range(0, 200 - 20 * held + 1, 20):
+            piece = passage[i:i + 20 * held]
+            rows.append((p, "d", [*prose(40_000 + 100 * p + i, 40, 3000), *piece, *prose(50_000 + 100 * p + i, 40, 3000)]))
+    r.shuffle(rows)
+    return [(i, " ".join(w)) for i, (_, _, w) in enumerate(rows)], [
+        tuple(i for i, (q, kind, _) in enumerate(rows) if q == p and kind != "d") for p in range(pairs)]
+
+
+@pytest.mark.parametrize("held", [1, 2])
+def test_recall_of_fuzzy_passages_among_their_pieces(spark, held):
+    rows, pairs = fuzzy_mix(30, held, held)
+    got = op2.repeated_passages(frame(spark, rows).repartition(3)).collect()
+    found = 0
+    for a, b in pairs:
+        spans = [s for s in got if {s.doc_id, s.ref_doc_id} == {a, b}]
+        found += max((s.end_word - s.start_word for s in spans), default=0) >= 170
+    assert found >= 0.9 * len(pairs)
+
+
 @pytest.mark.parametrize("size", [1, 5, 50, 64])
 def test_window_hashes_tell_runs_apart(size):
     r = np.random.default_rng(size)

@@ -10,16 +10,19 @@ third of all documents share sends one row per seed and task.
 
 The matches of a document with one anchor document are merged to diagonal
 segments and chained: the best chain of segments that increase in both texts,
-less a cost for the words left out between them, comes from a tree of range
-maxima over the positions in the anchor, which holds the segments that ended at
-most MAX_GAP words ago.  Chains are extended and
+less a cost for the words left out between them, comes from Fenwick trees of
+prefix maxima over the positions in the anchor.  At most MAX_GAP words lie
+between two segments in either text; blocks of that size turn the window into
+a prefix of one block and a suffix of the block before.  Chains are extended and
 aligned on the words of both texts; what aligns well is a fuzzy passage.  Of a
 chain that does not align well as a whole, the longest spans that do are kept.
 
-Seeds of one passage may have their first occurrences in many other texts.  So
-all runs of MIN_WORDS words whose seeds all repeat are seeds as well, joined to
-their own first occurrence: an exact passage is found whatever the anchors of
-its short seeds are.
+Seeds of one passage may have their first occurrences in many other texts.  Two
+more kinds of seeds, joined to their own first occurrence, find such passages.
+Pairs of repeating seeds with different anchors, at distances from LINKS on, are
+linked to one seed: a text that holds one piece of the passage does not have
+them.  And all runs of MIN_WORDS words whose seeds all repeat are seeds: an
+exact passage is found whatever the anchors of its short seeds are.
 
 A passage may be put together from several anchors.  Spans of a document that
 touch are one passage, and it counts from MIN_WORDS words on.
@@ -27,9 +30,7 @@ touch are one passage, and it counts from MIN_WORDS words on.
 
 from __future__ import annotations
 
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,7 @@ MAX_GAP = 32  # words between two segments of a chain
 GAP_COST = 0.25  # per word left out in either text
 IDENTITY = 0.8  # aligned words of a chain's longer side
 JOIN_GAP = 4  # words between spans of one passage
+LINKS = (1, 16, 32, 48)  # words at least between the seeds of a link; the next one is taken, up to MAX_GAP beyond the last
 _SEEDS = 1 << 21  # seeds that a task joins at a time
 _FOLD = np.uint64(0xD1B54A32D192ED03)
 
@@ -120,27 +122,33 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["row", "id", "n_words", "first", "body"])
 
 
-_MATCH = ["row", "ref", "pos", "rpos"]
+_MATCH = ["row", "ref", "pos", "rpos", "gram"]
+_JOINED = "deal long, gram long, row long, pos int, ref long, rpos int, many boolean"
+_MATCHES = "row long, ref long, pos int, rpos int, gram long"
 
 
 def _joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     """Matches of a task's own keys (with a ref), and one occurrence of each key
-    (without) to be joined to those of the other tasks."""
+    (without) to be joined to those of the other tasks; ``many`` where it has
+    matches already."""
     gram, row, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(gram, kind="stable")
     gram, row, pos = gram[order], row[order], pos[order]
     first = np.concatenate([[True], gram[1:] != gram[:-1]])
-    anchor = np.flatnonzero(first)[np.cumsum(first) - 1]
-    keep = first | (row != row[anchor])
-    first, anchor = first[keep], anchor[keep]
+    group = np.cumsum(first) - 1
+    anchor = np.flatnonzero(first)[group]
+    matched = row != row[anchor]
+    many = np.bincount(group, weights=matched)[group] > 0
+    keep = first | matched
+    first, anchor, many = first[keep], anchor[keep], many[keep]
     ref, rpos = row[anchor], pos[anchor]
     gram, row, pos = gram[keep].view(np.int64), row[keep], pos[keep]
     # Matches spread by row: a common seed would bring them together.
     deal = np.where(first, gram, mix(row.astype(np.uint64)).view(np.int64))
     return pa.RecordBatch.from_arrays(
         [pa.array(deal), pa.array(gram), pa.array(row), pa.array(pos.astype(np.int32)),
-         pa.array(ref, mask=first), pa.array(rpos.astype(np.int32), mask=first)],
-        names=["deal", "gram", "row", "pos", "ref", "rpos"])
+         pa.array(ref, mask=first), pa.array(rpos.astype(np.int32), mask=first), pa.array(many)],
+        names=["deal", "gram", "row", "pos", "ref", "rpos", "many"])
 
 
 def _local_seeds(k: int, window: int):
@@ -220,13 +228,15 @@ def _whole_windows(k: int, window: int, size: int):
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by seed: every later occurrence with the first one; matches pass."""
+    """Sorted by seed: every later occurrence with the first one; matches pass.
+    The first one of a seed that repeats comes too, as its own match."""
     last = (None, 0, 0)
     for batch in batches:
         if not batch.num_rows:
             continue
         waits = batch.column("ref").is_null().to_numpy(zero_copy_only=False)
         gram, row, pos = (batch.column(c).to_numpy()[waits] for c in ("gram", "row", "pos"))
+        many = batch.column("many").to_numpy(zero_copy_only=False)[waits]
         done = batch.filter(pa.array(~waits)).select(_MATCH)
         if done.num_rows:
             yield done
@@ -239,55 +249,121 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ref, rpos = row[heads], pos[heads]
         if not first[0]:
             ref[0], rpos[0] = last[1], last[2]
-        ref, rpos = ref[number], rpos[number]
-        last = (gram[-1], ref[-1], rpos[-1])
-        keep = row != ref
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (row, ref, pos, rpos)], names=_MATCH)
+        # An anchor may be told twice, if its run goes on: its reader takes it once.
+        repeats = np.bincount(number, weights=(row != ref[number]) | many, minlength=len(heads)) > 0
+        repeats[0] &= not first[0]  # without a run that goes on, number 0 is empty
+        own = np.flatnonzero(repeats)
+        key = gram[np.concatenate([[0], np.flatnonzero(first)])]
+        ref_of, rpos_of = ref[number], rpos[number]
+        last = (gram[-1], ref_of[-1], rpos_of[-1])
+        keep = row != ref_of
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([x[keep], y[own]])) for x, y in
+             ((row, ref), (ref_of, ref), (pos, rpos), (rpos_of, rpos), (gram, key))], names=_MATCH)
+
+
+def _repeating(links: tuple[int, ...], widest: int):
+    """From matches sorted by row and position: the positions of a row's seeds
+    that repeat (``at``), and linked seeds.
+
+    Two seeds are linked to the next one that begins at least so many words
+    later, up to ``widest``, if their anchors differ: no text has given both.
+    An anchor's own seeds are linked too, as the others' counterpart."""
+
+    def of(row: np.ndarray, pos: np.ndarray, ref: np.ndarray, gram: np.ndarray) -> Iterator[pa.RecordBatch]:
+        once = np.ones(len(row), bool)
+        once[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1])
+        row, pos, ref, gram = row[once], pos[once].astype(np.int64), ref[once], gram[once]
+        head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        size = np.diff(np.append(head, len(row)))
+        at = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)).astype(np.int32)), pa.array(pos.astype(np.int32)))
+        none = pa.nulls(len(head), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [none, none, pa.array(row[head]), none.cast(pa.int32()), none, none.cast(pa.int32()), none.cast(pa.bool_()), at],
+            names=[*_JOINED_NAMES, "at"])
+        # Positions of all rows on one line, rows further apart than any link.
+        line = pos + np.repeat(np.cumsum(np.concatenate([[0], pos[head[1:] - 1] + widest + 1])) if len(head) else head, size)
+        parts = []
+        for least in links:
+            other = np.searchsorted(line, line + least)
+            some = np.flatnonzero(other < len(line))
+            other = other[some]
+            near = (row[some] == row[other]) & (line[other] - line[some] <= widest)
+            split = (ref[some] != ref[other]) | (ref[some] == row[some])
+            a, b = some[near & split], other[near & split]
+            key = mix(gram[a].view(np.uint64) * _FOLD + mix(gram[b].view(np.uint64)))
+            parts.append((key, row[a], pos[a]))
+            if least == max(links):  # the far end too: there is no other link to a passage's last words
+                parts.append((mix(key), row[b], pos[b]))
+        if any(len(p[0]) for p in parts):
+            made = _joined(parts)
+            yield pa.RecordBatch.from_arrays([*made.columns, pa.nulls(made.num_rows, pa.list_(pa.int32()))],
+                                             names=[*_JOINED_NAMES, "at"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(c).to_numpy() for c in ("row", "pos", "ref", "gram")]
+            if held is not None:
+                now = [np.concatenate(p) for p in zip(held, now, strict=True)]
+            start = int(np.argmax(now[0] == now[0][-1]))  # the last row may go on
+            held = [c[start:] for c in now]
+            if start:
+                yield from of(*[c[:start] for c in now])
+        if held is not None:
+            yield from of(*held)
+
+    return run
+
+
+_JOINED_NAMES = ["deal", "gram", "row", "pos", "ref", "rpos", "many"]
 
-class RangeMax:
-    """Segment tree of maxima over ranges of slots; a slot may hold several
-    values, and each can be taken out again."""
+
+class Fenwick:
+    """Prefix maxima of (value, holder) over slots 0 .. n - 1."""
 
     def __init__(self, n: int):
         self.n = n
-        self.best: list[tuple[float, int]] = [(-np.inf, -1)] * (2 * n)
-        self.held: list[list[tuple[float, int]]] = [[] for _ in range(n)]  # heaps
-        self.gone: set[int] = set()
-
-    def _raise(self, slot: int) -> None:
-        heap = self.held[slot]
-        i = slot + self.n
-        self.best[i] = (-heap[0][0], heap[0][1]) if heap else (-np.inf, -1)
-        while i > 1:
-            i //= 2
-            self.best[i] = max(self.best[2 * i], self.best[2 * i + 1])
-
-    def put(self, slot: int, value: float, holder: int) -> None:
-        heappush(self.held[slot], (-value, holder))
-        if self.held[slot][0][1] == holder:
-            self._raise(slot)
-
-    def take(self, slot: int, holder: int) -> None:
-        heap = self.held[slot]
-        self.gone.add(holder)
-        if heap[0][1] == holder:
-            while heap and heap[0][1] in self.gone:
-                heappop(heap)
-            self._raise(slot)
-
-    def get(self, lo: int, hi: int) -> tuple[float, int]:
-        """The largest value in slots lo .. hi - 1 and its holder."""
+        self.best: dict[int, tuple[float, int]] = {}
+
+    def put(self, slot: int, entry: tuple[float, int]) -> None:
+        i = slot + 1
+        while i <= self.n:
+            if i not in self.best or self.best[i] < entry:
+                self.best[i] = entry
+            i += i & -i
+
+    def get(self, slot: int) -> tuple[float, int]:
+        """The largest of slots 0 .. slot."""
+        out, i = (-np.inf, -1), slot + 1
+        while i > 0:
+            if i in self.best and self.best[i] > out:
+                out = self.best[i]
+            i -= i & -i
+        return out
+
+
+class Reach:
+    """Largest entry among positions y - size .. y: in each block of ``size``
+    positions one Fenwick tree runs forwards and one backwards."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.trees: dict[tuple[int, bool], Fenwick] = {}
+
+    def put(self, y: int, entry: tuple[float, int]) -> None:
+        block, slot = divmod(y, self.size)
+        for back, at in ((False, slot), (True, self.size - 1 - slot)):
+            self.trees.setdefault((block, back), Fenwick(self.size)).put(at, entry)
+
+    def get(self, y: int) -> tuple[float, int]:
+        block, slot = divmod(y, self.size)
         out = (-np.inf, -1)
-        lo, hi = lo + self.n, hi + self.n
-        while lo < hi:
-            if lo & 1:
-                out = max(out, self.best[lo])
-                lo += 1
-            if hi & 1:
-                hi -= 1
-                out = max(out, self.best[hi])
-            lo, hi = lo // 2, hi // 2
+        for key, at in (((block, False), slot), ((block - 1, True), self.size - 1 - slot)):
+            if key in self.trees:
+                out = max(out, self.trees[key].get(at))
         return out
 
 
@@ -298,26 +374,40 @@ def chain(segments: list[tuple[int, int, int, int]], gap_cost: float = GAP_COST,
     n = len(segments)
     if n == 1:
         return [[0]]
-    ends = sorted({y + length for _, y, length, _ in segments})
-    rank = {y: i for i, y in enumerate(ends)}
-    tree = RangeMax(len(ends))
     score, before = [0.0] * n, [-1] * n
-    # At equal x a segment's end comes before another's start, and it expires after that.
-    events = sorted([(x, 1, i) for i, (x, _, _, _) in enumerate(segments)]
-                    + [(x + length, 0, i) for i, (x, _, length, _) in enumerate(segments)]
-                    + [(x + length + max_gap, 2, i) for i, (x, _, length, _) in enumerate(segments)])
-    for _, kind, i in events:
-        x, y, length, weight = segments[i]
-        if kind == 1:
-            value, j = tree.get(bisect_left(ends, y - max_gap), bisect_right(ends, y))
+    starts: dict[int, list[int]] = {}
+    ends: dict[int, list[int]] = {}
+    for i, (x, _, length, _) in enumerate(segments):
+        starts.setdefault(x // max_gap, []).append(i)
+        ends.setdefault((x + length) // max_gap, []).append(i)
+
+    def end(i: int) -> int:
+        return segments[i][0] + segments[i][2]
+
+    def put(reach: Reach, i: int) -> None:
+        x, y, length, _ = segments[i]
+        reach.put(y + length, (score[i] + gap_cost * (x + y + 2 * length), i))
+
+    for block in sorted(starts):
+        best: dict[int, tuple[float, int]] = {}
+        # Of the block before, what ended at most max_gap words ago: backwards, the window only grows.
+        earlier, reach = sorted(ends.get(block - 1, ()), key=end), Reach(max_gap)
+        for i in sorted(starts[block], key=lambda i: -segments[i][0]):
+            while earlier and end(earlier[-1]) >= segments[i][0] - max_gap:
+                put(reach, earlier.pop())
+            best[i] = reach.get(segments[i][1])
+        # Of this block, what has ended: an end comes before a start at the same place.
+        reach = Reach(max_gap)
+        for _, kind, i in sorted([(segments[i][0], 1, i) for i in starts[block]] + [(end(i), 0, i) for i in ends.get(block, ())]):
+            if kind == 0:
+                put(reach, i)
+                continue
+            x, y, _, weight = segments[i]
+            value, j = max(best[i], reach.get(y))
             gain = value - gap_cost * (x + y)
             score[i] = weight + max(gain, 0.0)
             if gain > 0:
                 before[i] = j
-        elif kind == 0:
-            tree.put(rank[y + length], score[i] + gap_cost * (x + y + 2 * length), i)
-        else:
-            tree.take(rank[y + length], i)
     used, out = [False] * n, []
     for i in sorted(range(n), key=lambda i: -score[i]):
         path = []
@@ -368,7 +458,7 @@ def _chains(k: int, min_chain: int, linked: bool = True):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(c).to_numpy() for c in _MATCH]
+            now = [batch.column(c).to_numpy() for c in _MATCH[:4]]
             if held is not None:
                 now = [np.concatenate(p) for p in zip(held, now, strict=True)]
             # The last pair may go on in the next batch.
@@ -500,6 +590,12 @@ def good_spans(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int], lengt
     return sorted(out)
 
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a list column (null: empty)."""
+    offsets = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())])
+    return column.flatten().to_numpy(), offsets
+
+
 def _aligned(identity: float, least: int):
     """Pairs up the two sides of each chain, which come sorted together."""
 
@@ -507,17 +603,20 @@ def _aligned(identity: float, least: int):
         left = None
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                if r["side"] == 0:
-                    left = r
+            words, at = _lists(batch.column("words"))
+            paths = [_lists(batch.column(c)) for c in ("xs", "ys", "lengths")]
+            plain = zip(*(batch.column(c).to_pylist() for c in ("side", "chain", "lo", "row", "ref", "run")), strict=True)
+            for n, (side, number, lo, row, ref, kind) in enumerate(plain):
+                own = words[at[n]:at[n + 1]]
+                if side == 0:
+                    left = (number, lo, row, ref, kind, own.copy(), *(v[o[n]:o[n + 1]].copy() for v, o in paths))
                     continue
-                if left is None or left["chain"] != r["chain"]:
+                if left is None or left[0] != number:
                     continue
-                a, b = np.array(left["words"], np.int32), np.array(r["words"], np.int32)
-                for x0, x1, y0, y1, share in good_spans(
-                        a, b, [x - left["lo"] for x in left["xs"]], [y - r["lo"] for y in left["ys"]], left["lengths"],
-                        identity, least):
-                    out.append((left["row"], left["ref"], left["run"], x0 + left["lo"], x1 + left["lo"], y0 + r["lo"], y1 + r["lo"], share))
+                _, start, row, ref, kind, a, xs, ys, lengths = left
+                for x0, x1, y0, y1, share in good_spans(a, own, (xs - start).tolist(), (ys - lo).tolist(), lengths.tolist(),
+                                                        identity, least):
+                    out.append((row, ref, kind, x0 + start, x1 + start, y0 + lo, y1 + lo, share))
             if out:
                 c = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
@@ -529,7 +628,7 @@ def _aligned(identity: float, least: int):
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                      k: int = K, window: int = W, identity: float = IDENTITY) -> DataFrame:
+                      k: int = K, window: int = W, identity: float = IDENTITY, links: tuple[int, ...] = LINKS) -> DataFrame:
     """One row per span of a document that repeats in another: doc_id,
     start_word, end_word, ref_doc_id, ref_start, ref_end, identity,
     passage_start, passage_end.
@@ -549,24 +648,25 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         _describe, "row long, id long, n_words long, first long, body string"), "described")
     texts = described.filter("body is not null").select("row", "body")
 
-    local = texts.filter(F.length("body") > 0).mapInArrow(
-        _local_seeds(k, window), "deal long, gram long, row long, pos int, ref long, rpos int")
+    local = texts.filter(F.length("body") > 0).mapInArrow(_local_seeds(k, window), _JOINED)
+
     def anchored(local: DataFrame) -> DataFrame:
-        return local.repartition(n, "deal").sortWithinPartitions("gram", "row", "pos").mapInArrow(
-            _anchored, "row long, ref long, pos int, rpos int")
+        return local.repartition(n, "deal").sortWithinPartitions("gram", "row", "pos").mapInArrow(_anchored, _MATCHES)
 
     def chained(matches: DataFrame, *options) -> DataFrame:
-        return matches.repartition(n, "row").sortWithinPartitions("row", "ref", "pos").mapInArrow(
-            _chains(*options), "row long, ref long, xs array<int>, ys array<int>, lengths array<int>")
+        return matches.filter("row != ref").select("row", "ref", "pos", "rpos").repartition(n, "row").sortWithinPartitions(
+            "row", "ref", "pos").mapInArrow(_chains(*options), "row long, ref long, xs array<int>, ys array<int>, lengths array<int>")
 
     matches = materialise(anchored(local), "matches")
+    repeating = materialise(matches.select("row", "pos", "ref", "gram").repartition(n, "row").sortWithinPartitions("row", "pos").mapInArrow(
+        _repeating(links, max(links) + MAX_GAP), _JOINED + ", at array<int>"), "repeating")
+    linked = anchored(repeating.filter("at is null").drop("at"))
     # Runs of min_words words have anchors of their own, whatever those of their seeds are.
-    places = matches.select("row", "pos").unionByName(matches.select(F.col("ref").alias("row"), F.col("rpos").alias("pos")))
-    repeat = places.distinct().groupBy("row").agg(F.collect_list("pos").alias("at"))
+    repeat = repeating.filter("at is not null").select("row", "at")
     runs = described.filter(F.col("body").isNotNull() & (F.col("n_words") >= min_words)).select("row", "body").join(
-        repeat.hint("merge"), "row").select("row", "at", "body").mapInArrow(
-        _whole_windows(k, window, min_words), "deal long, gram long, row long, pos int, ref long, rpos int")
-    chains = materialise(chained(matches, k, min(MIN_CHAIN, min_words)).withColumn("run", F.lit(False)).unionByName(
+        repeat.hint("merge"), "row").select("row", "at", "body").mapInArrow(_whole_windows(k, window, min_words), _JOINED)
+    least = min(MIN_CHAIN, min_words)
+    chains = materialise(chained(matches.unionByName(linked), k, least).withColumn("run", F.lit(False)).unionByName(
         chained(anchored(runs), min_words, min_words, False).withColumn("run", F.lit(True)))
         .withColumn("chain", F.monotonically_increasing_id()), "chains")
 
