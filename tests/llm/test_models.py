@@ -32,6 +32,18 @@ def test_language_id_learns_and_rejects(spark):
     assert any(r.held_out for r in got.values())
 
 
+def test_models_as_tables_give_the_same(spark):
+    odd = [(1, "12 - 34", None), (2, None, "aa"), (3, "漢字漢字漢字漢字", None), (4, "", None), (None, "ganda ganda", None), (5, "ÀÉ 𐌰𐌱", "bb"),
+           (6, "ganda " * 400, None)]
+    docs = frame(spark, language_rows() + odd)
+    columns = ["doc_id", "lang_pred", "rejected", "n_events", "held_out"]
+    broadcast = {tuple(r[c] for c in columns): (r.score, r.cross_entropy) for r in op4.language_id(docs).collect()}
+    tabled = {tuple(r[c] for c in columns): (r.score, r.cross_entropy) for r in op4.language_id(docs, model_grams=0).collect()}
+    assert broadcast.keys() == tabled.keys()
+    for key, value in broadcast.items():
+        assert tabled[key] == pytest.approx(value, abs=1e-5)   # costs of words are kept in 32 bits on one side
+
+
 def test_texts_without_a_letter_are_undetermined(spark):
     none = ["😀🎉 😀", "𝟏𝟐𝟑 𝟜", "🙂", "12 - 34 €", "— … «»", "\u20e3 \U0001F1E9\U0001F1EA"]
     docs = frame(spark, language_rows() + [(i, t, None) for i, t in enumerate(none)])

@@ -14,18 +14,23 @@ is rejected when its cross-entropy lies far beyond what training rows of that
 language and of like length show: a high quantile and a multiple of the middle
 half's width, calibrated on all of them, so single odd rows do not set it.
 
-The models are sent to every task, with all 4-grams that were counted: a cut
-would take small languages first and change the counts of counts.
+No 4-gram is cut: a cut would take small languages first and change the counts
+of counts.  Up to MODEL_GRAMS rows (language, 4-gram) the models are sent to
+every task.  Beyond it they stay tables: the same estimates by grouping and
+joining, the cost of each distinct 4-gram of the corpus by one join of its
+back-off chain, of each distinct word from its 4-grams, and a text's from its
+words.  Both forms give the same results but for the order of sums.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.staging import materialise
@@ -38,6 +43,8 @@ REJECT_QUANTILE, REJECT_WIDTHS, REJECT_MARGIN = 0.99, 3.0, 0.25
 _BIN_ROWS = 30  # of a length (power of two of events) that has bounds of its own
 _EVIDENCE = 60.0  # characters after which the score's confidence no longer grows
 _FLUSH = 1 << 21  # distinct n-grams that a counting task holds
+MODEL_GRAMS = 6_000_000  # rows that the driver collects and every task gets
+SALTS = 32  # parts of a word that very many texts hold
 
 #: ASCII bytes that are no letters separate words.
 _NO_LETTER = bytes(b for b in range(128) if not chr(b).isalpha())
@@ -259,34 +266,40 @@ class Scorer:
         return out[:, :n_lang], out[:, n_lang]
 
 
+def _decide(cost: np.ndarray, n: np.ndarray, languages: list[str], accepted: dict[str, Accepted] | None) -> list[pa.Array]:
+    """The predicted columns of texts with these costs by language and events."""
+    names = np.array([*languages, UNKNOWN], object)
+    entropy = cost / np.maximum(n, 1)[:, None]
+    best = entropy.argmin(axis=1) if len(languages) else np.zeros(len(n), np.int64)
+    least = entropy[np.arange(len(n)), best] if len(languages) else np.zeros(len(n))
+    apart = np.minimum(entropy - least[:, None], 50) * np.minimum(n, _EVIDENCE)[:, None]
+    score = 1 / np.maximum(np.exp(-apart).sum(axis=1), 1) if len(languages) else np.zeros(len(n))
+    none = (n == 0) | (len(languages) == 0)
+    best, score = np.where(none, len(languages), best), np.where(none, 0.0, score)
+    rejected = none.copy()
+    if accepted is not None:
+        for i, lang in enumerate(languages):
+            if lang in accepted:
+                mine = np.flatnonzero(best == i)
+                rejected[mine] |= least[mine] > accepted[lang].limit(n[mine])
+    return [pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(least), pa.array(n.astype(np.int64)),
+            pa.array(rejected)]
+
+
+_DECIDED = ["lang_pred", "score", "cross_entropy", "n_events", "rejected"]
+
+
 def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: LanguageModel = model.value
         scorer = Scorer(m)
-        names = np.array([*m.languages, UNKNOWN], object)
         for batch in batches:
             others = [c for c in batch.schema.names if c != "body"]
             for block in blocks(batch.column("body")):
                 cost, n = scorer.texts(block)
-                entropy = cost / np.maximum(n, 1)[:, None]
-                best = entropy.argmin(axis=1) if len(m.languages) else np.zeros(block.n, np.int64)
-                least = entropy[np.arange(block.n), best] if len(m.languages) else np.zeros(block.n)
-                apart = np.minimum(entropy - least[:, None], 50) * np.minimum(n, _EVIDENCE)[:, None]
-                score = 1 / np.maximum(np.exp(-apart).sum(axis=1), 1) if len(m.languages) else np.zeros(block.n)
-                none = (n == 0) | (len(m.languages) == 0)
-                best, score = np.where(none, len(m.languages), best), np.where(none, 0.0, score)
-                rejected = none.copy()
-                if m.accepted is not None:
-                    for i, lang in enumerate(m.languages):
-                        if lang in m.accepted:
-                            mine = np.flatnonzero(best == i)
-                            rejected[mine] |= least[mine] > m.accepted[lang].limit(n[mine])
                 to = slice(block.first, block.first + block.n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c)[to] for c in others] + [
-                        pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(least),
-                        pa.array(n.astype(np.int64)), pa.array(rejected)],
-                    names=others + ["lang_pred", "score", "cross_entropy", "n_events", "rejected"])
+                    [batch.column(c)[to] for c in others] + _decide(cost, n, m.languages, m.accepted), names=others + _DECIDED)
 
     return run
 
@@ -294,13 +307,16 @@ def _predict(model):
 _PREDICTED = "lang_pred string, score double, cross_entropy double, n_events long, rejected boolean"
 
 
-def fit_language_models(training: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+def fit_language_models(training: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                        model_grams: int = MODEL_GRAMS) -> LanguageModel | TabledModel:
     """Models of every non-null value of ``lang_col``; no row gives no model."""
     rows = training.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("body")).filter(
         "lang is not null and body is not null")
     counts = materialise(rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")), "ngrams")
-    table = counts.toArrow()
+    if counts.count() > model_grams:
+        return _tabled(counts)
+    table = counts.toArrow()  # at most model_grams rows
     lang = table.column("lang").to_numpy()
     gram = table.column("gram").to_numpy().view(np.uint64)
     n = table.column("n").to_numpy()
@@ -313,22 +329,169 @@ def fit_language_models(training: DataFrame, text_col: str = "text", lang_col: s
     return LanguageModel(names, models)
 
 
-def calibrate(training: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang",
-              quantile: float = REJECT_QUANTILE, widths: float = REJECT_WIDTHS, margin: float = REJECT_MARGIN) -> LanguageModel:
+# ------------------------------------------------- models beyond a broadcast ---
+
+@dataclass
+class TabledModel:
+    """The models as a table (lang, kind, key, value): kind 2 * order has the
+    log probability of an n-gram, kind 2 * order + 1 the log back-off weight of
+    a context; ``unseen`` is the log probability of a new character."""
+
+    languages: list[str]
+    table: DataFrame
+    unseen: dict[str, float]
+    accepted: dict[str, Accepted] | None = None
+
+
+def _tail(key: Column, order: int) -> Column:
+    """The last ``order`` characters."""
+    return key if order == ORDER else key.bitwiseAND(F.lit((1 << (16 * order)) - 1))
+
+
+def _tabled(counts: DataFrame) -> TabledModel:
+    """``KneserNey.fit`` as groupings and joins."""
+    vocabulary = counts.select(_tail(F.col("gram"), 1).alias("c")).distinct().count() + 1
+    levels = [counts.select("lang", "gram", F.col("n").cast("double").alias("n"))]
+    for order in range(ORDER - 1, 0, -1):
+        levels.insert(0, materialise(levels[0].select("lang", _tail(F.col("gram"), order).alias("gram")).groupBy(
+            "lang", "gram").agg(F.count(F.lit(1)).cast("double").alias("n")), "ngrams"))
+    parts, lower, unseen = [], None, {}
+    for order, level in enumerate(levels, 1):
+        some = level.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).collect()
+        discount = {r["lang"]: min(0.99, max(0.05, r["n1"] / (r["n1"] + 2 * r["n2"]))) if r["n1"] else 0.05 for r in some}
+        d = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(discount.items()) for x in pair]), F.col("lang"))
+        keyed = level.withColumn("context", F.shiftrightunsigned("gram", 16))
+        context = keyed.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("size")).withColumn(
+            "weight", d * F.col("size") / F.col("total"))
+        if order == 1:
+            unseen = {r["lang"]: float(np.log(r["weight"] / vocabulary)) for r in context.collect()}  # one context a language
+            based = keyed.withColumn("lower", F.lit(1.0 / vocabulary))
+        else:
+            based = keyed.withColumn("tail", _tail(F.col("gram"), order - 1)).join(
+                lower.select("lang", F.col("gram").alias("tail"), F.col("p").alias("lower")), ["lang", "tail"])
+        lower = materialise(based.join(context, ["lang", "context"]).select(
+            "lang", "gram", (F.greatest(F.col("n") - d, F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("lower")).alias("p")), "kn")
+        parts += [lower.select("lang", F.lit(2 * order).alias("kind"), F.col("gram").alias("key"), F.log("p").alias("value")),
+                  context.select("lang", F.lit(2 * order + 1).alias("kind"), F.col("context").alias("key"), F.log("weight").alias("value"))]
+    return TabledModel(sorted(unseen), materialise(reduce(DataFrame.unionByName, parts), "model"), unseen)
+
+
+def _gram_costs(grams: DataFrame, model: TabledModel) -> DataFrame:
+    """(gram, cost by language) of distinct 4-grams: one probe per step of the
+    back-off chain, all in one join."""
+    probes = []
+    for order in range(ORDER, 0, -1):
+        own = _tail(F.col("gram"), order)
+        probes.append(F.struct(F.lit(2 * order).alias("kind"), own.alias("key")))
+        if order > 1:
+            probes.append(F.struct(F.lit(2 * order + 1).alias("kind"), F.shiftrightunsigned(own, 16).alias("key")))
+    asked = grams.select("gram", F.explode(F.array(*probes)).alias("p")).select("gram", "p.kind", "p.key")
+    # One row per key of the model: its values by language.
+    known = model.table.groupBy("kind", "key").agg(F.map_from_entries(F.collect_list(F.struct("lang", "value"))).alias("values"))
+    found = asked.join(known, ["kind", "key"], "left").groupBy("gram").agg(
+        *[F.max(F.when(F.col("kind") == kind, F.col("values")[lang])).alias(f"k{kind}_{i}")
+          for kind in range(2, 2 * ORDER + 2) if kind != 3 for i, lang in enumerate(model.languages)])
+    costs = []
+    for i, lang in enumerate(model.languages):
+        log_p = F.lit(model.unseen[lang])
+        for order in range(1, ORDER + 1):
+            back = F.coalesce(F.col(f"k{2 * order + 1}_{i}"), F.lit(0.0)) if order > 1 else F.lit(0.0)
+            log_p = F.coalesce(F.col(f"k{2 * order}_{i}"), back + log_p)
+        costs.append(-log_p)
+    return found.select("gram", F.array(*costs).alias("costs"))
+
+
+def _text_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text its distinct words and their numbers; a task's new words come
+    with their letters."""
+    seen: set[int] = set()
+    for batch in batches:
+        others = [c for c in batch.schema.names if c != "body"]
+        for block in blocks(batch.column("body")):
+            w = words(block, _NO_LETTER)
+            text = np.repeat(np.arange(block.n), w.counts)
+            order = np.lexsort((w.hash, text))
+            first = np.ones(len(order), bool)
+            first[1:] = (w.hash[order[1:]] != w.hash[order[:-1]]) | (text[order[1:]] != text[order[:-1]])
+            head = np.flatnonzero(first)
+            times = np.diff(np.append(head, len(order)))
+            some, owner = order[head], text[order[head]]
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=block.n))])
+            if len(seen) > _FLUSH // 4:
+                seen.clear()
+            raw, letters = block.data.tobytes(), []
+            for i, h in zip(some.tolist(), w.hash[some].tolist(), strict=True):
+                letters.append(None if h in seen else raw[w.start[i]:w.end[i]])
+                seen.add(h)
+            lists = [pa.array(w.hash[some].view(np.int64)), pa.array(times.astype(np.int64)), pa.array(letters, pa.binary()).cast(pa.string())]
+            at = pa.array(offsets.astype(np.int32))
+            to = slice(block.first, block.first + block.n)
+            yield pa.RecordBatch.from_arrays([batch.column(c)[to] for c in others] + [pa.ListArray.from_arrays(at, x) for x in lists],
+                                             names=[*others, "words", "times", "letters"])
+
+
+def _word_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column("word").to_numpy()
+        for block in blocks(batch.column("letters")):
+            w = words(block, _NO_LETTER)
+            key, word = word_grams(block, w, np.arange(len(w.hash)))
+            of = np.repeat(np.arange(block.n), w.counts)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[block.first + of[word]]), pa.array(key.view(np.int64))], names=["word", "gram"])
+
+
+def _predict_tabled(chosen: DataFrame, model: TabledModel) -> DataFrame:
+    """``chosen`` (kept columns and body) with the predicted columns."""
+    kept = chosen.columns[:-1]
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
+    texts = materialise(chosen.withColumn("_row", F.monotonically_increasing_id()).select(*kept, "_row", "body").mapInArrow(
+        _text_words, f"{types + ', ' if types else ''}_row long, words array<long>, times array<long>, letters array<string>"), "words")
+    held = texts.select("_row", F.explode(F.arrays_zip("words", "times", "letters")).alias("w")).select(
+        "_row", F.col("w.words").alias("word"), F.col("w.times").alias("times"), F.col("w.letters").alias("letters"))
+    known = held.filter("letters is not null").groupBy("word").agg(F.min("letters").alias("letters"))
+    events = materialise(known.mapInArrow(_word_grams, "word long, gram long").groupBy("word", "gram").agg(
+        F.count(F.lit(1)).alias("n")), "word_grams")
+    costs = _gram_costs(events.select("gram").distinct(), model)
+    n_lang = len(model.languages)
+    by_word = events.join(costs, "gram").groupBy("word").agg(
+        F.sum("n").alias("events"), F.array(*[F.sum(F.col("n") * F.col("costs")[i]) for i in range(n_lang)]).alias("costs"))
+    # A word may be in every text: its rows are dealt over SALTS parts.
+    salted = materialise(by_word, "word_costs").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = held.select("_row", "word", "times", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int").alias("_salt"))
+    summed = dealt.join(salted.hint("merge"), ["word", "_salt"]).groupBy("_row").agg(
+        F.sum(F.col("times") * F.col("events")).alias("_events"),
+        F.array(*[F.sum(F.col("times") * F.col("costs")[i]) for i in range(n_lang)]).alias("_costs"))
+    languages, accepted = model.languages, model.accepted
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("_events").to_numpy().astype(float)
+            cost = np.zeros((len(n), n_lang))
+            some = np.flatnonzero(n > 0)
+            cost[some] = batch.column("_costs").flatten().to_numpy().reshape(-1, n_lang)[:len(some)] if len(some) else 0
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + _decide(cost, n, languages, accepted), names=kept + _DECIDED)
+
+    joined = texts.select(*kept, "_row").join(summed, "_row", "left").withColumn("_events", F.coalesce("_events", F.lit(0))).withColumn(
+        "_costs", F.when(F.col("_events") > 0, F.col("_costs")))
+    return joined.select(*kept, "_events", "_costs").mapInArrow(decide, f"{types + ', ' if types else ''}{_PREDICTED}")
+
+
+def calibrate(training: DataFrame, model: LanguageModel | TabledModel, text_col: str = "text", lang_col: str = "lang",
+              quantile: float = REJECT_QUANTILE, widths: float = REJECT_WIDTHS,
+              margin: float = REJECT_MARGIN) -> LanguageModel | TabledModel:
     """Adds each language's accepted cross-entropies, from all training rows
     that are predicted right.
 
     The excess of a row is its cross-entropy over the language's mean per event,
     times the root of its events: lengths have about the same spread of it.
     """
-    shared = training.sparkSession.sparkContext.broadcast(LanguageModel(model.languages, model.models))
-    rows = training.select(F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    seen = materialise(rows.mapInArrow(_predict(shared), "lang string, " + _PREDICTED).filter(
+    rows = training.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    seen = materialise(predict_language(rows, replace(model, accepted=None), keep=("lang",)).filter(
         "lang = lang_pred and n_events > 0").select("lang", "cross_entropy", "n_events"), "calibration")
     mean = {r["lang"]: r["mean"] for r in seen.groupBy("lang").agg(
         (F.sum(F.col("cross_entropy") * F.col("n_events")) / F.sum("n_events")).alias("mean")).collect()}  # one row per language
     if not mean:
-        return LanguageModel(model.languages, model.models, {})
+        return replace(model, accepted={})
     means = F.create_map(*[F.lit(x) for pair in sorted(mean.items()) for x in pair])
     excess = (F.col("cross_entropy") - F.element_at(means, F.col("lang"))) * F.sqrt("n_events")
     stats = seen.select("lang", F.floor(F.log2("n_events")).cast("int").alias("length"), excess.alias("excess")).rollup(
@@ -342,18 +505,21 @@ def calibrate(training: DataFrame, model: LanguageModel, text_col: str = "text",
             accepted[r["lang"]].excess = bound
         elif r["n"] >= _BIN_ROWS:
             accepted[r["lang"]].by_length[r["length"]] = bound
-    return LanguageModel(model.languages, model.models, accepted)
+    return replace(model, accepted=accepted)
 
 
-def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def predict_language(docs: DataFrame, model: LanguageModel | TabledModel, text_col: str = "text",
+                     keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and lang_pred, score, cross_entropy, n_events, rejected.
 
     Null and empty texts and texts without a letter are ``und`` with score 0
     and are rejected; without any model every text is.  Equal cross-entropies
     give the language that sorts first.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     chosen = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("body"))
+    if isinstance(model, TabledModel):
+        return _predict_tabled(chosen, model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1])
     return chosen.mapInArrow(_predict(shared), f"{types}, {_PREDICTED}")
 
@@ -363,7 +529,8 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+                model_grams: int = MODEL_GRAMS) -> DataFrame:
     """Learn from the rows outside the held-out fold and predict every row:
     doc_id, held_out, lang_pred, score, and the columns of ``predict_language``.
 
@@ -373,7 +540,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(lang_col).cast("string").alias("lang"), held_out(id_col).alias("held_out"))
     training = rows.filter("not held_out and lang is not null")
-    model = calibrate(training, fit_language_models(training))
+    model = calibrate(training, fit_language_models(training, model_grams=model_grams))
     return predict_language(rows, model, keep=("doc_id", "held_out"))
 
 
