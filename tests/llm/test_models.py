@@ -182,6 +182,19 @@ def test_rates_meet_the_targets(spark):
                 F.max(F.abs(F.col("p_quality0_toxic0") + F.col("p_quality1_toxic0") - 1)).alias("off")).first()
     assert s.p_quality1_toxic0 == pytest.approx(0.6 * s.n, rel=1e-3) and s.p_quality0_toxic0 == pytest.approx(0.4 * s.n, rel=1e-3)
     assert s.least >= 0 and s.off < 1e-9
+    assert {r.residual < 1e-3 for r in got.select("residual").distinct().collect()} == {True}
+
+
+def test_a_miss_of_the_targets_is_told(spark):
+    docs, labels = quality_rows()
+    domains = op6.quality_domains(labels_frame(spark, labels[:200]))
+    with pytest.warns(UserWarning, match="miss their targets"):
+        got = op6.document_rates(frame(spark, docs), domains, {"quality1_toxic0": 0.99, "quality0_toxic0": 0.01}, iterations=1)
+    names = ["p_quality0_toxic0", "p_quality1_toxic0"]
+    s = got.agg(*[F.sum(F.col("n_tokens") * F.col("rate") * F.col(c)).alias(c) for c in names], F.sum("n_tokens").alias("n"),
+                F.max("residual").alias("residual")).first()
+    assert s.residual == pytest.approx(max(abs(s[c] / s.n - w) for c, w in zip(names, (0.01, 0.99))), abs=1e-6)
+    assert s.residual > 1e-3
 
 
 def test_projection_holds_rates_at_zero_and_matches_a_plain_solver(spark):

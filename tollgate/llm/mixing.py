@@ -19,6 +19,7 @@ Everything runs as DataFrame expressions.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 from math import log, sqrt
 
@@ -135,8 +136,11 @@ def _state(steps: list[tuple[list[float], float]], k: int) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        total: float | None = None, iterations: int = ITERATIONS, tolerance: float = TOLERANCE) -> tuple[DataFrame, list[str]]:
-    """``docs`` with _n, _p and _rate, and the domains.
+        total: float | None = None, iterations: int = ITERATIONS, tolerance: float = TOLERANCE) -> tuple[DataFrame, list[str], float]:
+    """``docs`` with _n, _p and _rate, the domains, and the residual: the
+    largest miss of a domain's expected tokens at these rates, as a share of
+    the total.  It is above ``tolerance`` where the iterations ended first, or
+    where no rates meet the targets (a warning says so).
 
     ``targets`` are shares of ``total`` expected tokens (as many as at rate 1,
     if not given), scaled to sum to 1 over the domains that have tokens;
@@ -155,6 +159,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
     at_one = sums("r", [])
     share = [targets.get(d, 0.0) if a > 0 else 0.0 for d, a in zip(domains, at_one, strict=True)]
     steps: list[tuple[list[float], float]] = []
+    residual = 0.0
     if sum(share) > 0:
         whole = total if total is not None else sum(at_one)
         wanted = [whole * s / sum(share) for s in share]
@@ -165,7 +170,11 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: s
             after = (1 + sqrt(1 + 4 * t * t)) / 2
             steps.append(([(s - w) / a if a > 0 else 0.0 for s, w, a in zip(now, wanted, at_one, strict=True)], (t - 1) / after))
             now, t = sums("z", steps), after
-    return described.withColumn("_rate", _state(steps, k)["r"]), domains
+        reached = sums("r", steps) if steps else at_one
+        residual = max(abs(s - w) for s, w in zip(reached, wanted, strict=True)) / whole
+        if residual > tolerance:
+            warnings.warn(f"the expected domain totals miss their targets by up to {residual:.2%} of the total", stacklevel=2)
+    return described.withColumn("_rate", _state(steps, k)["r"]), domains, residual
 
 
 def quality_domains(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -177,7 +186,8 @@ def quality_domains(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, id_col: str = "doc_id",
                    text_col: str = "text", **options) -> DataFrame:
     """One row per input row: doc_id, n_tokens, rate, domain (of the largest
-    posterior) and p_<domain> for every domain of the labels.
+    posterior), p_<domain> for every domain of the labels, and residual (the
+    same in every row): the largest miss of a domain's total, as a share of all.
 
     Null and empty texts have no tokens and the rate of their posteriors; null
     ids have no label; repeated rows each have their row and count as often;
@@ -185,20 +195,26 @@ def document_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float]
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), "domain")
-    mixed, domains = mix(rows, known, targets, "doc_id", "text", **options)
+    mixed, domains, residual = mix(rows, known, targets, "doc_id", "text", **options)
     names = F.array(*[F.lit(d) for d in domains])
     return mixed.select("doc_id", F.col("_n").alias("n_tokens"), F.col("_rate").alias("rate"),
                         F.get(names, F.array_position("_p", F.array_max("_p")).cast("int") - 1).alias("domain"),
-                        *[F.get("_p", i).alias(f"p_{d}") for i, d in enumerate(domains)])
+                        *[F.get("_p", i).alias(f"p_{d}") for i, d in enumerate(domains)], F.lit(residual).alias("residual"))
 
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, id_col: str = "doc_id",
                     text_col: str = "text", **options) -> DataFrame:
     """``docs`` with every row repeated by its rate: the whole part, and once
-    more with the probability of the rest, by a hash of the id and the text."""
+    more with the probability of the rest, by a hash of the id and the text.
+
+    A rate above 1 writes a document more than once, also one that a stage
+    before has made unique: a domain that is to have more tokens than it has
+    needs that.  A row is repeated floor(rate) + 1 times at most.  Null ids and
+    texts are rows like any other; repeated rows are each repeated alike; an
+    empty table gives an empty one; without labels every row stays once."""
     whole = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     known = labels.select(F.col(id_col).alias("_id"), "domain")
-    mixed, _ = mix(whole, known, targets, "_id", "_text", **options)
+    mixed, _, _ = mix(whole, known, targets, "_id", "_text", **options)
     chance = F.pmod(F.xxhash64("_id", "_text"), F.lit(1 << 30)) / float(1 << 30)
     copies = F.floor(F.col("_rate") + chance).cast("int")
     return mixed.select("_row", F.explode(F.array_repeat(F.lit(0), copies))).select("_row.*")
