@@ -172,6 +172,19 @@ def test_dual_coordinate_descent_reaches_the_optimum():
 
 # ---------------------------------------------------------------- mixing ---
 
+def test_the_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    docs, labels = quality_rows()
+    hot = [(100_000 + i, "the same text of a third of all rows", "en") for i in range(len(docs) // 2)]
+    training = frame(spark, docs + hot).select("doc_id", "text").join(
+        labels_frame(spark, labels + [(i, 1, 0) for i, _, _ in hot]).select("doc_id", "quality"), "doc_id")
+    seen = []
+    fit = op3.fit_hinge
+    monkeypatch.setattr(op3, "fit_hinge", lambda rows, *rest, **more: seen.append(len(rows)) or fit(rows, *rest, **more))
+    one = op3.fit_quality(training, sample=40)
+    two = op3.fit_quality(training.repartition(5), sample=40)
+    assert max(seen) <= 40 and (one.weight == two.weight).all() and one.bias == two.bias
+
+
 def test_rates_meet_the_targets(spark):
     docs, labels = quality_rows()
     domains = op6.quality_domains(labels_frame(spark, labels[:200] + [(1, None, 0)]))

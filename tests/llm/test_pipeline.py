@@ -57,3 +57,14 @@ def test_one_row_of_each_group_where_ids_repeat_or_lack(spark, tmp_path):
     kept = {(r.doc_id, r.text) for r in got}
     assert len(got) == len(kept) == 4 and {(5, a), (5, b), (8, "")} <= kept
     assert kept & {(None, c), (None, near[2])}
+
+
+def test_empty_benchmark_and_labels(spark, tmp_path):
+    rows = [(i, " ".join(prose(300 + i, 40))) for i in range(1, 6)] + [(None, None), (9, ""), (9, "")]
+    d = tables(spark, tmp_path, [])
+    spark.createDataFrame([], "item_id long, text string").write.mode("overwrite").parquet(f"{d}/benchmark.parquet")
+    docs = frame(spark, rows)
+    assert sorted(map(tuple, P.drop_contaminated(spark, docs, d).collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+    assert sorted(map(tuple, P.mix_sources(spark, docs, d).collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+    tokens = P.write_tokens(spark, docs, d).collect()
+    assert sorted(((r.doc_id, r.n_tokens) for r in tokens if not r.doc_id or r.doc_id == 9), key=repr) == [(9, 1), (9, 1), (None, 1)]

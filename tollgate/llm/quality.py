@@ -8,14 +8,15 @@ do not) and whether the word repeats the one before.
 Each indicator is scaled by the log-count ratio of the two classes.  The
 ratios come from all labelled training rows.  A linear hinge-loss model is
 then fitted to the scaled, length-normalised vectors by dual coordinate
-descent, on a bounded sample of SAMPLE training rows (half of each class, by a
-hash of their text); its margins become probabilities through a logistic fit
-to cross-fitted margins, weighted to the classes' share in all training rows.
+descent, on a bounded sample: at most SAMPLE / 2 distinct texts of each class,
+by a hash of the text, each with its number of rows as weight.  So a text that
+a third of the rows repeat is one row of the sample.  The model's margins become
+probabilities through a logistic fit to cross-fitted margins, weighted to the
+classes' share in all training rows.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -137,37 +138,41 @@ def _logistic(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
     return float(beta[0]), float(beta[1])
 
 
+_DESCRIBED = "label long, feature long, n0 long, n1 long, content long, row array<int>"
+
+
 def _describe(dim: int, shares: tuple[float, float]):
     """Class counts of the task's rows by feature, and the sampled rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, dim), np.int64)
         n = np.zeros(2, np.int64)
+        names = ["label", "feature", "n0", "n1", "content", "row"]
         for batch in batches:
-            labels = batch.column("label").to_numpy()
-            rows = []
+            labels, content = batch.column("label").to_numpy(), batch.column("content").to_numpy()
+            # By content, so that the sample does not depend on the partitions.
+            place = mix(content.view(np.uint64)) / 2.0 ** 64
+            chosen = place < np.where(labels == 1, shares[1], shares[0])
             for block in blocks(batch.column("body")):
                 values, offsets = features(block, dim)
-                label = labels[block.first:block.first + block.n]
+                to = slice(block.first, block.first + block.n)
                 per = np.diff(offsets)
                 for y in (0, 1):
-                    counts[y] += np.bincount(values[np.repeat(label == y, per)], minlength=dim)
-                    n[y] += int((label == y).sum())
-                for i in range(block.n):
-                    # By content, so that the sample does not depend on the partitions.
-                    if zlib.crc32(block.text(i), 1) / 2 ** 32 < shares[label[i]]:
-                        rows.append((int(label[i]), values[offsets[i]:offsets[i + 1]]))
-            if rows:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([r[0] for r in rows], pa.int64()), pa.array([None] * len(rows), pa.int64()),
-                    pa.array([None] * len(rows), pa.int64()), pa.array([None] * len(rows), pa.int64()),
-                    pa.array([r[1].astype(np.int32) for r in rows], pa.list_(pa.int32()))],
-                    names=["label", "feature", "n0", "n1", "row"])
+                    counts[y] += np.bincount(values[np.repeat(labels[to] == y, per)], minlength=dim)
+                    n[y] += int((labels[to] == y).sum())
+                some = np.flatnonzero(chosen[to])
+                if len(some):
+                    none = pa.nulls(len(some), pa.int64())
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(labels[to][some]), none, none, none, pa.array(content[to][some]),
+                        pa.array([values[offsets[i]:offsets[i + 1]].astype(np.int32) for i in some.tolist()], pa.list_(pa.int32()))],
+                        names=names)
         some = np.append(np.flatnonzero(counts.sum(axis=0)), dim)  # feature dim: the number of rows
         both = np.concatenate([counts, n[:, None]], axis=1)[:, some]
+        none = pa.nulls(len(some), pa.int64())
         yield pa.RecordBatch.from_arrays([
-            pa.nulls(len(some), pa.int64()), pa.array(some.astype(np.int64)), pa.array(both[0]), pa.array(both[1]),
-            pa.nulls(len(some), pa.list_(pa.int32()))], names=["label", "feature", "n0", "n1", "row"])
+            none, pa.array(some.astype(np.int64)), pa.array(both[0]), pa.array(both[1]), none,
+            pa.nulls(len(some), pa.list_(pa.int32()))], names=names)
 
     return run
 
@@ -177,15 +182,15 @@ def fit_quality(training: DataFrame, text_col: str = "text", label_col: str = "q
     """From rows with a 0/1 label; other labels are left out.  With rows of one
     class only, or none, every text gets that class's share (0.5 without rows)."""
     rows = training.select(F.col(label_col).cast("int").alias("label"), F.coalesce(F.col(text_col), F.lit("")).alias("body")
-                           ).filter("label in (0, 1)")
+                           ).filter("label in (0, 1)").withColumn("content", F.xxhash64("body"))
     size = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(size.values())
     if len(size) < 2:
         share = min(max(size.get(1, 0) / total if total else 0.5, 1e-3), 1 - 1e-3)
         return QualityModel(np.zeros(dim, np.float32), np.ones(dim, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
     shares = tuple(min(1.0, sample / 2 / size[y]) for y in (0, 1))
-    described = materialise(rows.select(F.col("label").cast("long").alias("label"), "body").mapInArrow(
-        _describe(dim, shares), "label long, feature long, n0 long, n1 long, row array<int>"), "quality")
+    described = materialise(rows.select(F.col("label").cast("long").alias("label"), "content", "body").mapInArrow(
+        _describe(dim, shares), _DESCRIBED), "quality")
     table = described.filter("feature is not null").groupBy("feature").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()  # one row per feature at most
     counts = np.zeros((2, dim + 1))
@@ -194,18 +199,21 @@ def fit_quality(training: DataFrame, text_col: str = "text", label_col: str = "q
     smooth = counts[:, :dim] + SMOOTHING
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
 
-    drawn = described.filter("row is not null").select("label", "row").toArrow()
-    label = drawn.column("label").to_numpy()
+    # Distinct texts with their rows; at most sample / 2 of a class reach the driver.
+    texts = described.filter("row is not null").groupBy("label", "content").agg(
+        F.count(F.lit(1)).alias("n"), F.first("row").alias("row"))
+    drawn = pa.concat_tables([texts.filter(F.col("label") == v).orderBy("content").limit(max(sample // 2, 1)).toArrow() for v in (0, 1)])
+    label, copies = drawn.column("label").to_numpy(), drawn.column("n").to_numpy()
     index = [np.asarray(r.values.to_numpy(), np.int64) for r in drawn.column("row")]
     # A defined order, whatever order the tasks wrote in.
-    order = sorted(range(len(index)), key=lambda i: (len(index[i]), zlib.crc32(index[i].tobytes()), label[i]))
-    label, index = label[order], [index[i] for i in order]
+    order = np.lexsort((label, drawn.column("content").to_numpy()))
+    label, copies, index = label[order], copies[order], [index[i] for i in order.tolist()]
     data = []
     for i in index:
         x = ratio[i]
         data.append(x / max(float(np.sqrt(x @ x)), 1e-9))
     y = np.where(label == 1, 1.0, -1.0)
-    cost = np.full(len(y), C)
+    cost = C * copies.astype(float)
     fold = np.arange(len(y)) % FOLDS
     margin = np.zeros(len(y))
 
@@ -216,8 +224,8 @@ def fit_quality(training: DataFrame, text_col: str = "text", label_col: str = "q
         w, b = fitted(np.flatnonzero(fold != f))
         for i in np.flatnonzero(fold == f):
             margin[i] = w[index[i]] @ data[i] + b
-    drawn_n = np.bincount(label, minlength=2)
-    weight = np.array([size[v] / max(drawn_n[v], 1) for v in (0, 1)])[label] / total * len(label)
+    drawn_n = np.bincount(label, weights=copies, minlength=2)
+    weight = np.array([size[v] / max(drawn_n[v], 1) for v in (0, 1)])[label] * copies / total * len(label) / copies.mean()
     slope, shift = _logistic(margin, label.astype(float), weight)
     w, b = fitted(np.arange(len(y)))
     return QualityModel((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), b, slope, shift)
