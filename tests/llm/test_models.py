@@ -1,4 +1,7 @@
+import math
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -32,6 +35,61 @@ def test_language_id_learns_and_rejects(spark):
     assert any(r.held_out for r in got.values())
 
 
+def letter_grams(text):
+    """4-grams of a text's letter runs: each letter and the boundary after the run, with up to three letters before it."""
+    runs, run = [], ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            run += c
+        elif run:
+            runs, run = [*runs, run], ""
+    return [("\0\0\0" + w + "\0")[i:i + 4] for w in runs for i in range(len(w) + 1)]
+
+
+class PlainKneserNey:
+    """Interpolated Kneser-Ney by its recursive definition, over dictionaries."""
+
+    def __init__(self, grams, vocabulary):
+        self.vocabulary = vocabulary
+        self.levels = {4: Counter(grams)}
+        for order in (3, 2, 1):
+            self.levels[order] = Counter(g[1:] for g in self.levels[order + 1])
+        self.discount = {}
+        for order, level in self.levels.items():
+            n1, n2 = (sum(v == x for v in level.values()) for x in (1, 2))
+            self.discount[order] = min(0.99, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.05
+
+    def p(self, gram):
+        order = len(gram)
+        if not order:
+            return 1 / self.vocabulary
+        after = {g: n for g, n in self.levels[order].items() if g[:-1] == gram[:-1]}
+        if not after:
+            return self.p(gram[1:])
+        d, total = self.discount[order], sum(after.values())
+        return max(after.get(gram, 0) - d, 0) / total + d * len(after) / total * self.p(gram[1:])
+
+
+@pytest.mark.parametrize("model_grams", [op4.MODEL_GRAMS, 0])
+def test_language_id_equals_plain_models(spark, model_grams):
+    r = random.Random(12)
+    rows = [(i, " ".join(r.choice(WORDS[lang]) + r.choice(["", "s", "é", "漢"]) for _ in range(r.randrange(1, 9))), lang)
+            for i in range(45) for lang in [sorted(WORDS)[i % 3]]]
+    rows += [(100, "ganda zíxel, HUROU!", None), (101, "Zzz", None), (102, "漢é s", None), (103, "go-gan 12 da\nnga", None)]
+    learned = [(t, lang) for i, t, lang in rows if lang and zlib.crc32(str(i).encode()) % 5]
+    vocabulary = len({g[-1] for t, _ in learned for g in letter_grams(t)}) + 1
+    models = {x: PlainKneserNey([g for t, lang in learned if lang == x for g in letter_grams(t)], vocabulary) for x in sorted(WORDS)}
+    got = {x.doc_id: x for x in op4.language_id(frame(spark, rows), model_grams=model_grams).collect()}
+    for i, text, _ in rows:
+        grams = letter_grams(text)
+        entropy = {x: -sum(math.log(m.p(g)) for g in grams) / len(grams) for x, m in models.items()}
+        best = min(entropy, key=lambda x: (entropy[x], x))
+        assert got[i].lang_pred == best and got[i].n_events == len(grams)
+        assert got[i].cross_entropy == pytest.approx(entropy[best], abs=1e-5)
+        apart = [min(e - entropy[best], 50) * min(len(grams), 60) for e in entropy.values()]
+        assert got[i].score == pytest.approx(1 / sum(math.exp(-x) for x in apart), abs=1e-4)
+
+
 def test_models_as_tables_give_the_same(spark):
     odd = [(1, "12 - 34", None), (2, None, "aa"), (3, "漢字漢字漢字漢字", None), (4, "", None), (None, "ganda ganda", None), (5, "ÀÉ 𐌰𐌱", "bb"),
            (6, "ganda " * 400, None)]
