@@ -31,7 +31,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back with its schema."""
     path = shared_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._staged = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``materialise`` that nothing reads any more: all that
+    was made of them has been written."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._staged)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def workers_import_this(spark: SparkSession) -> None:

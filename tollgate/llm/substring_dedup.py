@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollgate.llm.staging import materialise
+from tollgate.llm.staging import discard, materialise
 from tollgate.llm.textarrays import Block, Words, blocks, mix, words
 
 K, W = 6, 10
@@ -123,7 +123,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _MATCH = ["row", "ref", "pos", "rpos", "gram"]
-_JOINED = "deal long, gram long, row long, pos int, ref long, rpos int, many boolean"
+_JOINED = "gram long, row long, pos int, ref long, rpos int, many boolean"
+_JOINED_NAMES = ["gram", "row", "pos", "ref", "rpos", "many"]
 _MATCHES = "row long, ref long, pos int, rpos int, gram long"
 
 
@@ -143,12 +144,10 @@ def _joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     first, anchor, many = first[keep], anchor[keep], many[keep]
     ref, rpos = row[anchor], pos[anchor]
     gram, row, pos = gram[keep].view(np.int64), row[keep], pos[keep]
-    # Matches spread by row: a common seed would bring them together.
-    deal = np.where(first, gram, mix(row.astype(np.uint64)).view(np.int64))
     return pa.RecordBatch.from_arrays(
-        [pa.array(deal), pa.array(gram), pa.array(row), pa.array(pos.astype(np.int32)),
+        [pa.array(gram), pa.array(row), pa.array(pos.astype(np.int32)),
          pa.array(ref, mask=first), pa.array(rpos.astype(np.int32), mask=first), pa.array(many)],
-        names=["deal", "gram", "row", "pos", "ref", "rpos", "many"])
+        names=_JOINED_NAMES)
 
 
 def _local_seeds(k: int, window: int):
@@ -279,7 +278,7 @@ def _repeating(links: tuple[int, ...], widest: int):
         at = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)).astype(np.int32)), pa.array(pos.astype(np.int32)))
         none = pa.nulls(len(head), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, pa.array(row[head]), none.cast(pa.int32()), none, none.cast(pa.int32()), none.cast(pa.bool_()), at],
+            [none, pa.array(row[head]), none.cast(pa.int32()), none, none.cast(pa.int32()), none.cast(pa.bool_()), at],
             names=[*_JOINED_NAMES, "at"])
         # Positions of all rows on one line, rows further apart than any link.
         line = pos + np.repeat(np.cumsum(np.concatenate([[0], pos[head[1:] - 1] + widest + 1])) if len(head) else head, size)
@@ -318,9 +317,6 @@ def _repeating(links: tuple[int, ...], widest: int):
     return run
 
 
-_JOINED_NAMES = ["deal", "gram", "row", "pos", "ref", "rpos", "many"]
-
-
 class Fenwick:
     """Prefix maxima of (value, holder) over slots 0 .. n - 1."""
 
@@ -651,7 +647,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     local = texts.filter(F.length("body") > 0).mapInArrow(_local_seeds(k, window), _JOINED)
 
     def anchored(local: DataFrame) -> DataFrame:
-        return local.repartition(n, "deal").sortWithinPartitions("gram", "row", "pos").mapInArrow(_anchored, _MATCHES)
+        # Matches spread by row: a common seed would bring them together.
+        deal = F.when(F.col("ref").isNull(), F.col("gram")).otherwise(F.xxhash64("row"))
+        return local.repartition(n, deal).sortWithinPartitions("gram", "row", "pos").mapInArrow(_anchored, _MATCHES)
 
     def chained(matches: DataFrame, *options) -> DataFrame:
         return matches.filter("row != ref").select("row", "ref", "pos", "rpos").repartition(n, "row").sortWithinPartitions(
@@ -669,6 +667,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     chains = materialise(chained(matches.unionByName(linked), k, least).withColumn("run", F.lit(False)).unionByName(
         chained(anchored(runs), min_words, min_words, False).withColumn("run", F.lit(True)))
         .withColumn("chain", F.monotonically_increasing_id()), "chains")
+    discard(matches, repeating)
 
     # The words of both sides of each chain, with room to extend its ends.  What goes
     # on beyond min_words equal words is a run with a chain of its own.
