@@ -15,7 +15,7 @@ Two equivalent formulations are offered:
   the pairs as a table): loads never rewrite old files.
 
 Timestamps are ``TIMESTAMP_NTZ`` wall-clock values of the zone the caller
-chooses (``now_in_zone``), so results do not move with the session zone.
+chooses (``functions.zones``), so results do not move with the session zone.
 """
 
 from __future__ import annotations
@@ -45,11 +45,6 @@ def as_timestamp(value: str | dt.datetime | Column) -> Column:
     return F.lit(value).cast("timestamp_ntz")
 
 
-def now_in_zone(zone: str = HISTORY_ZONE) -> Column:
-    """Wall-clock 'now' in ``zone`` (one value per query), as TIMESTAMP_NTZ."""
-    return F.convert_timezone(None, F.lit(zone), F.current_timestamp())
-
-
 def stamp_history(df: DataFrame, as_of, file_name: str | Column | None = None) -> DataFrame:
     """valid_from = as_of, valid_to = NULL, is_current = TRUE (+ file name)."""
     cols = [F.col(c) for c in df.columns if c not in (VALID_FROM, VALID_TO, CURRENT)]

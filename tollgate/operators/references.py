@@ -126,14 +126,6 @@ def evaluate(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
     return flagged.select(*out, *([_entries(applied).alias(ENTRIES)] if keep_entries else []))
 
 
-def annotate_evaluated(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
-                       missing_master: str = SKIP) -> DataFrame:
-    """``annotate`` plus the error-log entries of each row, from one set of joins."""
-    filled = fill_sentinel(df)
-    flagged, applied = flag_misses(filled, rules, resolve, missing_master)
-    return flagged.select(*_annotated(filled.columns, applied), _entries(applied).alias(ENTRIES))
-
-
 def flagged_rows(df: DataFrame, rules: list[Rule], resolve: MasterResolver,
                  missing_master: str = SKIP) -> tuple[DataFrame, list[Rule]]:
     """Sentinel-filled rows with one miss flag per applied rule, and those

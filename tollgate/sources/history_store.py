@@ -16,8 +16,8 @@ never a scan of the data): a version expires when a newer run has written the
 same scope, with no file of the older run touched.  ``current()`` reads no
 partition of a run before the oldest that still has a current scope.
 
-A run is visible when its scopes are there; they are written last.  Writes
-replace the run's folders as a whole, empty results included, so a retried
+A run is visible when its layout is named in ``written``, which one small file
+does when all else is there.  Writes replace the run's folders as a whole, empty results included, so a retried
 load leaves nothing of its first attempt, whatever the new verdicts.  A run id
 that another delivery has used is refused.
 
@@ -96,7 +96,7 @@ class HistoryStore:
 
     def _visible(self) -> set[int]:
         """Runs that have written all they write, of a load that has ended."""
-        written = {int(n.split("=")[1]) for n in self._entries(self._part("scopes")) if n.startswith(f"{RUN}=")}
+        written = set(self._written())
         return written if self.ended is None else written & self.ended()
 
     def _only(self, rows: DataFrame, kind: str, runs: set[int]) -> DataFrame:
@@ -145,22 +145,24 @@ class HistoryStore:
         known = self.schema()
         wide = widened(known, business.schema, self.scope_cols)  # refuses before anything is written
         self.claim(run_id, f"{as_of}|{delivery}")
-        files.remove(self.spark, self._run_part("scopes", run_id))  # a retried run is not visible until it ends
+        self._hide(run_id)  # a retried run is not visible until it ends
         written = T.StructType([T.StructField(f.name, wide[f.name].dataType) for f in business.schema])
         out = business.select(*[as_type(F.col(f"`{f.name}`"), f.dataType, written[f.name].dataType).alias(f.name)
                                 for f in business.schema], as_timestamp(as_of).alias(VALID_FROM))
         if known is None or wide != known:
             files.write_text(self.spark, f"{self._part('spec')}/version={self._spec_version() + 1}", wide.json())
-        self._store_layout(written, run_id)
         scopes = self._write(out, run_id).withColumn(VALID_FROM, as_timestamp(as_of))
         scopes.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._run_part("scopes", run_id))
+        self._show(run_id, written)
 
-    def _store_layout(self, written: T.StructType, run_id: int) -> None:
-        key = hashlib.sha256(written.json().encode()).hexdigest()[:32]
-        files.write_text(self.spark, f"{self._part('layouts')}/{key}", written.json())
+    def _hide(self, run_id: int) -> None:
         old = self._written().get(run_id)
-        if old and old != key:
+        if old:
             files.remove(self.spark, f"{self._run_part('written', run_id)}.{old}")
+
+    def _show(self, run_id: int, written: T.StructType) -> None:
+        key = hashlib.sha256(written.json().encode()).hexdigest()[:32]
+        files.write_text(self.spark, f"{self._part('layouts')}/{key}", written.json())
         files.write_text(self.spark, f"{self._run_part('written', run_id)}.{key}")
 
     def _write(self, out: DataFrame, run_id: int) -> DataFrame:
