@@ -47,7 +47,7 @@ MAX_GAP = 32  # words between two segments of a chain
 GAP_COST = 0.25  # per word left out in either text
 IDENTITY = 0.8  # aligned words of a chain's longer side
 JOIN_GAP = 4  # words between spans of one passage
-LINKS = (1, 16, 32, 48)  # words at least between the seeds of a link; the next one is taken, up to MAX_GAP beyond the last
+LINKS = (16, 32, 48)  # words at least between the seeds of a link; the next one is taken, up to MAX_GAP beyond the last
 _SEEDS = 1 << 21  # seeds that a task joins at a time
 _FOLD = np.uint64(0xD1B54A32D192ED03)
 
