@@ -22,6 +22,7 @@ from tollgate.session import checkpoint_dir
 from tollgate.sources import testdata as TD
 from tollgate.sources.history_store import HistoryStore, TypeChange
 from tollgate.sources.scoped_table import ScopedTable
+from tollgate.staging import staged_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -417,29 +418,30 @@ EXTRACT_MASK = "{fileName}_{yyyymmdd}_{hhmmss}.{fileExtension}"
 EXTRACT_COLS = [c for c in TD.LEDGER_COLUMNS if c != "file_name"] + ["city"]
 
 
-_LANDINGS: dict[tuple, str] = {}
+# Rows of a part file at most: a large extract comes in several.
+PART_ROWS = 100_000
 
 
 def write_landing(spark: SparkSession, d: str, spec: DL.ReaderSpec = DL.ReaderSpec(),
                   source: DataFrame | None = None) -> str:
     """The folder of the ledger (or ``source``) as delimited extracts, one
-    entry per file name, plus a decoy extract that selection must skip.  The
-    whole ledger's folder is written once per session, tables and format."""
-    key = (spark.sparkContext.applicationId, d, spec)
-    if source is None and key in _LANDINGS:
-        return _LANDINGS[key]
-    root = scratch(spark, "landing")
-    base = TD.ledger(spark, d) if source is None else source
-    # computed once, then split into the extract folders; each extract is
-    # written as several part files, as a large delivery would be
-    parts = spark.sparkContext.defaultParallelism
-    rows = base.withColumn("city", F.lit(CITY)).repartition(parts).checkpoint()
-    for name in sorted(r[0] for r in rows.select("file_name").distinct().collect()):  # the fixture's files
-        DL.write_delimited(rows.filter(F.col("file_name") == name).select(*EXTRACT_COLS),
-                           f"{root}/{name}", spec)
-    DL.write_delimited(rows.select(*EXTRACT_COLS), f"{root}/other_20240101_120000.csv", spec)
-    if source is None:
-        _LANDINGS[key] = root
+    entry per file name, plus a decoy extract that selection must skip: all
+    rows once more, as compressed parts.  It is removed when the driver ends.
+
+    One write deals the rows into the extracts as they come from their source,
+    with no shuffle and no copy in between; the decoy copies their lines."""
+    root = staged_path(spark, "landing")
+    rows = TD.ledger(spark, d) if source is None else source
+    dealt = f"{root}/dealt"
+    DL.write_delimited(rows.withColumn("city", F.lit(CITY)).select(*EXTRACT_COLS, "file_name"), dealt, spec,
+                       by=["file_name"], part_rows=PART_ROWS)
+    names = DL.undeal(spark, dealt, root, "file_name")
+    decoy = f"{root}/other_20240101_120000.csv"
+    if names:
+        lines = spark.read.text([f"{root}/{n}" for n in names])
+        lines.write.option("compression", "gzip").text(decoy)
+    else:
+        DL.write_delimited(spark.createDataFrame([], DL.text_schema(EXTRACT_COLS)), decoy, spec)
     return root
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,15 +79,33 @@ def scan_delimited(spark: SparkSession, paths: str | list[str], names: list[str]
     return reader.csv(paths if isinstance(paths, list) else [paths])
 
 
-def write_delimited(df: DataFrame, path: str, spec: ReaderSpec = ReaderSpec()) -> None:
-    """Write ``df`` as headerless delimited text (fixture and export helper)."""
+def write_delimited(df: DataFrame, path: str, spec: ReaderSpec = ReaderSpec(), by: list[str] | None = None,
+                    part_rows: int = 0) -> None:
+    """Write ``df`` as headerless delimited text (fixture and export helper),
+    dealt into one folder per value of ``by``, in part files of at most
+    ``part_rows`` rows (0: as many as come)."""
     w = df.write.mode("overwrite").option("sep", spec.delimiter) \
         .option("encoding", spec.encoding).option("header", str(spec.header).lower())
     if spec.quote is not None:
         w = w.option("quote", spec.quote)
+    if part_rows:
+        w = w.option("maxRecordsPerFile", part_rows)
+    if by:
+        w = w.partitionBy(*by)
     w.csv(path)
 
 
+def undeal(spark: SparkSession, dealt: str, folder: str, col: str) -> list[str]:
+    """Rename the folders ``<col>=<name>`` of a dealt write to entries
+    ``<name>`` of ``folder``, remove what is left and return the names."""
+    found = [n for n in files.entries(spark, dealt) if n.startswith(f"{col}=")]
+    names = [unquote(n.removeprefix(f"{col}=")) for n in found]
+    for old, name in zip(found, names):
+        files.rename(spark, f"{dealt}/{old}", f"{folder}/{name}")
+    files.remove(spark, dealt)
+    return names
+
+
 def list_entries(spark: SparkSession, folder: str) -> list[str]:
     """Names of the entries directly inside ``folder`` (a bounded listing on
     the driver, like any file-system listing)."""
