@@ -99,3 +99,57 @@ def test_empty_and_several_scope_columns(spark, table):
     assert sorted((r.v, r.is_current) for r in both.read().collect()) == [("x", False), ("y", True)]
     with pytest.raises(ValueError, match="lacks"):
         ScopedTable(spark, "x", ["absent"], SCHEMA)
+
+
+def test_rows_of_a_rewrite_are_written_once(spark, table, monkeypatch):
+    written, clustered = [], ScopedTable._clustered
+    monkeypatch.setattr(ScopedTable, "_clustered", lambda self, rows: written.append(1) or clustered(self, rows))
+    table.reload(rows(spark, ["m1", "m2"], "a"), T1)
+    table.reload(rows(spark, ["m2"], "b"), T2)
+    assert len(written) == 2
+    assert not files.exists(spark, table._pending)
+
+
+@pytest.mark.parametrize("cols", [["m"], ["m", "v"]])
+@pytest.mark.parametrize("step", ["remove", "rename"])
+def test_a_driver_lost_between_two_folders(spark, monkeypatch, cols, step):
+    table = ScopedTable(spark, f"{checkpoint_dir(spark)}/s-{uuid.uuid4().hex}", cols, SCHEMA)
+    table.reload(rows(spark, ["m 1/%", None, "m3"], "a"), T1)
+    done, real = [], getattr(files, step)
+
+    def lost(spark, *paths):
+        moved = paths[-1].startswith(f"{table._data}/")
+        if moved and done:
+            raise RuntimeError("lost")
+        if moved:
+            done.append(paths)
+        return real(spark, *paths)
+
+    monkeypatch.setattr(files, step, lost)
+    with pytest.raises(RuntimeError):
+        table.reload(rows(spark, ["m 1/%", None, "m3"], "a"), T2)
+    monkeypatch.undo()
+    assert len(done) == 1
+    seen = lambda: sorted((str(r.m), r.v, r.is_current) for r in table.read().collect())
+    want = sorted([("m 1/%", "a0", False), ("m 1/%", "a0", True), ("None", "a1", True), ("None", "a1", True),
+                   ("m3", "a2", False), ("m3", "a2", True)])
+    assert seen() == want
+    table.recover()
+    assert seen() == want and not files.exists(spark, table._pending)
+
+
+def test_an_expiry_shuffles_no_row_for_its_scopes(spark, table, monkeypatch):
+    plans, real = [], ScopedTable._rewrite
+    monkeypatch.setattr(ScopedTable, "_rewrite", lambda self, rows: plans.append(
+        rows._jdf.queryExecution().executedPlan().toString()) or real(self, rows))
+    table.reload(rows(spark, ["m1", None], "a"), T1)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table.expire(rows(spark, ["m1"], "x"), T2)
+        table.reload(rows(spark, ["m1"], "b"), T3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p for p in plans[1:])
+    assert sorted((r.m or "", r.v, r.is_current) for r in table.read().collect()) == [
+        ("", "a1", True), ("m1", "a0", False), ("m1", "b0", True)]

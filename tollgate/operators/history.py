@@ -70,10 +70,14 @@ def expire_all(history: DataFrame, as_of) -> DataFrame:
     return history.select(*others, *_expire_when(F.lit(True), as_of)).select(*history.columns)
 
 
-def expire_scope(history: DataFrame, scope: DataFrame, scope_cols: list[str], as_of) -> DataFrame:
+def expire_scope(history: DataFrame, scope: DataFrame, scope_cols: list[str], as_of, listed: bool = False) -> DataFrame:
     """Current rows whose scope key is listed in ``scope`` expire.  NULL
-    scope keys never match.  ``scope`` is reduced to distinct keys."""
+    scope keys never match.  ``scope`` is reduced to distinct keys; where it
+    comes from a list that the driver holds (``listed``) it is broadcast, and
+    no row of the history is shuffled."""
     keys = scope.select(*scope_cols).distinct().withColumn("_tg_hit", F.lit(True))
+    if listed:
+        keys = F.broadcast(keys)
     joined = history.join(keys, scope_cols, "left")
     others = [F.col(c) for c in history.columns if c not in (VALID_TO, CURRENT)]
     hit = F.coalesce(F.col("_tg_hit"), F.lit(False))

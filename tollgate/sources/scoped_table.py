@@ -7,12 +7,14 @@ One folder per scope value (month)::
 
 An expiry reads the scopes it touches (partition pruning), writes their new
 rows aside and renames them to ``pending``; from then on the rewrite is
-decided.  Then the folders of ``data`` are replaced by dynamic partition
-overwrite and ``pending`` is removed.  No other folder is read or written.
-
-A driver that is lost in between leaves ``pending``.  Readers take the touched
-scopes from there, so they see the whole rewrite, whatever it has replaced so
-far; the next writer replaces them again from the same rows and goes on.
+decided.  Then each folder of ``pending`` takes the place of the one in
+``data`` by a rename: rows are written once.  No other folder is read or
+written.
+
+A driver that is lost in between leaves ``pending`` with the folders that have
+not been moved.  Readers take these scopes from there and the moved ones from
+``data``, so they see the whole rewrite, whatever it has replaced so far; the
+next writer moves the rest and goes on.
 Expiring a scope and appending its new rows is one rewrite: no reader sees a
 scope without current rows.
 
@@ -90,9 +92,20 @@ class ScopedTable:
         if files.exists(self.spark, self._pending):
             self._replace()
 
+    def _folders(self, root: str, below: str = "") -> list[str]:
+        """The scope folders below ``root``: one level per scope column."""
+        depth = below.count("/")
+        if depth == len(self.scope_cols):
+            return [below]
+        prefix = f"{self.scope_cols[depth]}="
+        return [leaf for n in files.entries(self.spark, root + below) if n.startswith(prefix)
+                for leaf in self._folders(root, f"{below}/{n}")]
+
     def _replace(self) -> None:
-        (self._clustered(self._scan(self._pending)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.scope_cols).parquet(self._data))
+        """A folder leaves ``pending`` only when it stands in ``data``."""
+        for folder in self._folders(self._pending):
+            files.remove(self.spark, self._data + folder)
+            files.rename(self.spark, self._pending + folder, self._data + folder)
         files.remove(self.spark, self._pending)
 
     def _clustered(self, rows: DataFrame) -> DataFrame:
@@ -118,7 +131,7 @@ class ScopedTable:
         touched = self._scan(self._data).filter(self._within(keys))
         listed = self.spark.createDataFrame([tuple(k) for k in keys], T.StructType([self.schema[c] for c in self.scope_cols]))
         if keys:
-            self._rewrite(expire_scope(touched, listed, self.scope_cols, as_of))
+            self._rewrite(expire_scope(touched, listed, self.scope_cols, as_of, listed=True))
 
     def reload(self, incoming: DataFrame, as_of) -> None:
         """Current rows of the incoming rows' scopes expire and the incoming
@@ -130,7 +143,7 @@ class ScopedTable:
             return
         touched = self._scan(self._data).filter(self._within(keys))
         listed = self.spark.createDataFrame([tuple(k) for k in keys], T.StructType([self.schema[c] for c in self.scope_cols]))
-        self._rewrite(append_merge_schema(expire_scope(touched, listed, self.scope_cols, as_of),
+        self._rewrite(append_merge_schema(expire_scope(touched, listed, self.scope_cols, as_of, listed=True),
                                           stamp_history(incoming, as_of)))
 
 
