@@ -22,7 +22,7 @@ from tollgate.session import checkpoint_dir
 from tollgate.sources import testdata as TD
 from tollgate.sources.history_store import HistoryStore, TypeChange
 from tollgate.sources.scoped_table import ScopedTable
-from tollgate.staging import staged_path
+from tollgate.staging import staged_path, unstage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -691,6 +691,7 @@ def _bronze(spark, d, wh=None, source=None, run=None) -> L.Warehouse:
     landing = write_landing(spark, d, RAW_SPEC, source)
     L.bronze_load(spark, wh, LEDGER_TABLE, landing, EXTRACT_COLS, RAW_SPEC,
                   _physical_rules(), run or L.RunInfo(1, 2, T1), apply_mask=True)
+    unstage(spark, landing)  # loaded
     return wh
 
 
@@ -810,5 +811,6 @@ def q_load_by_process(spark, d):
     wh = L.Warehouse(scratch(spark, "warehouse"))
     landing = write_landing(spark, d, DL.ReaderSpec(delimiter="\t"))
     L.load_by_process(spark, wh, control, "Finance 2", "raw to bronze", "SAP0", 1, T1, LEDGER_TABLE, landing, EXTRACT_COLS)
+    unstage(spark, landing)  # loaded
     L.load_by_process(spark, wh, control, "Finance 3", "bronze to silver", "SAP1", 2, T2, LEDGER_TABLE)
     return wh.silver(spark, LEDGER_TABLE).current().select(*SILVER_COLS)
