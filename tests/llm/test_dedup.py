@@ -1,9 +1,11 @@
 import hashlib
 import random
 import re
+import sys
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import ODD, frame, prose
@@ -11,7 +13,8 @@ from tollgate.llm import exact_dedup as op1
 from tollgate.llm import near_dedup as op5
 from tollgate.llm import substring_dedup as op2
 from tollgate.llm.graph import connected_components
-from tollgate.llm.staging import materialise
+from tollgate.llm.staging import discard, materialise
+from tollgate.llm.textarrays import blocks, words
 
 # ------------------------------------------------------------------ exact ---
 
@@ -348,3 +351,132 @@ def test_good_spans_equal_brute_force(seed):
                    if equal[i] and equal[j - 1] and equal[i:j].mean() >= 0.8 - 1e-12), default=0)
     assert max(x[1] - x[0] for x in got) == longest
     assert all(p[1] <= q[0] for p, q in zip(got, got[1:]))
+
+
+def repeating_text_batch(texts, seed):
+    """Texts as the window step gets them, with some of their seeds marked as repeating."""
+    r, at = np.random.default_rng(seed), []
+    column = pa.array([" ".join(t) for t in texts])
+    for block in blocks(column):
+        of, pos, _ = op2.seeds(words(block))
+        at += [p[r.random(len(p)) < 0.9].astype(np.int32) for p in (pos[of == i] for i in range(block.n))]
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts)) + 7), pa.array(at, pa.list_(pa.int32())), column],
+                                      names=["row", "at", "body"])
+
+
+@pytest.mark.parametrize("size", [5, 20, 30, 50])
+def test_runs_that_may_repeat_equal_brute_force(size):
+    r = random.Random(size)
+    texts = [prose(i, r.randrange(0, 300), 4000) for i in range(60)]
+    texts += [prose(90, 120, 4000) * 2, [], ["one"], prose(91, size, 4000), prose(92, size - 1, 4000)]
+    batch = repeating_text_batch(texts, size)
+    want = set()
+    for i, at in enumerate(batch.column("at").to_pylist()):
+        for block in blocks(pa.array([" ".join(texts[i])])):
+            seed = list(zip(*(x.tolist() for x in op2.seeds(words(block))[1:])))
+            known = {g for p, g in seed if p in set(at)}
+            once = [p for p, g in seed if g not in known]
+            for s in range(len(texts[i]) - size + 1):
+                # The k-mers a seed was chosen from all lie in the run.
+                if not any(s <= p - op2.W + 1 and p + op2.W - 1 + op2.K <= s + size for p in once):
+                    want.add((i + 7, s))
+    got = pa.Table.from_batches(op2._whole_windows(op2.K, op2.W, size)(iter([batch.slice(0, 13), batch.slice(13)])))
+    told = {(row, spot >> 32) for row, spot in zip(got.column("row").to_pylist(), got.column("spot").to_pylist())}
+    # Of runs that a text has twice, the first place is told.
+    assert told <= want
+    assert {" ".join(texts[i - 7][s:s + size]) for i, s in told} == {" ".join(texts[i - 7][s:s + size]) for i, s in want}
+
+
+def test_window_step_does_no_python_work_per_text():
+    def calls(texts):
+        batch, n = repeating_text_batch(texts, 1), 0
+
+        def count(frame, event, arg):
+            nonlocal n
+            n += event == "call"
+        sys.setprofile(count)
+        try:
+            list(op2._whole_windows(op2.K, op2.W, 50)(iter([batch])))
+        finally:
+            sys.setprofile(None)
+        return n
+    assert calls([prose(i, 80, 4000) for i in range(400)]) < calls([prose(i, 80, 4000) for i in range(40)]) + 100
+
+
+def test_anchors_equal_brute_force_whatever_the_batches():
+    r = random.Random(3)
+    seeds = sorted(((g, row, r.randrange(500), r.randrange(2)) for row in range(300) for g in {r.randrange(-40, 40) for _ in range(3)}),
+                   key=lambda x: (x[0], r.random()))
+    seeds += [(99, row, 5, 0) for row in (9, 8, 7)] + [(100, 3, 4, 0), (101, 6, 2, 1)]
+    ready = [(1000 + i, 3, (i << 32) | 8, 55) for i in range(20)]
+    rows = [(row, -1, (pos << 32) | many, g) for g, row, pos, many in seeds]
+    for i in ready:
+        rows.insert(r.randrange(len(rows)), i)
+    groups = defaultdict(list)
+    for g, row, pos, many in seeds:
+        groups[g].append((row, pos, many))
+    want = set(ready)
+    for g, own in groups.items():
+        (ref, rpos, _), *later = sorted(own)
+        if later or own[0][2]:
+            want |= {(row, ref, (pos << 32) | rpos, g) for row, pos, _ in sorted(own)}
+    for size in (1, 7, 100, 5000):
+        parts = [rows[i:i + size] for i in range(0, len(rows), size)] + [[]]
+        made = op2._anchored(pa.RecordBatch.from_arrays([pa.array([x[c] for x in p], pa.int64()) for c in range(4)], names=op2._MATCH)
+                             for p in parts)
+        got = [x for b in made for x in zip(*(c.to_pylist() for c in b.columns))]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_chain_of_one_segment_needs_no_alignment_columns(monkeypatch):
+    r = random.Random(5)
+    cases = []
+    for _ in range(300):
+        p = r.choice([0.85, 0.95, 1.0])
+        a = np.arange(r.randrange(20, 150))
+        b = np.concatenate([np.arange(900, 900 + r.randrange(5)), np.where([r.random() < p for _ in a], a, -1 - a),
+                            np.arange(800, 800 + r.randrange(5))])
+        shift, x = int(np.sum(b[:5] >= 900)), r.randrange(10)
+        n = r.randrange(6, len(a) - x + 1)
+        x0, x1, y0, y1, equal = op2.align(a, b, [x], [x + shift], [n])
+        cases.append((a, b, x, x + shift, n, (x0, x1, y0, y1, equal / max(x1 - x0, 1))))
+    cases = [c for c in cases if c[-1][-1] >= 0.8]
+    assert len(cases) > 200
+    monkeypatch.setattr(op2, "columns", None)
+    for a, b, x, y, n, want in cases:
+        assert op2.good_spans(a, b, [x], [y], [n], 0.8, 12) == [want]
+
+
+def test_slices_are_the_words_asked_for(monkeypatch):
+    texts = [prose(i, n, 4000) for i, n in enumerate([30, 1, 0, 200])]
+    asked = [(i, lo, hi) for i in range(4) for lo, hi in ((-5, 10), (0, 500), (3, 3), (20, 26), (250, 260))]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _, _ in asked]), pa.array(range(len(asked))), pa.array([0] * len(asked), pa.int32()),
+         pa.array([lo for _, lo, _ in asked], pa.int32()), pa.array([hi for _, _, hi in asked], pa.int32()),
+         pa.array([" ".join(texts[i]) for i, _, _ in asked])], names=["row", "chain", "side", "lo", "hi", "body"])
+    for most in (op2._SLICED, 7):
+        monkeypatch.setattr(op2, "_SLICED", most)
+        got = [x for b in op2._slices(iter([batch])) for x in zip(*(b.column(c).to_pylist() for c in ("chain", "lo", "words")))]
+        assert [x[0] for x in got] == list(range(len(asked)))
+        for (i, lo, hi), (_, start, cut) in zip(asked, got):
+            line = [words(b).hash.astype(np.uint32) for b in blocks(pa.array([" ".join(texts[i])]))][0]
+            assert start == max(lo, 0) and cut == line[start:max(hi, start)].tobytes()
+
+
+def test_passages_keep_no_text_until_the_result_is_read(spark, monkeypatch):
+    staged, gone = {}, set()
+
+    def materialised(df, label):
+        table = materialise(df, label)
+        staged[label] = table
+        return table
+
+    monkeypatch.setattr(op2, "materialise", materialised)
+    monkeypatch.setattr(op2, "discard", lambda *tables: (gone.update(t._staged for t in tables), discard(*tables)))
+    shared = prose(80, 70, 4000)
+    rows = [(i, " ".join([*prose(8000 + i, 40, 4000), *shared])) for i in range(4)] + [(9, " ".join(prose(8100, 60, 4000)))] * 2
+    got = op2.repeated_passages(frame(spark, rows).coalesce(1))
+    left = {label for label, table in staged.items() if table._staged not in gone}
+    assert left == {"ids", "spans", "inside"}
+    assert {(x.doc_id, x.ref_doc_id, x.start_word, x.end_word) for x in got.collect()} == {
+        *((i, 0, 40, 110) for i in (1, 2, 3)), (9, 9, 0, 60)}

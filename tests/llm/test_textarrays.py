@@ -1,3 +1,6 @@
+import tracemalloc
+
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -7,6 +10,7 @@ from tollgate.llm import contamination as op9
 from tollgate.llm import near_dedup as op5
 from tollgate.llm import quality as op3
 from tollgate.llm import substring_dedup as op2
+from tollgate.llm import textarrays as T
 from tollgate.llm.textarrays import blocks, words
 
 #: Pairs of words that hashes with algebraic structure take for equal.
@@ -51,3 +55,26 @@ def test_quality_features_and_seeds():
     assert all(rows[i] != rows[i + 1] for i in (0, 2, 4))
     grams = [set(op2.seeds(words(next(blocks(pa.array([t])))), op2.K, op2.W)[2].tolist()) for t in docs_of(0)]
     assert grams[0] and not grams[0] & grams[1]
+
+
+def test_span_hashes_equal_sums_by_byte():
+    data = np.frombuffer(("aB " + "x" * 63 + " " + "Y" * 64 + " " + "z" * 65 + " " + "Q" * 300 + " é 漢 end").encode(), np.uint8)
+    start = np.flatnonzero((data != 32) & np.concatenate([[True], data[:-1] == 32]))
+    end = np.flatnonzero((data != 32) & np.concatenate([data[1:] == 32, [True]])) + 1
+    start, end = np.append(start, len(data)), np.append(end, len(data))  # and an empty span
+    for lower in (False, True):
+        raw = np.frombuffer(data.tobytes().lower(), np.uint8) if lower else data
+        want = [int(T._values((np.arange(b - a) << 8) + raw[a:b]).sum(dtype=np.uint64)) for a, b in zip(start, end)]
+        want = T.mix(np.array(want, np.uint64) + (end - start).astype(np.uint64) * T._STEP)
+        assert (T.span_hashes(data, start, end, lower) == want).all()
+
+
+def test_words_need_few_bytes_for_one_of_text():
+    texts = pa.array([" ".join("word%d" % (i * j % 977) for i in range(2000)) for j in range(60)])
+    block = next(iter(T.blocks(texts)))
+    T.words(block)
+    tracemalloc.start()
+    T.words(block)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 16 * len(block.data)

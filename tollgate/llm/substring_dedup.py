@@ -49,6 +49,7 @@ IDENTITY = 0.8  # aligned words of a chain's longer side
 JOIN_GAP = 4  # words between spans of one passage
 LINKS = (16, 32, 48)  # words at least between the seeds of a link; the next one is taken, up to MAX_GAP beyond the last
 _SEEDS = 1 << 21  # seeds that a task joins at a time
+_SLICED = 1 << 24  # words of spans that are sent on at a time
 _FOLD = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -122,16 +123,19 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["row", "id", "n_words", "first", "body"])
 
 
-_MATCH = ["row", "ref", "pos", "rpos", "gram"]
-_JOINED = "gram long, row long, pos int, ref long, rpos int, many boolean"
-_JOINED_NAMES = ["gram", "row", "pos", "ref", "rpos", "many"]
-_MATCHES = "row long, ref long, pos int, rpos int, gram long"
+# A match's spot is its position in row, and in the lower 32 bits that in ref.
+_MATCHES = "row long, ref long, spot long, gram long"
+_MATCH = ["row", "ref", "spot", "gram"]
+
+
+def _spot(pos: np.ndarray, rpos: np.ndarray) -> np.ndarray:
+    return pos.astype(np.int64) << 32 | rpos
 
 
 def _joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    """Matches of a task's own keys (with a ref), and one occurrence of each key
-    (without) to be joined to those of the other tasks; ``many`` where it has
-    matches already."""
+    """Matches of a task's own keys, and one occurrence of each key (its ref is
+    -1) to be joined to those of the other tasks; instead of rpos it has 1 where
+    it has matches already."""
     gram, row, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.argsort(gram, kind="stable")
     gram, row, pos = gram[order], row[order], pos[order]
@@ -142,12 +146,9 @@ def _joined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     many = np.bincount(group, weights=matched)[group] > 0
     keep = first | matched
     first, anchor, many = first[keep], anchor[keep], many[keep]
-    ref, rpos = row[anchor], pos[anchor]
-    gram, row, pos = gram[keep].view(np.int64), row[keep], pos[keep]
+    ref, rpos = np.where(first, -1, row[anchor]), np.where(first, many, pos[anchor])
     return pa.RecordBatch.from_arrays(
-        [pa.array(gram), pa.array(row), pa.array(pos.astype(np.int32)),
-         pa.array(ref, mask=first), pa.array(rpos.astype(np.int32), mask=first), pa.array(many)],
-        names=_JOINED_NAMES)
+        [pa.array(row[keep]), pa.array(ref), pa.array(_spot(pos[keep], rpos)), pa.array(gram[keep].view(np.int64))], names=_MATCH)
 
 
 def _local_seeds(k: int, window: int):
@@ -183,14 +184,42 @@ def window_hashes(h: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _whole_windows(k: int, window: int, size: int):
-    """Runs of ``size`` words that may repeat, as seeds that long, joined within
-    the task.  ``at`` has the positions of a text's seeds that repeat.
+def _may_repeat(w: Words, chosen: tuple[np.ndarray, np.ndarray, np.ndarray], at: np.ndarray, bounds: np.ndarray,
+                k: int, window: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``size`` words that may repeat, as (text, first word).  ``at`` has
+    the positions of each text's seeds that repeat, from ``bounds`` on.
 
     A seed is surely one in every text that has the run, if the run holds all
     the k-mers it was chosen from.  Runs with such a seed that does not repeat
     do not repeat.
     """
+    of, pos, gram = chosen
+    total = len(w.hash)
+    there = np.zeros(total + 1, bool)
+    there[np.repeat(w.offsets[:-1], np.diff(bounds)) + at] = True
+    # A seed repeats at all of its places in a text, if it does at one.
+    order = np.lexsort((gram, of))
+    first = np.ones(len(order), bool)
+    first[1:] = (gram[order][1:] != gram[order][:-1]) | (of[order][1:] != of[order][:-1])
+    group = np.cumsum(first) - 1
+    repeats = np.empty(len(order), bool)
+    repeats[order] = (np.bincount(group, weights=there[w.offsets[of] + pos][order]) > 0)[group]
+    # All texts on one line: a seed that does not repeat shuts out the runs that begin from lo to hi.
+    runs = np.maximum(w.counts - size + 1, 0)
+    of, pos = of[~repeats], pos[~repeats]
+    lo = w.offsets[of] + np.clip(pos - (size - k - window + 1), 0, runs[of])
+    hi = w.offsets[of] + np.clip(pos - window + 2, 0, runs[of])
+    lo, hi = lo[lo < hi], hi[lo < hi]
+    shut = np.cumsum(np.bincount(lo, minlength=total + 1) - np.bincount(hi, minlength=total + 1))[:total]
+    text = np.repeat(np.arange(len(w.counts)), w.counts)
+    start = np.arange(total) - w.offsets[text]
+    free = (start < runs[text]) & (shut == 0)
+    return text[free], start[free]
+
+
+def _whole_windows(k: int, window: int, size: int):
+    """Runs of ``size`` words that may repeat, as seeds that long, joined within
+    the task.  ``at`` has the positions of a text's seeds that repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, waiting = [], 0
@@ -200,23 +229,12 @@ def _whole_windows(k: int, window: int, size: int):
                 w = words(block)
                 if len(w.hash) < size:
                     continue
-                h = window_hashes(w.hash, size)
-                of, pos, gram = seeds(w, k, window)
-                bounds = np.searchsorted(of, np.arange(block.n + 1))
-                for i in np.flatnonzero(w.counts >= size).tolist():
-                    own, p = gram[bounds[i]:bounds[i + 1]], pos[bounds[i]:bounds[i + 1]]
-                    repeats = np.isin(own, own[np.isin(p, places[block.first + i].values.to_numpy())])
-                    once = p[~repeats]
-                    n = int(w.counts[i]) - size + 1
-                    lo, hi = once - (size - k - window + 1), once - window + 2
-                    there = lo < hi
-                    change = np.zeros(n + 1, np.int64)
-                    np.add.at(change, np.clip(lo[there], 0, n), 1)
-                    np.add.at(change, np.clip(hi[there], 0, n), -1)
-                    start = np.flatnonzero(np.cumsum(change[:-1]) == 0)
-                    if len(start):
-                        parts.append((h[w.offsets[i] + start], np.full(len(start), rows[block.first + i]), start))
-                        waiting += len(start)
+                values, bounds = _lists(places.slice(block.first, block.n))
+                text, start = _may_repeat(w, seeds(w, k, window), values, bounds, k, window, size)
+                if len(start):
+                    h = window_hashes(w.hash, size)
+                    parts.append((h[w.offsets[text] + start], rows[block.first + text], start))
+                    waiting += len(start)
                 if waiting > _SEEDS:
                     yield _joined(parts)
                     parts, waiting = [], 0
@@ -229,57 +247,65 @@ def _whole_windows(k: int, window: int, size: int):
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted by seed: every later occurrence with the first one; matches pass.
     The first one of a seed that repeats comes too, as its own match."""
-    last = (None, 0, 0)
+
+    def of(row: np.ndarray, spot: np.ndarray, gram: np.ndarray) -> Iterator[pa.RecordBatch]:
+        same = gram[1:] == gram[:-1]
+        some = (spot & 1) > 0
+        some[1:] |= same
+        some[:-1] |= same
+        row, spot, gram = row[some], spot[some], gram[some]
+        if not len(gram):
+            return
+        order = np.lexsort((spot, row, gram))
+        row, pos, gram = row[order], spot[order] >> 32, gram[order]
+        many = (spot[order] & 1) > 0
+        first = np.concatenate([[True], gram[1:] != gram[:-1]])
+        group = np.cumsum(first) - 1
+        head = np.flatnonzero(first)
+        anchor = head[group]
+        later = row != row[anchor]
+        own = head[np.bincount(group, weights=later | many) > 0]
+        at, anchor = np.concatenate([np.flatnonzero(later), own]), np.concatenate([anchor[later], own])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row[at]), pa.array(row[anchor]), pa.array(_spot(pos[at], pos[anchor])), pa.array(gram[at])], names=_MATCH)
+
+    held: list[list[np.ndarray]] = []  # the last seed, which may go on: one occurrence per task
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        waits = batch.column("ref").is_null().to_numpy(zero_copy_only=False)
-        gram, row, pos = (batch.column(c).to_numpy()[waits] for c in ("gram", "row", "pos"))
-        many = batch.column("many").to_numpy(zero_copy_only=False)[waits]
-        done = batch.filter(pa.array(~waits)).select(_MATCH)
-        if done.num_rows:
-            yield done
+        waits = batch.column("ref").to_numpy() < 0
+        if not waits.all():
+            yield batch.filter(pa.array(~waits)).select(_MATCH)
+        now = [batch.column(c).to_numpy()[waits] for c in ("row", "spot", "gram")]
+        gram = now[-1]
         if not len(gram):
             continue
-        first = np.concatenate([[gram[0] != last[0]], gram[1:] != gram[:-1]])
-        # The batch's first run may go on from the batch before.
-        number = np.cumsum(first)
-        heads = np.concatenate([[0], np.flatnonzero(first)])
-        ref, rpos = row[heads], pos[heads]
-        if not first[0]:
-            ref[0], rpos[0] = last[1], last[2]
-        # An anchor may be told twice, if its run goes on: its reader takes it once.
-        repeats = np.bincount(number, weights=(row != ref[number]) | many, minlength=len(heads)) > 0
-        repeats[0] &= not first[0]  # without a run that goes on, number 0 is empty
-        own = np.flatnonzero(repeats)
-        key = gram[np.concatenate([[0], np.flatnonzero(first)])]
-        ref_of, rpos_of = ref[number], rpos[number]
-        last = (gram[-1], ref_of[-1], rpos_of[-1])
-        keep = row != ref_of
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([x[keep], y[own]])) for x, y in
-             ((row, ref), (ref_of, ref), (pos, rpos), (rpos_of, rpos), (gram, key))], names=_MATCH)
+        start = int(np.searchsorted(gram, gram[-1]))
+        if start or (held and held[0][-1][0] != gram[0]):
+            yield from of(*(np.concatenate(c) for c in zip(*held, [c[:start] for c in now], strict=True)))
+            held = []
+        held.append([c[start:] for c in now])
+    if held:
+        yield from of(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
 
 def _repeating(links: tuple[int, ...], widest: int):
-    """From matches sorted by row and position: the positions of a row's seeds
-    that repeat (``at``), and linked seeds.
+    """From matches sorted by row: the positions of a row's seeds that repeat (``at``), and linked seeds.
 
     Two seeds are linked to the next one that begins at least so many words
     later, up to ``widest``, if their anchors differ: no text has given both.
     An anchor's own seeds are linked too, as the others' counterpart."""
 
-    def of(row: np.ndarray, pos: np.ndarray, ref: np.ndarray, gram: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def of(row: np.ndarray, spot: np.ndarray, ref: np.ndarray, gram: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((spot, row))
+        row, pos, ref, gram = row[order], spot[order] >> 32, ref[order], gram[order]
         once = np.ones(len(row), bool)
         once[1:] = (row[1:] != row[:-1]) | (pos[1:] != pos[:-1])
-        row, pos, ref, gram = row[once], pos[once].astype(np.int64), ref[once], gram[once]
+        row, pos, ref, gram = row[once], pos[once], ref[once], gram[once]
         head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         size = np.diff(np.append(head, len(row)))
         at = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)).astype(np.int32)), pa.array(pos.astype(np.int32)))
         none = pa.nulls(len(head), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, pa.array(row[head]), none.cast(pa.int32()), none, none.cast(pa.int32()), none.cast(pa.bool_()), at],
-            names=[*_JOINED_NAMES, "at"])
+            [pa.array(row[head]), none, none, none, at], names=[*_MATCH, "at"])
         # Positions of all rows on one line, rows further apart than any link.
         line = pos + np.repeat(np.cumsum(np.concatenate([[0], pos[head[1:] - 1] + widest + 1])) if len(head) else head, size)
         parts = []
@@ -297,14 +323,14 @@ def _repeating(links: tuple[int, ...], widest: int):
         if any(len(p[0]) for p in parts):
             made = _joined(parts)
             yield pa.RecordBatch.from_arrays([*made.columns, pa.nulls(made.num_rows, pa.list_(pa.int32()))],
-                                             names=[*_JOINED_NAMES, "at"])
+                                             names=[*_MATCH, "at"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(c).to_numpy() for c in ("row", "pos", "ref", "gram")]
+            now = [batch.column(c).to_numpy() for c in ("row", "spot", "ref", "gram")]
             if held is not None:
                 now = [np.concatenate(p) for p in zip(held, now, strict=True)]
             start = int(np.argmax(now[0] == now[0][-1]))  # the last row may go on
@@ -417,11 +443,11 @@ def chain(segments: list[tuple[int, int, int, int]], gap_cost: float = GAP_COST,
 
 
 def _chains(k: int, min_chain: int, linked: bool = True):
-    """Chains of each (row, ref) from its matches, which come sorted together;
-    not ``linked``, every diagonal segment is one."""
+    """Chains of each (row, ref) from its matches, which come sorted by row; not ``linked``, every diagonal segment is one."""
 
-    def of(row: np.ndarray, ref: np.ndarray, pos: np.ndarray, rpos: np.ndarray) -> pa.RecordBatch | None:
-        diagonal = pos.astype(np.int64) - rpos
+    def of(row: np.ndarray, ref: np.ndarray, spot: np.ndarray) -> pa.RecordBatch | None:
+        pos, rpos = spot >> 32, spot & 0xFFFFFFFF
+        diagonal = pos - rpos
         order = np.lexsort((pos, diagonal, ref, row))
         row, ref, pos, rpos, diagonal = (x[order] for x in (row, ref, pos, rpos, diagonal))
         new = np.ones(len(row), bool)
@@ -454,11 +480,10 @@ def _chains(k: int, min_chain: int, linked: bool = True):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(c).to_numpy() for c in _MATCH[:4]]
+            now = [batch.column(c).to_numpy() for c in ("row", "ref", "spot")]
             if held is not None:
                 now = [np.concatenate(p) for p in zip(held, now, strict=True)]
-            # The last pair may go on in the next batch.
-            start = int(np.argmax((now[0] == now[0][-1]) & (now[1] == now[1][-1])))
+            start = int(np.argmax(now[0] == now[0][-1]))  # the last row may go on
             held = [c[start:] for c in now]
             if start and (made := of(*[c[:start] for c in now])) is not None:
                 yield made
@@ -469,23 +494,31 @@ def _chains(k: int, min_chain: int, linked: bool = True):
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The word hashes of each requested span of a text."""
+    """The word hashes of each requested span of a text, four bytes each."""
     for whole in batches:
         for at in range(0, whole.num_rows, 500):
             batch = whole.slice(at, 500)
             rows = batch.column("row").to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-            hashes = []
-            for block in blocks(batch.column("body").take(pa.array(starts))):
+            new = np.concatenate([[True], rows[1:] != rows[:-1]])
+            hashes, counts = [], []
+            for block in blocks(batch.column("body").take(pa.array(np.flatnonzero(new)))):
                 w = words(block)
-                hashes += [w.hash[a:b] for a, b in zip(w.offsets[:-1], w.offsets[1:], strict=True)]
-            of = np.searchsorted(starts, np.arange(batch.num_rows), side="right") - 1
+                hashes.append(w.hash.astype(np.uint32))
+                counts.append(w.counts)
+            line, count = np.concatenate(hashes), np.concatenate(counts)
+            text = np.cumsum(new) - 1
             lo = np.maximum(batch.column("lo").to_numpy(), 0)
-            hi = batch.column("hi").to_numpy()
-            cut = [hashes[o][a:b].astype(np.uint32).view(np.int32) for o, a, b in zip(of, lo, hi, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chain"), batch.column("side"), pa.array(lo.astype(np.int32)), pa.array(cut, pa.list_(pa.int32()))],
-                names=["chain", "side", "lo", "words"])
+            size = np.maximum(np.minimum(batch.column("hi").to_numpy(), count[text]) - lo, 0)
+            first = (np.cumsum(count) - count)[text] + lo
+            ends = np.cumsum(size)
+            for part in np.split(np.arange(len(size)), np.flatnonzero(np.diff(ends // _SLICED)) + 1):
+                offsets = np.concatenate([[0], np.cumsum(size[part])])
+                cut = line[np.repeat(first[part] - offsets[:-1], size[part]) + np.arange(offsets[-1])]
+                spans = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(4 * offsets), pa.py_buffer(cut)])
+                some = batch.slice(int(part[0]), len(part))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("chain"), some.column("side"), pa.array(lo[part].astype(np.int32)), spans.cast(pa.binary())],
+                    names=["chain", "side", "lo", "words"])
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -545,11 +578,25 @@ def align(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int], lengths: l
     return x, x + dx, y, y + dy, equal
 
 
+def _diagonal(a: np.ndarray, b: np.ndarray, x: int, y: int, length: int) -> tuple[int, int, int, int, float]:
+    """The whole span of a chain of one segment: start and end in a, in b, identity."""
+    before, after = min(x, y), min(len(a) - x, len(b) - y)
+    differ = np.flatnonzero(a[x - before:x + after] != b[y - before:y + after])
+    i, j = differ.searchsorted((before, before + length)).tolist()
+    left = before - int(differ[i - 1]) - 1 if i else before
+    right = int(differ[j]) - before if j < len(differ) else after
+    return x - left, x + right, y - left, y + right, (left + right - (j - i)) / max(left + right, 1)
+
+
 def good_spans(a: np.ndarray, b: np.ndarray, xs: list[int], ys: list[int], lengths: list[int], identity: float,
                least: int) -> list[tuple[int, int, int, int, float]]:
     """Spans of a chain (start and end in a, in b, identity) with at least
     ``identity``: the whole chain, or else its longest such span, and the same
     again left and right of it, from ``least`` words on."""
+    if len(xs) == 1:
+        whole = _diagonal(a, b, xs[0], ys[0], lengths[0])
+        if whole[-1] >= identity:
+            return [whole]
     x, y, steps = columns(a, b, xs, ys, lengths)
     ends = np.concatenate([[[x, y, 0]], np.array([[x, y, 0]]) + np.cumsum(steps, axis=0)])
 
@@ -599,7 +646,9 @@ def _aligned(identity: float, least: int):
         left = None
         for batch in batches:
             out = []
-            words, at = _lists(batch.column("words"))
+            column = batch.column("words").cast(pa.large_binary())
+            at = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1] // 4
+            words = np.frombuffer(column.buffers()[2] or b"", np.uint32)
             paths = [_lists(batch.column(c)) for c in ("xs", "ys", "lengths")]
             plain = zip(*(batch.column(c).to_pylist() for c in ("side", "chain", "lo", "row", "ref", "run")), strict=True)
             for n, (side, number, lo, row, ref, kind) in enumerate(plain):
@@ -644,25 +693,25 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         _describe, "row long, id long, n_words long, first long, body string"), "described")
     texts = described.filter("body is not null").select("row", "body")
 
-    local = texts.filter(F.length("body") > 0).mapInArrow(_local_seeds(k, window), _JOINED)
+    local = texts.filter(F.length("body") > 0).mapInArrow(_local_seeds(k, window), _MATCHES)
 
     def anchored(local: DataFrame) -> DataFrame:
         # Matches spread by row: a common seed would bring them together.
-        deal = F.when(F.col("ref").isNull(), F.col("gram")).otherwise(F.xxhash64("row"))
-        return local.repartition(n, deal).sortWithinPartitions("gram", "row", "pos").mapInArrow(_anchored, _MATCHES)
+        deal = F.when(F.col("ref") < 0, F.col("gram")).otherwise(F.xxhash64("row"))
+        return local.repartition(n, deal).sortWithinPartitions("gram").mapInArrow(_anchored, _MATCHES)
 
     def chained(matches: DataFrame, *options) -> DataFrame:
-        return matches.filter("row != ref").select("row", "ref", "pos", "rpos").repartition(n, "row").sortWithinPartitions(
-            "row", "ref", "pos").mapInArrow(_chains(*options), "row long, ref long, xs array<int>, ys array<int>, lengths array<int>")
+        return matches.filter("row != ref").select("row", "ref", "spot").repartition(n, "row").sortWithinPartitions(
+            "row").mapInArrow(_chains(*options), "row long, ref long, xs array<int>, ys array<int>, lengths array<int>")
 
     matches = materialise(anchored(local), "matches")
-    repeating = materialise(matches.select("row", "pos", "ref", "gram").repartition(n, "row").sortWithinPartitions("row", "pos").mapInArrow(
-        _repeating(links, max(links) + MAX_GAP), _JOINED + ", at array<int>"), "repeating")
+    repeating = materialise(matches.repartition(n, "row").sortWithinPartitions("row").mapInArrow(
+        _repeating(links, max(links) + MAX_GAP), _MATCHES + ", at array<int>"), "repeating")
     linked = anchored(repeating.filter("at is null").drop("at"))
     # Runs of min_words words have anchors of their own, whatever those of their seeds are.
     repeat = repeating.filter("at is not null").select("row", "at")
     runs = described.filter(F.col("body").isNotNull() & (F.col("n_words") >= min_words)).select("row", "body").join(
-        repeat.hint("merge"), "row").select("row", "at", "body").mapInArrow(_whole_windows(k, window, min_words), _JOINED)
+        repeat.hint("merge"), "row").select("row", "at", "body").mapInArrow(_whole_windows(k, window, min_words), _MATCHES)
     least = min(MIN_CHAIN, min_words)
     chains = materialise(chained(matches.unionByName(linked), k, least).withColumn("run", F.lit(False)).unionByName(
         chained(anchored(runs), min_words, min_words, False).withColumn("run", F.lit(True)))
@@ -680,13 +729,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     wanted = side(0, "row", "xs").unionByName(side(1, "ref", "ys"))
     cut = wanted.join(texts, "row").select("row", "chain", "side", "lo", "hi", "body").mapInArrow(
-        _slices, "chain long, side int, lo int, words array<int>")
+        _slices, "chain long, side int, lo int, words binary")
     own = chains.select("chain", F.lit(0).alias("side"), "row", "ref", "run", "xs", "ys", "lengths")
     sided = cut.join(own, ["chain", "side"], "left").select(
         "chain", "side", "lo", "words", "row", "ref", "run", "xs", "ys", "lengths")
     spans = materialise(sided.repartition(n, "chain").sortWithinPartitions("chain", "side").mapInArrow(
         _aligned(identity, min(MIN_CHAIN, min_words)), "row long, ref long, run boolean, start_word long, end_word long, ref_start long, ref_end long, "
         "identity double"), "spans")
+    # The result reads no text any more.
+    ids = materialise(described.select("row", "id", "n_words", "first"), "ids")
+    discard(described, chains)
     # A run that lies on both sides inside spans of that length, but for JOIN_GAP words at
     # its ends, adds no passage.
     first = spans.filter("not run")
@@ -708,7 +760,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             inside.select(F.struct("text", "lo", "hi").alias("at"), F.lit(True).alias("known")), "at", "left").withColumn(
             "apart", F.col("apart") | F.col("known").isNull()).drop("at", "known")
     spans = first.unionByName(runs_apart.filter("apart").drop("apart")).drop("run")
-    copies = described.filter((F.col("first") != F.col("row")) & (F.col("n_words") > 0)).select(
+    copies = ids.filter((F.col("first") != F.col("row")) & (F.col("n_words") > 0)).select(
         "row", F.col("first").alias("ref"), F.lit(0).cast("long").alias("start_word"), F.col("n_words").alias("end_word"),
         F.lit(0).cast("long").alias("ref_start"), F.col("n_words").alias("ref_end"), F.lit(1.0).alias("identity"))
 
@@ -720,8 +772,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     whole = Window.partitionBy("row", "island")
     passages = islands.withColumn("passage_start", F.min("start_word").over(whole)).withColumn(
         "passage_end", F.max("end_word").over(whole)).filter(F.col("passage_end") - F.col("passage_start") >= min_words)
-    ids = described.select("row", "id")
-    return (passages.join(ids.withColumnRenamed("id", "doc_id"), "row")
+    return (passages.join(ids.select("row", F.col("id").alias("doc_id")), "row")
             .join(ids.select(F.col("row").alias("ref"), F.col("id").alias("ref_doc_id")), "ref")
             .select("doc_id", "start_word", "end_word", "ref_doc_id", "ref_start", "ref_end", "identity",
                     "passage_start", "passage_end"))

@@ -41,6 +41,8 @@ def _values(key: np.ndarray) -> np.ndarray:
 
 _PLACES = 64  # values of the first places of a word are looked up
 _TABLE = _values(np.arange(_PLACES << 8))
+_LOWER_TABLE = _TABLE.reshape(_PLACES, 256)[:, _ASCII_LOWER].ravel()
+_SPANS = 1 << 14  # spans hashed at a time
 
 
 @dataclass
@@ -116,9 +118,26 @@ def span_sums(data: np.ndarray, start: np.ndarray, lower: bool = False) -> np.nd
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
     """64-bit hashes of the disjoint, ascending byte spans ``data[start:end]``."""
-    own = start < end  # an empty span at the end of the data starts nowhere
-    sums = span_sums(data, start[own], lower)
-    return mix(sums[end] - sums[start] + (end - start).astype(np.uint64) * _STEP)
+    size = end - start
+    near = np.minimum(size, _PLACES).astype(np.uint8)
+    table = (_LOWER_TABLE if lower else _TABLE).reshape(_PLACES, 256)
+    sums = np.empty(len(start), np.uint64)
+    for at in range(0, len(start), _SPANS):
+        # By size, the spans that have a place are the last ones.
+        order = np.argsort(near[at:at + _SPANS], kind="stable")
+        first, part = start[at + order], np.zeros(len(order), np.uint64)
+        shorter = np.cumsum(np.bincount(near[at:at + _SPANS]))[:-1].tolist()
+        for place, i in enumerate(shorter):
+            part[i:] += table[place].take(data.take(first[i:] + place))
+        sums[at + order] = part
+    far = np.flatnonzero(size > _PLACES)
+    if len(far):
+        left = size[far] - _PLACES
+        before = np.cumsum(left) - left
+        place = np.arange(int(left.sum())) - np.repeat(before, left) + _PLACES
+        late = data[np.repeat(start[far], left) + place]
+        sums[far] += np.add.reduceat(_values((place << 8) + (_ASCII_LOWER[late] if lower else late)), before)
+    return mix(sums + size.astype(np.uint64) * _STEP)
 
 
 def words(block: Block, separators: bytes = WHITESPACE) -> Words:
@@ -126,8 +145,7 @@ def words(block: Block, separators: bytes = WHITESPACE) -> Words:
     lower-cased."""
     is_word = np.ones(256, bool)
     is_word[np.frombuffer(separators, np.uint8)] = False
-    is_word = is_word[_ASCII_LOWER]
-    inside = is_word[block.data]
+    inside = np.frombuffer(block.data.tobytes().translate(is_word[_ASCII_LOWER].tobytes()), bool)
     n = len(inside)
     cut = np.zeros(n + 1, bool)
     cut[block.bounds] = True
