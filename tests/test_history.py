@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tollgate.operators import history as H
+from tollgate.plans import registry as G
 from tollgate.session import checkpoint_dir
+from tollgate.sources import files
+from tollgate.sources import testdata as TD
 from tollgate.sources.history_store import HistoryStore, RunInUse
 
 T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
@@ -107,3 +110,27 @@ def test_new_columns_widen_the_spec(spark):
     store.append(rows(spark, ["m1"], "a"), 1, T1)
     store.append(rows(spark, ["m2"], "b").withColumn("more", F.lit(7)), 2, T2)
     assert sorted((r.v, r.more) for r in store.read().collect()) == [("a0", None), ("b0", 7)]
+
+
+def test_a_listed_scope_leaves_the_history_where_it_is(spark):
+    first, second = rows(spark, ["m1", "m2", "m2", None], "a"), rows(spark, ["m2", "m2", "m3", None], "b")
+    got, want = [H.expire_and_append(H.stamp_history(first, T1), second, ["posting_month"], T2, month_domain=known)
+                 for known in (True, False)]
+    assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, want.collect()), key=repr)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    twice = second.select("posting_month").unionByName(second.select("posting_month"))
+    assert H.expire_scope(H.stamp_history(first, T1), twice, ["posting_month"], T2, listed=True).count() == 4
+    none = H.expire_and_append(H.stamp_history(first, T1), second.limit(0), ["posting_month"], T2, month_domain=True)
+    assert none.count() == none.filter(F.col(H.CURRENT)).count() == 4
+
+
+def test_four_loads_keep_one_stored_history(spark):
+    sf, kept = "/root/testdata/sf0.001", files.entries(spark, checkpoint_dir(spark))
+    h = G.q_scd_expire_append(spark, sf)
+    (stored,) = set(files.entries(spark, checkpoint_dir(spark))) - set(kept)      # neither replaced ones nor checkpoints
+    earlier = spark.read.parquet(f"{checkpoint_dir(spark)}/{stored}")
+    led = TD.ledger(spark, sf)
+    assert earlier.count() == led.filter(F.col("file_name").isin(TD.LEDGER_FILES[:3])).count()
+    assert h.count() == led.count()
+    assert "hashpartitioning(posting_month" not in h._jdf.queryExecution().executedPlan().toString()

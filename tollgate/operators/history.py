@@ -72,13 +72,17 @@ def expire_all(history: DataFrame, as_of) -> DataFrame:
 
 def expire_scope(history: DataFrame, scope: DataFrame, scope_cols: list[str], as_of, listed: bool = False) -> DataFrame:
     """Current rows whose scope key is listed in ``scope`` expire.  NULL
-    scope keys never match.  ``scope`` is reduced to distinct keys; where it
-    comes from a list that the driver holds (``listed``) it is broadcast, and
-    no row of the history is shuffled."""
-    keys = scope.select(*scope_cols).distinct().withColumn("_tg_hit", F.lit(True))
+    scope keys never match.  ``scope`` is reduced to distinct keys; where they
+    are few enough for the driver (``listed``) it takes them at once, by a job
+    of its own, and broadcasts them: no row of the history is shuffled, and the
+    broadcast waits for no other step."""
+    keys = scope.select(*scope_cols)
     if listed:
-        keys = F.broadcast(keys)
-    joined = history.join(keys, scope_cols, "left")
+        found = list(dict.fromkeys(map(tuple, keys.collect())))
+        keys = F.broadcast(history.sparkSession.createDataFrame(found, keys.schema))
+    else:
+        keys = keys.distinct()
+    joined = history.join(keys.withColumn("_tg_hit", F.lit(True)), scope_cols, "left")
     others = [F.col(c) for c in history.columns if c not in (VALID_TO, CURRENT)]
     hit = F.coalesce(F.col("_tg_hit"), F.lit(False))
     return joined.select(*others, *_expire_when(hit, as_of)).select(*history.columns)
@@ -90,11 +94,13 @@ def append_merge_schema(base: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def expire_and_append(history: DataFrame, incoming: DataFrame, scope_cols: list[str], as_of,
-                      file_name: str | Column | None = None) -> DataFrame:
+                      file_name: str | Column | None = None, month_domain: bool = False) -> DataFrame:
     """Full reload of a scope: scope = keys present both in the current
-    history and the incoming rows; expire them; append the stamped rows."""
+    history and the incoming rows; expire them; append the stamped rows.
+    ``month_domain`` states that the scope is a month of ``with_month``: its
+    keys, 12 x 9999 at most, are ``listed``."""
     scope = reprocess_scope(history.filter(F.col(CURRENT)), incoming, scope_cols)
-    expired = expire_scope(history, scope, scope_cols, as_of)
+    expired = expire_scope(history, scope, scope_cols, as_of, listed=month_domain)
     return append_merge_schema(expired, stamp_history(incoming, as_of, file_name))
 
 

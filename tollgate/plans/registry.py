@@ -224,13 +224,17 @@ def q_scd_expire_scope(spark, d):
 
 
 def _silver_history(spark, d) -> DataFrame:
-    """Four loads in a row; each load's history is materialised (reliable
-    checkpoint in the shared folder), as a stored table would be between
-    runs, so the next load does not recompute the earlier ones."""
-    checkpoint_dir(spark)
-    h = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1)
+    """Four loads in a row; each load's history is materialised (Parquet in
+    the shared folder), as a stored table would be between runs, so the next
+    load does not recompute the earlier ones.  The history that a load has
+    replaced is removed."""
+    h, kept = H.stamp_history(file_rows(spark, d, TD.FILE_1), T1), []
     for name, stamp in zip(TD.LEDGER_FILES[1:], STAMPS[1:]):
-        h = H.expire_and_append(h.checkpoint(), file_rows(spark, d, name), [V.MONTH], stamp)
+        path = staged_path(spark, "silver")
+        h.write.parquet(path)
+        unstage(spark, *kept)
+        h, kept = spark.read.schema(h.schema).parquet(path), [path]
+        h = H.expire_and_append(h, file_rows(spark, d, name), [V.MONTH], stamp, month_domain=True)
     return h
 
 
